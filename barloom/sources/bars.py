@@ -66,7 +66,8 @@ def fill_gaps(bars: DataFrame) -> DataFrame:
         return F.when(own, F.col(column)).otherwise(F.col("close")).alias(column)
 
     return (
-        bars.withColumn("day", F.explode(F.sequence(F.col("trade_date"), until)))
+        bars.withColumn("until", until)
+        .withColumn("day", F.explode(F.sequence("trade_date", "until")))
         .join(F.broadcast(dates.withColumnRenamed("trade_date", "day")), "day", "left_semi")
         .select(
             "ticker",
