@@ -14,6 +14,7 @@ from barloom.operators.flags import adjclose_not_carried, untraded_dates, zero_v
 from barloom.operators.inject import replace_row_with_previous
 from barloom.operators.validate import duplicate_keys, reason_histogram, reject_reasons, split_rows, type_bars
 from barloom.plans import reconcile, serving
+from barloom.plans.compare import rerun_report as compare_runs
 from barloom.plans.refresh import GOLD_KEYS
 from barloom.queries.layers import (
     raw_text_bars,
@@ -23,6 +24,8 @@ from barloom.queries.layers import (
     stored,
     supplier_layers,
 )
+from barloom.queries.landed import FAULTY_RUN, GOOD_RUN, RECOVERY_RUN, published, recovered
+from barloom.sources import landing
 from barloom.sources.bars import daily_bars, lineitem, supplier_panel
 from barloom.spec import PanelSpec
 
@@ -467,10 +470,10 @@ def snapshot_row_counts(spark, sf_dir):
 
 @query
 def unmatched_customers(spark, sf_dir):
-    """Customers without an order, and orders of no customer."""
+    """Customers without an event, and users with events who are no customer."""
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("custkey"))
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").alias("custkey"))
-    return unmatched_keys(customers, orders, ["custkey"])
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("custkey"))
+    return unmatched_keys(customers, users, ["custkey"])
 
 
 @query
@@ -510,3 +513,154 @@ def gold_check_results(spark, sf_dir):
     )
     checks = layer_checks.gold_checks(layers.gold(), silver, series_universe(silver), layers.base, GOLD_KEYS)
     return checks.select("check_name", "layer", "severity", "passed", "failing_count")
+
+
+# ---------------------------------------------------------------- landed files and published tables
+
+
+@query
+def landing_report(spark, sf_dir):
+    return landing.landing_report(spark, published(spark, sf_dir).settings)
+
+
+@query
+def landed_headers(spark, sf_dir):
+    heads = landing.read_headers(spark, published(spark, sf_dir).settings)
+    return heads.groupBy("ticker").agg(F.bool_and("header_ok").alias("header_ok"), F.max("header").alias("header"))
+
+
+@query
+def landed_line_counts(spark, sf_dir):
+    settings = published(spark, sf_dir).settings
+    counts = landing.with_entity(landing.line_counts(spark, settings.landed(settings.daily_glob)), settings)
+    return counts.groupBy("ticker").agg(F.sum("data_rows").alias("data_rows"))
+
+
+@query
+def landed_summaries(spark, sf_dir):
+    table = published(spark, sf_dir).store.read("bronze", "source_run_summary", run_id=GOOD_RUN)
+    return table.select(
+        "ticker", "source_symbol", "stock", "source_run_id", "daily_rows", "daily_date_max", "daily_duplicate_dates",
+        "raw_json",
+    )
+
+
+@query
+def raw_bars(spark, sf_dir):
+    raw = published(spark, sf_dir).store.read("bronze", "daily_prices_raw", run_id=GOOD_RUN)
+    return raw.select("ticker", "source_date", "volume", "ingested_at_utc", "pipeline_run_id", "_rescued_data")
+
+
+@query
+def raw_profile(spark, sf_dir):
+    return reconcile.raw_profile(published(spark, sf_dir).store.read("bronze", "daily_prices_raw", run_id=GOOD_RUN))
+
+
+@query
+def raw_rows_of_first_date(spark, sf_dir):
+    raw = published(spark, sf_dir).store.read("bronze", "daily_prices_raw", run_id=GOOD_RUN)
+    rows = reconcile.raw_rows_of(raw, raw.agg(F.min("source_date")).scalar())
+    return rows.select("ticker", "source_date", "volume")
+
+
+@query
+def published_bars(spark, sf_dir):
+    silver = published(spark, sf_dir).store.read("silver", "daily_prices", run_id=GOOD_RUN)
+    return silver.drop("source_file", "processed_at").withColumn(
+        "source_ingested_at", F.date_format("source_ingested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+
+
+@query
+def published_daily(spark, sf_dir):
+    return _daily_columns(published(spark, sf_dir).store.read("gold", "fact_daily_metrics", run_id=GOOD_RUN))
+
+
+@query
+def published_summary(spark, sf_dir):
+    table = published(spark, sf_dir).store.read("gold", "ticker_summary", run_id=GOOD_RUN)
+    return _summary_columns(table.drop("source_ingested_at", "built_at"))
+
+
+@query
+def run_audit(spark, sf_dir):
+    audit = published(spark, sf_dir).table("ops", "run_audit").filter(F.col("pipeline_run_id") == GOOD_RUN)
+    latest = [reconcile.latest_audit(audit, task, 1) for task in ("bronze_ingest", "silver_transform", "gold_build")]
+    return latest[0].unionByName(latest[1]).unionByName(latest[2]).drop("started_at", "ended_at")
+
+
+@query
+def run_check_results(spark, sf_dir):
+    results = published(spark, sf_dir).table("ops", "dq_results").filter(F.col("pipeline_run_id") == GOOD_RUN)
+    return results.select("pipeline_run_id", "check_name", "layer", "severity", "passed", "failing_count")
+
+
+@query
+def failed_run_audit(spark, sf_dir):
+    audit = reconcile.audit_of_run(recovered(spark, sf_dir).table("ops", "run_audit"), FAULTY_RUN)
+    names_check = F.col("error_message").contains("silver_no_duplicate_keys").alias("names_the_check")
+    return audit.select("task_name", "status", "rows_in", "rows_out", "rows_rejected", names_check)
+
+
+@query
+def failed_run_results(spark, sf_dir):
+    results = reconcile.results_of_run(recovered(spark, sf_dir).table("ops", "dq_results"), FAULTY_RUN)
+    return results.drop("details")
+
+
+@query
+def raw_origin_of_runs(spark, sf_dir):
+    """Duplicated keys and fixture files in the raw table as the failed run and the recovery run left it."""
+    store = recovered(spark, sf_dir).store
+    patterns = {"fixture_files": "%/test_fixtures/%", "real_files": "%/landing/%"}
+    rows = []
+    for run in (FAULTY_RUN, RECOVERY_RUN):
+        raw = store.read("bronze", "daily_prices_raw", run_id=run)
+        row = reconcile.raw_origin(raw, **patterns)
+        rows.append(
+            row.select(
+                F.lit(run).alias("run_id"),
+                "duplicated_keys",
+                (F.col("fixture_files") > 0).alias("has_fixture_files"),
+                (F.col("real_files") > 0).alias("has_real_files"),
+            )
+        )
+    return rows[0].unionByName(rows[1])
+
+
+@query
+def last_good_runs(spark, sf_dir):
+    """The run each table came from while the failed run was the latest: the version before the recovery."""
+    store = recovered(spark, sf_dir).store
+    named = {"silver.daily_prices": ("silver", "daily_prices")}
+    named.update({f"gold.{name}": ("gold", name) for name in GOLD_KEYS})
+    return reconcile.runs_per_table({label: store.read(*t, version=0) for label, t in named.items()})
+
+
+@query
+def version_history(spark, sf_dir):
+    versions = recovered(spark, sf_dir).store.versions()
+    return versions.select("layer", "name", "version", "pipeline_run_id", "task_name").withColumn(
+        "layer", F.regexp_replace("layer", "_.*", "")
+    )
+
+
+@query
+def recovered_returns(spark, sf_dir):
+    """Total returns after the recovery next to those of the good run."""
+    store = recovered(spark, sf_dir).store
+    before = store.read("gold", "ticker_summary", run_id=GOOD_RUN)
+    after = store.read("gold", "ticker_summary", run_id=RECOVERY_RUN)
+    expected = before.select("ticker", F.col("total_return").alias("expected_total_return"))
+    compared = reconcile.against_expected(after, expected)
+    return rounded(compared, "total_return", "expected_total_return", "abs_diff")
+
+
+@query
+def rerun_report(spark, sf_dir):
+    """The latest two versions of every table after the recovery. The raw bars differ, since the version before the
+    latest holds the planted duplicate; all others repeat."""
+    report = compare_runs(spark, recovered(spark, sf_dir).settings)
+    return rounded(report.drop("note"), "max_double_diff").withColumn(
+        "table", F.regexp_replace("table", r"^spark_catalog\.([a-z]+)_[0-9a-f]+\.", "$1.")
+    )
