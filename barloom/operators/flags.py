@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import holds, within
+from barloom.operators.series import SeriesSplit
 from barloom.spec import NORMAL, PRICE_TOLERANCE, ZERO_ALL, ZERO_PARTIAL, PanelSpec
 
 
@@ -54,44 +55,69 @@ def base_date_value(panel: DataFrame, n_entities: int, spec: PanelSpec = PanelSp
     return base_date(panel, n_entities, spec).first()["base_date"]
 
 
-def previous_bar(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """(key, prev_close, prev_adjclose): the values on the entity's previous date, one row per key.
+def previous_bar(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None) -> DataFrame:
+    """(key, has_zero, prev_close, prev_adjclose): the values on the entity's previous date, one row per key.
 
     Copies of a key are merged first, in a grouped aggregate, so the window holds one row per entity and day even on
-    input that still contains duplicates.
+    input that still contains duplicates. With ``split`` it holds one block of days, and a block's first row looks up
+    the last bar of the blocks before it in the small table of block ends.
     """
-    series = Window.partitionBy(spec.entity).orderBy(spec.date)
-    return (
-        panel.groupBy(*spec.key)
-        .agg(F.max("close").alias("close"), F.max("adjclose").alias("adjclose"))
-        .select(
-            *spec.key,
-            F.lag("close").over(series).alias("prev_close"),
-            F.lag("adjclose").over(series).alias("prev_adjclose"),
+    merged = panel.groupBy(*spec.key).agg(
+        F.max("close").alias("close"),
+        F.max("adjclose").alias("adjclose"),
+        F.bool_or(F.col("volume") == 0).alias("has_zero"),
+    )
+    bar = F.struct(F.col(spec.date).alias("day"), "close", "adjclose")
+    if split is None:
+        series = Window.partitionBy(spec.entity).orderBy(spec.date)
+        looked_up = merged.withColumn("_before", F.lag(bar).over(series))
+    else:
+        blocked = merged.withColumn("_block", split.block(spec))
+        ends = blocked.groupBy(spec.entity, "_block").agg(F.max(bar).alias("_end"))
+        blocks = Window.partitionBy(spec.entity).orderBy("_block")
+        before = ends.select(spec.entity, "_block", F.lag("_end").over(blocks).alias("_earlier"))
+        inside = Window.partitionBy(spec.entity, "_block").orderBy(spec.date)
+        looked_up = (
+            blocked.withColumn("_lag", F.lag(bar).over(inside))
+            .join(before, [spec.entity, "_block"])
+            .withColumn("_before", F.coalesce("_lag", "_earlier"))
         )
+    return looked_up.select(
+        *spec.key,
+        "has_zero",
+        F.col("_before.close").alias("prev_close"),
+        F.col("_before.adjclose").alias("prev_adjclose"),
     )
 
 
-def zero_volume_rows(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+def zero_volume_rows(
+    panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None
+) -> DataFrame:
     """The rows without volume, each with the previous bar and the two verdicts ``is_flat`` and ``is_carried``.
 
     ``is_flat``: open, high, low and close agree with each other and with the previous close.
     ``is_carried``: the adjusted close repeats the previous one. An entity's first row has no previous bar to agree with.
+    Only keys that have such a row reach the join.
     """
 
     def same(left: str, right: str) -> Column:
         return within(F.col(left), F.col(right), PRICE_TOLERANCE)
 
-    zero = panel.filter(F.col("volume") == 0).join(previous_bar(panel, spec), spec.key, "left")
+    before = previous_bar(panel, spec, split).filter("has_zero").drop("has_zero")
+    zero = panel.filter(F.col("volume") == 0).join(before, spec.key, "left")
     one_price = same("open", "high") & same("high", "low") & same("low", "close")
     return zero.withColumn(
         "is_flat", one_price & (F.col("prev_close").isNull() | same("close", "prev_close"))
     ).withColumn("is_carried", F.col("prev_adjclose").isNull() | same("adjclose", "prev_adjclose"))
 
 
-def zero_volume_not_flat(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    return zero_volume_rows(panel, spec).filter(~holds(F.col("is_flat"))).drop("is_flat", "is_carried")
+def zero_volume_not_flat(
+    panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None
+) -> DataFrame:
+    return zero_volume_rows(panel, spec, split).filter(~holds(F.col("is_flat"))).drop("is_flat", "is_carried")
 
 
-def adjclose_not_carried(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    return zero_volume_rows(panel, spec).filter(~holds(F.col("is_carried"))).drop("is_flat", "is_carried")
+def adjclose_not_carried(
+    panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None
+) -> DataFrame:
+    return zero_volume_rows(panel, spec, split).filter(~holds(F.col("is_carried"))).drop("is_flat", "is_carried")

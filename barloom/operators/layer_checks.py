@@ -9,6 +9,7 @@ from barloom.functions.columns import any_of, compounded, holds
 from barloom.operators.flags import base_date, zero_volume_rows
 from barloom.operators.lineage import source_lineage
 from barloom.operators.quality import CRITICAL, INFO, WARN, Check, count_rules, evaluate, sample_text
+from barloom.operators.series import SeriesSplit
 from barloom.operators.validate import reason_histogram
 from barloom.spec import NORMAL, PRICE_COLUMNS, ZERO_ALL, ZERO_PARTIAL, PanelSpec
 
@@ -118,6 +119,7 @@ def silver_checks(
     n_entities: int,
     bronze_rows: Column,
     spec: PanelSpec = PanelSpec(),
+    split: SeriesSplit | None = None,
 ) -> DataFrame:
     """``silver`` and ``quarantine`` are the staged tables; ``bronze_rows`` is a scalar."""
     at_key = F.concat_ws("@", spec.entity, spec.date)
@@ -172,7 +174,7 @@ def silver_checks(
             gaps, F.concat_ws(":", spec.entity, F.col("n_dates").cast("string")), [spec.entity], 10)),
     )
     zero = count_rules(
-        zero_volume_rows(silver, spec), {"not_flat": ~F.col("is_flat"), "not_carried": ~F.col("is_carried")}
+        zero_volume_rows(silver, spec, split), {"not_flat": ~F.col("is_flat"), "not_carried": ~F.col("is_carried")}
     )
     zero_checks = [
         Check("silver_zero_volume_rows_flat", WARN, F.col("not_flat"), "0", "one price, equal to the previous close"),

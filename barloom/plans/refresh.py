@@ -22,6 +22,7 @@ from barloom.operators.layer_checks import bronze_checks, gold_checks, silver_ch
 from barloom.operators.lineage import dimension, source_lineage, with_lineage
 from barloom.operators.periods import monthly_metrics, yearly_metrics
 from barloom.operators.quality import failed_critical
+from barloom.operators.series import series_sizes, split_for
 from barloom.operators.summary import summary_metrics
 from barloom.operators.validate import reject_reasons, split_rows, type_bars
 from barloom.plans.descriptions import GOLD_COMMENTS
@@ -170,10 +171,11 @@ def refresh_silver(spark: SparkSession, settings: Settings, run_id: str, job_run
         rejects = store.stage("silver", "daily_prices_quarantine", quarantine, run_id)
         universe = settings.entities(spark)
         run.rows_rejected = store.staged(rejects).count()
+        _, longest = series_sizes(store.staged(bars), settings.panel)
         run.gate(
             silver_checks(
                 store.staged(bars), store.staged(rejects), universe, universe.count(), F.lit(run.rows_in),
-                settings.panel,
+                settings.panel, split_for(longest),
             )
         )
         store.publish(run_id, run.task, [bars, rejects])
@@ -188,7 +190,7 @@ def refresh_gold(spark: SparkSession, settings: Settings, run_id: str, job_run_i
     with task_run(spark, settings, "gold_build", run_id, job_run_id) as run:
         silver = store.read("silver", "daily_prices")
         universe = settings.entities(spark)
-        run.rows_in = silver.count()
+        run.rows_in, longest = series_sizes(silver, spec)
         base = base_date_value(silver, universe.count(), spec)
         if base is None:
             raise RuntimeError("no base date: on no date are enough entities normal")
@@ -201,9 +203,10 @@ def refresh_gold(spark: SparkSession, settings: Settings, run_id: str, job_run_i
 
         staged = {
             "fact_daily_metrics": store.stage(
-                "gold", "fact_daily_metrics", finished(daily_metrics(silver, base, spec)), run_id, WORKING_COLUMNS
+                "gold", "fact_daily_metrics", finished(daily_metrics(silver, base, spec, split_for(longest))), run_id,
+                WORKING_COLUMNS,
             )
-        }
+        }
         daily = store.staged(staged["fact_daily_metrics"])
         for name, frame in (
             ("fact_monthly_metrics", monthly_metrics(daily, base, spec)),

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import layer_checks
+from barloom.operators.daily import daily_metrics
 from barloom.operators.diff import snapshot_diff, unmatched_keys, verdict
 from barloom.operators.flags import adjclose_not_carried, untraded_dates, zero_volume_not_flat
 from barloom.operators.inject import replace_row_with_previous
+from barloom.operators.series import SeriesSplit
 from barloom.operators.validate import duplicate_keys, reason_histogram, reject_reasons, split_rows, type_bars
 from barloom.plans import reconcile, serving
 from barloom.plans.compare import rerun_report as compare_runs
@@ -37,6 +39,7 @@ CHOSEN = ["AF", "RF"]
 CHOSEN_YEAR = 1996
 CHOSEN_MONTH = datetime.date(1996, 3, 1)
 FAULT_ROW = 100
+SMALL_SPLIT = SeriesSplit(block_days=100, chunk_rows=90)
 
 
 def query(function: Query) -> Query:
@@ -102,6 +105,12 @@ def flat_check(spark, sf_dir):
     return zero_volume_not_flat(_thin_supplier_bars(spark, sf_dir)).select("ticker", "trade_date", "close", "prev_close")
 
 
+@query
+def flat_check_split(spark, sf_dir):
+    broken = zero_volume_not_flat(_thin_supplier_bars(spark, sf_dir), PanelSpec(), SMALL_SPLIT)
+    return broken.select("ticker", "trade_date", "close", "prev_close")
+
+
 @query
 def carry_check(spark, sf_dir):
     return adjclose_not_carried(_thin_supplier_bars(spark, sf_dir)).select(
@@ -139,6 +148,13 @@ def daily_kpis(spark, sf_dir):
     return _daily_columns(series_layers(spark, sf_dir).daily)
 
 
+@query
+def daily_kpis_split(spark, sf_dir):
+    """The same measures with every series cut into small blocks and chunks, as a panel with hot series needs."""
+    layers = series_layers(spark, sf_dir)
+    return _daily_columns(daily_metrics(layers.silver, layers.base, layers.spec, SMALL_SPLIT))
+
+
 @query
 def supplier_daily_kpis(spark, sf_dir):
     return _daily_columns(supplier_layers(spark, sf_dir).daily)
