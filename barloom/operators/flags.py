@@ -55,17 +55,27 @@ def base_date_value(panel: DataFrame, n_entities: int, spec: PanelSpec = PanelSp
     return base_date(panel, n_entities, spec).first()["base_date"]
 
 
-def previous_bar(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None) -> DataFrame:
-    """(key, has_zero, prev_close, prev_adjclose): the values on the entity's previous date, one row per key.
+def key_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None) -> DataFrame:
+    """One row per key: ``copies``, what its zero-volume rows look like, and the values on the entity's previous date
+    (``prev_close``, ``prev_adjclose``).
 
     Copies of a key are merged first, in a grouped aggregate, so the window holds one row per entity and day even on
     input that still contains duplicates. With ``split`` it holds one block of days, and a block's first row looks up
     the last bar of the blocks before it in the small table of block ends.
     """
+    is_zero = F.col("volume") == 0
+    one_price = _same("open", "high") & _same("high", "low") & _same("low", "close")
+    flat_close, zero_adj = F.when(is_zero & one_price, F.col("close")), F.when(is_zero, F.col("adjclose"))
     merged = panel.groupBy(*spec.key).agg(
+        F.count("*").alias("copies"),
         F.max("close").alias("close"),
         F.max("adjclose").alias("adjclose"),
-        F.bool_or(F.col("volume") == 0).alias("has_zero"),
+        F.count_if(is_zero).alias("n_zero"),
+        F.count(flat_close).alias("n_one_price"),
+        F.min(flat_close).alias("least_close"),
+        F.max(flat_close).alias("most_close"),
+        F.min(zero_adj).alias("least_adj"),
+        F.max(zero_adj).alias("most_adj"),
     )
     bar = F.struct(F.col(spec.date).alias("day"), "close", "adjclose")
     if split is None:
@@ -82,14 +92,43 @@ def previous_bar(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesS
             .join(before, [spec.entity, "_block"])
             .withColumn("_before", F.coalesce("_lag", "_earlier"))
         )
-    return looked_up.select(
-        *spec.key,
-        "has_zero",
-        F.col("_before.close").alias("prev_close"),
-        F.col("_before.adjclose").alias("prev_adjclose"),
+    return looked_up.withColumn("prev_close", F.col("_before.close")).withColumn(
+        "prev_adjclose", F.col("_before.adjclose")
     )
 
 
+def entity_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None) -> DataFrame:
+    """One row per entity: its dates, its duplicated keys and the first of them, and how many zero-volume rows are not
+    flat or not carried. Grouping by entity follows the partitioning the profile of the keys already has.
+
+    A key whose copies differ in price counts all of its flat rows as moved if one of them is; such a panel stops at the
+    duplicate check anyway.
+    """
+
+    def moved(least: str, most: str, before: str) -> Column:
+        return holds(~_same(least, before) | ~_same(most, before))
+
+    close_moved = moved("least_close", "most_close", "prev_close")
+    adj_moved = moved("least_adj", "most_adj", "prev_adjclose")
+    not_flat = F.col("n_zero") - F.col("n_one_price") + F.when(close_moved, F.col("n_one_price")).otherwise(0)
+    duplicated = F.col("copies") > 1
+    return (
+        key_profile(panel, spec, split)
+        .groupBy(spec.entity)
+        .agg(
+            F.count("*").alias("n_dates"),
+            F.count_if(duplicated).alias("n_duplicated"),
+            F.min(F.when(duplicated, F.struct(F.col(spec.date).alias("day"), "copies"))).alias("first_duplicated"),
+            F.sum(not_flat).alias("n_not_flat"),
+            F.sum(F.when(adj_moved, F.col("n_zero")).otherwise(0)).alias("n_not_carried"),
+        )
+    )
+
+
+def _same(left: str, right: str) -> Column:
+    return within(F.col(left), F.col(right), PRICE_TOLERANCE)
+
+
 def zero_volume_rows(
     panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None
 ) -> DataFrame:
@@ -100,15 +139,12 @@ def zero_volume_rows(
     Only keys that have such a row reach the join.
     """
 
-    def same(left: str, right: str) -> Column:
-        return within(F.col(left), F.col(right), PRICE_TOLERANCE)
-
-    before = previous_bar(panel, spec, split).filter("has_zero").drop("has_zero")
+    before = key_profile(panel, spec, split).filter("n_zero > 0").select(*spec.key, "prev_close", "prev_adjclose")
     zero = panel.filter(F.col("volume") == 0).join(before, spec.key, "left")
-    one_price = same("open", "high") & same("high", "low") & same("low", "close")
+    one_price = _same("open", "high") & _same("high", "low") & _same("low", "close")
     return zero.withColumn(
-        "is_flat", one_price & (F.col("prev_close").isNull() | same("close", "prev_close"))
-    ).withColumn("is_carried", F.col("prev_adjclose").isNull() | same("adjclose", "prev_adjclose"))
+        "is_flat", one_price & (F.col("prev_close").isNull() | _same("close", "prev_close"))
+    ).withColumn("is_carried", F.col("prev_adjclose").isNull() | _same("adjclose", "prev_adjclose"))
 
 
 def zero_volume_not_flat(

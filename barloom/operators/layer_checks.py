@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import any_of, compounded, holds
-from barloom.operators.flags import base_date, zero_volume_rows
+from barloom.operators.flags import base_date
 from barloom.operators.lineage import source_lineage
 from barloom.operators.quality import CRITICAL, INFO, WARN, Check, count_rules, evaluate, sample_text
-from barloom.operators.series import SeriesSplit
 from barloom.operators.validate import reason_histogram
 from barloom.spec import NORMAL, PRICE_COLUMNS, ZERO_ALL, ZERO_PARTIAL, PanelSpec
 
@@ -98,14 +97,12 @@ def bronze_checks(universe: DataFrame, daily: DataFrame, summaries: DataFrame, h
 # ---------------------------------------------------------------- silver
 
 
-def date_set_gaps(panel: DataFrame, universe: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Configured entities that do not have every date of the panel: (entity, n_dates)."""
-    keys = panel.groupBy(*spec.key).agg(F.count("*").alias("copies"))
-    per_entity = keys.groupBy(spec.entity).agg(F.count("*").alias("n_dates"))
+def date_set_gaps(panel: DataFrame, profile: DataFrame, universe: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Configured entities that do not have every date of the panel: (entity, n_dates, n_union)."""
     n_union = panel.select(spec.date).distinct().agg(F.count("*")).scalar()
     return (
         universe.select(F.col("ticker").alias(spec.entity))
-        .join(per_entity, spec.entity, "left")
+        .join(profile.select(spec.entity, "n_dates"), spec.entity, "left")
         .withColumn("n_dates", F.coalesce("n_dates", F.lit(0)))
         .withColumn("n_union", n_union)
         .filter(F.col("n_dates") != F.col("n_union"))
@@ -115,13 +112,14 @@ def date_set_gaps(panel: DataFrame, universe: DataFrame, spec: PanelSpec) -> Dat
 def silver_checks(
     silver: DataFrame,
     quarantine: DataFrame,
+    profile: DataFrame,
     universe: DataFrame,
     n_entities: int,
     bronze_rows: Column,
     spec: PanelSpec = PanelSpec(),
-    split: SeriesSplit | None = None,
 ) -> DataFrame:
-    """``silver`` and ``quarantine`` are the staged tables; ``bronze_rows`` is a scalar."""
+    """``silver`` and ``quarantine`` are the staged tables, ``profile`` the stored ``entity_profile`` of silver, and
+    ``bronze_rows`` a scalar."""
     at_key = F.concat_ws("@", spec.entity, spec.date)
     not_null = [*spec.key, *PRICE_COLUMNS, "volume", "volume_status"]
     rows = count_rules(
@@ -138,10 +136,9 @@ def silver_checks(
         silver_rows=F.count("*"),
     ).select("*", quarantine.agg(F.count("*")).scalar().alias("quarantine_rows"), bronze_rows.alias("bronze_rows"))
 
-    copies = silver.groupBy(*spec.key).agg(F.count("*").alias("copies")).filter("copies > 1")
     reasons = reason_histogram(quarantine)
     partial = silver.filter(F.col("volume_status") == ZERO_PARTIAL)
-    gaps = date_set_gaps(silver, universe, spec)
+    gaps = date_set_gaps(silver, profile, universe, spec)
     base = base_date(silver, n_entities, spec).scalar()
 
     from_rows = [
@@ -163,28 +160,29 @@ def silver_checks(
         Check("silver_base_date", INFO, F.lit(0), "informational", _text("base_date", base)),
         Check("silver_source_ingested_at_parsed", WARN, F.col("no_time"), "0", "rows without a parsed source time"),
     ]
-    duplicated = Check(
-        "silver_no_duplicate_keys", CRITICAL, F.col("n"), "0",
-        _text("first", sample_text(
-            copies, F.concat(at_key, F.lit("x"), F.col("copies").cast("string")), spec.key, 10)),
-    )
+    first_copy = F.concat_ws("@", spec.entity, F.concat_ws("x", "first_duplicated.day", "first_duplicated.copies"))
+    from_profile = [
+        Check("silver_no_duplicate_keys", CRITICAL, F.col("duplicated"), "0",
+              _text("first per entity", sample_text(
+                  profile.filter("n_duplicated > 0"), first_copy, [spec.entity], 10))),
+        Check("silver_zero_volume_rows_flat", WARN, F.col("not_flat"), "0", "one price, equal to the previous close"),
+        Check("silver_flat_rows_adjclose_carried", WARN, F.col("not_carried"), "0", "previous adjclose repeated"),
+    ]
+    totals = profile.agg(
+        *[
+            F.coalesce(F.sum(f"n_{name}"), F.lit(0)).alias(name)
+            for name in ("duplicated", "not_flat", "not_carried")
+        ]
+    )
     same_dates = Check(
         "silver_same_date_set", WARN, F.col("n"), "every entity has every date of the panel",
         _text("differing", sample_text(
             gaps, F.concat_ws(":", spec.entity, F.col("n_dates").cast("string")), [spec.entity], 10)),
     )
-    zero = count_rules(
-        zero_volume_rows(silver, spec, split), {"not_flat": ~F.col("is_flat"), "not_carried": ~F.col("is_carried")}
-    )
-    zero_checks = [
-        Check("silver_zero_volume_rows_flat", WARN, F.col("not_flat"), "0", "one price, equal to the previous close"),
-        Check("silver_flat_rows_adjclose_carried", WARN, F.col("not_carried"), "0", "previous adjclose repeated"),
-    ]
     return (
         evaluate(rows, "silver", from_rows)
-        .unionByName(evaluate(copies.agg(F.count("*").alias("n")), "silver", [duplicated]))
+        .unionByName(evaluate(totals, "silver", from_profile))
         .unionByName(evaluate(gaps.agg(F.count("*").alias("n")), "silver", [same_dates]))
-        .unionByName(evaluate(zero, "silver", zero_checks))
     )
 
 
@@ -194,19 +192,18 @@ def silver_checks(
 def warmup_rows(daily: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """(entity, first_vol, leading): normal rows before the first volatility, or all of them if there is none.
 
-    Volatility fills in date order on normal rows, so the leading rows are exactly the normal rows whose running count
-    is still short; they are counted in one grouped pass by comparing with the first dated value.
+    Every such row has a NULL volatility itself, so only those rows, about one window per entity, meet the first dates.
     """
     first = daily.groupBy(spec.entity).agg(
         F.min(F.when(F.col("vol_60d_ann").isNotNull(), F.col(spec.date))).alias("first_vol")
     )
     early = F.col("first_vol").isNull() | (F.col(spec.date) < F.col("first_vol"))
     return (
-        daily.filter(F.col("volume_status") == NORMAL)
+        daily.filter((F.col("volume_status") == NORMAL) & F.col("vol_60d_ann").isNull())
         .select(*spec.key)
         .join(first, spec.entity)
         .groupBy(spec.entity)
-        .agg(F.first("first_vol").alias("first_vol"), F.count_if(early).alias("leading"))
+        .agg(F.max("first_vol").alias("first_vol"), F.count_if(early).alias("leading"))
     )
 
 

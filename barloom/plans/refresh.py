@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.daily import WORKING_COLUMNS, daily_metrics
-from barloom.operators.flags import base_date_value, volume_status
+from barloom.operators.flags import base_date_value, entity_profile, volume_status
 from barloom.operators.layer_checks import bronze_checks, gold_checks, silver_checks
 from barloom.operators.lineage import dimension, source_lineage, with_lineage
 from barloom.operators.periods import monthly_metrics, yearly_metrics
@@ -171,11 +171,15 @@ def refresh_silver(spark: SparkSession, settings: Settings, run_id: str, job_run
         rejects = store.stage("silver", "daily_prices_quarantine", quarantine, run_id)
         universe = settings.entities(spark)
         run.rows_rejected = store.staged(rejects).count()
-        _, longest = series_sizes(store.staged(bars), settings.panel)
+        staged = store.staged(bars)
+        _, longest = series_sizes(staged, settings.panel)
+        profile = store.stage(
+            "ops", "entity_profile", entity_profile(staged, settings.panel, split_for(longest)), run_id
+        )
         run.gate(
             silver_checks(
-                store.staged(bars), store.staged(rejects), universe, universe.count(), F.lit(run.rows_in),
-                settings.panel, split_for(longest),
+                staged, store.staged(rejects), store.staged(profile), universe, universe.count(), F.lit(run.rows_in),
+                settings.panel,
             )
         )
         store.publish(run_id, run.task, [bars, rejects])

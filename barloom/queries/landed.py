@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from barloom.operators.inject import replace_row_with_previous
 from barloom.plans.refresh import ChecksFailed, refresh
-from barloom.queries.layers import series_bars, series_universe, stored
-from barloom.session import shared_folder
+from barloom.queries.layers import series_bars, series_universe
+from barloom.session import shared_folder, stored
 from barloom.settings import LAYERS, Settings
 from barloom.sources.store import SnapshotStore
 

@@ -12,7 +12,7 @@ from barloom.operators.flags import base_date, volume_status
 from barloom.operators.lineage import dimension
 from barloom.operators.periods import monthly_metrics, yearly_metrics
 from barloom.operators.summary import summary_metrics
-from barloom.session import shared_folder
+from barloom.session import stored
 from barloom.sources.bars import daily_bars, fill_gaps, lineitem, supplier_panel
 from barloom.spec import PanelSpec
 
@@ -20,15 +20,6 @@ from barloom.spec import PanelSpec
 WIDE = PanelSpec(min_coverage=0.15)
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it back: one pass over its inputs, however often it is used, and a
-    lost executor reads files instead of computing it again."""
-    spark = frame.sparkSession
-    path = shared_folder(spark)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 class Layers:
     """Silver bars, base date and measures of one panel."""
 

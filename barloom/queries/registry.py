@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barloom.operators import layer_checks
 from barloom.operators.daily import daily_metrics
 from barloom.operators.diff import snapshot_diff, unmatched_keys, verdict
-from barloom.operators.flags import adjclose_not_carried, untraded_dates, zero_volume_not_flat
+from barloom.operators.flags import adjclose_not_carried, entity_profile, untraded_dates, zero_volume_not_flat
 from barloom.operators.inject import replace_row_with_previous
 from barloom.operators.series import SeriesSplit
 from barloom.operators.validate import duplicate_keys, reason_histogram, reject_reasons, split_rows, type_bars
@@ -23,9 +23,9 @@ from barloom.queries.layers import (
     series_bars,
     series_layers,
     series_universe,
-    stored,
     supplier_layers,
 )
+from barloom.session import stored
 from barloom.queries.landed import FAULTY_RUN, GOOD_RUN, RECOVERY_RUN, published, recovered
 from barloom.sources import landing
 from barloom.sources.bars import daily_bars, lineitem, supplier_panel
@@ -111,6 +111,12 @@ def flat_check_split(spark, sf_dir):
     return broken.select("ticker", "trade_date", "close", "prev_close")
 
 
+@query
+def zero_volume_profile(spark, sf_dir):
+    """Per supplier: dates, duplicated keys, and zero-volume rows that are not flat or not carried."""
+    return entity_profile(_thin_supplier_bars(spark, sf_dir)).drop("first_duplicated")
+
+
 @query
 def carry_check(spark, sf_dir):
     return adjclose_not_carried(_thin_supplier_bars(spark, sf_dir)).select(
@@ -126,7 +132,7 @@ def _thin_supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def same_date_set(spark, sf_dir):
     silver = supplier_layers(spark, sf_dir).silver
-    gaps = layer_checks.date_set_gaps(silver, series_universe(silver), PanelSpec())
+    gaps = layer_checks.date_set_gaps(silver, entity_profile(silver), series_universe(silver), PanelSpec())
     return gaps.select("ticker", "n_dates", "n_union")
 
 
@@ -517,7 +523,7 @@ def silver_check_results(spark, sf_dir):
     universe = series_universe(silver)
     quarantine = _split(spark, sf_dir)[1]
     n_bronze = silver.agg(F.count("*")).scalar() + quarantine.agg(F.count("*")).scalar()
-    checks = layer_checks.silver_checks(silver, quarantine, universe, 6, n_bronze)
+    checks = layer_checks.silver_checks(silver, quarantine, stored(entity_profile(silver)), universe, 6, n_bronze)
     return checks.select("check_name", "layer", "severity", "passed", "failing_count")
 
 

@@ -1,0 +1 @@
+"""Empty on purpose: every source version rewrites its full history, so all plans are batch plans."""
