@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 
 from barloom.plans.compare import overall, rerun_report
-from barloom.plans.refresh import ChecksFailed, refresh
+from barloom.plans.refresh import ChecksFailed, refresh, refresh_bronze, refresh_silver
 from barloom.sources.catalog import drop_all, set_up
 from barloom.sources.landing import UnknownFolder, landing_report
 from barloom.sources.store import SnapshotStore
@@ -19,7 +19,7 @@ GOLD_SHAPE = {  # published columns, commented columns
 }
 
 
-def test_refresh_publishes_every_layer(spark, settings):
+def test_refresh_publishes_every_layer_and_a_rerun_repeats_it(spark, settings):
     runs = refresh(spark, settings, "run-1")
     assert [(r.rows_in, r.rows_out, r.rows_rejected) for r in runs.values()] == [(12, 12, 0), (12, 12, 0), (12, 10, 0)]
     results = {r["check_name"]: r for run in runs.values() for r in run.results}
@@ -44,9 +44,6 @@ def test_refresh_publishes_every_layer(spark, settings):
         ("bronze_ingest", "SUCCEEDED"), ("silver_transform", "SUCCEEDED"), ("gold_build", "SUCCEEDED"),
     ]
 
-
-def test_rerun_on_same_input_is_identical(spark, settings):
-    refresh(spark, settings, "run-1")
     first = rerun_report(spark, settings)
     assert {r["result"] for r in first.collect()} == {"SKIPPED"} and overall(first) == "FAIL"
     refresh(spark, settings, "run-2")
@@ -57,8 +54,12 @@ def test_rerun_on_same_input_is_identical(spark, settings):
     assert {r["pipeline_run_id"] for r in old.collect()} == {"run-1"}
     assert {r["pipeline_run_id"] for r in store.read("gold", "ticker_summary").collect()} == {"run-2"}
 
+    spark.sql(f"DROP TABLE {settings.table('gold', 'ticker_summary')}")
+    store.sync()
+    assert spark.table(settings.table("gold", "ticker_summary")).count() == 2
+
 
-def test_duplicate_key_stops_silver_and_keeps_the_last_good_run(spark, settings, tmp_path):
+def test_duplicate_key_keeps_the_last_good_run_until_recovery_and_reset_empties_all(spark, settings, tmp_path):
     refresh(spark, settings, "good")
     broken = {t: list(rows) for t, rows in BARS.items()}
     broken["A"][3] = broken["A"][2]
@@ -87,6 +88,16 @@ def test_duplicate_key_stops_silver_and_keeps_the_last_good_run(spark, settings,
         "recovered"
     }
 
+    for word in (None, "", "reset", "RESET!"):
+        with pytest.raises(PermissionError):
+            drop_all(spark, settings, word)
+    dropped, absent = drop_all(spark, settings, " RESET ")
+    assert len(dropped) == 12 and not absent
+    set_up(spark, settings)
+    assert spark.table(settings.table("ops", "run_audit")).isEmpty()
+    refresh_bronze(spark, settings, "after reset")
+    assert len(SnapshotStore(spark, settings).latest_two("bronze", "daily_prices_raw")) == 1
+
 
 @pytest.mark.parametrize(
     ("change", "check"),
@@ -112,26 +123,24 @@ def test_missing_entity_and_unknown_folder(spark, settings, tmp_path):
         refresh(spark, extra, "bad")
 
 
-def test_quarantine_keeps_source_text(spark, settings, tmp_path):
+def test_quarantine_keeps_source_text_and_odd_lines_are_rescued(spark, settings, tmp_path):
     rows = {t: list(r) for t, r in BARS.items()}
     rows["A"][4] = ("2020-01-07", "abc", "12", "10", "10", "0", "-5")
-    dirty = dataclasses.replace(settings, landing_path=land(tmp_path / "dirty", rows))
-    runs = refresh(spark, dirty, "dirty")
-    assert (runs["silver"].rows_out, runs["silver"].rows_rejected) == (11, 1)
-    row = spark.table(dirty.table("silver", "daily_prices_quarantine")).first()
-    assert row["open"] == "abc" and row["bronze_pipeline_run_id"] == "dirty"
-    assert row["reject_reason"] == "invalid_price;non_positive_price;invalid_volume"
-
-
-def test_long_and_short_lines_are_rescued(spark, settings, tmp_path):
-    root = Path(land(tmp_path / "odd"))
-    path = root / "a" / "A.X.csv"
+    root = Path(land(tmp_path / "dirty", rows))
+    path = root / "b" / "B.X.csv"
     lines = path.read_text().splitlines()
     lines[2] += ",extra"
     path.write_text("\n".join(lines) + "\n")
-    runs = refresh(spark, dataclasses.replace(settings, landing_path=str(root)), "odd")
-    assert {r["check_name"]: r["failing_count"] for r in runs["bronze"].results}["bronze_rescued_data_empty"] == 1
-    assert runs["silver"].rows_rejected == 1
+    dirty = dataclasses.replace(settings, landing_path=str(root))
+    set_up(spark, dirty)
+    bronze = refresh_bronze(spark, dirty, "dirty")
+    assert {r["check_name"]: r["failing_count"] for r in bronze.results}["bronze_rescued_data_empty"] == 1
+    silver = refresh_silver(spark, dirty, "dirty")
+    assert (silver.rows_out, silver.rows_rejected) == (10, 2)
+    rejected = {r["ticker"]: r for r in spark.table(dirty.table("silver", "daily_prices_quarantine")).collect()}
+    assert rejected["A"]["open"] == "abc" and rejected["A"]["bronze_pipeline_run_id"] == "dirty"
+    assert rejected["A"]["reject_reason"] == "invalid_price;non_positive_price;invalid_volume"
+    assert rejected["B"]["reject_reason"] == "rescued_data_present" and rejected["B"]["_rescued_data"] == lines[2]
 
 
 def test_landing_report(spark, settings, tmp_path):
@@ -142,23 +151,3 @@ def test_landing_report(spark, settings, tmp_path):
     report = {r["ticker"]: r for r in landing_report(spark, one).collect()}
     assert report["A"]["csv_exists"] and not report["A"]["rows_match"] and not report["A"]["row_ok"]
     assert not report["B"]["csv_exists"] and not report["B"]["json_exists"] and not report["B"]["row_ok"]
-
-
-def test_reset_needs_the_word_and_empties_history(spark, settings):
-    refresh(spark, settings, "run-1")
-    for word in (None, "", "reset", "RESET!"):
-        with pytest.raises(PermissionError):
-            drop_all(spark, settings, word)
-    dropped, absent = drop_all(spark, settings, " RESET ")
-    assert len(dropped) == 12 and not absent
-    set_up(spark, settings)
-    assert spark.table(settings.table("ops", "run_audit")).isEmpty()
-    refresh(spark, settings, "run-2")
-    assert len(SnapshotStore(spark, settings).latest_two("gold", "ticker_summary")) == 1
-
-
-def test_new_session_state_is_rebuilt_from_the_manifest(spark, settings):
-    refresh(spark, settings, "run-1")
-    spark.sql(f"DROP TABLE {settings.table('gold', 'ticker_summary')}")
-    SnapshotStore(spark, settings).sync()
-    assert spark.table(settings.table("gold", "ticker_summary")).count() == 2
