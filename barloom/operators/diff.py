@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.columns import any_of
-
 # Doubles from grouped aggregates may differ in their last bits between runs.
 DOUBLE_TOLERANCE = 1e-9
 
@@ -59,10 +57,10 @@ def snapshot_diff(
 ) -> DataFrame:
     """One row of comparison metrics. ``keys=None`` compares row counts only.
 
-    Both sides are stacked and grouped by key (NULL keys match each other), so the tables meet in one shuffle and a key
-    with many copies on both sides is merged before it, never paired up. Every other measure follows from the grouped
-    rows: a key missing on one side, a key held twice in the latest side, a differing value. NULL against a double
-    counts as an infinite difference. A key with copies is compared by its largest values; such a table cannot pass,
+    Both sides are stacked and grouped, first by the key and all exactly compared columns, so that equal rows meet in one
+    group, then by the key alone (NULL keys match each other). Only numbers are aggregated, which keeps both steps in
+    hash aggregation, and a key with many copies is merged before each shuffle, never paired up. NULL against a double
+    counts as an infinite difference. A key with copies is compared by its largest doubles; such a table cannot pass,
     since copies in the latest side are counted, and copies in the previous side change the row or key counts.
     """
     note = _column_note(previous, latest, exclude)
@@ -71,29 +69,29 @@ def snapshot_diff(
 
     shared = [c for c in latest.columns if c in previous.columns and c not in exclude]
     floating = {f.name for f in latest.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    values = [c for c in shared if c not in keys]
+    doubles = [c for c in shared if c not in keys and c in floating]
+    exact = [c for c in shared if c not in keys and c not in floating]
 
     stacked = previous.select(*shared, F.lit(False).alias("_latest")).unionByName(
         latest.select(*shared, F.lit(True).alias("_latest"))
     )
-    measures = [
-        F.count_if(~F.col("_latest")).alias("_n_prev"),
-        F.count_if(F.col("_latest")).alias("_n_latest"),
-    ]
-    for c in values:
-        measures.append(F.max(F.when(~F.col("_latest"), F.col(c))).alias(f"prev_{c}"))
-        measures.append(F.max(F.when(F.col("_latest"), F.col(c))).alias(f"latest_{c}"))
-    grouped = stacked.groupBy(*keys).agg(*measures)
-
-    def sides(c: str) -> tuple[Column, Column]:
-        return F.col(f"prev_{c}"), F.col(f"latest_{c}")
-
-    def differs(c: str) -> Column:
-        before, after = sides(c)
-        return ~before.eqNullSafe(after)
+    is_latest = F.col("_latest")
+    equal_rows = stacked.groupBy(*keys, *exact).agg(
+        F.count_if(~is_latest).alias("_n_prev"),
+        F.count_if(is_latest).alias("_n_latest"),
+        *[F.max(F.when(~is_latest, F.col(c))).alias(f"_prev_{c}") for c in doubles],
+        *[F.max(F.when(is_latest, F.col(c))).alias(f"_latest_{c}") for c in doubles],
+    )
+    one_sided = (F.col("_n_prev") == 0) | (F.col("_n_latest") == 0)
+    by_key = equal_rows.groupBy(*keys).agg(
+        F.sum("_n_prev").alias("_n_prev"),
+        F.sum("_n_latest").alias("_n_latest"),
+        F.bool_or(one_sided).alias("_differs"),
+        *[F.max(f"_{side}_{c}").alias(f"_{side}_{c}") for c in doubles for side in ("prev", "latest")],
+    )
 
     def distance(c: str) -> Column:
-        before, after = sides(c)
+        before, after = F.col(f"_prev_{c}"), F.col(f"_latest_{c}")
         return (
             F.when(before.isNull() != after.isNull(), F.lit(float("inf")))
             .when(before.isNull(), F.lit(0.0))
@@ -101,14 +99,13 @@ def snapshot_diff(
         )
 
     both = (F.col("_n_prev") > 0) & (F.col("_n_latest") > 0)
-    distances = [distance(c) for c in values if c in floating]
-    worst = F.greatest(F.lit(0.0), *distances) if distances else F.lit(None).cast("double")
-    return grouped.agg(
+    worst = F.greatest(F.lit(0.0), *map(distance, doubles)) if doubles else F.lit(None).cast("double")
+    return by_key.agg(
         F.coalesce(F.sum("_n_prev"), F.lit(0)).alias("rows_prev"),
         F.coalesce(F.sum("_n_latest"), F.lit(0)).alias("rows_latest"),
         F.count_if(F.col("_n_latest") > 1).alias("dup_keys"),
         F.coalesce(F.sum(F.when(~both, F.col("_n_prev") + F.col("_n_latest"))), F.lit(0)).alias("missing_rows"),
-        F.count_if(both & any_of(differs(c) for c in values if c not in floating)).alias("mismatched_non_double"),
+        F.count_if(both & F.col("_differs")).alias("mismatched_non_double"),
         F.max(F.when(both, worst)).alias("max_double_diff"),
     ).withColumn("note", F.lit(note))
 

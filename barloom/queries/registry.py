@@ -589,7 +589,7 @@ def raw_rows_of_first_date(spark, sf_dir):
 def published_bars(spark, sf_dir):
     silver = published(spark, sf_dir).store.read("silver", "daily_prices", run_id=GOOD_RUN)
     return silver.drop("source_file", "processed_at").withColumn(
-        "source_ingested_at", F.date_format("source_ingested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        "source_ingested_at", F.unix_micros("source_ingested_at")
     )
 
 

@@ -38,12 +38,13 @@ RESET_WORD = "RESET"
 
 def set_up(spark: SparkSession, settings: Settings) -> None:
     """Create the schemas and history tables that are absent, then verify that all of them exist."""
+    root = settings.warehouse.rstrip("/")
     for schema in settings.schemas.values():
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.catalog}.{schema}")
-    root = f"{settings.warehouse.rstrip('/')}/{settings.schemas['ops']}"
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.catalog}.{schema} LOCATION '{root}/{schema}'")
+    history = f"{root}/{settings.schemas['ops']}"
     for name, ddl in OPS_TABLES.items():
         table = settings.table("ops", name)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet LOCATION '{root}/{name}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet LOCATION '{history}/{name}'")
     missing = [s for s in settings.schemas.values() if not spark.catalog.databaseExists(f"{settings.catalog}.{s}")]
     missing += [n for n in OPS_TABLES if not spark.catalog.tableExists(settings.table("ops", n))]
     if missing:
