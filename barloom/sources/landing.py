@@ -82,18 +82,19 @@ def read_daily(
     return _stamped(with_entity(landed, settings), run_id, loaded_at).select(*DAILY_RAW_COLUMNS)
 
 
-def summary_fields(document: DataFrame) -> DataFrame:
-    """Flatten run-summary documents; ``raw_json`` keeps each one whole."""
-    whole = F.to_json(F.struct(*[c for c in document.columns if c != "source_file"]))
-    daily = F.col("intervals").getField("1d")
-    return document.select(
-        F.col("ticker").alias("source_symbol"),
-        "stock",
-        F.col("run_id").alias("source_run_id"),
+def summary_fields(documents: DataFrame) -> DataFrame:
+    """Flatten run-summary documents given as (document, source_file). ``raw_json`` keeps each one whole, fields that
+    are not flattened included; text that is no JSON leaves every field NULL."""
+    parsed = documents.withColumn("doc", F.from_json("document", RUN_SUMMARY_SCHEMA))
+    daily = F.col("doc.intervals").getField("1d")
+    return parsed.select(
+        F.col("doc.ticker").alias("source_symbol"),
+        F.col("doc.stock").alias("stock"),
+        F.col("doc.run_id").alias("source_run_id"),
         daily.getField("rows").alias("daily_rows"),
         daily.getField("date_max").alias("daily_date_max"),
         daily.getField("duplicate_dates").alias("daily_duplicate_dates"),
-        whole.alias("raw_json"),
+        F.to_json(F.try_parse_json("document")).alias("raw_json"),
         "source_file",
     )
 
@@ -101,11 +102,8 @@ def summary_fields(document: DataFrame) -> DataFrame:
 def read_summaries(
     spark: SparkSession, settings: Settings, run_id: str, loaded_at: datetime.datetime
 ) -> DataFrame:
-    documents = (
-        spark.read.schema(RUN_SUMMARY_SCHEMA)
-        .option("multiLine", True)
-        .json(settings.landed(settings.summary_glob))
-        .select("*", F.col("_metadata.file_path").alias("source_file"))
+    documents = spark.read.text(settings.landed(settings.summary_glob), wholetext=True).select(
+        F.col("value").alias("document"), F.col("_metadata.file_path").alias("source_file")
     )
     return _stamped(with_entity(summary_fields(documents), settings), run_id, loaded_at).select(*RUN_SUMMARY_COLUMNS)
 
@@ -128,7 +126,7 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def header_matches(header: Column, expected: tuple[str, ...]) -> Column:
     """The names, their order and case must be exact; a byte-order mark and a carriage return are tolerated."""
-    bare = F.regexp_replace(header, "^﻿|[\r\n]+$", "")
+    bare = F.regexp_replace(header, "^\ufeff|[\r\n]+$", "")
     return holds(bare == F.lit(",".join(expected)))
 
 

@@ -9,7 +9,7 @@ from barloom.plans.descriptions import GOLD_COMMENTS
 from barloom.plans.refresh import refresh
 from barloom.settings import Settings
 from barloom.sources.catalog import append_audit, column_metadata, set_up, sql_literal, table_metadata
-from barloom.sources.landing import folder_of, header_matches
+from barloom.sources.landing import folder_of, header_matches, summary_fields
 from conftest import HEADER
 
 
@@ -48,7 +48,7 @@ def test_names_must_be_plain(tmp_path, name):
 @pytest.mark.parametrize(
     ("line", "ok"),
     [
-        (HEADER, True), ("﻿" + HEADER, True), (HEADER + "\r", True), (HEADER.replace("Date", "date"), False),
+        (HEADER, True), ("\ufeff" + HEADER, True), (HEADER + "\r", True), (HEADER.replace("Date", "date"), False),
         (HEADER.replace("open,high", "high,open"), False), (HEADER + ",extra", False), ("", False), (None, False),
     ],
 )
@@ -57,6 +57,17 @@ def test_header(spark, line, ok):
     assert frame.select(header_matches(F.col("h"), tuple(HEADER.split(",")))).first()[0] is ok
 
 
+def test_summary_fields_keep_the_whole_document(spark):
+    rows = [
+        ('{"ticker": "A.X", "run_id": "R", "extra": {"b": 1, "a": [1, 2]}, "intervals": {"1d": {"rows": 5}}}', "f1"),
+        ("not json", "f2"),
+    ]
+    good, bad = summary_fields(spark.createDataFrame(rows, "document STRING, source_file STRING")).collect()
+    assert (good["source_symbol"], good["source_run_id"], good["daily_rows"], good["stock"]) == ("A.X", "R", 5, None)
+    assert json.loads(good["raw_json"])["extra"] == {"b": 1, "a": [1, 2]}
+    assert bad["source_symbol"] is None and bad["raw_json"] is None and bad["source_file"] == "f2"
+
+
 def test_folder(spark):
     frame = spark.createDataFrame([("file:/x/landing/aa/A.X.csv",)], "p STRING")
     assert frame.select(folder_of(F.col("p"))).first()[0] == "aa"
