@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,20 +108,27 @@ def read_summaries(
     return _stamped(with_entity(summary_fields(documents), settings), run_id, loaded_at).select(*RUN_SUMMARY_COLUMNS)
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _header_reader(n_bytes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A function over batches of paths. As an inner function it is sent to the executors by value, so they need not
+    have this package installed."""
 
-    def first_line(path: str) -> str | None:
-        try:
-            store, inner = fs.FileSystem.from_uri(path)
-            with store.open_input_stream(inner) as stream:
-                lines = stream.read(HEADER_BYTES).decode("utf-8", "replace").splitlines()
-            return lines[0] if lines else None
-        except OSError:
-            return None
+    def first_lines(batches):
+        from pyarrow import fs
 
-    for batch in batches:
-        yield batch.assign(header=[first_line(p) for p in batch["path"]])
+        def first_line(path):
+            # the path is written for the cluster's connector, the reader knows that store by its plain scheme
+            store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+            try:
+                with store.open_input_stream(inner) as stream:
+                    lines = stream.read(n_bytes).decode("utf-8", "replace").splitlines()
+                return lines[0] if lines else None
+            except OSError:
+                return None
+
+        for batch in batches:
+            yield batch.assign(header=[first_line(p) for p in batch["path"]])
+
+    return first_lines
 
 
 def header_matches(header: Column, expected: tuple[str, ...]) -> Column:
@@ -137,7 +144,7 @@ def read_headers(spark: SparkSession, settings: Settings) -> DataFrame:
     the one thing no built-in reader does. A file that cannot be read has a NULL header, which is a mismatch.
     """
     listed = spark.read.format("binaryFile").load(settings.landed(settings.daily_glob)).select("path")
-    heads = listed.mapInPandas(_first_lines, "path STRING, header STRING")
+    heads = listed.mapInPandas(_header_reader(HEADER_BYTES), "path STRING, header STRING")
     return with_entity(heads.withColumnRenamed("path", "source_file"), settings).select(
         "ticker",
         F.col("source_file").alias("path"),
