@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.diff import METRICS_SCHEMA, snapshot_diff, verdict
+from barloom.session import local_rows
 from barloom.settings import Settings
 from barloom.sources.store import SnapshotStore
 
@@ -30,7 +31,7 @@ def rerun_report(spark: SparkSession, settings: Settings) -> DataFrame:
     for (layer, name), keys in COMPARED.items():
         newest = store.latest_two(layer, name)
         if len(newest) < 2:
-            metrics = spark.createDataFrame([(None,) * 6 + ("no previous version",)], METRICS_SCHEMA)
+            metrics = local_rows(spark, [(None,) * 6 + ("no previous version",)], METRICS_SCHEMA)
             outcome, versions = F.lit("SKIPPED"), (None, newest[0]["version"] if newest else None)
         else:
             versions = (newest[1]["version"], newest[0]["version"])

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # The plans need UTC dates and adaptive execution; sizes are left to the cluster's own configuration.
 SESSION_SETTINGS = {
@@ -51,3 +55,11 @@ def stored(frame: DataFrame) -> DataFrame:
     path = shared_folder(spark)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def local_rows(spark: SparkSession, rows: Iterable[tuple], ddl: str) -> DataFrame:
+    """A few driver rows as a frame. Sent as an Arrow table they become a local relation, whose exact size the planner
+    knows when it chooses a join."""
+    schema = T.DataType.fromDDL(ddl)
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema=schema)

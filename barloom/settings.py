@@ -8,8 +8,8 @@ from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from barloom.session import local_rows
 from barloom.spec import PanelSpec
 
 PLAIN_NAME = re.compile(r"[A-Za-z_]\w*", re.ASCII)
@@ -20,9 +20,6 @@ SOURCE_COLUMNS = ("Date", "open", "high", "low", "close", "adjclose", "volume",
 
 UNIVERSE_SCHEMA = "ticker STRING, source_symbol STRING, folder STRING, bank_name STRING, short_name STRING"
 
-# A universe given as a Python list is already driver-sized; above this many rows it is joined without a hint.
-BROADCAST_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Settings:
@@ -78,11 +75,9 @@ class Settings:
         return f"{self.landing_path.rstrip('/')}/{glob}"
 
     def entities(self, spark: SparkSession) -> DataFrame:
-        """The universe as a DataFrame. Only a list-backed one carries a broadcast hint, since only its size is known
-        here; a Parquet one is left to the planner, which broadcasts by the measured file size."""
+        """The universe as a DataFrame. It grows with the panel and carries no hint: the planner knows its exact size, as
+        a local relation or by its files, and broadcasts it only below its threshold."""
         if isinstance(self.universe, str):
             return spark.read.schema(UNIVERSE_SCHEMA).parquet(self.universe)
         columns = [c.split()[0] for c in UNIVERSE_SCHEMA.split(", ")]
-        rows = [tuple(entry.get(c) for c in columns) for entry in self.universe]
-        frame = spark.createDataFrame(rows, UNIVERSE_SCHEMA)
-        return F.broadcast(frame) if len(rows) <= BROADCAST_ROWS else frame
+        return local_rows(spark, [tuple(entry.get(c) for c in columns) for entry in self.universe], UNIVERSE_SCHEMA)

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.operators.quality import RESULT_SCHEMA
+from barloom.session import local_rows
 from barloom.settings import Settings
 from barloom.sources.store import MANIFEST_SCHEMA
 
@@ -71,7 +72,7 @@ def append_audit(
     if error is not None and len(error) > ERROR_LENGTH:
         error = error[: ERROR_LENGTH - 3] + "..."
     row = (run_id, task, job_run_id or None, started_at, ended_at, status, rows_in, rows_out, rows_rejected, error)
-    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.insertInto(settings.table("ops", "run_audit"))
+    local_rows(spark, [row], AUDIT_SCHEMA).coalesce(1).write.insertInto(settings.table("ops", "run_audit"))
 
 
 def append_results(
@@ -83,7 +84,7 @@ def append_results(
          r["details"], checked_at)
         for r in results
     ]
-    spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1).write.insertInto(settings.table("ops", "dq_results"))
+    local_rows(spark, rows, RESULT_SCHEMA).coalesce(1).write.insertInto(settings.table("ops", "dq_results"))
 
 
 def sql_literal(text: str) -> str:
@@ -110,7 +111,7 @@ def table_metadata(spark: SparkSession, settings: Settings, layer: str) -> DataF
     """(table_name, comment) of a schema, ordered by name."""
     schema = f"{settings.catalog}.{settings.schemas[layer]}"
     rows = [(t.name, t.description) for t in spark.catalog.listTables(schema)]
-    return spark.createDataFrame(rows, "table_name STRING, comment STRING").orderBy("table_name")
+    return local_rows(spark, rows, "table_name STRING, comment STRING").orderBy("table_name")
 
 
 def column_metadata(spark: SparkSession, settings: Settings, layer: str) -> DataFrame:
@@ -122,7 +123,7 @@ def column_metadata(spark: SparkSession, settings: Settings, layer: str) -> Data
         for i, c in enumerate(spark.catalog.listColumns(f"{schema}.{t.name}"), start=1)
     ]
     ddl = "table_name STRING, ordinal_position INT, column_name STRING, data_type STRING, comment STRING"
-    return spark.createDataFrame(rows, ddl)
+    return local_rows(spark, rows, ddl)
 
 
 def drop_all(spark: SparkSession, settings: Settings, confirm: str | None) -> tuple[list[str], list[str]]:
@@ -138,7 +139,7 @@ def drop_all(spark: SparkSession, settings: Settings, confirm: str | None) -> tu
             absent.append(table)
             continue
         if layer == "ops":
-            spark.createDataFrame([], OPS_TABLES[name]).write.insertInto(table, overwrite=True)
+            local_rows(spark, [], OPS_TABLES[name]).write.insertInto(table, overwrite=True)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         dropped.append(table)
     return dropped, absent

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.session import local_rows
 from barloom.settings import Settings
 
 MANIFEST_SCHEMA = (
@@ -57,11 +58,13 @@ class SnapshotStore:
     def publish(self, run_id: str, task: str, tables: list[Staged]) -> None:
         """Append one manifest row for all the tables, then point their catalog entries at the new directories. The row
         is the commit: readers through this store switch to the new tables together or not at all."""
-        entries = [(t.layer, t.name, t.path, t.published_schema.simpleString()) for t in tables]
+        entries = [
+            {"layer": t.layer, "name": t.name, "path": t.path, "ddl": t.published_schema.simpleString()} for t in tables
+        ]
         row = [(uuid.uuid4().hex, run_id, task, entries)]
         schema = MANIFEST_SCHEMA.rsplit(", published_at", 1)[0]
         (
-            self.spark.createDataFrame(row, schema)
+            local_rows(self.spark, row, schema)
             .withColumn("published_at", F.current_timestamp())
             .coalesce(1)
             .write.insertInto(self.manifest_table)
