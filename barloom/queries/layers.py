@@ -54,11 +54,13 @@ class Layers:
     def summary(self, daily: DataFrame) -> DataFrame:
         return summary_metrics(daily, self.base, self.spec)
 
+    def dim(self) -> DataFrame:
+        return dimension(series_universe(self.silver))
+
     def gold(self) -> dict[str, DataFrame]:
         """All five measure tables, stored."""
-        universe = series_universe(self.silver)
         return {
-            "dim_ticker": stored(dimension(universe)),
+            "dim_ticker": stored(self.dim()),
             "fact_daily_metrics": self.fact,
             "fact_monthly_metrics": stored(self.monthly(self.fact)),
             "fact_yearly_metrics": stored(self.yearly(self.fact)),

@@ -233,7 +233,7 @@ def yearly(spark, sf_dir):
 
 @query
 def dimension(spark, sf_dir):
-    return series_layers(spark, sf_dir).gold()["dim_ticker"]
+    return series_layers(spark, sf_dir).dim()
 
 
 # ---------------------------------------------------------------- validation
@@ -305,11 +305,10 @@ def json_projection(spark, sf_dir):
 @query
 def summary_dataset(spark, sf_dir):
     layers = series_layers(spark, sf_dir)
-    gold = layers.gold()
-    summary = gold["ticker_summary"].withColumns(
+    summary = layers.summary(layers.daily).withColumns(
         {"source_run_id": F.lit("S1"), "source_ingested_at": F.lit(None).cast("timestamp")}
     )
-    return _summary_columns(serving.summary_dataset(summary, gold["dim_ticker"])).drop("source_ingested_at")
+    return _summary_columns(serving.summary_dataset(summary, layers.dim())).drop("source_ingested_at")
 
 
 @query
@@ -482,6 +481,20 @@ def snapshot_diff_cases(spark, sf_dir):
     return out
 
 
+@query
+def snapshot_diff_restated(spark, sf_dir):
+    """Supplier bars against a restatement: later prices moved, large volumes counted one up, the last date not in yet."""
+    before = stored(supplier_panel(spark, sf_dir))
+    later = F.col("trade_date") >= F.lit(datetime.date(1998, 1, 1))
+    after = (
+        before.filter(F.col("trade_date") < before.agg(F.max("trade_date")).scalar())
+        .withColumn("adjclose", F.when(later, F.col("adjclose") + 0.25).otherwise(F.col("adjclose")))
+        .withColumn("volume", F.when(F.col("volume") > 45, F.col("volume") + 1).otherwise(F.col("volume")))
+    )
+    diff = snapshot_diff(before, after, ["ticker", "trade_date"]).withColumn("result", verdict())
+    return rounded(diff.drop("note"), "max_double_diff")
+
+
 @query
 def snapshot_row_counts(spark, sf_dir):
     """Counts-only comparison: accepted events against all events."""
