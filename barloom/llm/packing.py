@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Sequence
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -120,7 +121,7 @@ def pack(lengths: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead: i
     groups = F.greatest(F.lit(1), F.ceil(pieces.agg(F.count("*") / group).scalar()))
     kind = pieces.schema["doc_id"].dataType.simpleString()
 
-    def packed(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def packed(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("number", kind="stable")
         sizes = (rows["token_end"] - rows["token_begin"]).tolist()
         placed = best_fit(sizes, capacities, overhead)
