@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Doubles from grouped aggregates may differ in their last bits between runs.
 DOUBLE_TOLERANCE = 1e-9
@@ -34,10 +33,15 @@ def verdict(tolerance: float = DOUBLE_TOLERANCE) -> Column:
 
 
 def _column_note(previous: DataFrame, latest: DataFrame, exclude: tuple[str, ...]) -> str:
-    before, after = set(previous.columns) - set(exclude), set(latest.columns) - set(exclude)
-    if before == after:
-        return ""
-    return f"columns differ: only_prev={sorted(before - after)} only_latest={sorted(after - before)}"
+    """Columns that one side alone has, each marked with its side; empty if there are none."""
+    sides = {"-": (previous, latest), "+": (latest, previous)}
+    marked = [
+        sign + column
+        for sign, (here, there) in sides.items()
+        for column in sorted(here.columns)
+        if column not in exclude and column not in there.columns
+    ]
+    return f"other columns: {' '.join(marked)}" if marked else ""
 
 
 def _row_counts(previous: DataFrame, latest: DataFrame) -> DataFrame:
@@ -57,56 +61,61 @@ def snapshot_diff(
 ) -> DataFrame:
     """One row of comparison metrics. ``keys=None`` compares row counts only.
 
-    Both sides are stacked and grouped, first by the key and all exactly compared columns, so that equal rows meet in one
-    group, then by the key alone (NULL keys match each other). Only numbers are aggregated, which keeps both steps in
-    hash aggregation, and a key with many copies is merged before each shuffle, never paired up. NULL against a double
-    counts as an infinite difference. A key with copies is compared by its largest doubles; such a table cannot pass,
-    since copies in the latest side are counted, and copies in the previous side change the row or key counts.
+    Both sides are stacked and grouped by the key once (NULL keys match each other). Of each side a group keeps numbers only,
+    which stays in hash aggregation and merges copies of a key before the shuffle: how many rows, the smallest and the largest
+    hash of the exactly compared columns, the largest of each double. A key differs if the hashes of its sides do. NULL against a
+    double counts as an infinite difference. A key with copies is compared by these extremes; such a table cannot pass, since copies in
+    the latest side are counted, and copies in the previous side change the row or key counts.
     """
     note = _column_note(previous, latest, exclude)
     if keys is None:
         return _row_counts(previous, latest).withColumn("note", F.lit(""))
 
     shared = [c for c in latest.columns if c in previous.columns and c not in exclude]
-    floating = {f.name for f in latest.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    doubles = [c for c in shared if c not in keys and c in floating]
-    exact = [c for c in shared if c not in keys and c not in floating]
-
-    stacked = previous.select(*shared, F.lit(False).alias("_latest")).unionByName(
-        latest.select(*shared, F.lit(True).alias("_latest"))
-    )
-    is_latest = F.col("_latest")
-    equal_rows = stacked.groupBy(*keys, *exact).agg(
-        F.count_if(~is_latest).alias("_n_prev"),
-        F.count_if(is_latest).alias("_n_latest"),
-        *[F.max(F.when(~is_latest, F.col(c))).alias(f"_prev_{c}") for c in doubles],
-        *[F.max(F.when(is_latest, F.col(c))).alias(f"_latest_{c}") for c in doubles],
-    )
-    one_sided = (F.col("_n_prev") == 0) | (F.col("_n_latest") == 0)
-    by_key = equal_rows.groupBy(*keys).agg(
-        F.sum("_n_prev").alias("_n_prev"),
-        F.sum("_n_latest").alias("_n_latest"),
-        F.bool_or(one_sided).alias("_differs"),
-        *[F.max(f"_{side}_{c}").alias(f"_{side}_{c}") for c in doubles for side in ("prev", "latest")],
-    )
-
-    def distance(c: str) -> Column:
-        before, after = F.col(f"_prev_{c}"), F.col(f"_latest_{c}")
-        return (
-            F.when(before.isNull() != after.isNull(), F.lit(float("inf")))
-            .when(before.isNull(), F.lit(0.0))
-            .otherwise(F.abs(before - after))
+    types = dict(latest.dtypes)
+    doubles = [c for c in shared if c not in keys and types[c] in ("double", "float")]
+    exact = [c for c in shared if c not in keys and c not in doubles]
+
+    sides = (previous.withColumn("_side", F.lit(0)), latest.withColumn("_side", F.lit(1)))
+    # A null has a hash of its own: it takes the place of the column and leaves a mark after it.
+    marks = [part for c in exact for part in (F.col(c), F.col(c).isNull())]
+    stacked = sides[0].select(*shared, "_side").unionByName(sides[1].select(*shared, "_side"))
+    stacked = stacked.withColumn("_hash", F.xxhash64(*marks) if marks else F.lit(0).cast("bigint"))
+
+    def of_side(side: int, value: Column) -> Column:
+        return F.when(F.col("_side") == side, value)
+
+    measures = []
+    for side in (0, 1):
+        measures += [
+            F.count(of_side(side, F.lit(1))).alias(f"n{side}"),
+            F.min(of_side(side, F.col("_hash"))).alias(f"low{side}"),
+            F.max(of_side(side, F.col("_hash"))).alias(f"high{side}"),
+            *[F.max(of_side(side, F.col(c))).alias(f"d{i}_{side}") for i, c in enumerate(doubles)],
+        ]
+    by_key = stacked.groupBy(*keys).agg(*measures)
+
+    gaps = [
+        F.coalesce(
+            F.abs(F.col(f"d{i}_0") - F.col(f"d{i}_1")),
+            F.when(F.col(f"d{i}_0").isNull() & F.col(f"d{i}_1").isNull(), 0.0).otherwise(float("inf")),
         )
+        for i in range(len(doubles))
+    ]
+    widest = F.array_max(F.array(*gaps)) if gaps else F.lit(None).cast("double")
+    in_both = (F.col("n0") > 0) & (F.col("n1") > 0)
+    changed = (F.col("low0") != F.col("low1")) | (F.col("high0") != F.col("high1"))
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
 
-    both = (F.col("_n_prev") > 0) & (F.col("_n_latest") > 0)
-    worst = F.greatest(F.lit(0.0), *map(distance, doubles)) if doubles else F.lit(None).cast("double")
     return by_key.agg(
-        F.coalesce(F.sum("_n_prev"), F.lit(0)).alias("rows_prev"),
-        F.coalesce(F.sum("_n_latest"), F.lit(0)).alias("rows_latest"),
-        F.count_if(F.col("_n_latest") > 1).alias("dup_keys"),
-        F.coalesce(F.sum(F.when(~both, F.col("_n_prev") + F.col("_n_latest"))), F.lit(0)).alias("missing_rows"),
-        F.count_if(both & F.col("_differs")).alias("mismatched_non_double"),
-        F.max(F.when(both, worst)).alias("max_double_diff"),
+        total(F.col("n0")).alias("rows_prev"),
+        total(F.col("n1")).alias("rows_latest"),
+        F.count_if(F.col("n1") > 1).alias("dup_keys"),
+        total(F.when(~in_both, F.col("n0") + F.col("n1"))).alias("missing_rows"),
+        F.count_if(in_both & changed).alias("mismatched_non_double"),
+        F.max(F.when(in_both, widest)).alias("max_double_diff"),
     ).withColumn("note", F.lit(note))
 
 

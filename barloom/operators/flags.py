@@ -26,11 +26,10 @@ def volume_status(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """Add ``volume_status``: normal, or which kind of day without volume this is.
 
     A date can hold a large share of the panel, so the per-date fact is a grouped aggregate (combined before its
-    shuffle) and comes back as a broadcast of the untraded dates: at most one row per calendar day, whatever the panel
-    holds. The panel itself is not moved.
+    shuffle). Only the untraded dates come back, and the planner joins so short a list without moving the panel.
     """
     return (
-        panel.join(F.broadcast(untraded_dates(panel, spec)), spec.date, "left")
+        panel.join(untraded_dates(panel, spec), spec.date, "left")
         .withColumn(
             "volume_status",
             F.when(F.col("volume") > 0, NORMAL).when(F.col("_untraded"), ZERO_ALL).otherwise(ZERO_PARTIAL),
@@ -98,8 +97,10 @@ def key_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSp
 
 
 def entity_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None) -> DataFrame:
-    """One row per entity: its dates, its duplicated keys and the first of them, and how many zero-volume rows are not
-    flat or not carried. Grouping by entity follows the partitioning the profile of the keys already has.
+    """One row per entity: its dates, its duplicated keys, and how many zero-volume rows are not flat or not carried.
+
+    Without ``split`` the panel is partitioned by entity once, which serves the grouping by key, the window and the
+    grouping by entity alike.
 
     A key whose copies differ in price counts all of its flat rows as moved if one of them is; such a panel stops at the
     duplicate check anyway.
@@ -112,13 +113,13 @@ def entity_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: Serie
     adj_moved = moved("least_adj", "most_adj", "prev_adjclose")
     not_flat = F.col("n_zero") - F.col("n_one_price") + F.when(close_moved, F.col("n_one_price")).otherwise(0)
     duplicated = F.col("copies") > 1
+    needed = panel.select(*spec.key, "open", "high", "low", "close", "adjclose", "volume")
     return (
-        key_profile(panel, spec, split)
+        key_profile(needed.repartition(spec.entity) if split is None else needed, spec, split)
         .groupBy(spec.entity)
         .agg(
             F.count("*").alias("n_dates"),
             F.count_if(duplicated).alias("n_duplicated"),
-            F.min(F.when(duplicated, F.struct(F.col(spec.date).alias("day"), "copies"))).alias("first_duplicated"),
             F.sum(not_flat).alias("n_not_flat"),
             F.sum(F.when(adj_moved, F.col("n_zero")).otherwise(0)).alias("n_not_carried"),
         )

@@ -1,7 +1,8 @@
 """Data-quality checks: results computed in Spark, gated on the driver.
 
 A check layer is built as a few one-row aggregates, each holding many counts, so the data is read a handful of times
-for thirty checks. Results only become driver rows at the gate, where there is one per check.
+for thirty checks. Results only become driver rows at the gate, where there is one per check; the failing
+items themselves, however many, go from the tasks into the failures table.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ RESULT_SCHEMA = (
     "pipeline_run_id STRING, check_name STRING, layer STRING, severity STRING, passed BOOLEAN, failing_count BIGINT, "
     "expected STRING, details STRING, checked_at TIMESTAMP"
 )
+FAILURE_COLUMNS = ("check_name", "layer", "entity", "trade_date", "value")
+FAILURE_SCHEMA = "pipeline_run_id STRING, " + ", ".join(f"{c} STRING" for c in FAILURE_COLUMNS)
 CHECK_COLUMNS = ("check_name", "layer", "severity", "passed", "failing_count", "expected", "details")
 
 
@@ -64,13 +67,18 @@ def count_rules(frame: DataFrame, rules: dict[str, Column], **others: Column) ->
     )
 
 
-def sample_text(frame: DataFrame, item: Column, order: list[str], limit: int) -> Column:
-    """Scalar: the first few items in order, as text. The limit is taken before anything is gathered."""
-    first = frame.select(item.alias("item"), *order).orderBy(*order).limit(limit)
-    gathered = first.agg(F.array_sort(F.collect_list(F.struct(*order, "item"))).alias("rows"))
-    return gathered.select(
-        F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["item"]), ", "), F.lit("]"))
-    ).scalar()
+def failing(
+    check: str, layer: str, rows: DataFrame, entity: Column | str, trade_date: Column | str | None, value: Column
+) -> DataFrame:
+    """The failing items of one check in the columns of the failures table."""
+    day = F.lit(None) if trade_date is None else (F.col(trade_date) if isinstance(trade_date, str) else trade_date)
+    return rows.select(
+        F.lit(check).alias("check_name"),
+        F.lit(layer).alias("layer"),
+        (F.col(entity) if isinstance(entity, str) else entity).cast("string").alias("entity"),
+        day.cast("string").alias("trade_date"),
+        value.cast("string").alias("value"),
+    )
 
 
 def failed_critical(results: list) -> list:

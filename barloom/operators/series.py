@@ -1,22 +1,19 @@
-"""When and how to split long series.
+"""How to split long series, for callers who ask for it.
 
 A per-entity window puts one entity's whole series into one task. A series has at most one row per day, so that is a few
-thousand rows for decades of daily bars, and one shuffle by entity is the cheapest plan. A panel whose longest series
-exceeds ``MAX_SERIES_ROWS`` is cut into blocks of days instead, so that an entity holding a large part of all rows is
-worked on by many tasks. Both ways give the same rows.
+thousand rows for decades of daily bars, and one shuffle by entity is the cheapest plan: the refresh always takes it. An
+explicit ``SeriesSplit`` cuts a panel of another kind into blocks of days, with the same rows as result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from barloom.spec import PanelSpec
 
-MAX_SERIES_ROWS = 50_000
-
 
 @dataclass(frozen=True)
 class SeriesSplit:
@@ -28,14 +25,3 @@ class SeriesSplit:
     def block(self, spec: PanelSpec) -> Column:
         return F.floor(F.unix_date(spec.date) / self.block_days)
 
-
-def series_sizes(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> tuple[int, int]:
-    """(rows of the panel, rows of its longest series), from one grouped count."""
-    sizes = panel.groupBy(spec.entity).agg(F.count("*").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("top"))
-    row = sizes.first()
-    return row["n"] or 0, row["top"] or 0
-
-
-def split_for(longest: int) -> SeriesSplit | None:
-    """The split a panel needs, or None when whole series are fine."""
-    return SeriesSplit() if longest > MAX_SERIES_ROWS else None

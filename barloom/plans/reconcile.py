@@ -12,7 +12,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.layer_checks import warmup_rows
 from barloom.operators.validate import duplicate_keys
 from barloom.spec import NORMAL, ZERO_ALL, ZERO_PARTIAL, PanelSpec
 
@@ -20,16 +19,22 @@ from barloom.spec import NORMAL, ZERO_ALL, ZERO_PARTIAL, PanelSpec
 
 
 def raw_profile(raw: DataFrame) -> DataFrame:
-    return (
-        raw.groupBy("ticker")
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.count_distinct("pipeline_run_id").alias("n_runs"),
-            F.min("source_date").alias("min_date"),
-            F.max("source_date").alias("max_date"),
-            F.count_if(F.col("_rescued_data").isNotNull()).alias("rescued_rows"),
-        )
-        .orderBy("ticker")
+    """Per entity: rows, runs, first and last source date, rescued rows. Rows are merged per entity and run first, so that counting the runs
+    needs no distinct aggregate."""
+    per_run = raw.groupBy("ticker", "pipeline_run_id").agg(
+        F.struct(
+            F.count("*").alias("rows"),
+            F.count("_rescued_data").alias("rescued"),
+            F.min("source_date").alias("first"),
+            F.max("source_date").alias("last"),
+        ).alias("r")
+    )
+    return per_run.groupBy("ticker").agg(
+        F.sum("r.rows").alias("n_rows"),
+        F.count("pipeline_run_id").alias("n_runs"),
+        F.min("r.first").alias("min_date"),
+        F.max("r.last").alias("max_date"),
+        F.sum("r.rescued").alias("rescued_rows"),
     )
 
 
@@ -170,60 +175,49 @@ def table_key_counts(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -
 
 
 def partial_period_counts(monthly: DataFrame, yearly: DataFrame) -> DataFrame:
-    months = monthly.groupBy("ticker").agg(F.count_if("is_partial").alias("partial_months"))
-    years = yearly.groupBy("ticker").agg(F.count_if("is_partial").alias("partial_years"))
-    return months.join(years, "ticker").select("ticker", "partial_months", "partial_years").orderBy("ticker")
+    """Both tables stacked and grouped once."""
+    kinds = {"partial_months": monthly, "partial_years": yearly}
+    stacked = _stack([t.select("ticker", "is_partial", F.lit(kind).alias("kind")) for kind, t in kinds.items()])
+    return stacked.groupBy("ticker").agg(
+        *[F.count_if(F.col("is_partial") & (F.col("kind") == kind)).alias(kind) for kind in kinds]
+    )
+
+
+def _with_first_volatility(daily: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Each daily row with the entity's first date that has a volatility."""
+    measured = F.when(F.col("vol_60d_ann").isNotNull(), F.col(spec.date))
+    return daily.withColumn("first_vol", F.min(measured).over(Window.partitionBy(spec.entity)))
 
 
 def leading_null_rows(daily: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """Normal rows before the first volatility, for the entities that have one."""
-    return (
-        warmup_rows(daily, spec)
-        .filter(F.col("first_vol").isNotNull() & (F.col("leading") > 0))
-        .select(spec.entity, F.col("leading").alias("leading_null_normal_rows"))
-        .orderBy(spec.entity)
+    early = _with_first_volatility(daily, spec).where(
+        (F.col(spec.date) < F.col("first_vol")) & (F.col("volume_status") == NORMAL)
     )
+    return early.groupBy(spec.entity).agg(F.count("*").alias("leading_null_normal_rows"))
 
 
-def null_vol_after_warmup(daily: DataFrame) -> DataFrame:
+def null_vol_after_warmup(daily: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """Rows without a volatility after the entity's first one, by status: only flagged rows should be listed."""
-    first = (
-        daily.filter(F.col("vol_60d_ann").isNotNull())
-        .groupBy("ticker")
-        .agg(F.min("trade_date").alias("first_vol_date"))
-    )
-    return (
-        daily.filter(F.col("vol_60d_ann").isNull())
-        .join(first, "ticker")
-        .filter(F.col("trade_date") > F.col("first_vol_date"))
-        .groupBy("ticker", "volume_status")
-        .agg(
-            F.count("*").alias("null_vol_rows"),
-            F.min("trade_date").alias("first_date"),
-            F.max("trade_date").alias("last_date"),
-        )
-        .orderBy("ticker", "volume_status")
+    late = _with_first_volatility(daily, spec).where(f"vol_60d_ann IS NULL AND {spec.date} > first_vol")
+    return late.groupBy(spec.entity, "volume_status").agg(
+        F.count("*").alias("null_vol_rows"),
+        F.min(spec.date).alias("first_date"),
+        F.max(spec.date).alias("last_date"),
     )
 
 
-def peak_and_trough_rows(summary: DataFrame, daily: DataFrame) -> DataFrame:
-    """The daily rows at the reported peak and trough: the peak is a traded day and sets the maximum in force later."""
-    dates = summary.select("ticker", "peak_date", "trough_date")
-    peak = daily.select(
-        "ticker",
-        F.col("trade_date").alias("peak_date"),
-        F.col("volume_status").alias("peak_volume_status"),
-        F.col("adjclose").alias("peak_adjclose"),
-    )
-    trough = daily.select(
-        "ticker", F.col("trade_date").alias("trough_date"), F.col("running_peak").alias("running_peak_at_trough")
-    )
-    return (
-        dates.join(peak, ["ticker", "peak_date"])
-        .join(trough, ["ticker", "trough_date"])
-        .select("ticker", "peak_date", "trough_date", "peak_volume_status", "peak_adjclose", "running_peak_at_trough")
-        .orderBy("ticker")
+def peak_and_trough_rows(summary: DataFrame, daily: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """The daily rows at the reported peak and trough: the peak is a traded day and sets the maximum in force later. One pass over the daily
+    rows, each next to its entity's dates; a date without a row gives none."""
+    dated = daily.join(summary.select(spec.entity, "peak_date", "trough_date"), spec.entity)
+    at_peak, at_trough = (F.col(spec.date) == F.col(c) for c in ("peak_date", "trough_date"))
+    found = dated.where(at_peak | at_trough).groupBy(spec.entity, "peak_date", "trough_date").agg(
+        F.max(F.when(at_peak, F.col("volume_status"))).alias("peak_volume_status"),
+        F.max(F.when(at_peak, F.col("adjclose"))).alias("peak_adjclose"),
+        F.max(F.when(at_trough, F.col("running_peak"))).alias("running_peak_at_trough"),
     )
+    return found.where("peak_volume_status IS NOT NULL AND running_peak_at_trough IS NOT NULL")
 
 
 # ---------------------------------------------------------------- measures computed again from silver

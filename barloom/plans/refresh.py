@@ -12,22 +12,38 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.daily import WORKING_COLUMNS, daily_metrics
 from barloom.operators.flags import base_date_value, entity_profile, volume_status
-from barloom.operators.layer_checks import bronze_checks, gold_checks, silver_checks
+from barloom.operators.layer_checks import (
+    bronze_checks,
+    bronze_failures,
+    daily_profile,
+    gold_checks,
+    gold_failures,
+    silver_checks,
+    silver_failures,
+)
 from barloom.operators.lineage import dimension, source_lineage, with_lineage
 from barloom.operators.periods import monthly_metrics, yearly_metrics
 from barloom.operators.quality import failed_critical
-from barloom.operators.series import series_sizes, split_for
 from barloom.operators.summary import summary_metrics
 from barloom.operators.validate import reject_reasons, split_rows, type_bars
 from barloom.plans.descriptions import GOLD_COMMENTS
 from barloom.settings import Settings
-from barloom.sources.catalog import FAILED, SUCCEEDED, append_audit, append_results, apply_comments, set_up
+from barloom.sources.catalog import (
+    FAILED,
+    SUCCEEDED,
+    append_audit,
+    append_failures,
+    append_results,
+    apply_comments,
+    set_up,
+)
 from barloom.sources.landing import read_daily, read_headers, read_summaries, require_known_folders
 from barloom.sources.store import SnapshotStore
 from barloom.spec import PRICE_COLUMNS
@@ -81,10 +97,15 @@ class TaskRun:
             self.rows_in, self.rows_out, self.rows_rejected, error,
         )
 
-    def gate(self, checks: DataFrame) -> None:
-        """Evaluate the checks, record every result, and raise if a CRITICAL one failed."""
+    def gate(self, checks: DataFrame, failures: dict[str, DataFrame]) -> None:
+        """Evaluate the checks, record every result and every failing item, and raise if a CRITICAL check failed. Of ``failures``
+        (by check name) only those of checks that counted something are read."""
         self.results = checks.collect()
         append_results(self.spark, self.settings, self.results, self.run_id, _now())
+        counted = [r["check_name"] for r in self.results if r["failing_count"] != 0 and r["check_name"] in failures]
+        if counted:
+            found = reduce(DataFrame.unionByName, [failures[name] for name in counted])
+            append_failures(self.spark, self.settings, found, self.run_id)
         failed = failed_critical(self.results)
         if failed:
             named = "; ".join(f"{r['check_name']} ({r['details']})" for r in failed)
@@ -117,23 +138,24 @@ def refresh_bronze(spark: SparkSession, settings: Settings, run_id: str, job_run
         )
         raw = store.staged(daily)
         run.rows_in = raw.count()
-        run.gate(
-            bronze_checks(settings.entities(spark), raw, store.staged(summaries), read_headers(spark, settings))
-        )
+        heads = store.stage("ops", "landed_headers", read_headers(spark, settings), run_id)
+        landed = (settings.entities(spark), raw, store.staged(summaries), store.staged(heads))
+        run.gate(bronze_checks(*landed), bronze_failures(*landed))
         store.publish(run_id, run.task, [daily, summaries])
         run.rows_out, run.rows_rejected = run.rows_in, 0
     return run
 
 
 def build_silver(
-    raw: DataFrame, source_runs: DataFrame, settings: Settings, run_id: str, processed_at: datetime.datetime
+    flagged: DataFrame, source_runs: DataFrame, settings: Settings, run_id: str, processed_at: datetime.datetime
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid typed rows with their volume status and source run, quarantined rows as landed).
+    """(valid typed rows with their volume status and source run, quarantined rows as landed), from typed rows with their reject
+    reasons.
 
     ``source_runs`` is (ticker, source_run_id). It has one row per entity and so grows with the panel; it carries no
     broadcast hint, the planner decides by its measured size.
     """
-    valid, rejected = split_rows(reject_reasons(type_bars(raw)))
+    valid, rejected = split_rows(flagged)
     typed = valid.select(
         "ticker",
         *[F.col(f"typed.{c}").alias(c) for c in ("trade_date", *PRICE_COLUMNS, "volume", "source_ingested_at")],
@@ -166,22 +188,20 @@ def refresh_silver(spark: SparkSession, settings: Settings, run_id: str, job_run
         raw = store.read("bronze", "daily_prices_raw")
         run.rows_in = raw.count()
         source_runs = entity_runs(store.read("bronze", "source_run_summary"))
-        silver, quarantine = build_silver(raw, source_runs, settings, run_id, run.started_at)
+        # Typed and judged once; both tables are taken from the stored rows.
+        flagged = store.staged(store.stage("ops", "flagged_rows", reject_reasons(type_bars(raw)), run_id))
+        silver, quarantine = build_silver(flagged, source_runs, settings, run_id, run.started_at)
         bars = store.stage("silver", "daily_prices", silver, run_id)
         rejects = store.stage("silver", "daily_prices_quarantine", quarantine, run_id)
         universe = settings.entities(spark)
         run.rows_rejected = store.staged(rejects).count()
         staged = store.staged(bars)
-        _, longest = series_sizes(staged, settings.panel)
-        profile = store.stage(
-            "ops", "entity_profile", entity_profile(staged, settings.panel, split_for(longest)), run_id
-        )
+        profile = store.staged(store.stage("ops", "entity_profile", entity_profile(staged, settings.panel), run_id))
+        layer = (staged, store.staged(rejects), profile, universe)
         run.gate(
-            silver_checks(
-                staged, store.staged(rejects), store.staged(profile), universe, universe.count(), F.lit(run.rows_in),
-                settings.panel,
-            )
-        )
+            silver_checks(*layer, universe.count(), F.lit(run.rows_in), settings.panel),
+            silver_failures(*layer, settings.panel),
+        )
         store.publish(run_id, run.task, [bars, rejects])
         run.rows_out = run.rows_in - run.rows_rejected
     return run
@@ -194,7 +214,7 @@ def refresh_gold(spark: SparkSession, settings: Settings, run_id: str, job_run_i
     with task_run(spark, settings, "gold_build", run_id, job_run_id) as run:
         silver = store.read("silver", "daily_prices")
         universe = settings.entities(spark)
-        run.rows_in, longest = series_sizes(silver, spec)
+        run.rows_in = silver.count()
         base = base_date_value(silver, universe.count(), spec)
         if base is None:
             raise RuntimeError("no base date: on no date are enough entities normal")
@@ -207,7 +227,7 @@ def refresh_gold(spark: SparkSession, settings: Settings, run_id: str, job_run_i
 
         staged = {
             "fact_daily_metrics": store.stage(
-                "gold", "fact_daily_metrics", finished(daily_metrics(silver, base, spec, split_for(longest))), run_id,
+                "gold", "fact_daily_metrics", finished(daily_metrics(silver, base, spec)), run_id,
                 WORKING_COLUMNS,
             )
         }
@@ -220,13 +240,23 @@ def refresh_gold(spark: SparkSession, settings: Settings, run_id: str, job_run_i
         ):
             staged[name] = store.stage("gold", name, finished(frame), run_id)
         tables = {name: store.staged(table) for name, table in staged.items()}
-        run.gate(gold_checks(tables, silver, universe, F.lit(base), GOLD_KEYS, spec))
+        measured = daily_profile(daily, F.lit(base), spec)
+        profile = store.staged(store.stage("ops", "daily_profile", measured, run_id))
+        run.gate(
+            gold_checks(tables, silver, universe, F.lit(base), GOLD_KEYS, profile, spec),
+            gold_failures(tables, silver, universe, GOLD_KEYS, profile, spec),
+        )
+        run.rows_out = profile.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+        run.rows_rejected = 0
         store.publish(run_id, run.task, list(staged.values()))
-        apply_comments(spark, settings, "gold", GOLD_COMMENTS)
-        run.rows_out, run.rows_rejected = tables["fact_daily_metrics"].count(), 0
     return run
 
 
+def describe_gold(spark: SparkSession, settings: Settings) -> int:
+    """Comments on the published measure tables; a step of its own, so that a failure here leaves the audit of the build as it is."""
+    return apply_comments(spark, settings, "gold", GOLD_COMMENTS)
+
+
 def refresh(
     spark: SparkSession, settings: Settings, run_id: str | None = None, job_run_id: str | None = None
 ) -> dict[str, TaskRun]:
@@ -234,4 +264,6 @@ def refresh(
     run_id = run_id or str(uuid.uuid4())
     set_up(spark, settings)
     steps = {"bronze": refresh_bronze, "silver": refresh_silver, "gold": refresh_gold}
-    return {layer: step(spark, settings, run_id, job_run_id) for layer, step in steps.items()}
+    runs = {layer: step(spark, settings, run_id, job_run_id) for layer, step in steps.items()}
+    describe_gold(spark, settings)
+    return runs

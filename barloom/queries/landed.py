@@ -6,7 +6,7 @@ import dataclasses
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.inject import replace_row_with_previous
@@ -34,18 +34,25 @@ def land(bars: DataFrame, folder: str) -> None:
         in_folder,
     ).write.partitionBy("folder").option("header", True).csv(f"{folder}/daily")
 
+    documents = summary_documents(bars, F.lit(0), F.concat("ticker", F.lit(".X")), F.lit(SOURCE_RUN))
+    documents.withColumnRenamed("entity", "folder").write.partitionBy("folder").json(f"{folder}/summaries")
+
+
+def summary_documents(bars: DataFrame, extra_rows: Column, symbol: Column, run_id: Column) -> DataFrame:
+    """A run summary per entity, with its ``entity``: rows declared beyond the real ones, symbol and run id may depend on ``ticker``."""
+    counted = bars.groupBy("ticker").agg(F.max("trade_date").alias("last"), F.count("*").alias("n"))
     interval = F.struct(
-        F.date_format(F.max("trade_date"), "yyyy-MM-dd").alias("date_max"),
+        F.date_format("last", "yyyy-MM-dd").alias("date_max"),
         F.lit(0).cast("bigint").alias("duplicate_dates"),
-        F.count("*").alias("rows"),
+        (F.col("n") + extra_rows).alias("rows"),
     )
-    bars.groupBy("ticker").agg(interval.alias("daily")).select(
-        F.struct(F.col("daily").alias("1d"), F.col("daily").alias("1mo"), F.col("daily").alias("1wk")).alias("intervals"),
-        F.lit(SOURCE_RUN).alias("run_id"),
+    return counted.select(
+        F.struct(*[interval.alias(i) for i in ("1d", "1mo", "1wk")]).alias("intervals"),
+        run_id.alias("run_id"),
         F.col("ticker").alias("stock"),
-        F.concat("ticker", F.lit(".X")).alias("ticker"),
-        in_folder,
-    ).write.partitionBy("folder").json(f"{folder}/summaries")
+        symbol.alias("ticker"),
+        F.col("ticker").alias("entity"),
+    )
 
 
 @dataclasses.dataclass(frozen=True)

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import layer_checks
-from barloom.operators.daily import daily_metrics
+from barloom.operators.daily import DAILY_COLUMNS, daily_metrics
 from barloom.operators.diff import snapshot_diff, unmatched_keys, verdict
 from barloom.operators.flags import adjclose_not_carried, entity_profile, untraded_dates, zero_volume_not_flat
+from barloom.operators.flags import volume_status as volume_status_of
 from barloom.operators.inject import replace_row_with_previous
 from barloom.operators.series import SeriesSplit
 from barloom.operators.validate import duplicate_keys, reason_histogram, reject_reasons, split_rows, type_bars
 from barloom.plans import reconcile, serving
+from barloom.plans.compare import COMPARED
 from barloom.plans.compare import rerun_report as compare_runs
 from barloom.plans.refresh import GOLD_KEYS
 from barloom.queries.layers import (
@@ -26,9 +29,11 @@ from barloom.queries.layers import (
     supplier_layers,
 )
 from barloom.session import stored
+from barloom.queries.faults import FAULTY_LANDING, WIDE_RUN, faulty_gold, faulty_landing, judged_events, wide
 from barloom.queries.landed import FAULTY_RUN, GOOD_RUN, RECOVERY_RUN, published, recovered
 from barloom.sources import landing
 from barloom.sources.bars import daily_bars, lineitem, supplier_panel
+from barloom.sources.catalog import column_metadata, table_metadata
 from barloom.spec import PanelSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,10 +98,10 @@ def base_date(spark, sf_dir):
 
 @query
 def untraded_calendar_dates(spark, sf_dir):
-    """Bars of refunded items only count as traded: dates without any are untraded for the whole panel."""
-    some = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)
-    items = lineitem(spark, sf_dir).filter(F.col("l_linestatus") == "F").withColumn("l_quantity", some)
-    return untraded_dates(daily_bars(items, F.col("l_returnflag"))).select("trade_date")
+    """Dates on which no item was returned, taking the quantity of returned items as the volume."""
+    returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)
+    items = lineitem(spark, sf_dir).withColumn("l_quantity", returned)
+    return untraded_dates(daily_bars(items, F.col("l_suppkey").cast("string"))).select("trade_date")
 
 
 @query
@@ -114,7 +119,7 @@ def flat_check_split(spark, sf_dir):
 @query
 def zero_volume_profile(spark, sf_dir):
     """Per supplier: dates, duplicated keys, and zero-volume rows that are not flat or not carried."""
-    return entity_profile(_thin_supplier_bars(spark, sf_dir)).drop("first_duplicated")
+    return entity_profile(_thin_supplier_bars(spark, sf_dir))
 
 
 @query
@@ -140,12 +145,8 @@ def same_date_set(spark, sf_dir):
 
 
 def _daily_columns(daily: DataFrame) -> DataFrame:
-    columns = [
-        "ticker", "trade_date", "close", "adjclose", "volume", "volume_status", "normalized_index", "daily_return",
-        "vol_60d_ann", "running_peak", "drawdown", "rel_volume_60d", "year", "month",
-    ]
     return rounded(
-        daily.select(*columns), "normalized_index", "daily_return", "vol_60d_ann", "drawdown", "rel_volume_60d"
+        daily.select("ticker", "trade_date", *DAILY_COLUMNS), "normalized_index", "daily_return", "vol_60d_ann", "drawdown", "rel_volume_60d"
     )
 
 
@@ -294,9 +295,11 @@ def order_line_keys(spark, sf_dir):
 
 @query
 def json_projection(spark, sf_dir):
+    """One field of a JSON text, and the whole document."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "props")
     parsed = events.withColumn("doc", F.from_json("props", "k BIGINT"))
-    return parsed.select("event_id", F.col("doc.k").alias("k"), F.to_json("doc").alias("raw_json"))
+    whole = F.to_json(F.try_parse_json("props"))
+    return parsed.select("event_id", F.col("doc.k").alias("k"), whole.alias("raw_json"))
 
 
 # ---------------------------------------------------------------- serving
@@ -412,7 +415,12 @@ def compounding_check(spark, sf_dir):
 
 
 def _checked(frame: DataFrame, measure: str) -> DataFrame:
-    return rounded(frame, f"silver_{measure}", f"gold_{measure}", "abs_diff")
+    return rounded(_agreeing(frame), f"silver_{measure}", f"gold_{measure}")
+
+
+def _agreeing(frame: DataFrame) -> DataFrame:
+    """Whether the two values are the same, before any rounding."""
+    return frame.select(*[c for c in frame.columns if c != "abs_diff"], (F.col("abs_diff") <= 1e-9).alias("agrees"))
 
 
 @query
@@ -527,17 +535,52 @@ def duplicate_after_fault(spark, sf_dir):
 
 # ---------------------------------------------------------------- checks
 
+RESULT = ["check_name", "layer", "severity", "passed", "failing_count", "details"]
+FAILURE = ["check_name", "entity", "trade_date", "value"]
+
+
+def _failing_items(results: DataFrame, failures: dict[str, DataFrame]) -> DataFrame:
+    """All failing items of the checks that counted some."""
+    counted = results.where("failing_count != 0").select("check_name")
+    return reduce(DataFrame.unionByName, failures.values()).join(counted, "check_name", "left_semi").select(*FAILURE)
+
+
+def _series_silver(spark, sf_dir):
+    silver = stored(series_layers(spark, sf_dir).silver.withColumn("source_ingested_at", F.lit(datetime.datetime(2026, 1, 1))))
+    return silver, _split(spark, sf_dir)[1], stored(entity_profile(silver)), series_universe(silver)
+
 
 @query
 def silver_check_results(spark, sf_dir):
-    raw = raw_text_bars(spark, sf_dir)
-    layers = series_layers(spark, sf_dir)
-    silver = layers.silver.withColumn("source_ingested_at", F.lit(datetime.datetime(2026, 1, 1)))
-    universe = series_universe(silver)
-    quarantine = _split(spark, sf_dir)[1]
-    n_bronze = silver.agg(F.count("*")).scalar() + quarantine.agg(F.count("*")).scalar()
-    checks = layer_checks.silver_checks(silver, quarantine, stored(entity_profile(silver)), universe, 6, n_bronze)
-    return checks.select("check_name", "layer", "severity", "passed", "failing_count")
+    layer = _series_silver(spark, sf_dir)
+    n_bronze = layer[0].agg(F.count("*")).scalar() + raw_text_bars(spark, sf_dir).agg(F.count("*")).scalar()
+    return layer_checks.silver_checks(*layer, 6, n_bronze).select(*RESULT)
+
+
+def _faulty_silver(spark, sf_dir):
+    """Valid events as a panel that has lost the rows of one volume, next to a user who has none."""
+    judged = stored(reject_reasons(type_bars(judged_events(spark, sf_dir))))
+    valid, rejected = split_rows(judged)
+    bars = valid.select("ticker", "typed.*").where("volume % 10 != 7")
+    silver = stored(volume_status_of(bars))
+    universe = series_universe(silver).unionByName(series_universe(silver.limit(1).withColumn("ticker", F.lit("ghost"))))
+    return judged, (silver, rejected, stored(entity_profile(silver)), universe)
+
+
+@query
+def faulty_silver_check_results(spark, sf_dir):
+    judged, layer = _faulty_silver(spark, sf_dir)
+    checks = layer_checks.silver_checks(*layer, layer[3].count(), judged.agg(F.count("*")).scalar())
+    return checks.select(*RESULT)
+
+
+@query
+def faulty_silver_failures(spark, sf_dir):
+    """Every row or entity that fails a check of the faulty panel; the prices of a row are left out."""
+    judged, layer = _faulty_silver(spark, sf_dir)
+    results = layer_checks.silver_checks(*layer, layer[3].count(), judged.agg(F.count("*")).scalar())
+    items = _failing_items(results, layer_checks.silver_failures(*layer))
+    return items.withColumn("value", F.when(F.col("value").startswith("open="), F.lit("row")).otherwise(F.col("value")))
 
 
 @query
@@ -546,8 +589,80 @@ def gold_check_results(spark, sf_dir):
     silver = layers.silver.withColumns(
         {"source_run_id": F.lit("S1"), "source_ingested_at": F.lit(datetime.datetime(2026, 1, 1))}
     )
-    checks = layer_checks.gold_checks(layers.gold(), silver, series_universe(silver), layers.base, GOLD_KEYS)
-    return checks.select("check_name", "layer", "severity", "passed", "failing_count")
+    return _gold_results(layers, layers.gold(), silver)[0]
+
+
+def _gold_results(layers, tables, silver):
+    silver = silver.withColumn("source_ingested_at", F.lit(datetime.datetime(2026, 1, 1)))
+    profile = stored(layer_checks.daily_profile(tables["fact_daily_metrics"], layers.base))
+    universe = series_universe(silver)
+    results = layer_checks.gold_checks(tables, silver, universe, layers.base, GOLD_KEYS, profile)
+    return results.select(*RESULT), layer_checks.gold_failures(tables, silver, universe, GOLD_KEYS, profile)
+
+
+@query
+def faulty_gold_check_results(spark, sf_dir):
+    layers = series_layers(spark, sf_dir)
+    return _gold_results(layers, *faulty_gold(layers))[0]
+
+
+@query
+def faulty_gold_failures(spark, sf_dir):
+    """Every item that fails a check of the faulty measures; where its value is a double, it is left out."""
+    layers = series_layers(spark, sf_dir)
+    items = _failing_items(*_gold_results(layers, *faulty_gold(layers)))
+    return items.withColumn("value", F.when(F.col("value").rlike("[0-9][.][0-9]"), F.lit("double")).otherwise(F.col("value")))
+
+
+# ---------------------------------------------------------------- a landing with faults, a wide panel
+
+
+@query
+def faulty_landing_check_results(spark, sf_dir):
+    results = faulty_landing(spark, sf_dir).table("ops", "dq_results")
+    return results.where(F.col("pipeline_run_id") == FAULTY_LANDING).select(*RESULT)
+
+
+@query
+def faulty_landing_failures(spark, sf_dir):
+    """All failing items of the landing; of a rescued line its last field, of a header its text."""
+    found = faulty_landing(spark, sf_dir).table("ops", "check_failures").where(F.col("pipeline_run_id") == FAULTY_LANDING)
+    value = F.regexp_replace("value", "^.*( header=)|^.*(,extra)$", "$1$2")
+    return found.select("check_name", "entity", "trade_date", F.ltrim(value).alias("value"))
+
+
+@query
+def faulty_landing_report(spark, sf_dir):
+    return landing.landing_report(spark, faulty_landing(spark, sf_dir).settings)
+
+
+@query
+def rescued_lines(spark, sf_dir):
+    """Landed rows of the entity whose first line has a field too many."""
+    raw = landing.read_daily(spark, faulty_landing(spark, sf_dir).settings, FAULTY_LANDING, datetime.datetime(2026, 1, 1))
+    rows = raw.where("ticker = 'RF'")
+    return rows.select("ticker", "source_date", F.substring_index("_rescued_data", ",", -1).alias("last_field"))
+
+
+@query
+def odd_folder_names(spark, sf_dir):
+    """Entity and folder of the landed files, names with a blank, a plus and a percent sign among them."""
+    settings = faulty_landing(spark, sf_dir).settings
+    files = landing.with_entity(landing.landed_files(spark, settings.landed(settings.daily_glob)), settings)
+    return files.select("ticker", "folder")
+
+
+@query
+def wide_refresh_summary(spark, sf_dir):
+    """Summary of a refresh of all suppliers, of whom only a part trades on the base date."""
+    table = wide(spark, sf_dir).store.read("gold", "ticker_summary", run_id=WIDE_RUN)
+    return _summary_columns(table.drop("source_ingested_at", "built_at"))
+
+
+@query
+def wide_refresh_checks(spark, sf_dir):
+    results = wide(spark, sf_dir).table("ops", "dq_results").where(F.col("pipeline_run_id") == WIDE_RUN)
+    return results.select(*RESULT)
 
 
 # ---------------------------------------------------------------- landed files and published tables
@@ -627,7 +742,57 @@ def run_audit(spark, sf_dir):
 @query
 def run_check_results(spark, sf_dir):
     results = published(spark, sf_dir).table("ops", "dq_results").filter(F.col("pipeline_run_id") == GOOD_RUN)
-    return results.select("pipeline_run_id", "check_name", "layer", "severity", "passed", "failing_count")
+    return results.select("pipeline_run_id", *RESULT)
+
+
+@query
+def latest_results(spark, sf_dir):
+    """The newest fourteen result rows of each layer after the good run."""
+    results = published(spark, sf_dir).table("ops", "dq_results").filter(F.col("pipeline_run_id") == GOOD_RUN)
+    newest = [reconcile.latest_results(results, layer, n) for layer, n in (("bronze", 6), ("silver", 14), ("gold", 10))]
+    return reduce(DataFrame.unionByName, newest).select("pipeline_run_id", "check_name", "severity", "passed", "failing_count")
+
+
+@query
+def recovery_run_audit(spark, sf_dir):
+    audit = reconcile.audit_of_run(recovered(spark, sf_dir).table("ops", "run_audit"), RECOVERY_RUN)
+    return audit.select("task_name", "status", "rows_in", "rows_out", "rows_rejected", "error_message")
+
+
+@query
+def check_failures(spark, sf_dir):
+    """Every failing item that the run over the planted duplicate has recorded."""
+    found = recovered(spark, sf_dir).table("ops", "check_failures").where(F.col("pipeline_run_id") == FAULTY_RUN)
+    value = F.when(F.col("value").startswith("open="), F.lit("row")).otherwise(F.col("value"))
+    return found.select("check_name", "layer", "entity", "trade_date", value.alias("value"))
+
+
+@query
+def table_comments(spark, sf_dir):
+    """Measure tables, whether they are described, and their rows."""
+    work = published(spark, sf_dir)
+    tables = table_metadata(spark, work.settings, "gold").select("table_name", F.col("comment").isNotNull().alias("described"))
+    rows = reconcile.table_counts({name: work.store.read("gold", name, run_id=GOOD_RUN) for name in GOLD_KEYS})
+    return tables.join(rows, "table_name")
+
+
+@query
+def commented_columns(spark, sf_dir):
+    """Per measure table: its columns, the described ones, and the key values of its rows."""
+    work = published(spark, sf_dir)
+    counted = reconcile.commented_columns(column_metadata(spark, work.settings, "gold"))
+    tables = {name: work.store.read("gold", name, run_id=GOOD_RUN) for name in GOLD_KEYS}
+    return counted.join(reconcile.table_key_counts(tables, GOLD_KEYS).drop("n_rows"), "table_name")
+
+
+@query
+def comments_of_summary(spark, sf_dir):
+    """The columns of the summary table, whether they are described, and how many rows have a value in them."""
+    work = published(spark, sf_dir)
+    listed = reconcile.comments_of(column_metadata(spark, work.settings, "gold"), "ticker_summary")
+    table = work.store.read("gold", "ticker_summary", run_id=GOOD_RUN)
+    filled = table.agg(*[F.count(c).alias(c) for c in table.columns]).unpivot([], table.columns, "column_name", "n_values")
+    return listed.select("column_name", F.col("comment").isNotNull().alias("described")).join(filled, "column_name")
 
 
 @query
@@ -639,8 +804,7 @@ def failed_run_audit(spark, sf_dir):
 
 @query
 def failed_run_results(spark, sf_dir):
-    results = reconcile.results_of_run(recovered(spark, sf_dir).table("ops", "dq_results"), FAULTY_RUN)
-    return results.drop("details")
+    return reconcile.results_of_run(recovered(spark, sf_dir).table("ops", "dq_results"), FAULTY_RUN)
 
 
 @query
@@ -674,10 +838,24 @@ def last_good_runs(spark, sf_dir):
 
 @query
 def version_history(spark, sf_dir):
-    versions = recovered(spark, sf_dir).store.versions()
-    return versions.select("layer", "name", "version", "pipeline_run_id", "task_name").withColumn(
-        "layer", F.regexp_replace("layer", "_.*", "")
-    )
+    """Every published version with its rows and the entities in them."""
+    store = recovered(spark, sf_dir).store
+    parts = []
+    for layer, name in COMPARED:
+        for row in store.history(layer, name).collect():  # one row per version
+            table = store.read(layer, name, version=row["version"])
+            parts.append(
+                table.agg(F.count("*").alias("n_rows"), F.count_distinct("ticker").alias("n_entities")).select(
+                    F.lit(layer).alias("layer"),
+                    F.lit(name).alias("name"),
+                    F.lit(row["version"]).alias("version"),
+                    F.lit(row["pipeline_run_id"]).alias("pipeline_run_id"),
+                    F.lit(row["task_name"]).alias("task_name"),
+                    "n_rows",
+                    "n_entities",
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -688,7 +866,7 @@ def recovered_returns(spark, sf_dir):
     after = store.read("gold", "ticker_summary", run_id=RECOVERY_RUN)
     expected = before.select("ticker", F.col("total_return").alias("expected_total_return"))
     compared = reconcile.against_expected(after, expected)
-    return rounded(compared, "total_return", "expected_total_return", "abs_diff")
+    return rounded(_agreeing(compared), "total_return", "expected_total_return")
 
 
 @query

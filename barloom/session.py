@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -20,8 +19,10 @@ SESSION_SETTINGS = {
 }
 
 
-def local_session(cpus: int | str = 8, app: str = "barloom", memory: str = "8g") -> SparkSession:
-    """A single-machine session, for tests and the benchmark."""
+def local_session(
+    cpus: int | str = 8, app: str = "barloom", memory: str = "8g", folder: str | None = None
+) -> SparkSession:
+    """A single-machine session, for tests and the benchmark. ``folder`` holds its warehouse and its intermediates."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for key, value in {
         **SESSION_SETTINGS,
@@ -29,7 +30,7 @@ def local_session(cpus: int | str = 8, app: str = "barloom", memory: str = "8g")
         "spark.driver.memory": memory,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="barloom-warehouse-"),
+        **({"spark.sql.warehouse.dir": f"{folder}/warehouse", "spark.checkpoint.dir": f"{folder}/shared"} if folder else {}),
     }.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -38,13 +39,10 @@ def local_session(cpus: int | str = 8, app: str = "barloom", memory: str = "8g")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``. A machine-local temporary folder is
-    used only by a local session that names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``, else below the session's warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="barloom-")
+        raise RuntimeError("spark.checkpoint.dir must name a folder all executors can reach")
     return f"{root.rstrip('/')}/barloom-{uuid.uuid4().hex}"
 
 

@@ -52,26 +52,29 @@ def daily_bars(items: DataFrame, entity: Column) -> DataFrame:
 def fill_gaps(bars: DataFrame) -> DataFrame:
     """Give every entity a bar on every date of the panel from its own first date on.
 
-    A missing date repeats the last close at volume 0. Each bar spreads over the days up to the entity's next bar, and
-    the days that are panel dates are kept; the panel dates are a calendar, so broadcasting them is bounded by its
-    length. No entity-by-date product is formed and no value has to be looked up backwards.
+    A missing date repeats the last close at volume 0. The panel's dates are numbered, a list that the calendar bounds; each
+    bar spreads over the numbers up to the entity's next bar, so exactly the rows of the result are made and a stray
+    date far away costs nothing.
     """
     dates = bars.select("trade_date").distinct()
-    last = bars.agg(F.max("trade_date")).scalar()
+    numbered = dates.select("trade_date", F.row_number().over(Window.orderBy("trade_date")).alias("n"))
+    last = dates.agg(F.count("*")).scalar().cast("int")
     series = Window.partitionBy("ticker").orderBy("trade_date")
-    until = F.coalesce(F.date_sub(F.lead("trade_date").over(series), 1), last)
-    own = F.col("day") == F.col("trade_date")
+    until = F.coalesce(F.lead("n").over(series) - 1, last)
+    own = F.col("trade_date") == F.col("bar_date")
 
     def filled(column: str) -> Column:
         return F.when(own, F.col(column)).otherwise(F.col("close")).alias(column)
 
     return (
-        bars.withColumn("until", until)
-        .withColumn("day", F.explode(F.sequence("trade_date", "until")))
-        .join(F.broadcast(dates.withColumnRenamed("trade_date", "day")), "day", "left_semi")
+        bars.join(numbered, "trade_date")
+        .withColumn("until", until)
+        .withColumn("n", F.explode(F.sequence("n", "until")))
+        .withColumnRenamed("trade_date", "bar_date")
+        .join(numbered, "n")
         .select(
             "ticker",
-            F.col("day").alias("trade_date"),
+            "trade_date",
             filled("open"),
             filled("high"),
             filled("low"),

@@ -5,19 +5,19 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.operators.quality import RESULT_SCHEMA
+from barloom.operators.quality import FAILURE_COLUMNS, FAILURE_SCHEMA, RESULT_SCHEMA
 from barloom.session import local_rows
 from barloom.settings import Settings
 from barloom.sources.store import MANIFEST_SCHEMA
 
-# Run-audit columns in order, its statuses, and the length its error text is cut to.
+# Run-audit columns in order, and its statuses.
 AUDIT_SCHEMA = (
     "pipeline_run_id STRING, task_name STRING, job_run_id STRING, started_at TIMESTAMP, ended_at TIMESTAMP, "
     "status STRING, rows_in BIGINT, rows_out BIGINT, rows_rejected BIGINT, error_message STRING"
 )
 SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
-ERROR_LENGTH = 2000
 
 # All tables, in the order a reset drops them.
 ALL_TABLES = (
@@ -30,10 +30,16 @@ ALL_TABLES = (
     ("silver", "daily_prices"),
     ("bronze", "source_run_summary"),
     ("bronze", "daily_prices_raw"),
+    ("ops", "check_failures"),
     ("ops", "dq_results"),
     ("ops", "run_audit"),
 )
-OPS_TABLES = {"run_audit": AUDIT_SCHEMA, "dq_results": RESULT_SCHEMA, "run_manifest": MANIFEST_SCHEMA}
+OPS_TABLES = {
+    "run_audit": AUDIT_SCHEMA,
+    "dq_results": RESULT_SCHEMA,
+    "check_failures": FAILURE_SCHEMA,
+    "run_manifest": MANIFEST_SCHEMA,
+}
 RESET_WORD = "RESET"
 
 
@@ -66,11 +72,10 @@ def append_audit(
     rows_rejected: int | None = None,
     error: str | None = None,
 ) -> None:
-    """Append one run-audit row. A blank job run id is stored as NULL, a long error text is cut."""
-    if status not in (SUCCEEDED, FAILED):
-        raise ValueError(f"status must be {SUCCEEDED} or {FAILED}, got {status!r}")
-    if error is not None and len(error) > ERROR_LENGTH:
-        error = error[: ERROR_LENGTH - 3] + "..."
+    """Append one run-audit row, the error text whole. A blank job run id is stored as NULL."""
+    known = {SUCCEEDED, FAILED}
+    if status not in known:
+        raise ValueError(f"status must be one of {sorted(known)}, got {status!r}")
     row = (run_id, task, job_run_id or None, started_at, ended_at, status, rows_in, rows_out, rows_rejected, error)
     local_rows(spark, [row], AUDIT_SCHEMA).coalesce(1).write.insertInto(settings.table("ops", "run_audit"))
 
@@ -87,6 +92,12 @@ def append_results(
     local_rows(spark, rows, RESULT_SCHEMA).coalesce(1).write.insertInto(settings.table("ops", "dq_results"))
 
 
+def append_failures(spark: SparkSession, settings: Settings, failures: DataFrame, run_id: str) -> None:
+    """Append what failed, one row per failing item, written by the tasks that find it."""
+    rows = failures.select(F.lit(run_id).alias("pipeline_run_id"), *FAILURE_COLUMNS)
+    rows.write.insertInto(settings.table("ops", "check_failures"))
+
+
 def sql_literal(text: str) -> str:
     """A Spark SQL string literal."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,13 +25,18 @@ RUN_SUMMARY_SCHEMA = (
     f"intervals struct<`1d`: {INTERVAL}, `1mo`: {INTERVAL}, `1wk`: {INTERVAL}>, run_id string, stock string, "
     "ticker string"
 )
-HEADER_BYTES = 4096
 
 
 class UnknownFolder(ValueError):
     """A landed folder that belongs to no configured entity."""
 
 
+def file_path() -> Column:
+    """The path of the file that a row comes from, as its name is written in the store. The file source gives it percent-encoded, with plus signs
+    as they are."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def folder_of(path: Column) -> Column:
     """Last-but-one segment of a path."""
     return F.element_at(F.split(path, "/"), -2)
@@ -46,18 +49,25 @@ def with_entity(landed: DataFrame, settings: Settings) -> DataFrame:
 
 
 def require_known_folders(spark: SparkSession, settings: Settings) -> None:
-    """Raise if a landed file lies in a folder of no entity. Only the file listing is read, not the files."""
-    listed = (
-        spark.read.format("binaryFile").load(settings.landed(settings.daily_glob)).select("path")
-        .unionByName(spark.read.format("binaryFile").load(settings.landed(settings.summary_glob)).select("path"))
-        .select(folder_of(F.col("path")).alias("folder"))
-    )
-    unknown = (
-        listed.distinct().join(settings.entities(spark).select("folder"), "folder", "left_anti")
-        .orderBy("folder").limit(10).collect()
-    )
-    if unknown:
-        raise UnknownFolder(f"landed folders of no configured entity: {[r['folder'] for r in unknown]}")
+    """Raise if a landed file lies in a folder of no entity. The message gives the number of such folders and the first of them by name;
+    ``unknown_folders`` lists them all."""
+    found = unknown_folders(spark, settings).agg(F.count("*").alias("n"), F.min("folder").alias("first")).first()
+    if found["n"]:
+        raise UnknownFolder(f"{found['n']} landed folders of no configured entity, the first is {found['first']!r}")
+
+
+def landed_files(spark: SparkSession, glob: str) -> DataFrame:
+    """(source_file) of every file that matches. Only the listing is read, not the files."""
+    return spark.read.format("binaryFile").load(glob).select(file_path().alias("source_file"))
+
+
+def unknown_folders(spark: SparkSession, settings: Settings) -> DataFrame:
+    """(folder, n_files) of landed folders that belong to no configured entity."""
+    listed = landed_files(spark, settings.landed(settings.daily_glob)).unionByName(
+        landed_files(spark, settings.landed(settings.summary_glob))
+    )
+    counted = listed.groupBy(folder_of(F.col("source_file")).alias("folder")).agg(F.count("*").alias("n_files"))
+    return counted.join(settings.entities(spark).select("folder"), "folder", "left_anti")
 
 
 def _stamped(frame: DataFrame, run_id: str, loaded_at: datetime.datetime) -> DataFrame:
@@ -76,7 +86,7 @@ def read_daily(
         spark.read.schema(schema)
         .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_rescued_data")
         .csv(settings.landed(settings.daily_glob))
-        .select("*", F.col("_metadata.file_path").alias("source_file"))
+        .select("*", file_path().alias("source_file"))
         .withColumnRenamed(settings.source_columns[0], "source_date")
     )
     return _stamped(with_entity(landed, settings), run_id, loaded_at).select(*DAILY_RAW_COLUMNS)
@@ -103,60 +113,46 @@ def read_summaries(
     spark: SparkSession, settings: Settings, run_id: str, loaded_at: datetime.datetime
 ) -> DataFrame:
     documents = spark.read.text(settings.landed(settings.summary_glob), wholetext=True).select(
-        F.col("value").alias("document"), F.col("_metadata.file_path").alias("source_file")
+        F.col("value").alias("document"), file_path().alias("source_file")
     )
     return _stamped(with_entity(summary_fields(documents), settings), run_id, loaded_at).select(*RUN_SUMMARY_COLUMNS)
 
 
-def _header_reader(n_bytes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A function over batches of paths. As an inner function it is sent to the executors by value, so they need not
-    have this package installed."""
-
-    def first_lines(batches):
-        from pyarrow import fs
-
-        def first_line(path):
-            # the path is written for the cluster's connector, the reader knows that store by its plain scheme
-            store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            try:
-                with store.open_input_stream(inner) as stream:
-                    lines = stream.read(n_bytes).decode("utf-8", "replace").splitlines()
-                return lines[0] if lines else None
-            except OSError:
-                return None
-
-        for batch in batches:
-            yield batch.assign(header=[first_line(p) for p in batch["path"]])
-
-    return first_lines
-
-
 def header_matches(header: Column, expected: tuple[str, ...]) -> Column:
     """The names, their order and case must be exact; a byte-order mark and a carriage return are tolerated."""
     bare = F.regexp_replace(header, "^\ufeff|[\r\n]+$", "")
     return holds(bare == F.lit(",".join(expected)))
 
 
-def read_headers(spark: SparkSession, settings: Settings) -> DataFrame:
-    """(ticker, path, header, header_ok) per landed CSV file.
+def file_lines(spark: SparkSession, glob: str) -> DataFrame:
+    """(source_file, header, data_rows) per file with lines, in one pass: the first line, and how many follow.
 
-    The listing comes from the file source without content; each task then reads the first bytes of its files, which is
-    the one thing no built-in reader does. A file that cannot be read has a NULL header, which is a mismatch.
+    A file's first line is the earliest row of the split that begins the file; row numbers grow within a split.
     """
-    listed = spark.read.format("binaryFile").load(settings.landed(settings.daily_glob)).select("path")
-    heads = listed.mapInPandas(_header_reader(HEADER_BYTES), "path STRING, header STRING")
-    return with_entity(heads.withColumnRenamed("path", "source_file"), settings).select(
-        "ticker",
-        F.col("source_file").alias("path"),
-        "header",
-        header_matches(F.col("header"), settings.source_columns).alias("header_ok"),
+    lines = spark.read.text(glob).select(
+        file_path().alias("source_file"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
+        "value",
     )
+    return lines.groupBy("source_file").agg(F.min_by("value", "place").alias("header"), (F.count("*") - 1).alias("data_rows"))
+
+
+def _headers(files: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
+    """A file without any line has a NULL header, which is a mismatch."""
+    heads = with_entity(files.join(lines.select("source_file", "header"), "source_file", "left"), settings)
+    ok = header_matches(F.col("header"), settings.source_columns).alias("header_ok")
+    return heads.select("ticker", F.col("source_file").alias("path"), "header", ok)
+
+
+def read_headers(spark: SparkSession, settings: Settings) -> DataFrame:
+    """(ticker, path, header, header_ok) per landed CSV file, empty ones included."""
+    glob = settings.landed(settings.daily_glob)
+    return _headers(landed_files(spark, glob), file_lines(spark, glob), settings)
 
 
 def line_counts(spark: SparkSession, glob: str) -> DataFrame:
     """(source_file, data_rows): text lines per file, less the header line."""
-    lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias("source_file"))
-    return lines.groupBy("source_file").agg((F.count("*") - 1).alias("data_rows"))
+    return file_lines(spark, glob).select("source_file", "data_rows")
 
 
 def landing_report(spark: SparkSession, settings: Settings) -> DataFrame:

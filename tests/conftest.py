@@ -56,8 +56,8 @@ def land(root: Path, bars=BARS, run_id="R1", declared=None, symbol=None, header=
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, "barloom-tests", memory="4g")
+def spark(tmp_path_factory):
+    session = local_session(4, "barloom-tests", memory="4g", folder=str(tmp_path_factory.mktemp("spark")))
     yield session
     session.stop()
 

@@ -1,8 +1,9 @@
-"""Hand-computed panels for each operator. Windows are 3 rows and the factor 252 unless said otherwise."""
+"""Each operator against plain code over random panels, and on panels made for one rule. Windows are 3 rows and the factor 252."""
 
 import dataclasses
 import datetime
 import math
+import random
 import statistics
 
 import pytest
@@ -10,14 +11,15 @@ from pyspark.sql import functions as F
 
 from barloom.operators.daily import daily_metrics
 from barloom.operators.diff import METRICS_SCHEMA, snapshot_diff, unmatched_keys, verdict
-from barloom.operators.flags import adjclose_not_carried, base_date_value, volume_status, zero_volume_not_flat
+from barloom.operators.flags import adjclose_not_carried, base_date_value, entity_profile, volume_status, zero_volume_not_flat
+from barloom.operators.layer_checks import daily_profile
 from barloom.operators.inject import replace_row_with_previous
 from barloom.operators.periods import monthly_metrics, yearly_metrics
 from barloom.operators.quality import Check, evaluate
-from barloom.operators.series import SeriesSplit, series_sizes, split_for
+from barloom.operators.series import SeriesSplit
 from barloom.operators.summary import summary_metrics
 from barloom.operators.validate import duplicate_keys, reason_histogram, reject_reasons, split_rows, type_bars
-from barloom.spec import PanelSpec
+from barloom.spec import PRICE_COLUMNS, REJECT_CODES, PanelSpec
 
 SPEC = PanelSpec(vol_window=3, rel_volume_window=3)
 DAILY = "ticker STRING, trade_date DATE, close DOUBLE, adjclose DOUBLE, volume BIGINT, volume_status STRING"
@@ -27,35 +29,70 @@ def day(text):
     return datetime.date.fromisoformat(f"2020-{text}")
 
 
-def panel(spark, *rows):
-    return spark.createDataFrame([("A", day(d), p, p, v, s) for d, p, v, s in rows], DAILY)
+def near(value):
+    return None if value is None else pytest.approx(value, abs=1e-12)
 
 
-def near(value):
-    return pytest.approx(value, abs=1e-12)
+# ---------------------------------------------------------------- random panels and what plain code makes of them
 
+STATUS = ("normal", "zero_partial", "zero_all_tickers")
 
-# ---------------------------------------------------------------- flags
 
-VOLUMES = {
-    "A": {"01-01": 0, "01-02": 10, "01-03": 0, "01-06": 5},
-    "B": {"01-01": 0, "01-02": 20, "01-03": 7, "01-06": 0},
-}
+def weekdays(first, n):
+    days = (first + datetime.timedelta(days=i) for i in range(2 * n + 10))
+    return [d for d in days if d.weekday() < 5][:n]
+
+
+def walk(seed, n, first=datetime.date(2023, 11, 16)):
+    """A price walk over weekdays in quarter steps, so that peaks are touched again; every few rows without trade."""
+    rng = random.Random(seed)
+    rows, price = [], 40.0
+    for d in weekdays(first, n):
+        idle = rows and rng.random() < 0.2
+        price = price if idle else max(5.0, price + rng.choice((-1.5, -0.75, -0.25, 0.0, 0.25, 0.75, 1.5)))
+        rows.append((d, price, 0 if idle else rng.randrange(1, 90), "zero_partial" if idle else "normal"))
+    return rows
+
+
+def panel(spark, series):
+    rows = [(name, d, p, p, v, s) for name, bars in series.items() for d, p, v, s in bars]
+    return spark.createDataFrame(rows, DAILY)
+
+
+def plain_daily(bars, window=3):
+    """Measures of one series by going through its rows."""
+    out, traded, top = {}, [], None
+    for d, p, v, s in bars:
+        top = (p, d) if top is None or p > top[0] else top
+        row = {"index": 100 * p / bars[0][1], "peak": top[0], "drawdown": p / top[0] - 1, "ret": None, "vol": None, "rel": None, "peak_day": top[1]}
+        if s == "normal":
+            row["ret"] = p / traded[-1][0] - 1 if traded else None
+            if len(traded) >= window:
+                row["rel"] = v / statistics.mean(w for _, w, _ in traded[-window:])
+            traded.append((p, v, row["ret"]))
+            last = [r for _, _, r in traded[-window:]]
+            if len(last) == window and None not in last:
+                row["vol"] = statistics.stdev(last) * math.sqrt(252)
+        out[d] = row
+    return out
+
+
+# ---------------------------------------------------------------- flags
 
 
 def test_volume_status_and_base_date(spark):
-    rows = [(t, day(d), v) for t, days in VOLUMES.items() for d, v in days.items()]
+    rng = random.Random(11)
+    dates = weekdays(datetime.date(2024, 5, 6), 15)
+    volumes = {(t, d): 0 if i in (0, 7) or (i < 4 or rng.random() < 0.3) and t != "K" else rng.randrange(1, 9)
+               for i, d in enumerate(dates) for t in "KLM"}
+    rows = [(t, d, v) for (t, d), v in volumes.items()]
     flagged = volume_status(spark.createDataFrame(rows, "ticker STRING, trade_date DATE, volume BIGINT"))
-    got = {(r["ticker"], r["trade_date"].strftime("%m-%d")): r["volume_status"] for r in flagged.collect()}
-    assert got == {
-        ("A", "01-01"): "zero_all_tickers", ("B", "01-01"): "zero_all_tickers",
-        ("A", "01-02"): "normal", ("B", "01-02"): "normal",
-        ("A", "01-03"): "zero_partial", ("B", "01-03"): "normal",
-        ("A", "01-06"): "normal", ("B", "01-06"): "zero_partial",
-    }
-    assert base_date_value(flagged, 2) == day("01-02")
-    assert base_date_value(flagged, 3) is None
-    assert base_date_value(flagged, 3, PanelSpec(min_coverage=0.6)) == day("01-02")
+    traded = {d: sum(volumes[t, d] > 0 for t in "KLM") for d in dates}
+    want = {(t, d): "normal" if v else STATUS[2] if not traded[d] else STATUS[1] for (t, d), v in volumes.items()}
+    assert {(r["ticker"], r["trade_date"]): r["volume_status"] for r in flagged.collect()} == want
+    for n, coverage in ((3, 1.0), (2, 1.0), (3, 0.3), (4, 1.0)):
+        first = min((d for d in dates if traded[d] >= math.ceil(n * coverage)), default=None)
+        assert base_date_value(flagged, n, PanelSpec(min_coverage=coverage)) == first
 
 
 PRICED = "ticker STRING, trade_date DATE, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, adjclose DOUBLE, volume BIGINT"
@@ -90,117 +127,108 @@ RAW = (
     "name STRING, source_date STRING, open STRING, high STRING, low STRING, close STRING, adjclose STRING, "
     "volume STRING, ingested_at_utc STRING, _rescued_data STRING"
 )
-VALID = {
-    "source_date": "2020-01-02", "open": "10", "high": "11", "low": "9", "close": "10.5", "adjclose": "10.0",
-    "volume": "100", "ingested_at_utc": "2026-10-09 05:43:40.875883+00:00", "_rescued_data": None,
-}
-CASES = {
-    "valid": ({}, []),
-    "date": ({"source_date": "2020-13-45"}, ["invalid_date"]),
-    "text price": ({"open": "abc"}, ["invalid_price"]),
-    "zero price": ({"adjclose": "0"}, ["non_positive_price"]),
-    "low above body": ({"low": "12"}, ["ohlc_inconsistent"]),
-    "negative volume": ({"volume": "-5"}, ["invalid_volume"]),
-    "rescued": ({"_rescued_data": '{"x":"1"}'}, ["rescued_data_present"]),
-    "zero volume is legal": ({"volume": "0"}, []),
-    "fractional volume": ({"volume": "100.5"}, ["invalid_volume"]),
-    "bad time is no reject": ({"ingested_at_utc": "yesterday"}, []),
-    "not a number": ({"close": "NaN"}, ["invalid_price"]),
-    "infinite": ({"high": "Infinity"}, ["invalid_price"]),
-    "open missing, low above close": ({"open": None, "low": "12"}, ["invalid_price", "ohlc_inconsistent"]),
-    "everything": (
-        {"source_date": "x", "open": "x", "close": "-1", "volume": "x", "_rescued_data": "x"},
-        ["invalid_date", "invalid_price", "non_positive_price", "invalid_volume", "ohlc_inconsistent",
-         "rescued_data_present"],
-    ),
-}
+COLUMNS = ("source_date", *PRICE_COLUMNS, "volume", "ingested_at_utc", "_rescued_data")
+SOUND = ("2021-06-30", "73.5", "75", "70.25", "71", "68.125", "4200", "2026-01-02 03:04:05.000006+00:00", None)
+SPOILED = {
+    "source_date": [("2021-02-30", "invalid_date"), ("soon", "invalid_date"), (None, "invalid_date")],
+    "open": [("", "invalid_price"), ("NaN", "invalid_price"), (None, "invalid_price"), ("-1", "non_positive_price")],
+    "high": [("Infinity", "invalid_price"), ("72", "ohlc_inconsistent")],
+    "low": [("74", "ohlc_inconsistent"), ("0", "non_positive_price")],
+    "adjclose": [("0.0", "non_positive_price"), ("1e", "invalid_price")],
+    "volume": [("-1", "invalid_volume"), ("2.5", "invalid_volume"), ("many", "invalid_volume"), ("0", None)],
+    "ingested_at_utc": [("yesterday", None)],
+    "_rescued_data": [("a,b", "rescued_data_present")],
+}
 
 
 @pytest.fixture(scope="module")
-def flagged(spark):
-    rows = [(name, *{**VALID, **change}.values()) for name, (change, _) in CASES.items()]
-    return reject_reasons(type_bars(spark.createDataFrame(rows, RAW)))
-
-
-def test_reject_reasons(flagged):
-    got = {r["name"]: (list(r["reject_reasons"]), r["reject_reason"]) for r in flagged.collect()}
-    assert got == {name: (codes, ";".join(codes)) for name, (_, codes) in CASES.items()}
-
-
-def test_typed_values(flagged):
-    row = flagged.filter("name = 'valid'").first()
-    assert row["open"] == "10" and row["typed"]["open"] == 10.0 and row["typed"]["volume"] == 100
-    assert row["typed"]["source_ingested_at"] is not None
-
-
-def test_split_is_complete_and_histogram_counts_codes(flagged):
-    valid, rejected = split_rows(flagged)
-    assert valid.count() + rejected.count() == len(CASES)
-    counts = {r["reason"]: r["n_rows"] for r in reason_histogram(rejected).collect()}
-    expected = [code for _, codes in CASES.values() for code in codes]
-    assert counts == {code: expected.count(code) for code in expected}
+def judged(spark):
+    """Each fault alone, and random sets of them; with the codes that the faults stand for. A price that cannot be read cannot be inconsistent."""
+    rng = random.Random(5)
+    faults = [(c, *f) for c, fs in SPOILED.items() for f in fs]
+    sets = [[], *[[f] for f in faults], *[rng.sample(faults, rng.randrange(2, 6)) for _ in range(60)]]
+    rows, want = [], {}
+    for n, chosen in enumerate(sets):
+        by_column = {c: (value, code) for c, value, code in chosen}
+        rows.append((str(n), *[by_column[c][0] if c in by_column else sound for c, sound in zip(COLUMNS, SOUND, strict=True)]))
+        codes = {code for _, code in by_column.values()}
+        unread = {c for c, (_, code) in by_column.items() if code == "invalid_price"}
+        values = {c: float(rows[-1][2 + i]) for i, c in enumerate(PRICE_COLUMNS) if c not in unread}
+        body = [values[c] for c in ("open", "close") if c in values]
+        codes.discard("ohlc_inconsistent")
+        if body and ("low" in values and values["low"] > min(body) or "high" in values and values["high"] < max(body)):
+            codes.add("ohlc_inconsistent")
+        want[str(n)] = [code for code in REJECT_CODES if code in codes]
+    return reject_reasons(type_bars(spark.createDataFrame(rows, RAW))), want
+
+
+def test_reject_reasons(judged):
+    got = {r["name"]: (list(r["reject_reasons"]), r["reject_reason"]) for r in judged[0].collect()}
+    assert got == {name: (codes, ";".join(codes)) for name, codes in judged[1].items()}
+
+
+def test_typed_values_stand_beside_the_text(judged):
+    row = judged[0].filter("name = '0'").first()
+    assert (row["low"], row["typed"]["low"], row["typed"]["volume"]) == ("70.25", 70.25, 4200)
+    assert row["typed"]["source_ingested_at"] is not None and row["typed"]["trade_date"] == datetime.date(2021, 6, 30)
+
+
+def test_split_is_complete_and_histogram_counts_codes(judged):
+    valid, rejected = split_rows(judged[0])
+    assert {r["name"] for r in valid.collect()} == {name for name, codes in judged[1].items() if not codes}
+    assert rejected.count() == sum(map(bool, judged[1].values()))
+    listed = [code for codes in judged[1].values() for code in codes]
+    assert {r["reason"]: r["n_rows"] for r in reason_histogram(rejected).collect()} == {c: listed.count(c) for c in listed}
 
 
 def test_duplicate_keys(spark):
-    rows = [("A", day("01-02")), ("A", day("01-02")), ("A", day("01-03"))]
-    frame = spark.createDataFrame(rows, "ticker STRING, trade_date DATE")
-    assert [tuple(r) for r in duplicate_keys(frame, "ticker", "trade_date").collect()] == [("A", day("01-02"), 2)]
+    held = {(1, "x"): 3, (1, "y"): 1, (2, "x"): 2, (None, "x"): 2}
+    frame = spark.createDataFrame([key for key, n in held.items() for _ in range(n)], "a INT, b STRING")
+    assert {(r["a"], r["b"]): r["count"] for r in duplicate_keys(frame, "a", "b").collect()} == {k: n for k, n in held.items() if n > 1}
 
 
 # ---------------------------------------------------------------- daily and summary
 
-SIX = [
-    ("01-01", 100.0, 10, "normal"), ("01-02", 110.0, 20, "normal"), ("01-03", 110.0, 0, "zero_partial"),
-    ("01-06", 99.0, 30, "normal"), ("01-07", 120.0, 40, "normal"), ("01-08", 108.0, 50, "normal"),
-]
-RETURNS = [110 / 100 - 1, 99 / 110 - 1, 120 / 99 - 1, 108 / 120 - 1]
-BASE = day("01-01")
-SPLITS = [None, SeriesSplit(block_days=3, chunk_rows=3)]
+SERIES = {"P": walk(1, 45), "Q": walk(2, 45), "R": walk(3, 4)}
+BASE = SERIES["P"][0][0]
+SPLITS = [None, SeriesSplit(block_days=9, chunk_rows=4)]
 
 
 @pytest.mark.parametrize("split", SPLITS)
 def test_daily_measures(spark, split):
-    rows = daily_metrics(panel(spark, *SIX), BASE, SPEC, split).orderBy("trade_date").collect()
-    assert [r["daily_return"] for r in rows] == [
-        None, near(RETURNS[0]), None, near(RETURNS[1]), near(RETURNS[2]), near(RETURNS[3])
-    ]
-    assert [r["vol_60d_ann"] for r in rows] == [
-        None, None, None, None,
-        near(statistics.stdev(RETURNS[:3]) * math.sqrt(252)), near(statistics.stdev(RETURNS[1:]) * math.sqrt(252)),
-    ]
-    assert [r["rel_volume_60d"] for r in rows] == [None, None, None, None, near(2.0), near(50 / 30)]
-    assert [r["running_peak"] for r in rows] == [100.0, 110.0, 110.0, 110.0, 120.0, 120.0]
-    assert [r["drawdown"] for r in rows] == [0.0, 0.0, 0.0, near(99 / 110 - 1), 0.0, near(108 / 120 - 1)]
-    assert rows[0]["normalized_index"] == near(100.0) and rows[5]["normalized_index"] == near(108.0)
-    assert (rows[5]["year"], rows[5]["month"]) == (2020, 1)
+    found = daily_metrics(panel(spark, SERIES), BASE, SPEC, split).collect()
+    want = {(t, d): m for t, bars in SERIES.items() for d, m in plain_daily(bars).items()}
+    assert len(found) == len(want)
+    for r in found:
+        m = want[r["ticker"], r["trade_date"]]
+        assert (r["daily_return"], r["vol_60d_ann"], r["rel_volume_60d"]) == (near(m["ret"]), near(m["vol"]), near(m["rel"]))
+        assert (r["running_peak"], r["drawdown"]) == (m["peak"], near(m["drawdown"])) and r["normalized_index"] == near(m["index"])
+        assert (r["year"], r["month"]) == (r["trade_date"].year, r["trade_date"].month)
 
 
 @pytest.mark.parametrize("split", SPLITS)
-def test_summary_takes_the_earliest_trough_and_the_day_the_peak_was_set(spark, split):
-    row = summary_metrics(daily_metrics(panel(spark, *SIX), BASE, SPEC, split), BASE, SPEC).first()
-    assert row["total_return"] == near(0.08)
-    assert row["vol_full_ann"] == near(statistics.stdev(RETURNS) * math.sqrt(252))
-    assert row["max_drawdown"] == near(99 / 110 - 1) and row["current_drawdown"] == near(108 / 120 - 1)
-    assert (row["trough_date"], row["peak_date"]) == (day("01-06"), day("01-02"))
-    assert (row["base_date"], row["last_trade_date"]) == (BASE, day("01-08"))
-
-
-@pytest.mark.parametrize("split", SPLITS)
-def test_peak_touched_again_keeps_its_first_day(spark, split):
-    prices = {"01-01": 100.0, "01-02": 110.0, "01-03": 105.0, "01-06": 110.0, "01-07": 90.0}
-    bars = panel(spark, *[(d, p, 10, "normal") for d, p in prices.items()])
-    row = summary_metrics(daily_metrics(bars, BASE, SPEC, split), BASE, SPEC).first()
-    assert (row["peak_date"], row["trough_date"]) == (day("01-02"), day("01-07"))
-    assert row["max_drawdown"] == near(90 / 110 - 1)
+def test_summary(spark, split):
+    """Ties go to the earliest trough, and to the day on which the peak was set first."""
+    rows = {r["ticker"]: r for r in summary_metrics(daily_metrics(panel(spark, SERIES), BASE, SPEC, split), BASE, SPEC).collect()}
+    for name, bars in SERIES.items():
+        m, row = plain_daily(bars), rows[name]
+        deepest = min(x["drawdown"] for x in m.values())
+        trough = min(d for d, x in m.items() if x["drawdown"] == deepest)
+        returns = [x["ret"] for x in m.values() if x["ret"] is not None]
+        assert row["total_return"] == near(bars[-1][1] / bars[0][1] - 1) and row["max_drawdown"] == near(deepest)
+        assert (row["trough_date"], row["peak_date"]) == (trough, m[trough]["peak_day"])
+        assert row["vol_full_ann"] == near(statistics.stdev(returns) * math.sqrt(252))
+        assert row["current_drawdown"] == near(m[bars[-1][0]]["drawdown"])
+        assert (row["base_date"], row["last_trade_date"]) == (BASE, bars[-1][0])
 
 
 def test_entity_without_a_base_bar_has_null_index_and_return(spark):
-    rows = [("A", day("01-01")), ("A", day("01-02")), ("B", day("01-02"))]
-    bars = spark.createDataFrame([(t, d, 5.0, 5.0, 1, "normal") for t, d in rows], DAILY)
-    daily = daily_metrics(bars, BASE, SPEC)
-    assert daily.filter("ticker = 'B'").first()["normalized_index"] is None
-    assert summary_metrics(daily, BASE, SPEC).filter("ticker = 'B'").first()["total_return"] is None
-    assert monthly_metrics(daily, BASE, SPEC).filter("ticker = 'B'").first()["monthly_return"] is None
+    late = {"P": SERIES["P"], "S": SERIES["Q"][3:]}
+    daily = daily_metrics(panel(spark, late), BASE, SPEC)
+    assert daily.filter("ticker = 'S' AND normalized_index IS NOT NULL").isEmpty()
+    assert summary_metrics(daily, BASE, SPEC).filter("ticker = 'S'").first()["total_return"] is None
+    first = monthly_metrics(daily, BASE, SPEC).filter("ticker = 'S'").orderBy("month_start").first()
+    assert first["monthly_return"] is None and first["is_partial"]
 
 
 def test_split_and_whole_series_agree_on_a_skewed_panel(spark):
@@ -220,39 +248,39 @@ def test_split_and_whole_series_agree_on_a_skewed_panel(spark):
     for split in (SeriesSplit(block_days=25, chunk_rows=20), SeriesSplit(block_days=700, chunk_rows=64)):
         pieces = daily_metrics(bars, base, spec, split)
         assert pieces.exceptAll(whole).isEmpty() and whole.exceptAll(pieces).isEmpty()
-    assert series_sizes(bars) == (3040, 3000)
-    assert split_for(3000) is None and split_for(10**6) == SeriesSplit()
     with pytest.raises(ValueError, match="chunk_rows"):
         daily_metrics(bars, base, spec, SeriesSplit(chunk_rows=19))
 
 
 # ---------------------------------------------------------------- periods
 
-PERIOD = [
-    ("01-30", 100.0, 10, "normal"), ("01-31", 105.0, 20, "normal"), ("02-03", 110.0, 30, "normal"),
-    ("02-04", 99.0, 40, "normal"),
-]
-
-
-def periods(spark, *rows):
-    daily = daily_metrics(panel(spark, *rows), day("01-30"), SPEC)
-    monthly = {r["month_start"].month: r for r in monthly_metrics(daily, day("01-30"), SPEC).collect()}
-    return monthly, yearly_metrics(daily, day("01-30"), SPEC).first()
-
-
-def test_running_month(spark):
-    monthly, year = periods(spark, *PERIOD, ("02-05", 99.0, 0, "zero_partial"))
-    assert monthly[1]["monthly_return"] == near(0.05) and monthly[1]["is_partial"]
-    assert monthly[2]["monthly_return"] == near(99 / 105 - 1) and monthly[2]["is_partial"]
-    assert (monthly[2]["n_sessions"], monthly[2]["n_normal_sessions"]) == (3, 2)
-    assert monthly[2]["avg_daily_volume"] == near(35.0)
-    assert year["yearly_return"] == near(99 / 100 - 1) and year["is_partial"] and year["year"] == 2020
-
-
-def test_month_that_ends_on_its_last_weekday_is_whole(spark):
-    monthly, year = periods(spark, *PERIOD, ("02-28", 100.0, 50, "normal"))
-    assert not monthly[2]["is_partial"] and monthly[2]["monthly_return"] == near(100 / 105 - 1)
-    assert year["is_partial"]
+@pytest.mark.parametrize("n", [45, 50, 51, 70])
+def test_periods(spark, n):
+    """The last month and year are partial until their last weekday is there, an entity's first ones always."""
+    series = {"P": walk(7, n), "Q": walk(8, n)[9:]}
+    last = series["P"][-1][0]
+    daily = daily_metrics(panel(spark, series), BASE, SPEC)
+    kinds = (
+        (monthly_metrics, "month_start", "monthly_return", lambda d: d.replace(day=1)),
+        (yearly_metrics, "year", "yearly_return", lambda d: d.year),
+    )
+    for metrics, column, measure, period in kinds:
+        found = {(r["ticker"], r[column]): r for r in metrics(daily, BASE, SPEC).collect()}
+        assert set(found) == {(t, period(d)) for t, bars in series.items() for d, *_ in bars}
+        for name, bars in series.items():
+            periods = sorted({period(d) for d, *_ in bars})
+            before = bars[0][1] if bars[0][0] == BASE else None
+            for k, own in enumerate(periods):
+                rows = [b for b in bars if period(b[0]) == own]
+                r, traded = found[name, own], [b for b in rows if b[3] == "normal"]
+                coming = any(period(d) == own and d > last for d in weekdays(last, 300))
+                assert r["is_partial"] == (k == 0 or rows[-1][0] == last and coming)
+                assert r[measure] == (None if before is None else near(rows[-1][1] / before - 1))
+                assert r["n_sessions"] == len(rows)
+                if column == "month_start":
+                    assert r["n_normal_sessions"] == len(traded)
+                    assert r["avg_daily_volume"] == near(statistics.mean(b[2] for b in traded))
+                before = rows[-1][1]
 
 
 # ---------------------------------------------------------------- diff, injection, checks
@@ -285,7 +313,8 @@ def test_snapshot_diff_notes_column_changes_and_counts_only(spark):
     left = spark.createDataFrame([("a", 1.0)], "k STRING, x DOUBLE")
     right = left.withColumn("y", F.lit(1))
     changed = snapshot_diff(left, right, ["k"]).withColumn("result", verdict()).first()
-    assert changed["note"] == "columns differ: only_prev=[] only_latest=['y']" and changed["result"] == "FAIL"
+    assert changed["note"] == "other columns: +y" and changed["result"] == "FAIL"
+    assert snapshot_diff(right, left, ["k"]).first()["note"] == "other columns: -y"
     assert snapshot_diff(left, right, None).select(verdict()).first()[0] == "PASS"
     assert snapshot_diff(left, right.union(right), None).select(verdict()).first()[0] == "FAIL"
 
@@ -312,6 +341,23 @@ def test_verdict(spark, change, result):
     assert spark.createDataFrame([row], METRICS_SCHEMA).select(verdict()).first()[0] == result
 
 
+def exchanges(frame):
+    return sum("Exchange hashpartitioning" in line for line in plan_of(frame).splitlines())
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_exchange_each(spark):
+    frame = spark.createDataFrame([("a", 1.0, "u"), ("b", 2.0, None)], "k STRING, x DOUBLE, s STRING")
+    assert exchanges(snapshot_diff(frame, frame, ["k"])) == 1
+    bars = spark.createDataFrame([("A", day("01-02"), 1.0, 1.0, 1.0, 1.0, 1.0, 0)], PRICED)
+    assert exchanges(entity_profile(bars)) == 1
+    daily = daily_metrics(panel(spark, SERIES), BASE, SPEC)
+    assert exchanges(daily) == 1 and exchanges(daily_profile(daily, F.lit(BASE), SPEC)) == 1
+
+
 def test_unmatched_keys(spark):
     left, right = (spark.createDataFrame([(k,) for k in keys], "k INT") for keys in ([1, 2, 2], [2, 3]))
     assert {tuple(r) for r in unmatched_keys(left, right, ["k"]).collect()} == {(1, "left"), (3, "right")}

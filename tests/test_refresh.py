@@ -27,7 +27,9 @@ def test_refresh_publishes_every_layer_and_a_rerun_repeats_it(spark, settings):
     failing = {name for name, r in results.items() if not r["passed"]}
     assert failing == {"silver_zero_partial_count"}
     assert results["silver_zero_partial_count"]["failing_count"] == 1
-    assert "B@2020-01-06" in results["silver_zero_partial_count"]["details"]
+    failures = spark.table(settings.table("ops", "check_failures")).where("pipeline_run_id = 'run-1'").collect()
+    assert [(r["entity"], r["trade_date"]) for r in failures if r["check_name"] == "silver_zero_partial_count"] == [("B", "2020-01-06")]
+    assert {r["value"] for r in failures if r["check_name"] == "gold_partial_periods"} == {"months=2 years=1"}
     assert results["silver_zero_all_tickers_count"]["failing_count"] == 2
     assert results["silver_base_date"]["details"] == "base_date=2020-01-02"
     assert results["gold_partial_periods"]["failing_count"] == 6
@@ -92,7 +94,7 @@ def test_duplicate_key_keeps_the_last_good_run_until_recovery_and_reset_empties_
         with pytest.raises(PermissionError):
             drop_all(spark, settings, word)
     dropped, absent = drop_all(spark, settings, " RESET ")
-    assert len(dropped) == 12 and not absent
+    assert len(dropped) == 13 and not absent
     set_up(spark, settings)
     assert spark.table(settings.table("ops", "run_audit")).isEmpty()
     refresh_bronze(spark, settings, "after reset")

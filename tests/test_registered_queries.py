@@ -1,5 +1,6 @@
 """Every registered query against its SQL at the smallest scale, and the properties that hold for any panel."""
 
+import functools
 import sys
 from pathlib import Path
 
@@ -9,22 +10,24 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from barloom.queries import registry  # noqa: E402
 from barloom.queries.layers import series_layers, supplier_layers  # noqa: E402
+from barloom.queries.oracle import ORACLE  # noqa: E402
 from oracle_compare import compare, connect  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
 
 
-# Left to the script at a larger scale: columns of queries that are compared here anyway.
-COVERED = {
-    "normalized_index", "daily_return", "rolling_vol", "relative_volume", "daily_dataset", "monthly_dataset",
-    "filtered_daily", "filtered_monthly", "return_ranking", "volatility_ranking", "supplier_summary",
-    "supplier_monthly", "table_counts", "status_counts", "zero_partial_rows", "duplicate_after_fault",
-    "yearly_return_reconciliation", "drawdown_reconciliation", "flat_check", "carry_check", "yearly", "dimension",
-    "failed_run_audit", "failed_run_results", "raw_origin_of_runs", "last_good_runs", "version_history",
-    "recovered_returns", "rerun_report", "same_date_set", "volume_status", "summary_dataset",
-}
+@pytest.fixture(scope="module", autouse=True)
+def shared_layers():
+    """The layers of a panel are built once for all queries of this module."""
+    kept = {name: getattr(registry, name) for name in ("series_layers", "supplier_layers")}
+    for name, build in kept.items():
+        setattr(registry, name, functools.cache(build))
+    yield
+    for name, build in kept.items():
+        setattr(registry, name, build)
 
 
 @pytest.fixture(scope="module")
@@ -33,12 +36,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql()) and COVERED < set(queries())
+    assert set(registry.QUERIES) == set(ORACLE)
+    assert set(registry.QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - COVERED))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_matches_sql(spark, con, name):
-    problem, _ = compare(spark, con, queries()[name], oracle_sql()[name], SF_DIR)
+    problem, _ = compare(spark, con, registry.QUERIES[name], ORACLE[name], SF_DIR)
     assert not problem
 
 
