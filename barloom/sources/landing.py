@@ -84,7 +84,8 @@ def read_daily(
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*settings.source_columns, "_rescued_data")])
     landed = (
         spark.read.schema(schema)
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_rescued_data")
+        # Without pruning, so that a line is judged by all of its fields whichever columns are read.
+        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_rescued_data", columnPruning=False)
         .csv(settings.landed(settings.daily_glob))
         .select("*", file_path().alias("source_file"))
         .withColumnRenamed(settings.source_columns[0], "source_date")
