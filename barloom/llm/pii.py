@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.scratch import ship_package
+
 #: Kinds in the order in which spans are listed. The first four are the base; the method adds the others.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
@@ -140,6 +142,7 @@ _ARROW_SPAN = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", p
 def with_spans(documents: DataFrame, text: str = "text", spans: str = "pii_spans", redacted: str | None = None) -> DataFrame:
     """The frame with a column ``spans``, and one more, ``redacted``, if it is named: the text without its personal data (null
     stays null). Row by row, nothing is shuffled. Columns of these names are replaced; all others are kept as they are."""
+    ship_package(documents.sparkSession)
     documents = documents.drop(spans, *([redacted] if redacted and redacted != text else []))
     names = documents.columns
     place = names.index(text)

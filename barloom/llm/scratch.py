@@ -1,17 +1,46 @@
-"""Intermediate tables in the folder that all executors share."""
+"""What operators need of the cluster: intermediate tables in the folder that all executors share, and this package on every executor."""
 
 from __future__ import annotations
 
+import hashlib
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.session import shared_folder
 
+#: Applications that have the package.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it however the driver was started. It goes by way of
+    the shared folder, written through Spark's own file system client."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package, packed = Path(__file__).resolve().parent.parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as files:
+        for module in sorted(package.rglob("*.py")):
+            files.writestr(zipfile.ZipInfo(str(module.relative_to(package.parent))), module.read_bytes())
+    data = packed.getvalue()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{package.name}-{hashlib.sha1(data).hexdigest()[:12]}.zip")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = store.create(path)
+    out.write(bytearray(data))
+    out.close()
+    context.addPyFile(store.makeQualified(path).toString())
+    _SHIPPED.add(context.applicationId)
+
 
 class Scratch:
     """Tables below one fresh folder. A stored table cuts the lineage: a lost executor reads files again. ``drop`` removes a
     table that nothing reads any more."""
 
     def __init__(self, spark: SparkSession):
+        ship_package(spark)
         self.spark = spark
         self.root = shared_folder(spark)
         self.paths: dict[int, str] = {}

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.scratch import ship_package
+
 #: A ranks file that every executor can read at this path.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How that vocabulary cuts a text before merging; a fixed value of the public vocabulary.
@@ -31,6 +33,8 @@ def token_count(text: str | None, vocabulary: str = VOCABULARY, pattern: str = P
 def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
     """(doc_id, n_tokens) of every row; whole texts, null and empty ones have 0. Nothing is shuffled."""
 
+    ship_package(documents.sparkSession)
+
     def batches(stream):
         for batch in stream:
             counts = [token_count(text.as_py(), vocabulary, pattern) for text in batch.column(1)]

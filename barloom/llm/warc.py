@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.scratch import Scratch
+from barloom.llm.scratch import Scratch, ship_package
 
 #: Payloads from this size on are stored once.
 LEAST_SHARED = 1000
@@ -119,6 +119,7 @@ def member(record: bytes) -> bytes:
 def normalise(spark: SparkSession, source: str, target: str) -> None:
     """Rewrite the archives below ``source`` below ``target``, each in a folder ``archive=<its name>``. A gzip file is read by one task, from its start to its end,
     a line at a time; only one record is held."""
+    ship_package(spark)
     lines = spark.read.option("lineSep", CRLF).text(source).select(F.col("_metadata.file_name").alias("archive"), F.col("value").cast("binary"))
 
     def by_file(stream):
@@ -187,6 +188,7 @@ def _page(name: str | None) -> int | None:
 def index(spark: SparkSession, archives: str) -> DataFrame:
     """The records of normalised archives: archive, offset and length of each member, and what the record holds. Size and digest of a response are
     taken from its payload, those of a revisit from what it says of the payload it leaves out."""
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(archives)
     files = files.select(F.regexp_extract("path", r"archive=([^/]+)/[^/]*$", 1), "content")
     arrow = pa.schema([(n, pa.string() if t == "string" else pa.int64()) for n, t in _INDEX])
