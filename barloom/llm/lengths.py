@@ -63,17 +63,18 @@ def limit_table(histogram: DataFrame) -> DataFrame:
 
 
 def totals_at(limits: DataFrame, histogram: DataFrame) -> DataFrame:
-    """(limit, truncated_total, docs_cut) for any limits (column ``limit``), also those that no document has as its length:
-    the histogram row to use is the longest length up to the limit."""
+    """(limit, truncated_total, docs_cut) for any limits (column ``limit``), also those that no document has as its length. Each takes the
+    sums of the longest length up to it; below all lengths every document is cut."""
     table = limit_table(histogram)
-    edges = table.select("length", "docs_longer", "tokens_longer", "tokens_total")
-    ends = edges.select("length", F.lead("length").over(Window.orderBy("length")).alias("next"), "docs_longer", "tokens_longer", "tokens_total")
-    first = edges.agg(F.min("length").alias("least"), F.max(F.col("tokens_total")).alias("tokens_total"), F.max(F.expr("docs_longer")).alias("docs"))
-    total_docs = histogram.agg(F.sum("n_docs").alias("n_total"))
-    inside = limits.join(ends, (limits["limit"] >= ends["length"]) & (ends["next"].isNull() | (limits["limit"] < ends["next"])))
-    found = inside.select("limit", (F.col("tokens_total") - F.col("tokens_longer") + F.col("limit") * F.col("docs_longer")).alias("truncated_total"), F.col("docs_longer").alias("docs_cut"))
-    below = limits.crossJoin(first.crossJoin(total_docs)).where("limit < least").select("limit", (F.col("limit") * F.col("n_total")).alias("truncated_total"), F.col("n_total").alias("docs_cut"))
-    return found.unionByName(below)
+    known = table.select("length", F.struct("docs_longer", "tokens_longer").alias("beyond"), F.lit(None).cast("bigint").alias("limit"))
+    asked = limits.select(F.col("limit").alias("length"), F.lit(None).cast(known.schema["beyond"].dataType).alias("beyond"), "limit")
+    upward = Window.orderBy("length", F.col("limit").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = known.unionByName(asked).withColumn("beyond", F.last("beyond", ignorenulls=True).over(upward))
+    whole = histogram.agg(F.sum("n_docs").alias("docs"), F.sum(F.col("length") * F.col("n_docs")).alias("tokens"))
+    docs, tokens = (F.coalesce(whole.select(c).scalar(), F.lit(0)) for c in ("docs", "tokens"))
+    cut = F.coalesce("beyond.docs_longer", docs)
+    kept = tokens - F.coalesce("beyond.tokens_longer", tokens) + F.col("limit") * cut
+    return placed.where("limit IS NOT NULL").select("limit", kept.alias("truncated_total"), cut.alias("docs_cut"))
 
 
 def quantile_length(histogram: DataFrame, share: float) -> int | None:
