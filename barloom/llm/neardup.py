@@ -5,8 +5,8 @@ of ``ROWS`` minima each make band keys: two sets with a similarity of 0.75 share
 
 Classes with a common band key are compared without listing a bucket's pairs. First every class is held against the smallest class of
 each of its buckets, by signature, and the most similar one is verified; the links make components. Then only buckets that
-still hold several components are compared within themselves, in tiles of bounded size, and only pairs across components whose
-signatures agree well enough are verified. Pairs within a component need no check: they could not change the result.
+still hold several components are compared within themselves, in tiles of bounded size, and pairs across components whose
+signatures agree well enough are verified there. Pairs within a component need no check: they could not change the result.
 """
 
 from __future__ import annotations
@@ -160,19 +160,30 @@ def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> Dat
     return met.mapInArrow(batches, "center bigint, member bigint").distinct()
 
 
-def _across(open_buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share a bucket and whose signatures agree well enough.
+def _tiled(open_buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(band, tile1, tile2, class, partners): the classes that must be verified against others of their tile, and against which.
 
-    A bucket is dealt into blocks of about ``TILE`` classes and each pair of blocks is one tile, so no task holds a whole bucket.
+    A bucket is dealt into blocks of about ``TILE`` classes, those of its largest component apart from the rest, and each pair of blocks that can hold
+    classes of different components is one tile: the rest with the rest, and the rest with the largest component, never the latter with itself. No task holds a
+    whole bucket. A pair is a partnership if its components differ and its signatures agree well enough, in the first band that it shares.
     """
-    sized = open_buckets.groupBy("band").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
+    sizes = open_buckets.groupBy("band", "component").agg(F.count("*").alias("n"))
+    sized = sizes.groupBy("band").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.ceil(F.max("n") / TILE).alias("main_blocks"),
+        F.ceil((F.sum("n") - F.max("n")) / TILE).alias("rest_blocks"),
+    )
+    in_main = F.col("component") == F.col("main")
+    place = F.xxhash64("class")
+    own = F.when(in_main, F.col("rest_blocks") + F.pmod(place, F.col("main_blocks"))).otherwise(F.pmod(place, F.col("rest_blocks")))
     dealt = (
         open_buckets.join(sized, "band")
-        .withColumn("block", F.expr("pmod(xxhash64(class), blocks)"))
-        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        .withColumn("block", own)
+        .withColumn("others", F.when(in_main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks")))
+        .withColumn("other", F.explode(F.expr("sequence(0L, others - 1)")))
         .select("band", F.least("block", "other").alias("tile1"), F.greatest("block", "other").alias("tile2"), "block", "component", "class")
-        .join(classes.select("class", "signature"), "class")
-        .select("band", "tile1", "tile2", "block", "component", "class", "signature")
+        .join(classes.select("class", "signature", "bands"), "class")
+        .select("band", "tile1", "tile2", "block", "component", "class", "signature", "bands")
         .repartition("band", "tile1", "tile2")
         .sortWithinPartitions("band", "tile1", "tile2")
     )
@@ -192,26 +203,92 @@ def _across(open_buckets: DataFrame, classes: DataFrame) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield rest
 
+    def partners_of(tile: pa.Table) -> dict[int, list[int]]:
+        n = tile.num_rows
+        band, first, second, block, component, ids = (tile.column(i).to_numpy() for i in range(6))
+        signs = np.frombuffer(b"".join(tile.column("signature").to_pylist()), np.uint8).reshape(n, BANDS * ROWS)
+        bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(n, BANDS)
+        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        found: dict[int, list[int]] = {}
+        for i in left.tolist():
+            other = right[component[right] != component[i]]
+            if first[0] == second[0]:
+                other = other[ids[other] > ids[i]]
+            if len(other):
+                estimate = ((signs[other] == signs[i]).mean(axis=1) - 1 / 256) * 256 / 255
+                other = other[estimate >= LEAST_ESTIMATE]
+                other = other[bands[i][(bands[other] == bands[i]).argmax(axis=1)] == band[0]]
+                if len(other):
+                    found.setdefault(int(ids[i]), []).extend(ids[other].tolist())
+                    for j in ids[other].tolist():
+                        found.setdefault(j, [])
+        return found
+
     def batches(stream):
         for tile in tiles(stream):
-            n = tile.num_rows
-            first, block, component, ids = (tile.column(c).to_numpy() for c in ("tile1", "block", "component", "class"))
-            second = tile.column("tile2").to_numpy()
-            signs = np.frombuffer(b"".join(tile.column("signature").to_pylist()), np.uint8).reshape(n, BANDS * ROWS)
-            left = np.flatnonzero(block == first)
-            right = np.flatnonzero(block == second)
-            one, two = [], []
-            for i in left.tolist():
-                other = right[component[right] != component[i]]
-                if first[0] == second[0]:
-                    other = other[ids[other] > ids[i]]
-                if len(other):
-                    estimate = ((signs[other] == signs[i]).mean(axis=1) - 1 / 256) * 256 / 255
-                    for j in other[estimate >= LEAST_ESTIMATE].tolist():
-                        one.append(min(ids[i], ids[j])), two.append(max(ids[i], ids[j]))
-            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["center", "member"])
+            found = partners_of(tile)
+            if found:
+                key = [pa.array(np.full(len(found), tile.column(i)[0].as_py(), np.int64)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays(
+                    [*key, pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.list_(pa.int64()))],
+                    names=["band", "tile1", "tile2", "class", "partners"],
+                )
+
+    return dealt.mapInArrow(batches, "band bigint, tile1 bigint, tile2 bigint, class bigint, partners array<bigint>")
+
+
+def _verified_tiles(documents: DataFrame, classes: DataFrame, tiled: DataFrame) -> DataFrame:
+    """Pairs (center, member) that are similar by their full sets and connect all partners of a tile that verified links connect.
+
+    The texts of a tile's classes meet in one partition, once each however many partners they have, and only their sets are held, of one tile at a time. Partners that
+    links found before already connect need no check.
+    """
+    wanted = tiled.join(classes.select("class", F.col("doc_id").alias("wanted_id"), "key"), "class")
+    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    met = (
+        texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["wanted_id"]))
+        .select("band", "tile1", "tile2", "class", "key", "partners", "text")
+        .repartition("band", "tile1", "tile2")
+        .sortWithinPartitions("band", "tile1", "tile2")
+    )
+
+    def links(sets: dict[int, np.ndarray], partners: dict[int, list[int]]):
+        root = {c: c for c in sets}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        for a, others in partners.items():
+            for b in others:
+                if a in sets and b in sets and top(a) != top(b):
+                    common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    if 100 * common >= PERCENT * (len(sets[a]) + len(sets[b]) - common):
+                        root[top(a)] = top(b)
+                        yield min(a, b), max(a, b)
+
+    def batches(stream):
+        now, sets, partners = None, {}, {}
+        for batch in stream:
+            tile, found = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)), []
+            ids, keys, lists, row = batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5), 0
+            for words in word_slices(batch.column(6), UNSPACED):
+                for shingles in shingle_sets(words):
+                    if tile[row] != now:
+                        found += links(sets, partners)
+                        now, sets, partners = tile[row], {}, {}
+                    if keys[row] == set_key(shingles):  # else another row that shares the id
+                        sets[ids[row]], partners[ids[row]] = shingles, lists[row].as_py()
+                    row += 1
+            yield _pairs(found)
+        yield _pairs(list(links(sets, partners)))
+
+    return met.mapInArrow(batches, "center bigint, member bigint").distinct()
+
 
-    return dealt.mapInArrow(batches, "center bigint, member bigint").distinct()
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["center", "member"])
 
 
 def near_duplicates(documents: DataFrame, row: str | None = None) -> DataFrame:
@@ -240,8 +317,8 @@ def near_duplicates(documents: DataFrame, row: str | None = None) -> DataFrame:
     )
     placed = scratch.store(placed)
     several = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b").select("band")
-    across = scratch.store(_across(placed.join(several, "band", "left_semi"), classes))
-    more = _verified(documents, classes, across)
+    tiled = scratch.store(_tiled(placed.join(several, "band", "left_semi"), classes))
+    more = _verified_tiles(documents, classes, tiled)
     found = connected_components(links.unionByName(more), scratch)
 
     in_class = rows.join(by_key, "key", "left").select("row", "doc_id", "n_shingles", "class")
