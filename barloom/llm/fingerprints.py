@@ -6,6 +6,8 @@ each other, and the sketch of several texts is the union of theirs. Only built-i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,15 +66,17 @@ def fingerprints(documents: DataFrame, text: str = "text", scale: int = SCALE) -
     )
 
 
-def with_next(documents: DataFrame, columns: list[str], blocks: int) -> DataFrame:
+def with_next(
+    documents: DataFrame, columns: list[str], blocks: int, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """Each row of ``documents`` with ``next``, a struct of ``columns`` of the row that follows by doc_id (then text; the
     first one follows the last). Null ids come first.
 
     The ids are cut into ``blocks`` ranges of about equal counts; each range is one partition's window, and takes a
-    copy of the next range's first row along. The texts move once.
+    copy of the next range's first row along. The texts move once. ``prepare`` adds columns to the rows before they move.
     """
     ids = documents.select("doc_id")
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)], 100 * blocks)).first()[0] if blocks > 1 else []
+    cuts = ids.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] if blocks > 1 else []
     cuts = sorted(set(cuts or []))
     # Nested in chunks, so that a row is not held against every cut.
     block = F.lit(0)
@@ -103,8 +107,7 @@ def with_next(documents: DataFrame, columns: list[str], blocks: int) -> DataFram
     rank = [F.col("_guest"), F.col("doc_id").asc_nulls_first(), F.coalesce("text", F.lit(""))]
     window = Window.partitionBy("_block").orderBy(*rank)
     return (
-        placed.withColumn("_guest", F.lit(False))
-        .unionByName(guests)
+        prepare(placed.withColumn("_guest", F.lit(False)).unionByName(guests))
         .withColumn("next", F.lead(F.struct(*columns)).over(window))
         .where("NOT _guest")
         .drop("_block", "_guest")

@@ -64,9 +64,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = fingerprints(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    paired = with_next(documents, ["text", "sketch"], blocks)
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paired = with_next(documents, ["text", "sketch"], blocks, fingerprints)
     return (
         paired.withColumn("edited", edited(F.col("text"), F.col("next.text")))
         .withColumn("edited_words", words_of(F.col("edited")))
