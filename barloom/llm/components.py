@@ -9,12 +9,12 @@ from barloom.llm.scratch import Scratch
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """``edges`` has two columns of one orderable type. Returns (node, component) for every node with an edge to another
-    one; ``component`` is the smallest node reachable.
+    """``edges`` has two columns of one orderable type. Returns (node, component) for every node with an edge to
+    another one; ``component`` is the smallest node reachable.
 
-    Null ends, loops and repeated edges are ignored; an empty table gives an empty one. Every round is grouped minima and
-    equi-joins over the edges, stored afterwards; a hub is a skewed join key, which adaptive execution splits, and no
-    neighbour list is ever gathered. The number of rounds grows with the logarithm of the longest path.
+    Null ends, loops and repeated edges are ignored; an empty table gives an empty one. Every round is grouped minima
+    and equi-joins over the edges, stored afterwards; a hub is a skewed join key, which adaptive execution splits, and
+    no neighbour list is ever gathered. The number of rounds grows with the logarithm of the longest path.
     """
     a, b = edges.columns
     now = scratch.store(
@@ -59,7 +59,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Each node links its smaller neighbours, and itself, to the smallest of them. Edges point from larger to smaller."""
+    """Each node links its smaller neighbours, and itself, to the smallest of them. Edges point from larger to
+    smaller."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()

@@ -1,9 +1,10 @@
 """Benchmark decontamination by winnowing: find the words of a document that repeat a passage of a benchmark.
 
-A passage is a run of ``window`` consecutive words of an item; an item of fewer words, but not none, is one passage. Of
-every run of ``window`` words, winnowing keeps the smallest hash of its k-grams. Two equal runs keep the same one, so a join of the
-kept hashes finds every shared passage. Each joined pair is then extended word by word, to both sides, and counts if the equal words
-reach a whole window. Words are compared as text, so a hash collision adds nothing.
+A passage is a run of ``window`` consecutive words of an item; an item of fewer words, but not none, is one passage.
+Of every run of ``window`` words, winnowing keeps the smallest hash of its k-grams. Two equal runs keep the same one,
+so a join of the kept hashes finds every shared passage. Each joined pair is then extended word by word, to both
+sides, and counts if the equal words reach a whole window. Words are compared as text, so a hash collision adds
+nothing.
 """
 
 from __future__ import annotations
@@ -77,7 +78,8 @@ def _candidates(words, window: int, gram: int, short: list[int], sieve: np.ndarr
 
 
 def _read(frame: DataFrame, id_column: str, window: int, gram: int, items: bool, short=(), sieve=None) -> DataFrame:
-    """(id, digest of the text, n_words, candidates) of every row. An item shorter than the window has one candidate, all of its words."""
+    """(id, digest of the text, n_words, candidates) of every row. An item shorter than the window has one candidate,
+    all of its words."""
 
     def batches(stream):
         bits = sieve.value if sieve is not None else None
@@ -122,13 +124,13 @@ def _equal_words(left: str, right: str) -> Column:
 
 
 def contaminated_words(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """One row per row of ``documents`` (doc_id, text): its place ``row``, doc_id, ``digest`` of
-    the text, n_words, ``spans`` (array of begin and end, in
-    words, of what repeats a passage; joined where they overlap or touch), n_hit, ``items`` (ids of the items, as sorted strings).
+    """One row per row of ``documents`` (doc_id, text): its place ``row``, doc_id, ``digest`` of the text, n_words,
+    ``spans`` (array of begin and end, in words, of what repeats a passage; joined where they overlap or touch),
+    n_hit, ``items`` (ids of the items, as sorted strings).
 
     Null and empty texts have no words and no hits. Repeated rows and null ids are rows of their own; an item that is
-    repeated counts once per item_id, one with a null id hits but has no name. Other columns of both tables are ignored. An empty
-    benchmark hits nothing.
+    repeated counts once per item_id, one with a null id hits but has no name. Other columns of both tables are
+    ignored. An empty benchmark hits nothing.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark)
@@ -192,8 +194,8 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, window: int =
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``documents``, with their columns, in which no passage of the benchmark occurs. A found row is known again
-    by its id and its text's digest, so that rows that share an id, or have none, are judged one by one."""
+    """The rows of ``documents``, with their columns, in which no passage of the benchmark occurs. A found row is
+    known again by its id and its text's digest, so that rows that share an id, or have none, are judged one by one."""
     found = contaminated_words(documents, benchmark, window).where("n_hit > 0")
     found = found.select(F.col("doc_id").alias("found_id"), F.col("digest").alias("found_digest")).distinct()
     same = documents["doc_id"].eqNullSafe(F.col("found_id")) & (F.xxhash64(documents["text"].cast("string")) == F.col("found_digest"))

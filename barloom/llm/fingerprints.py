@@ -31,8 +31,9 @@ def shingle_hashes(words: Column) -> Column:
 
 
 def sketch_of(hashes: Column, scale: int = SCALE) -> Column:
-    """The distinct hashes below the threshold, sorted; the smallest hash where a text has none below it, so that no text
-    with words has an empty sketch. Sketches still merge: by their union, less what is above the threshold if anything is below."""
+    """The distinct hashes below the threshold, sorted; the smallest hash where a text has none below it, so that no
+    text with words has an empty sketch. Sketches still merge: by their union, less what is above the threshold if
+    anything is below."""
     limit = -(1 << 63) + (1 << 64) // scale
     low = F.filter(hashes, lambda h: h < F.lit(limit))
     return F.when(F.size(low) > 0, F.array_sort(F.array_distinct(low))).otherwise(
@@ -46,7 +47,8 @@ def merge_sketches(a: Column, b: Column, scale: int = SCALE) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """The share of the smaller sketch that the larger one holds, 0 to 1. Two empty ones are alike, an empty and another not."""
+    """The share of the smaller sketch that the larger one holds, 0 to 1. Two empty ones are alike, an empty and
+    another not."""
     smaller = F.least(F.size(a), F.size(b))
     return F.when(smaller > 0, F.size(F.array_intersect(a, b)) / smaller).otherwise((F.size(a) == F.size(b)).cast("double"))
 
@@ -69,11 +71,12 @@ def fingerprints(documents: DataFrame, text: str = "text", scale: int = SCALE) -
 def with_next(
     documents: DataFrame, columns: list[str], blocks: int, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows
 ) -> DataFrame:
-    """Each row of ``documents`` with ``next``, a struct of ``columns`` of the row that follows by doc_id (then text; the
-    first one follows the last). Null ids come first.
+    """Each row of ``documents`` with ``next``, a struct of ``columns`` of the row that follows by doc_id (then text;
+    the first one follows the last). Null ids come first.
 
     The ids are cut into ``blocks`` ranges of about equal counts; each range is one partition's window, and takes a
-    copy of the next range's first row along. The texts move once. ``prepare`` adds columns to the rows before they move.
+    copy of the next range's first row along. The texts move once. ``prepare`` adds columns to the rows before they
+    move.
     """
     ids = documents.select("doc_id")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] if blocks > 1 else []
@@ -115,7 +118,8 @@ def with_next(
 
 
 def edited(text: Column, following: Column) -> Column:
-    """A text whose last half (rounded down, in code points) is replaced by as much of the beginning of the following one."""
+    """A text whose last half (rounded down, in code points) is replaced by as much of the beginning of the following
+    one."""
     text, following = F.coalesce(text, F.lit("")), F.coalesce(following, F.lit(""))
     half = F.floor(F.length(text) / 2).cast("int")
     return F.concat(F.substr(text, F.lit(1), F.length(text) - half), F.substr(following, F.lit(1), half))

@@ -15,8 +15,8 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 
 def training_labels(labels: DataFrame, label: str, folds: int, fold: int, bound: int) -> DataFrame:
-    """(doc_id, label) of rows that are not held out, one per id: the larger label if an id is repeated; null labels and ids are left out. Of more than
-    ``bound`` rows, a share of about ``bound`` is taken by a hash of the id."""
+    """(doc_id, label) of rows that are not held out, one per id: the larger label if an id is repeated; null labels
+    and ids are left out. Of more than ``bound`` rows, a share of about ``bound`` is taken by a hash of the id."""
     rows = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
         .groupBy("doc_id")

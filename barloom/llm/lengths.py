@@ -25,10 +25,10 @@ def merge_histograms(*histograms: DataFrame) -> DataFrame:
 def limit_table(histogram: DataFrame) -> DataFrame:
     """One row per length that occurs, read as a context limit.
 
-    length, n_docs (of just this length), docs_longer (suffix sum), tokens_longer (tokens of the longer documents), n_total and
-    tokens_total (of the collection), truncated_total (tokens left if every document is cut at the limit), tokens_lost,
-    quantile (share of the documents that fit whole). An empty histogram gives no rows. Suffix sums are taken within blocks of
-    lengths; only the blocks' totals are summed in one place.
+    length, n_docs (of just this length), docs_longer (suffix sum), tokens_longer (tokens of the longer documents),
+    n_total and tokens_total (of the collection), truncated_total (tokens left if every document is cut at the limit),
+    tokens_lost, quantile (share of the documents that fit whole). An empty histogram gives no rows. Suffix sums are
+    taken within blocks of lengths; only the blocks' totals are summed in one place.
     """
     blocked = histogram.withColumn("block", F.floor(F.col("length") / BLOCK))
     tokens = F.col("length") * F.col("n_docs")
@@ -63,8 +63,8 @@ def limit_table(histogram: DataFrame) -> DataFrame:
 
 
 def totals_at(limits: DataFrame, histogram: DataFrame) -> DataFrame:
-    """(limit, truncated_total, docs_cut) for any limits (column ``limit``), also those that no document has as its length. Each takes the
-    sums of the longest length up to it; below all lengths every document is cut."""
+    """(limit, truncated_total, docs_cut) for any limits (column ``limit``), also those that no document has as its
+    length. Each takes the sums of the longest length up to it; below all lengths every document is cut."""
     table = limit_table(histogram)
     known = table.select("length", F.struct("docs_longer", "tokens_longer").alias("beyond"), F.lit(None).cast("bigint").alias("limit"))
     asked = limits.select(F.col("limit").alias("length"), F.lit(None).cast(known.schema["beyond"].dataType).alias("beyond"), "limit")

@@ -1,12 +1,14 @@
 """Near-duplicate documents: MinHash with banding, verification on the full sets, connected components.
 
-A document's set is its distinct 5-word shingles. Documents with equal sets are one class from the start. ``BANDS`` groups
-of ``ROWS`` minima each make band keys: two sets with a similarity of 0.75 share none of them once in four million pairs.
-
-Classes with a common band key are compared without listing a bucket's pairs. First every class is held against the smallest class of
-each of its buckets, by signature, and the most similar one is verified; the links make components. Then only buckets that
-still hold several components are compared within themselves, in tiles of bounded size, and pairs across components whose
-signatures agree well enough are verified there. Pairs within a component need no check: they could not change the result.
+A document's set is its distinct 5-word shingles. Documents with equal sets are one class from the start. ``BANDS``
+groups of ``ROWS`` minima each make band keys: two sets with a similarity of 0.75 share none of them once in four
+million pairs.
+
+Classes with a common band key are compared without listing a bucket's pairs. First every class is held against the
+smallest class of each of its buckets, by signature, and the most similar one is verified; the links make components.
+Then only buckets that still hold several components are compared within themselves, in tiles of bounded size, and
+pairs across components whose signatures agree well enough are verified there. Pairs within a component need no check:
+they could not change the result.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ _BAND_SALTS = numbers(BANDS, 404)
 
 
 def shingle_sets(words: Words):
-    """The sorted, distinct shingle hashes of each text of a slice. Fewer words than a shingle has make one, no words none."""
+    """The sorted, distinct shingle hashes of each text of a slice. Fewer words than a shingle has make one, no words
+    none."""
     hashes, borders = words.hashes(), words.borders
     runs = grams(hashes, SHINGLE)
     for t in range(words.last - words.first):
@@ -55,7 +58,8 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of each of the universal hashes (a * x + b modulo 2**64, upper half) over a set that is not empty."""
+    """The smallest value of each of the universal hashes (a * x + b modulo 2**64, upper half) over a set that is not
+    empty."""
     low = shingles & U64(0xFFFFFFFF)
     out = np.full(BANDS * ROWS, 2**64 - 1, dtype=U64)
     for at in range(0, len(low), 1024):
@@ -68,8 +72,8 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, row: Column) -> DataFrame:
-    """(doc_id, row, n_shingles, key, bands, signature) of every row; an empty set has null in the last three. The signature
-    keeps eight bits of each minimum."""
+    """(doc_id, row, n_shingles, key, bands, signature) of every row; an empty set has null in the last three. The
+    signature keeps eight bits of each minimum."""
 
     def batches(stream):
         for batch in stream:
@@ -161,11 +165,13 @@ def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> Dat
 
 
 def _tiled(open_buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(band, tile1, tile2, class, partners): the classes that must be verified against others of their tile, and against which.
+    """(band, tile1, tile2, class, partners): the classes that must be verified against others of their tile, and
+    against which.
 
-    A bucket is dealt into blocks of about ``TILE`` classes, those of its largest component apart from the rest, and each pair of blocks that can hold
-    classes of different components is one tile: the rest with the rest, and the rest with the largest component, never the latter with itself. No task holds a
-    whole bucket. A pair is a partnership if its components differ and its signatures agree well enough, in the first band that it shares.
+    A bucket is dealt into blocks of about ``TILE`` classes, those of its largest component apart from the rest, and
+    each pair of blocks that can hold classes of different components is one tile: the rest with the rest, and the
+    rest with the largest component, never the latter with itself. No task holds a whole bucket. A pair is a
+    partnership if its components differ and its signatures agree well enough, in the first band that it shares.
     """
     sizes = open_buckets.groupBy("band", "component").agg(F.count("*").alias("n"))
     sized = sizes.groupBy("band").agg(
@@ -238,10 +244,11 @@ def _tiled(open_buckets: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _verified_tiles(documents: DataFrame, classes: DataFrame, tiled: DataFrame) -> DataFrame:
-    """Pairs (center, member) that are similar by their full sets and connect all partners of a tile that verified links connect.
+    """Pairs (center, member) that are similar by their full sets and connect all partners of a tile that verified
+    links connect.
 
-    The texts of a tile's classes meet in one partition, once each however many partners they have, and only their sets are held, of one tile at a time. Partners that
-    links found before already connect need no check.
+    The texts of a tile's classes meet in one partition, once each however many partners they have, and only their
+    sets are held, of one tile at a time. Partners that links found before already connect need no check.
     """
     wanted = tiled.join(classes.select("class", F.col("doc_id").alias("wanted_id"), "key"), "class")
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -292,12 +299,14 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def near_duplicates(documents: DataFrame, row: str | None = None) -> DataFrame:
-    """One row per row of ``documents`` (doc_id, text): its number ``row`` (from the column ``row``, if one is named), doc_id, n_shingles, component_id, keeper.
-
-    ``component_id`` is the smallest doc_id that verified links reach, the row's own included. ``keeper`` marks one row of each
-    component: the one with that doc_id, the first of them if the id is repeated. Null ids come last: a row without an id takes its component's
-    smallest id, null if there is none. Null texts and texts without words are linked with nothing. Repeated rows are linked like any
-    copies. Other columns are ignored, an empty table gives an empty one.
+    """One row per row of ``documents`` (doc_id, text): its number ``row`` (from the column ``row``, if one is named),
+    doc_id, n_shingles, component_id, keeper.
+
+    ``component_id`` is the smallest doc_id that verified links reach, the row's own included. ``keeper`` marks one
+    row of each component: the one with that doc_id, the first of them if the id is repeated. Null ids come last: a
+    row without an id takes its component's smallest id, null if there is none. Null texts and texts without words are
+    linked with nothing. Repeated rows are linked like any copies. Other columns are ignored, an empty table gives an
+    empty one.
     """
     scratch = Scratch(documents.sparkSession)
     rows = scratch.store(signatures(documents, F.col(row) if row else F.monotonically_increasing_id()))

@@ -20,7 +20,8 @@ GROUP = 20_000
 
 
 class _Lengths:
-    """A multiset of lengths that finds the largest one up to a limit: a counter, and a number whose bits say which lengths are there."""
+    """A multiset of lengths that finds the largest one up to a limit: a counter, and a number whose bits say which
+    lengths are there."""
 
     def __init__(self, lengths: Sequence[int], top: int):
         self.count = [0] * (top + 1)
@@ -56,9 +57,10 @@ class _Lengths:
 def best_fit(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, overhead: int = OVERHEAD) -> list[tuple[int, int, int]]:
     """For each length, in the given order: its bin, its place in the bin, and the bin's final capacity.
 
-    Longest first, each goes into the open bin that it leaves least space in. If none has room, a bin is opened: of all permitted sizes
-    the one that costs least per token, if it is filled with the largest of the lengths still to come. Last, each bin shrinks
-    to the smallest permitted size that holds its contents. Equal lengths keep their order; every length is 1 to the largest capacity.
+    Longest first, each goes into the open bin that it leaves least space in. If none has room, a bin is opened: of
+    all permitted sizes the one that costs least per token, if it is filled with the largest of the lengths still to
+    come. Last, each bin shrinks to the smallest permitted size that holds its contents. Equal lengths keep their
+    order; every length is 1 to the largest capacity.
     """
     capacities = sorted(capacities)
     top = capacities[-1]
@@ -97,12 +99,12 @@ def pack(lengths: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead: i
     """One row per piece of each row of ``lengths`` (doc_id, n_tokens): doc_id, piece, token_begin, token_end, bin,
     bin_offset, capacity.
 
-    A document longer than the largest capacity is cut into pieces of that many tokens and a rest; nothing is dropped. A row without tokens
-    (0 or null) is one empty piece without a bin. Repeated rows and null ids are packed like any others. Other columns are ignored; an
-    empty table gives an empty one.
+    A document longer than the largest capacity is cut into pieces of that many tokens and a rest; nothing is dropped.
+    A row without tokens (0 or null) is one empty piece without a bin. Repeated rows and null ids are packed like any
+    others. Other columns are ignored; an empty table gives an empty one.
 
-    Pieces are dealt evenly, by their number, into groups of about ``group``, and each group is packed by itself, so the memory
-    of a task does not grow with the data.
+    Pieces are dealt evenly, by their number, into groups of about ``group``, and each group is packed by itself, so
+    the memory of a task does not grow with the data.
     """
     top = max(capacities)
     scratch = Scratch(lengths.sparkSession)

@@ -112,8 +112,8 @@ def score(text: str, kind: str, begin: int, end: int) -> float:
 
 
 def find_spans(text: str | None) -> list[Span]:
-    """All spans of a text. Base spans always stay, whatever their score; an added one needs ``NEEDED`` and must not overlap a
-    base span. Null and empty texts have none."""
+    """All spans of a text. Base spans always stay, whatever their score; an added one needs ``NEEDED`` and must not
+    overlap a base span. Null and empty texts have none."""
     if not text:
         return []
     spans = [Span(kind, b, e, score(text, kind, b, e)) for kind, b, e in proposed(text)]
@@ -140,8 +140,9 @@ _ARROW_SPAN = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", p
 
 
 def with_spans(documents: DataFrame, text: str = "text", spans: str = "pii_spans", redacted: str | None = None) -> DataFrame:
-    """The frame with a column ``spans``, and one more, ``redacted``, if it is named: the text without its personal data (null
-    stays null). Row by row, nothing is shuffled. Columns of these names are replaced; all others are kept as they are."""
+    """The frame with a column ``spans``, and one more, ``redacted``, if it is named: the text without its personal
+    data (null stays null). Row by row, nothing is shuffled. Columns of these names are replaced; all others are kept
+    as they are."""
     ship_package(documents.sparkSession)
     documents = documents.drop(spans, *([redacted] if redacted and redacted != text else []))
     names = documents.columns

@@ -1,7 +1,8 @@
 """Quality scores: kernel ridge regression over document statistics, calibrated.
 
-Random Fourier features approximate a Gaussian kernel over the statistics of a text. Each partition sums its part of the normal equations; the
-sums are solved for the ridge scores; isotonic regression on training rows that the ridge has not seen turns scores into probabilities.
+Random Fourier features approximate a Gaussian kernel over the statistics of a text. Each partition sums its part of
+the normal equations; the sums are solved for the ridge scores; isotonic regression on training rows that the ridge
+has not seen turns scores into probabilities.
 """
 
 from __future__ import annotations
@@ -88,7 +89,8 @@ def document_statistics(documents: DataFrame) -> DataFrame:
 
 
 class Fourier:
-    """cos(xW + b): inner products of such rows approximate exp(-|x - y|^2 / (2 * WIDTH^2)) over standardised statistics."""
+    """cos(xW + b): inner products of such rows approximate exp(-|x - y|^2 / (2 * WIDTH^2)) over standardised
+    statistics."""
 
     def __init__(self, mean: np.ndarray, spread: np.ndarray, features: int = FEATURES, width: float = WIDTH, seed: int = SEED):
         random = np.random.default_rng(seed)
@@ -106,8 +108,8 @@ def _matrix(column: pa.Array, m: int) -> np.ndarray:
 
 
 def normal_equations(rows: DataFrame, fourier: Fourier) -> tuple[np.ndarray, np.ndarray]:
-    """Z'Z and Z'y of rows (s, label). Each partition sums its own; the sums are added up in Spark, so what reaches the driver depends on the number of
-    features alone."""
+    """Z'Z and Z'y of rows (s, label). Each partition sums its own; the sums are added up in Spark, so what reaches
+    the driver depends on the number of features alone."""
     m, d = len(fourier.mean), len(fourier.b) + 1
     upper = np.triu_indices(d + 1)
 
@@ -149,8 +151,8 @@ def calibrated(ridge: np.ndarray, steps: tuple[np.ndarray, np.ndarray]) -> np.nd
 def quality_scores(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = FOLD, sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``documents`` (doc_id, text): doc_id, row (its number), held_out, score, predicted.
 
-    Null and empty texts are scored by their statistics, all zero. Repeated rows score alike; null ids are held out. Without a training label
-    every score is 0. Other columns are ignored; an empty table gives an empty one.
+    Null and empty texts are scored by their statistics, all zero. Repeated rows score alike; null ids are held out.
+    Without a training label every score is 0. Other columns are ignored; an empty table gives an empty one.
     """
     scratch = Scratch(documents.sparkSession)
     seen = scratch.store(document_statistics(documents).withColumn("row", F.monotonically_increasing_id()))

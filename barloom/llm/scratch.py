@@ -1,4 +1,5 @@
-"""What operators need of the cluster: intermediate tables in the folder that all executors share, and this package on every executor."""
+"""What operators need of the cluster: intermediate tables in the folder that all executors share, and this package on
+every executor."""
 
 from __future__ import annotations
 
@@ -16,8 +17,8 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that tasks can import it however the driver was started. It goes by way of
-    the shared folder, written through Spark's own file system client."""
+    """Send this package to the executors, once per application, so that tasks can import it however the driver was
+    started. It goes by way of the shared folder, written through Spark's own file system client."""
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -36,8 +37,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 class Scratch:
-    """Tables below one fresh folder. A stored table cuts the lineage: a lost executor reads files again. ``drop`` removes a
-    table that nothing reads any more."""
+    """Tables below one fresh folder. A stored table cuts the lineage: a lost executor reads files again. ``drop``
+    removes a table that nothing reads any more."""
 
     def __init__(self, spark: SparkSession):
         ship_package(spark)

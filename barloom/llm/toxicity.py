@@ -1,9 +1,9 @@
 """Toxicity by weak supervision.
 
-Many voters, each a lexicon or a pattern, fire or stay silent on a text. A generative label model, fitted on how often each combination of votes
-occurs in all documents, estimates how accurate the voters are and how far they repeat each other; its posterior labels train
-a linear classifier, which scores every text. Given labels enter twice, from training rows only: lexicons are induced from a
-bounded sample of them, and they anchor the label model's two classes.
+Many voters, each a lexicon or a pattern, fire or stay silent on a text. A generative label model, fitted on how often
+each combination of votes occurs in all documents, estimates how accurate the voters are and how far they repeat each
+other; its posterior labels train a linear classifier, which scores every text. Given labels enter twice, from
+training rows only: lexicons are induced from a bounded sample of them, and they anchor the label model's two classes.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def view_hashes(words: Words) -> list[np.ndarray]:
 
 
 def _term_counts(rows: DataFrame, terms: list[np.ndarray] | None) -> DataFrame:
-    """(view, hash, docs): in how many texts of ``rows`` each term is; of all terms, or of the given sorted ones per view."""
+    """(view, hash, docs): in how many texts of ``rows`` each term is; of all terms, or of the given sorted ones per
+    view."""
 
     def batches(stream):
         for batch in stream:
@@ -82,8 +83,8 @@ def _member(h: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def induce_lexicons(rows: DataFrame, terms: int = TERMS) -> list[np.ndarray]:
-    """Per view, the sorted hashes of its terms, from labelled rows (text, label). A term is in ``SUPPORT`` toxic texts at least, and ``RATIO`` times
-    as often in toxic ones as in others."""
+    """Per view, the sorted hashes of its terms, from labelled rows (text, label). A term is in ``SUPPORT`` toxic
+    texts at least, and ``RATIO`` times as often in toxic ones as in others."""
     toxic = _term_counts(rows.where("label = 1"), None).where(F.col("docs") >= SUPPORT)
     found = toxic.orderBy(F.desc("docs"), "view", "hash").limit(terms).toPandas()  # the bound of the lexicons
     sorted_terms = [np.sort(found.loc[found["view"] == v, "hash"].to_numpy(np.int64).astype(U64)) for v in range(len(VIEWS))]
@@ -96,7 +97,8 @@ def induce_lexicons(rows: DataFrame, terms: int = TERMS) -> list[np.ndarray]:
 
 
 def evidence(words: Words, raw: np.ndarray, borders: np.ndarray, lexicons: list[np.ndarray]) -> np.ndarray:
-    """A row per text: hits of each lexicon, all words that some lexicon has, words, and shares of capitals, symbols, exclamation marks."""
+    """A row per text: hits of each lexicon, all words that some lexicon has, words, and shares of capitals, symbols,
+    exclamation marks."""
     n = words.last - words.first
     count = lambda which: np.bincount(words.text[which], minlength=n).astype(float)
     hashes = view_hashes(words)
@@ -151,7 +153,8 @@ INPUTS = 12
 
 @dataclass
 class LabelModel:
-    """Two classes; each voter fires with its own probability in each, and counts by a weight that falls with how far it repeats others."""
+    """Two classes; each voter fires with its own probability in each, and counts by a weight that falls with how far
+    it repeats others."""
 
     prior: float
     fires: np.ndarray  # voters x classes
@@ -166,8 +169,9 @@ class LabelModel:
 
 
 def fit_label_model(votes: np.ndarray, counts: np.ndarray, anchored: np.ndarray, rounds: int = 4, steps: int = 40) -> LabelModel:
-    """Expectation maximisation over combinations of votes (rows of 0/1) that occur ``counts`` times. ``anchored`` (rows x classes) are those with a
-    known class; together they weigh as much as all others. After each round, correlations that are left within the classes set the voters' weights."""
+    """Expectation maximisation over combinations of votes (rows of 0/1) that occur ``counts`` times. ``anchored``
+    (rows x classes) are those with a known class; together they weigh as much as all others. After each round,
+    correlations that are left within the classes set the voters' weights."""
     n = votes.shape[1]
     known = anchored.sum()
     scale = counts.sum() / known if known else 0.0
@@ -210,11 +214,12 @@ class ToxicityModel:
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame, folds: int = FOLDS, fold: int = FOLD, sample: int = SAMPLE) -> DataFrame:
-    """One row per row of ``documents`` (doc_id, text): doc_id, row (its number), digest (of the text), held_out, score,
-    predicted.
+    """One row per row of ``documents`` (doc_id, text): doc_id, row (its number), digest (of the text), held_out,
+    score, predicted.
 
-    Null and empty texts are scored like texts without words. Repeated rows score alike; null ids are held out. Without any training label of
-    one of the classes nothing can be learned: every score is 0. Other columns are ignored; an empty table gives an empty one.
+    Null and empty texts are scored like texts without words. Repeated rows score alike; null ids are held out.
+    Without any training label of one of the classes nothing can be learned: every score is 0. Other columns are
+    ignored; an empty table gives an empty one.
     """
     scratch = Scratch(documents.sparkSession)
     train = training_labels(labels, "toxic", folds, fold, sample)
@@ -254,8 +259,8 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, folds: int = FOLDS,
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``documents``, with their columns, that are not predicted to be toxic. A rejected row is known again by its id and its
-    text's digest, so that rows that share an id, or have none, are judged one by one."""
+    """The rows of ``documents``, with their columns, that are not predicted to be toxic. A rejected row is known
+    again by its id and its text's digest, so that rows that share an id, or have none, are judged one by one."""
     found = toxicity_scores(documents, labels).where("predicted = 1")
     found = found.select(F.col("doc_id").alias("found_id"), F.col("digest").alias("found_digest")).distinct()
     same = documents["doc_id"].eqNullSafe(F.col("found_id")) & (F.xxhash64(documents["text"].cast("string")) == F.col("found_digest"))

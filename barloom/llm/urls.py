@@ -1,8 +1,8 @@
 """URL decisions: rules by host and path, propagated to aliases over redirect and canonical-link edges.
 
-A page without a rule of its own takes the decision of its alias group: the connected component of its address over the redirects and
-canonical links that the pages declare. One explicitly allowed address in a group allows its undecided aliases, else one
-explicitly blocked address blocks them, else they are allowed.
+A page without a rule of its own takes the decision of its alias group: the connected component of its address over
+the redirects and canonical links that the pages declare. One explicitly allowed address in a group allows its
+undecided aliases, else one explicitly blocked address blocks them, else they are allowed.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ RULES = (Rule("block", "net"), Rule("allow", "example.net", "/en/"), Rule("block
 
 
 def host_of(url: Column) -> Column:
-    """What follows the first ``://``, up to a slash, question mark, number sign or the end; A-Z lower-cased. Null: empty."""
+    """What follows the first ``://``, up to a slash, question mark, number sign or the end; A-Z lower-cased. Null:
+    empty."""
     return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1), CAPITALS, SMALL)
 
 
@@ -47,7 +48,8 @@ def path_of(url: Column) -> Column:
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> Column:
-    """Struct (rule, verdict) of the longest rule that fits, null if none does; of equally long ones an allowing rule wins."""
+    """Struct (rule, verdict) of the longest rule that fits, null if none does; of equally long ones an allowing rule
+    wins."""
     chosen = F.lit(None).cast("struct<rule:string,verdict:string>")
     for rule in sorted(rules, key=lambda r: (len(r.name), r.verdict == "allow")):
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
@@ -56,7 +58,8 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> Colum
 
 
 def address(url: Column) -> Column:
-    """One name for spellings of an address: no scheme, fragment, tracking parameters or closing slash. Null without ``://``."""
+    """One name for spellings of an address: no scheme, fragment, tracking parameters or closing slash. Null without
+    ``://``."""
     query = F.regexp_extract(url, r"(?s)^[^#]*?\?([^#]*)", 1)
     kept = F.array_join(F.filter(F.split(query, "&"), lambda part: (part != "") & ~part.rlike(TRACKING)), "&")
     return F.when(
@@ -98,9 +101,10 @@ def absolute(target: Column, url: Column) -> Column:
 def judge_pages(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, host, path, rule, verdict, address, alias_of.
 
-    Null urls and urls without ``://`` have an empty host and path, no address and no aliases; they are allowed. Null html declares nothing.
-    Repeated rows are judged alike. A target that is no page has no verdict of its own unless a rule fits it; then it
-    counts in its group like a page. Other columns are ignored. ``alias_of`` is the smallest address of the group.
+    Null urls and urls without ``://`` have an empty host and path, no address and no aliases; they are allowed. Null
+    html declares nothing. Repeated rows are judged alike. A target that is no page has no verdict of its own unless a
+    rule fits it; then it counts in its group like a page. Other columns are ignored. ``alias_of`` is the smallest
+    address of the group.
     """
     scratch = Scratch(pages.sparkSession)
     url = F.col("url").cast("string")

@@ -1,11 +1,13 @@
 """WARC archives: writing, and normalising archives that are one gzip stream.
 
-A whole-file gzip stream can only be read from its start. ``normalise`` inflates each such file once, as a stream,
-and writes every record as a gzip member of its own, so that a record can be read by its offset and length alone; ``index`` is the sidecar
-that has them. All files are read and written by Spark, so any store that it knows will do, and a lost task is only run again.
-
-The text sink ends each row with a separator. Here that is the zero byte, with which a gzip member ends by itself: its last four bytes
-are the length of the record, low byte first. A record of 16 MB or more ends in another byte; it is followed by an empty member.
+A whole-file gzip stream can only be read from its start. ``normalise`` inflates each such file once, as a stream, and
+writes every record as a gzip member of its own, so that a record can be read by its offset and length alone;
+``index`` is the sidecar that has them. All files are read and written by Spark, so any store that it knows will do,
+and a lost task is only run again.
+
+The text sink ends each row with a separator. Here that is the zero byte, with which a gzip member ends by itself: its
+last four bytes are the length of the record, low byte first. A record of 16 MB or more ends in another byte; it is
+followed by an empty member.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ CRLF = "\r\n"
 
 
 def record_plan(pages: DataFrame, scratch: Scratch, least: int = LEAST_SHARED) -> DataFrame:
-    """pages with payload (the html, null is empty), payload_bytes, payload_digest, record_type and refers_to. Of equal payloads of ``least`` bytes
-    or more, that of the largest page_id is the response. Of rows that repeat this page_id, all are; null ids are never referred to."""
+    """pages with payload (the html, null is empty), payload_bytes, payload_digest, record_type and refers_to. Of
+    equal payloads of ``least`` bytes or more, that of the largest page_id is the response. Of rows that repeat this
+    page_id, all are; null ids are never referred to."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     sized = pages.select("page_id", "url", payload.alias("payload")).withColumns(
         {"payload_bytes": F.octet_length("payload").cast("bigint"), "payload_digest": F.sha1("payload")}
@@ -83,7 +86,8 @@ def write_archives(records: DataFrame, path: str, per_archive: int = ARCHIVE_REC
 
 
 def whole_records(lines: Iterable[bytes]) -> Iterator[bytes]:
-    """The records of one archive from its lines (cut at each CRLF), with their closing line ends. A file that breaks off raises ValueError."""
+    """The records of one archive from its lines (cut at each CRLF), with their closing line ends. A file that breaks
+    off raises ValueError."""
     lines = iter(lines)
     for line in lines:
         if not line:
@@ -117,8 +121,8 @@ def member(record: bytes) -> bytes:
 
 
 def normalise(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrite the archives below ``source`` below ``target``, each in a folder ``archive=<its name>``. A gzip file is read by one task, from its start to its end,
-    a line at a time; only one record is held."""
+    """Rewrite the archives below ``source`` below ``target``, each in a folder ``archive=<its name>``. A gzip file is
+    read by one task, from its start to its end, a line at a time; only one record is held."""
     ship_package(spark)
     lines = spark.read.option("lineSep", CRLF).text(source).select(F.col("_metadata.file_name").alias("archive"), F.col("value").cast("binary"))
 
@@ -186,8 +190,9 @@ def _page(name: str | None) -> int | None:
 
 
 def index(spark: SparkSession, archives: str) -> DataFrame:
-    """The records of normalised archives: archive, offset and length of each member, and what the record holds. Size and digest of a response are
-    taken from its payload, those of a revisit from what it says of the payload it leaves out."""
+    """The records of normalised archives: archive, offset and length of each member, and what the record holds. Size
+    and digest of a response are taken from its payload, those of a revisit from what it says of the payload it leaves
+    out."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(archives)
     files = files.select(F.regexp_extract("path", r"archive=([^/]+)/[^/]*$", 1), "content")
@@ -220,10 +225,12 @@ def read_record(data: bytes, offset: int, length: int) -> bytes:
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) as archives, normalise them, and return the stored index of what was read back: one row per row of pages.
+    """Write ``pages`` (page_id, url, html) as archives, normalise them, and return the stored index of what was read
+    back: one row per row of pages.
 
-    Null html is an empty payload; a null url is left out; null ids stay null. Repeated rows are records of their own. Other
-    columns are ignored, an empty table gives no records. ``folder`` (default: a fresh one in the shared folder) gets the normalised archives and the index.
+    Null html is an empty payload; a null url is left out; null ids stay null. Repeated rows are records of their own.
+    Other columns are ignored, an empty table gives no records. ``folder`` (default: a fresh one in the shared folder)
+    gets the normalised archives and the index.
     """
     spark = pages.sparkSession
     scratch = Scratch(spark)

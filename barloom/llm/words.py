@@ -2,8 +2,8 @@
 
 Both word definitions used here are decided byte by byte (every byte from 0x80 on belongs to a word), so a batch of
 texts is one byte array with marked document borders, and nothing is done per word in Python. A word's hash is a
-polynomial in its bytes modulo 2**64, taken from one running sum, so any part of a word can be hashed as well. Work goes in
-slices of a few megabytes; a text or a word longer than a slice is hashed piece by piece.
+polynomial in its bytes modulo 2**64, taken from one running sum, so any part of a word can be hashed as well. Work
+goes in slices of a few megabytes; a text or a word longer than a slice is hashed piece by piece.
 """
 
 from __future__ import annotations
@@ -57,7 +57,8 @@ def powers() -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column, and the place where each text begins (one more than there are texts). Null is empty."""
+    """All bytes of a string column, and the place where each text begins (one more than there are texts). Null is
+    empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -68,8 +69,8 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class Words:
-    """Words of the texts ``first`` to ``last`` of a batch: where each begins and ends in ``data``, and its text's number
-    within the slice."""
+    """Words of the texts ``first`` to ``last`` of a batch: where each begins and ends in ``data``, and its text's
+    number within the slice."""
 
     first: int
     last: int
