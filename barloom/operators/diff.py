@@ -61,11 +61,12 @@ def snapshot_diff(
 ) -> DataFrame:
     """One row of comparison metrics. ``keys=None`` compares row counts only.
 
-    Both sides are stacked and grouped by the key once (NULL keys match each other). Of each side a group keeps numbers only,
-    which stays in hash aggregation and merges copies of a key before the shuffle: how many rows, the smallest and the largest
-    hash of the exactly compared columns, the largest of each double. A key differs if the hashes of its sides do. NULL against a
-    double counts as an infinite difference. A key with copies is compared by these extremes; such a table cannot pass, since copies in
-    the latest side are counted, and copies in the previous side change the row or key counts.
+    Both sides are stacked and grouped by the key once (NULL keys match each other). Of each side a group keeps
+    numbers only, which stays in hash aggregation and merges copies of a key before the shuffle: how many rows, the
+    smallest and the largest hash of the exactly compared columns, the largest of each double. A key differs if the
+    hashes of its sides do. NULL against a double counts as an infinite difference. A key with copies is compared by
+    these extremes; such a table cannot pass, since copies in the latest side are counted, and copies in the previous
+    side change the row or key counts.
     """
     note = _column_note(previous, latest, exclude)
     if keys is None:

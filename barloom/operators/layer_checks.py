@@ -1,7 +1,8 @@
 """The checks of each layer. Names, severities and rules are fixed; the wording of expected and details is free.
 
-Each layer has two functions: one gives the results, a row per check; the other, a frame of failing items per check, which only the failed
-checks' frames are read of. Details carry numbers; the items are in the failures table, all of them.
+Each layer has two functions: one gives the results, a row per check; the other, a frame of failing items per check,
+which only the failed checks' frames are read of. Details carry numbers; the items are in the failures table, all of
+them.
 """
 
 from __future__ import annotations
@@ -246,8 +247,8 @@ def silver_failures(
 
 
 def daily_profile(daily: DataFrame, base: Column, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """One row per entity of the daily table: n_rows, n_duplicated (keys), n_positive (drawdowns), has_base, base_index, last_index, and
-    leading (normal rows before the first volatility, all of them if there is none).
+    """One row per entity of the daily table: n_rows, n_duplicated (keys), n_positive (drawdowns), has_base,
+    base_index, last_index, and leading (normal rows before the first volatility, all of them if there is none).
 
     One partitioning by entity serves the grouping by key, the running count and the grouping by entity.
     """
@@ -289,8 +290,9 @@ def year_products(monthly: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFram
 def _gold_faults(
     tables: dict[str, DataFrame], profile: DataFrame, universe: DataFrame, spec: PanelSpec
 ) -> dict[str, DataFrame]:
-    """The failing rows of the checks that compare entities. With a coverage below 1, an entity without a bar on the base date has
-    neither index nor total return, and its first year none to compound to; at full coverage it is a fault."""
+    """The failing rows of the checks that compare entities. With a coverage below 1, an entity without a bar on the
+    base date has neither index nor total return, and its first year none to compound to; at full coverage it is a
+    fault."""
     entities = universe.select(F.col("ticker").alias(spec.entity))
     here = entities.join(profile, spec.entity, "left")
     started_late = ~holds(F.col("has_base")) & F.lit(spec.min_coverage < 1)
@@ -330,8 +332,8 @@ def gold_checks(
     profile: DataFrame,
     spec: PanelSpec = PanelSpec(),
 ) -> DataFrame:
-    """``tables`` are the five staged tables by name and ``profile`` the stored ``daily_profile`` of the daily one; a comparison that
-    comes out NULL counts as failing."""
+    """``tables`` are the five staged tables by name and ``profile`` the stored ``daily_profile`` of the daily one; a
+    comparison that comes out NULL counts as failing."""
     monthly, yearly = tables["fact_monthly_metrics"], tables["fact_yearly_metrics"]
     faults = _gold_faults(tables, profile, universe, spec)
 

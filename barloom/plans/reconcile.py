@@ -19,8 +19,8 @@ from barloom.spec import NORMAL, ZERO_ALL, ZERO_PARTIAL, PanelSpec
 
 
 def raw_profile(raw: DataFrame) -> DataFrame:
-    """Per entity: rows, runs, first and last source date, rescued rows. Rows are merged per entity and run first, so that counting the runs
-    needs no distinct aggregate."""
+    """Per entity: rows, runs, first and last source date, rescued rows. Rows are merged per entity and run first, so
+    that counting the runs needs no distinct aggregate."""
     per_run = raw.groupBy("ticker", "pipeline_run_id").agg(
         F.struct(
             F.count("*").alias("rows"),
@@ -208,8 +208,8 @@ def null_vol_after_warmup(daily: DataFrame, spec: PanelSpec = PanelSpec()) -> Da
 
 
 def peak_and_trough_rows(summary: DataFrame, daily: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """The daily rows at the reported peak and trough: the peak is a traded day and sets the maximum in force later. One pass over the daily
-    rows, each next to its entity's dates; a date without a row gives none."""
+    """The daily rows at the reported peak and trough: the peak is a traded day and sets the maximum in force later.
+    One pass over the daily rows, each next to its entity's dates; a date without a row gives none."""
     dated = daily.join(summary.select(spec.entity, "peak_date", "trough_date"), spec.entity)
     at_peak, at_trough = (F.col(spec.date) == F.col(c) for c in ("peak_date", "trough_date"))
     found = dated.where(at_peak | at_trough).groupBy(spec.entity, "peak_date", "trough_date").agg(

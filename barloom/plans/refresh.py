@@ -98,8 +98,8 @@ class TaskRun:
         )
 
     def gate(self, checks: DataFrame, failures: dict[str, DataFrame]) -> None:
-        """Evaluate the checks, record every result and every failing item, and raise if a CRITICAL check failed. Of ``failures``
-        (by check name) only those of checks that counted something are read."""
+        """Evaluate the checks, record every result and every failing item, and raise if a CRITICAL check failed. Of
+        ``failures`` (by check name) only those of checks that counted something are read."""
         self.results = checks.collect()
         append_results(self.spark, self.settings, self.results, self.run_id, _now())
         counted = [r["check_name"] for r in self.results if r["failing_count"] != 0 and r["check_name"] in failures]
@@ -149,8 +149,8 @@ def refresh_bronze(spark: SparkSession, settings: Settings, run_id: str, job_run
 def build_silver(
     flagged: DataFrame, source_runs: DataFrame, settings: Settings, run_id: str, processed_at: datetime.datetime
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid typed rows with their volume status and source run, quarantined rows as landed), from typed rows with their reject
-    reasons.
+    """(valid typed rows with their volume status and source run, quarantined rows as landed), from typed rows with
+    their reject reasons.
 
     ``source_runs`` is (ticker, source_run_id). It has one row per entity and so grows with the panel; it carries no
     broadcast hint, the planner decides by its measured size.
@@ -253,7 +253,8 @@ def refresh_gold(spark: SparkSession, settings: Settings, run_id: str, job_run_i
 
 
 def describe_gold(spark: SparkSession, settings: Settings) -> int:
-    """Comments on the published measure tables; a step of its own, so that a failure here leaves the audit of the build as it is."""
+    """Comments on the published measure tables; a step of its own, so that a failure here leaves the audit of the
+    build as it is."""
     return apply_comments(spark, settings, "gold", GOLD_COMMENTS)
 
 

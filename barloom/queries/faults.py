@@ -38,8 +38,8 @@ def _workspace(spark: SparkSession, bars: DataFrame, universe: DataFrame, daily_
 
 @lru_cache(maxsize=4)
 def _faulty_landing(spark: SparkSession, application: str, sf_dir: str) -> Published:
-    """The six series, landed with one fault each: AF declares five rows too many, AO another symbol, NF another source run; NO has two names of its header
-    swapped, RF a field too many in its first line, RO no run summary."""
+    """The six series, landed with one fault each: AF declares five rows too many, AO another symbol, NF another
+    source run; NO has two names of its header swapped, RF a field too many in its first line, RO no run summary."""
     bars = stored(series_bars(spark, sf_dir))
 
     def folder(entity: str) -> Column:
@@ -109,9 +109,10 @@ def judged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faulty_gold(layers: Layers) -> tuple[dict[str, DataFrame], DataFrame]:
-    """(measure tables, silver) of the series with a fault for every check of the measures: NO has its bar of the base date twice, AF its last ten days missing, RF a
-    positive drawdown and RO another index on the base date, AO is missing in the summary and ZZ is too many, NF has another total return
-    and another source run, the months of RF do not compound."""
+    """(measure tables, silver) of the series with a fault for every check of the measures: NO has its bar of the base
+    date twice, AF its last ten days missing, RF a positive drawdown and RO another index on the base date, AO is
+    missing in the summary and ZZ is too many, NF has another total return and another source run, the months of RF do
+    not compound."""
     tables, silver = dict(layers.gold()), layers.silver
     name, daily, summary = F.col("ticker"), tables["fact_daily_metrics"], tables["ticker_summary"]
     on_base = F.col("trade_date") == layers.base

@@ -52,9 +52,9 @@ def daily_bars(items: DataFrame, entity: Column) -> DataFrame:
 def fill_gaps(bars: DataFrame) -> DataFrame:
     """Give every entity a bar on every date of the panel from its own first date on.
 
-    A missing date repeats the last close at volume 0. The panel's dates are numbered, a list that the calendar bounds; each
-    bar spreads over the numbers up to the entity's next bar, so exactly the rows of the result are made and a stray
-    date far away costs nothing.
+    A missing date repeats the last close at volume 0. The panel's dates are numbered, a list that the calendar
+    bounds; each bar spreads over the numbers up to the entity's next bar, so exactly the rows of the result are made
+    and a stray date far away costs nothing.
     """
     dates = bars.select("trade_date").distinct()
     numbered = dates.select("trade_date", F.row_number().over(Window.orderBy("trade_date")).alias("n"))

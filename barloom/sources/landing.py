@@ -32,8 +32,8 @@ class UnknownFolder(ValueError):
 
 
 def file_path() -> Column:
-    """The path of the file that a row comes from, as its name is written in the store. The file source gives it percent-encoded, with plus signs
-    as they are."""
+    """The path of the file that a row comes from, as its name is written in the store. The file source gives it
+    percent-encoded, with plus signs as they are."""
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
@@ -49,8 +49,8 @@ def with_entity(landed: DataFrame, settings: Settings) -> DataFrame:
 
 
 def require_known_folders(spark: SparkSession, settings: Settings) -> None:
-    """Raise if a landed file lies in a folder of no entity. The message gives the number of such folders and the first of them by name;
-    ``unknown_folders`` lists them all."""
+    """Raise if a landed file lies in a folder of no entity. The message gives the number of such folders and the
+    first of them by name; ``unknown_folders`` lists them all."""
     found = unknown_folders(spark, settings).agg(F.count("*").alias("n"), F.min("folder").alias("first")).first()
     if found["n"]:
         raise UnknownFolder(f"{found['n']} landed folders of no configured entity, the first is {found['first']!r}")
