@@ -3,6 +3,7 @@
 import datetime
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -56,7 +57,8 @@ def main():
 
     sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
     wanted = sys.argv[2:]
-    spark, con, sql = local_session(8), connect(sf_dir), oracle_sql()
+    spark = local_session(8, folder=tempfile.mkdtemp(prefix="barloom-compare-"))
+    con, sql = connect(sf_dir), oracle_sql()
     bad = 0
     for name, function in queries().items():
         if wanted and name not in wanted:
