@@ -89,6 +89,28 @@ def test_checksums_and_context():
     assert near.score > far.score > find_spans("order +1 555 555 0123")[0].score
 
 
+def test_iban_before_other_words():
+    codes = ["DE89370400440532013000", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "MT84MALT011000012345MTLCAST001S"]
+    followers = [" BIC COBADEFFXXX", " OR", " 2024", " A B C D", " BICode", " 1", ", BIC X", ".", "", " and", "\nBIC", " GB82WEST12345698765433"]
+    for code in codes:
+        for follower in followers:
+            for before in ("", "to ", "FROM AB12 ", "IBAN XY00 1234 1234 1234 "):
+                spans = [s for s in find_spans(before + code + follower) if s.kind not in BASE]
+                assert [(s.kind, s.begin, s.end) for s in spans] == [("iban", len(before), len(before) + len(code))], (before, code, follower)
+    both = f"{codes[0]} {codes[2]} BIC {codes[1]} 2024 {codes[3]}"
+    assert redact(both, find_spans(both)) == "[IBAN] [IBAN] BIC [IBAN] 2024 [IBAN]"
+    assert find_spans("GB82WEST12345698765433 OR") == find_spans("xGB82WEST12345698765432 OR") == find_spans(codes[1] + "x") == []
+    assert [s.end for s in find_spans("DE89370400440532013000 99")] == [22]
+
+
+def test_iban_in_the_pipeline_stage(spark):
+    import corpus_pipeline
+
+    docs = documents(spark, ["Pay DE89370400440532013000 BIC COBADEFFXXX", "GB82 WEST 1234 5698 7654 32 2024"])
+    rows = corpus_pipeline.pii(spark, docs, SF).collect()
+    assert [(r["text"], r["n_chars"]) for r in rows] == [("Pay [IBAN] BIC COBADEFFXXX", 26), ("[IBAN] 2024", 11)]
+
+
 def test_redaction(spark):
     text = "Mail me@x.org, 4111 1111 1111 1111 or +1 555 555 0199 é"
     assert redact(text, find_spans(text)) == "Mail [EMAIL], [CARD] or [PHONE] é"
