@@ -1,19 +1,20 @@
 """Document fingerprints: every shingle hash below a fixed fraction of the range.
 
 The size of such a sketch follows the size of the text, so sketches of very unequal documents can be held against
-each other, and the sketch of several texts is the union of theirs. Only built-in functions are used.
+each other, and the sketch of several texts is the union of theirs. A short text has too few hashes below the limit, or
+none; where one of two texts is short, they are held against each other by all hashes. Only built-in functions are used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
 #: One hash in so many is kept.
 SCALE = 8
+#: Pairs in which a text has fewer distinct shingles are compared by all hashes, others by their sketches.
+EXACT = 1024
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,16 +49,34 @@ def merge_sketches(a: Column, b: Column, scale: int = SCALE) -> Column:
 
 def containment(a: Column, b: Column) -> Column:
     """The share of the smaller sketch that the larger one holds, 0 to 1. Two empty ones are alike, an empty and
-    another not."""
+    another not. Arrays of all distinct hashes give the exact share; sketches of texts with few shingles are of no use
+    here, see ``likeness``."""
     smaller = F.least(F.size(a), F.size(b))
     return F.when(smaller > 0, F.size(F.array_intersect(a, b)) / smaller).otherwise((F.size(a) == F.size(b)).cast("double"))
 
 
+def likeness(hashes: Column, sketch: Column, other_hashes: Column, other_sketch: Column) -> Column:
+    """The containment of two texts by their distinct hashes if one of them has fewer than ``EXACT``, else by their
+    sketches."""
+    short = F.least(F.size(hashes), F.size(other_hashes)) < EXACT
+    return F.when(short, containment(hashes, other_hashes)).otherwise(containment(sketch, other_sketch))
+
+
 def written(sketch: Column) -> Column:
     """A sketch as text: its hashes in hexadecimal, comma-joined."""
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), ",")
 
 
+def with_hashes(rows: DataFrame, text: Column, prefix: str = "", scale: int = SCALE) -> DataFrame:
+    """The frame with columns ``hashes`` (distinct) and ``sketch``, their names preceded by ``prefix``. Narrow."""
+    return (
+        rows.withColumn("_words", words_of(text))
+        .withColumn(f"{prefix}hashes", F.array_distinct(shingle_hashes(F.col("_words"))))
+        .withColumn(f"{prefix}sketch", sketch_of(F.col(f"{prefix}hashes"), scale))
+        .drop("_words")
+    )
+
+
 def fingerprints(documents: DataFrame, text: str = "text", scale: int = SCALE) -> DataFrame:
     """The frame with a column ``sketch``. Narrow; null and empty texts have an empty sketch."""
     return (
@@ -68,15 +87,12 @@ def fingerprints(documents: DataFrame, text: str = "text", scale: int = SCALE) -
     )
 
 
-def with_next(
-    documents: DataFrame, columns: list[str], blocks: int, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows
-) -> DataFrame:
+def with_next(documents: DataFrame, columns: list[str], blocks: int) -> DataFrame:
     """Each row of ``documents`` with ``next``, a struct of ``columns`` of the row that follows by doc_id (then text;
     the first one follows the last). Null ids come first.
 
     The ids are cut into ``blocks`` ranges of about equal counts; each range is one partition's window, and takes a
-    copy of the next range's first row along. The texts move once. ``prepare`` adds columns to the rows before they
-    move.
+    copy of the next range's first row along. The texts move once.
     """
     ids = documents.select("doc_id")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] if blocks > 1 else []
@@ -110,7 +126,8 @@ def with_next(
     rank = [F.col("_guest"), F.col("doc_id").asc_nulls_first(), F.coalesce("text", F.lit(""))]
     window = Window.partitionBy("_block").orderBy(*rank)
     return (
-        prepare(placed.withColumn("_guest", F.lit(False)).unionByName(guests))
+        placed.withColumn("_guest", F.lit(False))
+        .unionByName(guests)
         .withColumn("next", F.lead(F.struct(*columns)).over(window))
         .where("NOT _guest")
         .drop("_block", "_guest")

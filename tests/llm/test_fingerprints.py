@@ -60,3 +60,23 @@ def test_query(spark):
         assert r["n_chars"] == len(texts[i]) and r["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest()
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         assert (r["fingerprint"] == r["edited_fingerprint"]) or shingles(texts[i]) != shingles(new)
+
+
+def test_short_texts_in_long_ones(spark, tmp_path):
+    """A text is followed by one that holds it whole, or in part; short ones have few hashes below the limit, or none."""
+    texts = []
+    for k in (1, 4, 5, 6, 9, 10, 14, 30, 80, 200, 700):
+        for copy in range(6):
+            own = [f"k{k}c{copy}w{i}" for i in range(k)]
+            long = " ".join([*(f"x{k}c{copy}w{i}" for i in range(1500)), *own[: k - copy % 2 * (k // 3)], *own[:1]])
+            texts += [" ".join(own), long] if copy < 4 else [" ".join(own * (4000 // k)), " ".join(own)]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in op5_fingerprints(spark, str(tmp_path)).collect()}
+    share = lambda a, b: len(a & b) / min(len(a), len(b))
+    for i, text in enumerate(texts):
+        following = texts[(i + 1) % len(texts)]
+        new = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        sets = [shingles(t) for t in (text, new, following)]
+        for name, other in (("near_edited", sets[1]), ("near_next", sets[2])):
+            error = abs(rows[i][name] - share(sets[0], other))
+            assert error < (1e-9 if min(len(sets[0]), len(other)) < 1024 else 0.12), (i, name, rows[i][name])
