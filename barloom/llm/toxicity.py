@@ -24,7 +24,7 @@ from barloom.llm.scratch import Scratch
 from barloom.llm.words import LETTERS, U64, Words, hash_parts, mix, text_bytes, word_slices
 
 FOLDS, FOLD = 5, 0
-#: Labelled rows that lexicons are induced from, and terms of all lexicons, at most.
+#: Labelled rows that lexicons are induced from, at most, and terms of all lexicons; if more pass, an error is raised.
 SAMPLE, TERMS = 20_000, 20_000
 #: Labelled rows that a term must be in, and how much more often it must be in toxic ones than in others.
 SUPPORT, RATIO = 4, 50.0
@@ -53,17 +53,14 @@ def view_hashes(words: Words) -> list[np.ndarray]:
     return out
 
 
-def _term_counts(rows: DataFrame, terms: list[np.ndarray] | None) -> DataFrame:
-    """(view, hash, docs): in how many texts of ``rows`` each term is; of all terms, or of the given sorted ones per
-    view."""
+def _term_counts(rows: DataFrame) -> DataFrame:
+    """(view, hash, docs): in how many texts of ``rows`` each term is."""
 
     def batches(stream):
         for batch in stream:
             for words in word_slices(batch.column(0), LETTERS):
                 for view, h in enumerate(view_hashes(words)):
                     keep = h != 0
-                    if terms is not None:
-                        keep &= _member(h, terms[view])[0]
                     pairs = np.unique(np.stack([words.text[keep].astype(U64), h[keep]], axis=1), axis=0) if keep.any() else np.empty((0, 2), U64)
                     found, docs = np.unique(pairs[:, 1], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
@@ -84,16 +81,17 @@ def _member(h: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def induce_lexicons(rows: DataFrame, terms: int = TERMS) -> list[np.ndarray]:
     """Per view, the sorted hashes of its terms, from labelled rows (text, label). A term is in ``SUPPORT`` toxic
-    texts at least, and ``RATIO`` times as often in toxic ones as in others."""
-    toxic = _term_counts(rows.where("label = 1"), None).where(F.col("docs") >= SUPPORT)
-    found = toxic.orderBy(F.desc("docs"), "view", "hash").limit(terms).toPandas()  # the bound of the lexicons
-    sorted_terms = [np.sort(found.loc[found["view"] == v, "hash"].to_numpy(np.int64).astype(U64)) for v in range(len(VIEWS))]
-    other = _term_counts(rows.where("label = 0"), sorted_terms).toPandas()  # no more rows than there are terms
-    sizes = rows.groupBy("label").count().toPandas().set_index("label")["count"]
-    both = found.merge(other, on=["view", "hash"], how="left", suffixes=("", "_other")).fillna({"docs_other": 0})
-    ratio = (both["docs"] / max(1, sizes.get(1, 0))) / ((both["docs_other"] + 0.5) / max(1, sizes.get(0, 0)))
-    both = both[ratio >= RATIO]
-    return [np.sort(both.loc[both["view"] == v, "hash"].to_numpy(np.int64).astype(U64)) for v in range(len(VIEWS))]
+    texts at least, and ``RATIO`` times as often in toxic ones as in others. Both tests are made in Spark, on all terms;
+    if more than ``terms`` pass, a ValueError is raised."""
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    toxic = _term_counts(rows.where("label = 1")).where(F.col("docs") >= SUPPORT)
+    other = _term_counts(rows.where("label = 0")).withColumnRenamed("docs", "docs_other")
+    docs_other = F.coalesce("docs_other", F.lit(0)) + 0.5
+    ratio = (F.col("docs") / max(1, sizes.get(1, 0))) / (docs_other / max(1, sizes.get(0, 0)))
+    found = toxic.join(other, ["view", "hash"], "left").where(ratio >= RATIO).select("view", "hash").limit(terms + 1).toPandas()
+    if len(found) > terms:
+        raise ValueError(f"more than {terms} terms pass the tests of the lexicons")
+    return [np.sort(found.loc[found["view"] == v, "hash"].to_numpy(np.int64).astype(U64)) for v in range(len(VIEWS))]
 
 
 def evidence(words: Words, raw: np.ndarray, borders: np.ndarray, lexicons: list[np.ndarray]) -> np.ndarray:

@@ -12,7 +12,7 @@ import corpus_pipeline  # noqa: E402
 from barloom.llm.folds import held_out  # noqa: E402
 from barloom.llm.queries import op8_toxicity, op9_quality  # noqa: E402
 from barloom.llm.quality import calibrated, quality_scores  # noqa: E402
-from barloom.llm.toxicity import fit_label_model, toxicity_scores, without_toxic  # noqa: E402
+from barloom.llm.toxicity import fit_label_model, induce_lexicons, toxicity_scores, without_toxic  # noqa: E402
 from plain import SF, documents, hit_words, near_groups, table  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -72,6 +72,17 @@ def odd(spark):
     return docs, table(spark, labels, "doc_id long, quality int, toxic int, text string")
 
 
+def test_rare_terms_are_tested_among_many_ordinary_words(spark):
+    ordinary = " ".join(f"ka{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300))
+    rows = [(f"{ordinary} zorgle" if i < 5 else ordinary, 1) for i in range(12)] + [(ordinary, 0)] * 100
+    labelled = table(spark, rows, "text string, label int")
+    # The whole word and its first 4 and 5 letters; far more ordinary terms than the bound are in more toxic texts.
+    assert [len(v) for v in induce_lexicons(labelled, 50)] == [1, 1, 1, 0]
+    assert [len(v) for v in induce_lexicons(labelled, 3)] == [1, 1, 1, 0]
+    with pytest.raises(ValueError, match="more than 2 terms"):
+        induce_lexicons(labelled, 2)
+
+
 @pytest.mark.parametrize("score", [toxicity_scores, quality_scores])
 def test_odd_rows(spark, odd, score):
     docs, labels = odd
