@@ -27,8 +27,9 @@ from barloom.llm.words import U64, UNSPACED, Words, grams, mix, numbers, within,
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
-#: Pairs whose signatures agree less are not verified: five standard deviations of the estimate below the limit.
-LEAST_ESTIMATE = 0.58
+#: Pairs whose signatures agree less are not verified: a pair at the limit has less once in forty million, far more
+#: rarely than it shares no band.
+LEAST_ESTIMATE = 0.55
 #: Members of a star that one task verifies together, and classes on each side of a tile.
 STAR, TILE = 256, 512
 

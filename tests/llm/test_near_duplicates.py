@@ -1,3 +1,4 @@
+import math
 import random
 import sys
 from pathlib import Path
@@ -68,3 +69,12 @@ def test_repeated_and_missing_ids(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r["text"]) for r in kept.collect()) == sorted([text, "None", "alone in the world"])
     assert near_duplicates(docs.limit(0)).count() == 0 and one_of_each(docs.limit(0)).count() == 0
+
+
+def test_the_estimate_loses_pairs_more_rarely_than_the_bands():
+    """A pair at the limit: the chance that too few of its minima agree, by the binomial distribution, and that of no band."""
+    n, same = neardup.BANDS * neardup.ROWS, neardup.PERCENT / 100
+    agree = same + (1 - same) / 256  # signatures have 8 bits
+    passes = [(m / n - 1 / 256) * 256 / 255 >= neardup.LEAST_ESTIMATE for m in range(n + 1)]
+    lost = sum(math.comb(n, m) * agree**m * (1 - agree) ** (n - m) for m in range(n + 1) if not passes[m])
+    assert lost < (1 - same**neardup.ROWS) ** neardup.BANDS / 5
