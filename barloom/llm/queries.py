@@ -14,8 +14,13 @@ from barloom.llm.neardup import near_duplicates
 from barloom.llm.packing import pack
 from barloom.llm.pii import BASE, KINDS, with_spans
 from barloom.llm.quality import quality_scores
+from barloom.llm.resampling import resample
+from barloom.llm.secret_scan import BASE as SECRET_BASE
+from barloom.llm.secret_scan import KINDS as SECRET_KINDS
+from barloom.llm.secret_scan import with_secrets
 from barloom.llm.tokens import token_counts
 from barloom.llm.toxicity import toxicity_scores
+from barloom.llm.trie import conversation_trie
 from barloom.llm.urls import judge_pages
 from barloom.llm.warc import archive_pages
 
@@ -106,11 +111,37 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limit_table(length_histogram(token_counts(read(spark, sf_dir, "documents"))))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read(spark, sf_dir, "conversations"), group=20).drop("name")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_secrets(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.col("secret_spans").alias("s"))
+
+    def of(kinds):
+        return F.filter("s", lambda s: s["kind"].isin(*kinds))
+
+    def listed(kinds):
+        return F.array_join(F.transform(of(kinds), lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(of([kind])).cast("bigint").alias(f"n_{kind}") for kind in SECRET_BASE],
+        F.sha2(listed(SECRET_BASE), 256).alias("base_sha256"),
+        listed([kind.name for kind in SECRET_KINDS]).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_pii, op3_minhash_neardup, op4_url_filter, op5_fingerprints, op6_best_fit_packing, op7_warc_normaliser, op8_toxicity,
-        op9_quality, op10_token_counts,
+        op9_quality, op10_token_counts, op11_importance_resampling, op12_conversation_trie, op13_secret_scan,
     )
 }
 
@@ -210,9 +241,80 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page IS NOT NULL AND pa
 FROM p LEFT JOIN kept USING (payload_digest)
 """
 
+# The checksum's table from its polynomial, and a checksum over the bytes of a text ``{0}``.
+_CRC_TABLE = """
+    steps(n, v, k) AS (SELECT range, range, 0 FROM range(256)
+        UNION ALL SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM steps WHERE k < 8),
+    crc AS (SELECT list(v ORDER BY n) AS t FROM steps WHERE k = 8)"""
+_CRC = (
+    "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen({0}) + 1), "
+    "lambda i: ('0x' || substr(hex(encode({0})), 2 * i - 1, 2))::BIGINT)), "
+    "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+)
+
+_RESAMPLING = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT r, unnest(w) AS word FROM d),
+bw AS (SELECT unnest(w) AS word FROM b),
+vocabulary AS (SELECT word, {_CRC.format("word")} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN vocabulary USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN vocabulary USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (S_all + 10000) AS DOUBLE)
+        / CAST((s + 1) * (T_all + 10000) AS DOUBLE))) AS BIGINT) AS gain
+    FROM s LEFT JOIN t USING (bucket), (SELECT count(*) AS S_all FROM dw), (SELECT count(*) AS T_all FROM bw)),
+weights AS (SELECT r, sum(gain) AS weight FROM dw JOIN vocabulary USING (word) JOIN gains USING (bucket) GROUP BY r),
+scores AS (
+    SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT
+            + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM d LEFT JOIN weights USING (r)),
+drawn AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS place, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scores LEFT JOIN drawn USING (r)
+"""
+
+_TRIE = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+turns AS (
+    SELECT conv_id, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS said, turn,
+        CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS words
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(said)) - 1 AS pos FROM turns),
+convs AS (
+    SELECT conv_id AS c, conv_id - conv_id % 20 AS base, {_CRC.format("CAST(conv_id AS VARCHAR)")} % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns), crc),
+joined AS (
+    SELECT c, 0 AS part, pos, said, words FROM convs JOIN own ON own.conv_id = base AND pos < h
+    UNION ALL SELECT c, 1, pos, said, words FROM convs JOIN own ON own.conv_id = c AND pos >= h),
+built AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth, said, words FROM joined),
+paths(c, depth, path, words) AS (
+    SELECT c, CAST(0 AS BIGINT), '', CAST(0 AS BIGINT) FROM convs
+    UNION ALL SELECT paths.c, built.depth, sha256(path || sha256(said)), built.words FROM paths JOIN built ON built.c = paths.c AND built.depth = paths.depth + 1),
+parents AS (SELECT p.*, q.path AS above FROM paths p LEFT JOIN paths q ON q.c = p.c AND q.depth = p.depth - 1),
+nodes AS (SELECT depth, path, min(c) AS conv_id, count(*) AS n_convs, any_value(above) AS above, any_value(words) AS words FROM parents GROUP BY depth, path),
+children AS (SELECT depth - 1 AS depth, above AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, path)),
+below(depth, path, level, node) AS (
+    SELECT depth, path, depth, path FROM nodes
+    UNION ALL SELECT below.depth, below.path, n.depth, n.path FROM below JOIN nodes n ON n.above = below.node AND n.depth = below.level + 1),
+totals AS (
+    SELECT below.depth, below.path, sum((n_convs - 1) * words) AS saved_tokens, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+    FROM below JOIN counted ON counted.depth = below.level AND counted.path = below.node GROUP BY ALL),
+ends AS (
+    SELECT depth, path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends
+    FROM (SELECT c, max(depth) AS depth, max_by(path, depth) AS path FROM paths GROUP BY c) GROUP BY depth, path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM counted n JOIN totals USING (depth, path) LEFT JOIN ends USING (depth, path) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.above
+"""
+
 ORACLE = {
     "op1_decontamination": _DECONTAMINATION,
     "op3_minhash_neardup": _NEAR_DUPLICATES,
     "op4_url_filter": _URL_FILTER,
     "op7_warc_normaliser": _RECORDS,
+    "op11_importance_resampling": _RESAMPLING,
+    "op12_conversation_trie": _TRIE,
 }
