@@ -385,8 +385,8 @@ def prefix_trie(scratch: Scratch, turns: DataFrame, sizes: DataFrame) -> DataFra
         "n_leaves",
         "saved_tokens",
     )
-    at_root = ends.where("depth = 0").select("name", "ends_sha256")
-    root = root.join(at_root, "name", "left").withColumn("ends_sha256", F.coalesce("ends_sha256", none))
+    at_root = ends.where("depth = 0").first()  # one row at most
+    root = root.withColumn("ends_sha256", F.lit(at_root["ends_sha256"]) if at_root else none)
     return below.unionByName(root.where("n_convs > 0"))
 
 
