@@ -15,7 +15,10 @@ from barloom.operators.performance import register_window_performance, store_blo
 from barloom.queries.layers import Layers, series_layers, supplier_layers
 from barloom.queries.registry import query, rounded
 from barloom.session import shared_folder, stored
+from barloom.settings import SOURCE_COLUMNS
 from barloom.sources.bars import supplier_panel
+from barloom.sources.drift import document_drift, document_paths, landed_documents
+from barloom.sources.landing import folder_of, read_lines
 
 #: Ranges that are asked for: all days, whole years, parts of blocks, one block, a range that begins on a day without
 #: trade in every series, single days, nothing.
@@ -109,3 +112,80 @@ def monthly_bar_differences(spark, sf_dir):
     daily = stored(supplier_panel(spark, sf_dir))
     label = F.date_sub(F.trunc("trade_date", "month"), 1)
     return reconcile_bars(daily, coarse_bars(daily, label), month_after, 32)
+
+
+def landed_event_lines(events: DataFrame, folder: str) -> None:
+    """Events as CSV lines of eight columns, a folder per kind of event. Of nine ids, one each gives a field too many,
+    two too few, a quoted field with a comma that fits, one that does not and an empty one behind it, three too many,
+    seven too few, and a quoted one with quotes in it."""
+    number = F.col("event_id").cast("string")
+    fitting = [number, *[F.lit(str(v)) for v in (10, 12, 9, 11, 10.5)]]
+
+    def line(*fields) -> Column:
+        return F.concat_ws(",", *[F.lit(f) if isinstance(f, str) else f for f in fields])
+
+    user, stamp, n = F.col("user_id").cast("string"), "noon", F.col("event_id") % 9
+    text = (
+        F.when(n == 1, line(*fitting, user, stamp, F.concat(F.lit("x"), number)))
+        .when(n == 2, line(*fitting))
+        .when(n == 3, line(*fitting, F.concat(F.lit('"'), user, F.lit(',5"')), stamp))
+        .when(n == 4, line(*fitting, user, stamp, F.concat(F.lit('"a,'), number, F.lit('"')), ""))
+        .when(n == 5, line(*fitting, user, stamp, "p", "q", "r"))
+        .when(n == 6, line(number))
+        .when(n == 7, line(*fitting, user, stamp, F.concat(F.lit('"say \\"hi\\" '), number, F.lit('"'))))
+        .otherwise(line(*fitting, user, stamp))
+    )
+    # One column whose name is the header line, written as it is.
+    lines = events.select(text.alias(",".join(SOURCE_COLUMNS)), F.col("event_type").alias("folder"))
+    lines.write.partitionBy("folder").options(header=True, sep="\u0001", quote="", escapeQuotes=False).csv(folder)
+
+
+@query
+def rescued_fields(spark, sf_dir):
+    """Landed lines of every shape: the fields that fit, and the places and texts of those that do not."""
+    folder = shared_folder(spark)
+    landed_event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), folder)
+    lines = read_lines(spark, f"{folder}/*/*.csv", SOURCE_COLUMNS)
+    return lines.select(
+        F.col(SOURCE_COLUMNS[0]).alias("event"), "open", "adjclose", "volume", "ingested_at_utc", "_rescued_data", folder_of(F.col("source_file")).alias("folder")
+    )
+
+
+def landed_supplier_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run summary per supplier, landed and read. Numbers of suppliers divisible by 3 have a field too many, by 5 no
+    run id, by 7 a count as text, by 11 a null interval, by 13 text instead of the intervals, by 17 no JSON at all."""
+    counted = supplier_panel(spark, sf_dir).groupBy("ticker").agg(F.count("*").alias("n"), F.max("trade_date").alias("last"))
+    number = F.col("ticker").cast("bigint")
+
+    def every(k: int, text, otherwise) -> Column:
+        return F.when(number % k == 0, text).otherwise(otherwise)
+
+    n = F.col("n").cast("string")
+    rows = every(7, F.concat(F.lit('"'), n, F.lit('"')), n)
+    last = F.concat(F.lit('{"date_max":"'), F.date_format("last", "yyyy-MM-dd"), F.lit('","duplicate_dates":0,"rows":'))
+    daily, weekly = F.concat(last, rows, F.lit("}")), every(11, "null", F.concat(last, n, F.lit("}")))
+    monthly = F.concat(last, n, F.lit("}"))
+    intervals = F.concat(F.lit('{"1d":'), daily, F.lit(',"1wk":'), weekly, F.lit(',"1mo":'), monthly, F.lit("}"))
+    text = F.concat(
+        F.lit('{"ticker":"'), F.col("ticker"), F.lit('","stock":"S","intervals":'),
+        every(13, '"none"', intervals), every(5, "", ',"run_id":"r"'),
+        every(3, F.concat(F.lit(',"vendor":{"name":"v'), F.col("ticker"), F.lit('","ids":[1,"x"]}')), ""), F.lit("}"),
+    )
+    folder = shared_folder(spark)
+    every_text = every(17, "not json {", text).alias("value")
+    counted.select(every_text, F.col("ticker").alias("folder")).repartition("folder").write.partitionBy("folder").text(folder)
+    return landed_documents(spark, f"{folder}/*/*.txt").withColumn("source_file", F.substring_index(folder_of(F.col("source_file")), "=", -1))
+
+
+@query
+def summary_drift(spark, sf_dir):
+    """Per supplier's run summary: fields that are added, missing or of another type, and texts that are no JSON."""
+    drift = document_drift(landed_supplier_documents(spark, sf_dir))
+    return drift.withColumnRenamed("source_file", "ticker")
+
+
+@query
+def summary_structure(spark, sf_dir):
+    """Every path of the landed run summaries, with its types and how many documents have it so."""
+    paths = document_paths(landed_supplier_documents(spark, sf_dir))
+    return paths.groupBy("path", "kind").agg(F.count("*").alias("n_documents"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.queries.oracle import BARS, ITEMS, ORACLE, SERIES, SUPPLIERS
+from barloom.queries.oracle import BARS, ITEMS, ORACLE, SERIES, SUPPLIERS, over
 
 ASKED = """asked(asked, a, b) AS (VALUES
   ('all', DATE '1990-01-01', DATE '2000-12-31'), ('one year', DATE '1995-01-01', DATE '1995-12-31'),
@@ -59,6 +59,40 @@ FROM compared
 UNION ALL SELECT ticker, CAST(label + 20000 AS DATE), 0, FALSE, FALSE, FALSE, FALSE, FALSE, 'no daily bars' FROM made WHERE k % 5 <> 0 AND k % 17 = 0
 UNION ALL SELECT ticker, NULL, n_sessions, FALSE, FALSE, FALSE, FALSE, FALSE, 'no label' FROM lost"""
 
+RESCUED = """SELECT CAST(event_id AS VARCHAR) AS event, CASE WHEN n <> 6 THEN '10' END AS open, CASE WHEN n <> 6 THEN '10.5' END AS adjclose,
+  CASE n WHEN 2 THEN NULL WHEN 6 THEN NULL WHEN 3 THEN user_id || ',5' ELSE CAST(user_id AS VARCHAR) END AS volume,
+  CASE WHEN n NOT IN (2, 6) THEN 'noon' END AS ingested_at_utc,
+  CASE n WHEN 1 THEN '{"8":"x' || event_id || '"}' WHEN 2 THEN '{"6":null,"7":null}' WHEN 4 THEN '{"8":"a,' || event_id || '","9":""}'
+    WHEN 5 THEN '{"8":"p","9":"q","10":"r"}' WHEN 6 THEN '{"1":null,"2":null,"3":null,"4":null,"5":null,"6":null,"7":null}'
+    WHEN 7 THEN '{"8":"say \\"hi\\" ' || event_id || '"}' END AS _rescued_data,
+  'folder=' || event_type AS folder
+FROM (SELECT *, event_id % 9 AS n FROM events)"""
+
+# The documents as text, opened by SQL's own JSON functions.
+DOCUMENTS = """counted AS (
+  SELECT ticker, CAST(ticker AS BIGINT) AS k, CAST(count(*) AS VARCHAR) AS n, strftime(max(trade_date), '%Y-%m-%d') AS last FROM bars GROUP BY ticker),
+parts AS (
+  SELECT *, '{"date_max":"' || last || '","duplicate_dates":0,"rows":' AS head, CASE WHEN k % 7 = 0 THEN '"' || n || '"' ELSE n END AS daily FROM counted),
+documents_ AS (
+  SELECT ticker, k, CASE WHEN k % 17 <> 0 THEN CAST('{"ticker":"' || ticker || '","stock":"S","intervals":' || CASE WHEN k % 13 = 0 THEN '"none"' ELSE
+      '{"1d":' || head || daily || '},"1wk":' || CASE WHEN k % 11 = 0 THEN 'null' ELSE head || n || '}' END || ',"1mo":' || head || n || '}}' END
+    || CASE WHEN k % 5 = 0 THEN '' ELSE ',"run_id":"r"' END
+    || CASE WHEN k % 3 = 0 THEN ',"vendor":{"name":"v' || ticker || '","ids":[1,"x"]}' ELSE '' END || '}' AS JSON) END AS document
+  FROM parts),
+opened AS (
+  SELECT ticker, replace(regexp_replace(t.fullkey[3:], '\\[[0-9]+\\]', '[]', 'g'), '"', '') AS path,
+    CASE t.type WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID' ELSE t.type END AS kind
+  FROM documents_, json_tree(document) t WHERE document IS NOT NULL AND t.parent IS NOT NULL),
+paths AS (SELECT ticker, path, string_agg(DISTINCT kind, '|' ORDER BY kind) AS kind FROM opened GROUP BY ticker, path)"""
+DRIFT = """declared(path, declared) AS (
+  SELECT * FROM (VALUES ('ticker', 'STRING'), ('stock', 'STRING'), ('run_id', 'STRING'), ('intervals', 'OBJECT'))
+  UNION ALL SELECT 'intervals.' || i || f, t FROM (VALUES ('1d'), ('1wk'), ('1mo')) a(i),
+    (VALUES ('', 'OBJECT'), ('.date_max', 'STRING'), ('.duplicate_dates', 'BIGINT'), ('.rows', 'BIGINT')) b(f, t)),
+owed AS (SELECT ticker, path, declared FROM documents_, declared WHERE document IS NOT NULL)
+SELECT ticker, path, CASE WHEN declared IS NULL THEN 'added' WHEN kind IS NULL THEN 'missing' ELSE 'retyped' END AS change, declared, kind AS found
+FROM owed FULL JOIN paths USING (ticker, path) WHERE declared IS DISTINCT FROM kind AND coalesce(kind, '') <> 'VOID'
+UNION ALL SELECT ticker, '', 'not JSON', NULL, NULL FROM documents_ WHERE document IS NULL"""
+
 
 def after(ctes: list[str], rest: str) -> str:
     """``rest`` has tables of its own before its SELECT."""
@@ -71,6 +105,9 @@ MONTH_BEFORE = "CAST(CAST(date_trunc('month', trade_date) AS DATE) - 1 AS DATE)"
 
 ORACLE.update(
     {
+        "rescued_fields": RESCUED,
+        "summary_drift": after([*SUPPLIER_BARS, DOCUMENTS], DRIFT),
+        "summary_structure": over([*SUPPLIER_BARS, DOCUMENTS], "SELECT path, kind, count(*) AS n_documents FROM paths GROUP BY path, kind"),
         "window_performance_ranges": after([*SERIES, ASKED], PERFORMANCE),
         "supplier_window_performance": after([*SUPPLIERS, ASKED], PERFORMANCE),
         "drawdown_episode_list": after(SERIES, EPISODES),

@@ -625,9 +625,9 @@ def faulty_landing_check_results(spark, sf_dir):
 
 @query
 def faulty_landing_failures(spark, sf_dir):
-    """All failing items of the landing; of a rescued line its last field, of a header its text."""
+    """All failing items of the landing; of a header its text."""
     found = faulty_landing(spark, sf_dir).table("ops", "check_failures").where(F.col("pipeline_run_id") == FAULTY_LANDING)
-    value = F.regexp_replace("value", "^.*( header=)|^.*(,extra)$", "$1$2")
+    value = F.regexp_replace("value", "^.*( header=)", "$1")
     return found.select("check_name", "entity", "trade_date", F.ltrim(value).alias("value"))
 
 
@@ -641,7 +641,8 @@ def rescued_lines(spark, sf_dir):
     """Landed rows of the entity whose first line has a field too many."""
     raw = landing.read_daily(spark, faulty_landing(spark, sf_dir).settings, FAULTY_LANDING, datetime.datetime(2026, 1, 1))
     rows = raw.where("ticker = 'RF'")
-    return rows.select("ticker", "source_date", F.substring_index("_rescued_data", ",", -1).alias("last_field"))
+    beyond = F.from_json("_rescued_data", "map<string, string>")
+    return rows.select("ticker", "source_date", F.try_element_at(beyond, F.lit("8")).alias("last_field"))
 
 
 @query

@@ -76,19 +76,52 @@ def _stamped(frame: DataFrame, run_id: str, loaded_at: datetime.datetime) -> Dat
     )
 
 
-def read_daily(
-    spark: SparkSession, settings: Settings, run_id: str, loaded_at: datetime.datetime
-) -> DataFrame:
-    """Every landed bar, all columns as the text they were. A line that does not fit the columns is kept whole in
-    ``_rescued_data``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*settings.source_columns, "_rescued_data")])
-    landed = (
+#: A field of a CSV line with a comma before it: quoted, with backslashes as escapes, or plain.
+CSV_FIELD = r',("(?:\\.|[^"\\])*"(?=,|$)|[^,]*)'
+
+
+def line_fields(line: Column) -> Column:
+    """All fields of a CSV line as an array, however many there are; quotes and escapes are taken off."""
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CSV_FIELD), F.lit(1))
+
+    def bare(field: Column) -> Column:
+        inner = F.regexp_replace(F.substring(field, F.lit(2), F.length(field) - 2), r"\\(.)", "$1")
+        return F.when(field.rlike('(?s)^".*"$') & (F.length(field) > 1), inner).otherwise(field)
+
+    return F.transform(fields, bare)
+
+
+def rescued_fields(line: Column, n_columns: int) -> Column:
+    """What of a line does not fit ``n_columns`` columns, as a JSON map from the place (from 0 on) to the field: fields
+    beyond the columns with their text, missing ones with null. A line that has as many fields as columns and still was
+    not readable is kept whole under ``line``."""
+    fields, n = line_fields(line), F.lit(n_columns)
+    size = F.size(fields)
+    places = F.sequence(F.least(size, n), F.greatest(size, n) - 1)
+    entries = F.transform(places, lambda i: F.struct(i.cast("string").alias("key"), F.get(fields, i).alias("value")))
+    unfit = F.when(size != n, F.map_from_entries(entries)).otherwise(F.create_map(F.lit("line"), line))
+    return F.when(line.isNotNull(), F.to_json(unfit, {"ignoreNullFields": "false"}))
+
+
+def read_lines(spark: SparkSession, glob: str, columns: tuple[str, ...]) -> DataFrame:
+    """Every line of the CSV files that match, all ``columns`` as the text they were, with ``_rescued_data`` and
+    ``source_file``. Of a line with too many or too few fields the ones that fit are kept in their columns."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "_rescued_data")])
+    lines = (
         spark.read.schema(schema)
         # Without pruning, so that a line is judged by all of its fields whichever columns are read.
         .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_rescued_data", columnPruning=False)
-        .csv(settings.landed(settings.daily_glob))
-        .select("*", file_path().alias("source_file"))
-        .withColumnRenamed(settings.source_columns[0], "source_date")
+        .csv(glob)
+    )
+    return lines.select(*columns, rescued_fields(F.col("_rescued_data"), len(columns)).alias("_rescued_data"), file_path().alias("source_file"))
+
+
+def read_daily(
+    spark: SparkSession, settings: Settings, run_id: str, loaded_at: datetime.datetime
+) -> DataFrame:
+    """Every landed bar, all columns as the text they were; see ``read_lines`` for lines that do not fit the columns."""
+    landed = read_lines(spark, settings.landed(settings.daily_glob), settings.source_columns).withColumnRenamed(
+        settings.source_columns[0], "source_date"
     )
     return _stamped(with_entity(landed, settings), run_id, loaded_at).select(*DAILY_RAW_COLUMNS)
 

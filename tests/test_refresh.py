@@ -142,7 +142,7 @@ def test_quarantine_keeps_source_text_and_odd_lines_are_rescued(spark, settings,
     rejected = {r["ticker"]: r for r in spark.table(dirty.table("silver", "daily_prices_quarantine")).collect()}
     assert rejected["A"]["open"] == "abc" and rejected["A"]["bronze_pipeline_run_id"] == "dirty"
     assert rejected["A"]["reject_reason"] == "invalid_price;non_positive_price;invalid_volume"
-    assert rejected["B"]["reject_reason"] == "rescued_data_present" and rejected["B"]["_rescued_data"] == lines[2]
+    assert rejected["B"]["reject_reason"] == "rescued_data_present" and rejected["B"]["_rescued_data"] == '{"8":"extra"}'
 
 
 def test_landing_report(spark, settings, tmp_path):
