@@ -129,7 +129,6 @@ def refresh_bronze(spark: SparkSession, settings: Settings, run_id: str, job_run
     """Landed files to raw tables, every source value kept as text."""
     store = SnapshotStore(spark, settings)
     with task_run(spark, settings, "bronze_ingest", run_id, job_run_id) as run:
-        require_known_folders(spark, settings)
         daily = store.stage(
             "bronze", "daily_prices_raw", read_daily(spark, settings, run_id, run.started_at), run_id
         )
@@ -139,6 +138,9 @@ def refresh_bronze(spark: SparkSession, settings: Settings, run_id: str, job_run
         raw = store.staged(daily)
         run.rows_in = raw.count()
         heads = store.stage("ops", "landed_headers", read_headers(spark, settings), run_id)
+        # Every landed file is in one of the two: a CSV file has a header row, if only an empty one.
+        files = store.staged(heads).select("ticker", F.col("path").alias("source_file"))
+        require_known_folders(files.unionByName(store.staged(summaries).select("ticker", "source_file")))
         landed = (settings.entities(spark), raw, store.staged(summaries), store.staged(heads))
         run.gate(bronze_checks(*landed), bronze_failures(*landed))
         store.publish(run_id, run.task, [daily, summaries])

@@ -27,6 +27,8 @@ def local_session(
     for key, value in {
         **SESSION_SETTINGS,
         "spark.sql.shuffle.partitions": str(cpus),
+        # Folders are listed by tasks; on one machine a task per folder costs more than the listing.
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
         "spark.driver.memory": memory,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from barloom.session import stored
 from barloom.settings import Settings
-from barloom.sources.landing import RUN_SUMMARY_SCHEMA, file_path
+from barloom.sources.landing import RUN_SUMMARY_SCHEMA, file_path, scan
 
 #: Names of the variant kinds that stand for the types a schema can declare.
 KINDS = {T.StringType: "STRING", T.LongType: "BIGINT", T.DoubleType: "DOUBLE", T.BooleanType: "BOOLEAN"}
@@ -21,7 +21,7 @@ NO_JSON = "not JSON"
 def landed_documents(spark: SparkSession, glob: str) -> DataFrame:
     """(source_file, document): every file that matches as one variant, read once and stored; null for text that is no
     JSON."""
-    texts = spark.read.text(glob, wholetext=True)
+    texts = scan(spark, glob, "text", wholetext=True)
     return stored(texts.select(file_path().alias("source_file"), F.try_parse_json("value").alias("document")))
 
 

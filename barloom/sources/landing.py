@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,23 +43,55 @@ def folder_of(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
+def _segment(pattern: str) -> str:
+    """A path segment with wildcards as a regular expression: ``*``, ``?``, ``[...]`` and ``{a,b}``."""
+    out, depth = "", 0
+    for part in re.findall(r"\[[^\]]*\]|.", pattern):
+        if part in "{}":
+            depth += 1 if part == "{" else -1
+            out += "(?:" if part == "{" else ")"
+        elif part == "," and depth:
+            out += "|"
+        else:
+            out += {"*": "[^/]*", "?": "[^/]"}.get(part) or (part.replace("[!", "[^") if len(part) > 1 else re.escape(part))
+    return out
+
+
+def scan(spark: SparkSession, glob: str, kind: str, schema: T.StructType | None = None, **options) -> DataFrame:
+    """The files that match, read as ``kind``, listed once from the folder above the first wildcard. Expanding the
+    wildcards first would list every folder on the driver and then every file by itself, again for each reader."""
+    store = re.match("(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?", glob)[0]
+    segments = re.sub("//+", "/", glob[len(store) :]).split("/")
+    fixed = next((i for i, s in enumerate(segments) if re.search(r"[*?\[{]", s)), None)
+    reader = spark.read.format(kind).options(**options)
+    reader = reader.schema(schema) if schema is not None else reader
+    if fixed is None:
+        return reader.load(glob)
+    root, rest = "/".join(segments[:fixed]), segments[fixed:]
+    place = re.escape(root.removeprefix("./"))
+    matches = place + "/" + "/".join(map(_segment, rest)) + "$"
+    landed = reader.options(recursiveFileLookup=True, pathGlobFilter=rest[-1]).load(store + root)
+    return landed.where(file_path().rlike(matches))
+
+
 def with_entity(landed: DataFrame, settings: Settings) -> DataFrame:
     """Add ``ticker`` from the folder of ``source_file``. An unknown folder keeps its rows, with NULL."""
     mapping = settings.entities(landed.sparkSession).select("folder", "ticker")
     return landed.withColumn("folder", folder_of(F.col("source_file"))).join(mapping, "folder", "left")
 
 
-def require_known_folders(spark: SparkSession, settings: Settings) -> None:
-    """Raise if a landed file lies in a folder of no entity. The message gives the number of such folders and the
-    first of them by name; ``unknown_folders`` lists them all."""
-    found = unknown_folders(spark, settings).agg(F.count("*").alias("n"), F.min("folder").alias("first")).first()
+def require_known_folders(files: DataFrame) -> None:
+    """Raise if one of the files, given as (ticker, source_file), lies in a folder of no entity. The message gives the
+    number of such folders and the first of them by name."""
+    folders = files.where("ticker IS NULL").select(folder_of(F.col("source_file")).alias("folder")).distinct()
+    found = folders.agg(F.count("*").alias("n"), F.min("folder").alias("first")).first()
     if found["n"]:
         raise UnknownFolder(f"{found['n']} landed folders of no configured entity, the first is {found['first']!r}")
 
 
 def landed_files(spark: SparkSession, glob: str) -> DataFrame:
     """(source_file) of every file that matches. Only the listing is read, not the files."""
-    return spark.read.format("binaryFile").load(glob).select(file_path().alias("source_file"))
+    return scan(spark, glob, "binaryFile").select(file_path().alias("source_file"))
 
 
 def unknown_folders(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -107,12 +140,9 @@ def read_lines(spark: SparkSession, glob: str, columns: tuple[str, ...]) -> Data
     """Every line of the CSV files that match, all ``columns`` as the text they were, with ``_rescued_data`` and
     ``source_file``. Of a line with too many or too few fields the ones that fit are kept in their columns."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "_rescued_data")])
-    lines = (
-        spark.read.schema(schema)
-        # Without pruning, so that a line is judged by all of its fields whichever columns are read.
-        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_rescued_data", columnPruning=False)
-        .csv(glob)
-    )
+    # Without pruning, so that a line is judged by all of its fields whichever columns are read.
+    rescue = dict(mode="PERMISSIVE", columnNameOfCorruptRecord="_rescued_data", columnPruning=False)
+    lines = scan(spark, glob, "csv", schema, header=True, **rescue)
     # The reader refuses queries of its rescue column alone, so this expression names a second one; no line has a line break.
     line = F.nullif("_rescued_data", F.concat(columns[0], F.lit("\n")))
     return lines.select(*columns, rescued_fields(line, len(columns)).alias("_rescued_data"), file_path().alias("source_file"))
@@ -148,7 +178,7 @@ def summary_fields(documents: DataFrame) -> DataFrame:
 def read_summaries(
     spark: SparkSession, settings: Settings, run_id: str, loaded_at: datetime.datetime
 ) -> DataFrame:
-    documents = spark.read.text(settings.landed(settings.summary_glob), wholetext=True).select(
+    documents = scan(spark, settings.landed(settings.summary_glob), "text", wholetext=True).select(
         F.col("value").alias("document"), file_path().alias("source_file")
     )
     return _stamped(with_entity(summary_fields(documents), settings), run_id, loaded_at).select(*RUN_SUMMARY_COLUMNS)
@@ -165,7 +195,7 @@ def file_lines(spark: SparkSession, glob: str) -> DataFrame:
 
     A file's first line is the earliest row of the split that begins the file; row numbers grow within a split.
     """
-    lines = spark.read.text(glob).select(
+    lines = scan(spark, glob, "text").select(
         file_path().alias("source_file"),
         F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
         "value",

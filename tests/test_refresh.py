@@ -153,3 +153,30 @@ def test_landing_report(spark, settings, tmp_path):
     report = {r["ticker"]: r for r in landing_report(spark, one).collect()}
     assert report["A"]["csv_exists"] and not report["A"]["rows_match"] and not report["A"]["row_ok"]
     assert not report["B"]["csv_exists"] and not report["B"]["json_exists"] and not report["B"]["row_ok"]
+
+
+def test_landed_files_are_listed_once_for_each_reader(spark, settings, monkeypatch):
+    from barloom.sources import landing
+
+    listed = []
+    scan = landing.scan
+    monkeypatch.setattr(landing, "scan", lambda spark, glob, kind, *rest, **more: listed.append(kind) or scan(spark, glob, kind, *rest, **more))
+    set_up(spark, settings)
+    refresh_bronze(spark, settings, "counted")
+    assert sorted(listed) == ["binaryFile", "csv", "text", "text"]
+
+
+def test_scan_takes_the_files_a_glob_names(spark, tmp_path):
+    from barloom.sources.landing import landed_files
+
+    for name in ("a/x.csv", "a/x.txt", "a/b/y.csv", "b c+%/z.csv", "top.csv", "a1/q.csv", "_hidden/h.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("1\n")
+    cases = {
+        "*/*.csv": {"a/x.csv", "b c+%/z.csv", "a1/q.csv"}, "*.csv": {"top.csv"}, "a/*": {"a/x.csv", "a/x.txt"}, "*/*/*.csv": {"a/b/y.csv"},
+        "a?/*.csv": {"a1/q.csv"}, "{a,a1}/[xq].csv": {"a/x.csv", "a1/q.csv"}, "a[!0-9]/*.csv": set(), "a/x.csv": {"a/x.csv"},
+    }
+    for glob, want in cases.items():
+        for root in (str(tmp_path), f"file://{tmp_path}", f"{tmp_path}/"):
+            found = {r["source_file"].split(f"{tmp_path}/")[1] for r in landed_files(spark, f"{root}/{glob}").collect()}
+            assert found == want, (glob, found)
