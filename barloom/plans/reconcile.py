@@ -7,11 +7,11 @@ put the published value and the difference next to it.
 from __future__ import annotations
 
 import datetime
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.operators.episodes import drawdown_episodes
 from barloom.operators.validate import duplicate_keys
 from barloom.spec import NORMAL, ZERO_ALL, ZERO_PARTIAL, PanelSpec
 
@@ -222,18 +222,27 @@ def peak_and_trough_rows(summary: DataFrame, daily: DataFrame, spec: PanelSpec =
 
 # ---------------------------------------------------------------- measures computed again from silver
 
+#: Days that one bitmap of the aggregate functions holds, and what makes the number of any day positive.
+BITMAP_DAYS, FIRST_DAY = 32_768, 1_000_000
+
 
 def derived_base_date(silver: DataFrame) -> Column:
-    """Scalar: the first date on which as many entities are normal as the panel has."""
+    """Scalar: the first date that is a normal day of every entity, null if there is none. Each entity's days are a set
+    of bits, a few kilobytes; the sets are intersected by a partial aggregate, and what is left is opened."""
     n_entities = silver.select("ticker").distinct().agg(F.count("*")).scalar()
-    return (
-        silver.filter(F.col("volume_status") == NORMAL)
-        .groupBy("trade_date")
-        .agg(F.count("*").alias("n_normal"))
-        .filter(F.col("n_normal") == n_entities)
-        .agg(F.min("trade_date"))
-        .scalar()
+    number = F.unix_date("trade_date") + FIRST_DAY
+    days = silver.filter(F.col("volume_status") == NORMAL).select(
+        "ticker", F.bitmap_bucket_number(number).alias("part"), F.bitmap_bit_position(number).alias("bit")
     )
+    sets = days.groupBy("ticker", "part").agg(F.bitmap_construct_agg("bit").alias("days"))
+    common = sets.groupBy("part").agg(F.bitmap_and_agg("days").alias("days"), F.count("*").alias("n"))
+    octet = F.conv(F.hex(F.substring("days", F.col("octet") + 1, F.lit(1))), 16, 10).cast("int")
+    octets = common.filter(F.col("n") == n_entities).withColumn("octet", F.explode(F.sequence(F.lit(0), F.lit(BITMAP_DAYS // 8 - 1))))
+    bits = octets.withColumn("bits", octet).filter("bits > 0").withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    # Parts and their days are numbered from 1 on.
+    day = (F.col("part") - 1) * BITMAP_DAYS + F.col("octet") * 8 + F.col("bit") + 1 - FIRST_DAY
+    held = bits.filter(F.expr("getbit(bits, bit) = 1"))
+    return held.agg(F.date_from_unix_date(F.min(day).cast("int"))).scalar()
 
 
 def _beside(recomputed: DataFrame, published: DataFrame, measure: str) -> DataFrame:
@@ -246,56 +255,68 @@ def _beside(recomputed: DataFrame, published: DataFrame, measure: str) -> DataFr
     )
 
 
+def _prices_in_order(bars: DataFrame) -> DataFrame:
+    """(ticker, prices): each entity's adjusted closes as one list by date; a calendar bounds its length."""
+    dated = F.array_sort(F.collect_list(F.struct("trade_date", "adjclose")))
+    return bars.groupBy("ticker").agg(dated.getField("adjclose").alias("prices"))
+
+
+def _steps(prices: Column) -> Column:
+    """Each price over the one before it."""
+    n = F.size(prices) - 1
+    return F.zip_with(F.slice(prices, F.lit(2), n), F.slice(prices, F.lit(1), n), lambda later, earlier: later / earlier)
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
+
+
 def total_return_check(silver: DataFrame, summary: DataFrame, base: datetime.date | Column | None = None) -> DataFrame:
+    """The return of the whole period as the product of the steps from each bar to the next."""
     base = derived_base_date(silver) if base is None else base
     base = base if isinstance(base, Column) else F.lit(base)
-    at_base = F.max(F.when(F.col("trade_date") == base, F.col("adjclose")))
-    again = silver.groupBy("ticker").agg(
-        (F.max_by("adjclose", "trade_date") / at_base - 1).alias("silver_total_return")
-    )
-    return _beside(again.withColumn("base_date", base), summary, "total_return").select(
+    listed = _prices_in_order(silver.filter(F.col("trade_date") >= base))
+    product = F.aggregate(_steps(F.col("prices")), F.lit(1.0), lambda total, step: total * step)
+    again = listed.select("ticker", base.alias("base_date"), (product - 1).alias("silver_total_return"))
+    return _beside(again, summary, "total_return").select(
         "ticker", "base_date", "silver_total_return", "gold_total_return", "abs_diff"
     )
 
 
 def max_drawdown_check(silver: DataFrame, summary: DataFrame) -> DataFrame:
-    so_far = Window.partitionBy("ticker").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
-    again = (
-        silver.filter(F.col("trade_date") >= derived_base_date(silver))
-        .select("ticker", (F.col("adjclose") / F.max("adjclose").over(so_far) - 1).alias("drawdown"))
-        .groupBy("ticker")
-        .agg(F.min("drawdown").alias("silver_max_drawdown"))
-    )
-    return _beside(again, summary, "max_drawdown")
+    """The deepest of an entity's drawdown episodes, each from a peak to the lowest price before the next one."""
+    since = silver.filter(F.col("trade_date") >= derived_base_date(silver))
+    deepest = drawdown_episodes(since).groupBy("ticker").agg(F.min("max_drawdown").alias("deepest"))
+    again = since.select("ticker").distinct().join(deepest, "ticker", "left")
+    return _beside(again.select("ticker", F.coalesce("deepest", F.lit(0.0)).alias("silver_max_drawdown")), summary, "max_drawdown")
 
 
 def volatility_check(silver: DataFrame, summary: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """Normal rows are filtered before the window here, where the daily operator splits its window instead."""
-    series = Window.partitionBy("ticker").orderBy("trade_date")
-    again = (
-        silver.filter((F.col("trade_date") >= derived_base_date(silver)) & (F.col("volume_status") == NORMAL))
-        .select("ticker", (F.col("adjclose") / F.lag("adjclose").over(series) - 1).alias("r"))
-        .groupBy("ticker")
-        .agg((F.stddev_samp("r") * math.sqrt(spec.annualization)).alias("silver_vol_full_ann"))
+    """From the sums of the returns between normal bars and of their squares."""
+    normal = silver.filter((F.col("trade_date") >= derived_base_date(silver)) & (F.col("volume_status") == NORMAL))
+    returns = F.transform(_steps(F.col("prices")), lambda step: step - 1)
+    sums = _prices_in_order(normal).withColumn("returns", returns).select(
+        "ticker", F.size("returns").alias("n"), _total(F.col("returns")).alias("s"), _total(F.transform("returns", lambda r: r * r)).alias("q")
     )
+    variance = (F.col("q") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1)
+    again = sums.select("ticker", F.when(F.col("n") > 1, F.sqrt(variance * spec.annualization)).alias("silver_vol_full_ann"))
     return _beside(again, summary, "vol_full_ann")
 
 
+def _return_of_period(silver: DataFrame, ticker: str, period: Column, wanted: Column, before: datetime.date) -> DataFrame:
+    """(ticker, return): the last price of the wanted period over that of the period before it, from the entity's period
+    ends in order, latest first."""
+    bars = silver.filter((F.col("ticker") == ticker) & (F.col("trade_date") < before))
+    ends = bars.groupBy("ticker", period.alias("period")).agg(F.max_by("adjclose", "trade_date").alias("price"))
+    listed = ends.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("period", "price")), asc=False).alias("ends"))
+    price = F.get("ends", F.lit(0)).getField("price") / F.get("ends", F.lit(1)).getField("price")
+    return listed.filter(F.get("ends", F.lit(0)).getField("period") == wanted).select("ticker", (price - 1).alias("again"))
+
+
 def yearly_return_check(silver: DataFrame, yearly: DataFrame, ticker: str, year: int) -> DataFrame:
-    """One entity and year: two year ends, one grouped pass with the filters pushed to the scan."""
-    day = F.col("trade_date")
-    in_years = day.between(datetime.date(year - 1, 1, 1), datetime.date(year, 12, 31))
-
-    def year_end_price(of: int) -> Column:
-        inside = F.year(day) == of
-        return F.max_by(F.when(inside, F.col("adjclose")), F.when(inside, day))
-
-    again = (
-        silver.filter((F.col("ticker") == ticker) & in_years)
-        .groupBy("ticker")
-        .agg((year_end_price(year) / year_end_price(year - 1) - 1).alias("silver_yearly_return"))
-        .withColumn("year", F.lit(year))
-    )
+    """One entity and year."""
+    again = _return_of_period(silver, ticker, F.year("trade_date"), F.lit(year), datetime.date(year + 1, 1, 1))
+    again = again.select("ticker", F.lit(year).alias("year"), F.col("again").alias("silver_yearly_return"))
     published = yearly.filter((F.col("ticker") == ticker) & (F.col("year") == year))
     return _beside(again, published, "yearly_return").select(
         "ticker", "year", "silver_yearly_return", "gold_yearly_return", "abs_diff"
@@ -304,20 +325,9 @@ def yearly_return_check(silver: DataFrame, yearly: DataFrame, ticker: str, year:
 
 def monthly_return_check(silver: DataFrame, monthly: DataFrame, ticker: str, month_start: datetime.date) -> DataFrame:
     """One entity and month, the same way."""
-    day = F.col("trade_date")
-    before = (month_start - datetime.timedelta(days=1)).replace(day=1)
-    after = (month_start + datetime.timedelta(days=31)).replace(day=1)
-
-    def month_end_price(first: datetime.date) -> Column:
-        inside = F.trunc(day, "month") == F.lit(first)
-        return F.max_by(F.when(inside, F.col("adjclose")), F.when(inside, day))
-
-    again = (
-        silver.filter((F.col("ticker") == ticker) & (day >= before) & (day < after))
-        .groupBy("ticker")
-        .agg((month_end_price(month_start) / month_end_price(before) - 1).alias("silver_monthly_return"))
-        .withColumn("month_start", F.lit(month_start))
-    )
+    following = (month_start + datetime.timedelta(days=31)).replace(day=1)
+    again = _return_of_period(silver, ticker, F.trunc("trade_date", "month"), F.lit(month_start), following)
+    again = again.select("ticker", F.lit(month_start).alias("month_start"), F.col("again").alias("silver_monthly_return"))
     published = monthly.filter((F.col("ticker") == ticker) & (F.col("month_start") == F.lit(month_start)))
     return _beside(again, published, "monthly_return").select(
         "ticker", "month_start", "silver_monthly_return", "gold_monthly_return", "abs_diff"
