@@ -99,8 +99,8 @@ def key_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSp
 def entity_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: SeriesSplit | None = None) -> DataFrame:
     """One row per entity: its dates, its duplicated keys, and how many zero-volume rows are not flat or not carried.
 
-    Without ``split`` the panel is partitioned by entity once, which serves the grouping by key, the window and the
-    grouping by entity alike.
+    Copies of a key are merged before anything moves by entity, so an entity that is flooded with them, which is what
+    this profile must find, sends one row a day to its window.
 
     A key whose copies differ in price counts all of its flat rows as moved if one of them is; such a panel stops at the
     duplicate check anyway.
@@ -115,7 +115,7 @@ def entity_profile(panel: DataFrame, spec: PanelSpec = PanelSpec(), split: Serie
     duplicated = F.col("copies") > 1
     needed = panel.select(*spec.key, "open", "high", "low", "close", "adjclose", "volume")
     return (
-        key_profile(needed.repartition(spec.entity) if split is None else needed, spec, split)
+        key_profile(needed, spec, split)
         .groupBy(spec.entity)
         .agg(
             F.count("*").alias("n_dates"),

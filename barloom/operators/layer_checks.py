@@ -250,12 +250,11 @@ def daily_profile(daily: DataFrame, base: Column, spec: PanelSpec = PanelSpec())
     """One row per entity of the daily table: n_rows, n_duplicated (keys), n_positive (drawdowns), has_base,
     base_index, last_index, and leading (normal rows before the first volatility, all of them if there is none).
 
-    One partitioning by entity serves the grouping by key, the running count and the grouping by entity.
+    Copies of a key are merged first; one row per key then moves by entity, for the running count and the grouping.
     """
     day = F.col(spec.date)
     keyed = (
         daily.select(*spec.key, "normalized_index", "drawdown", "vol_60d_ann", "volume_status")
-        .repartition(spec.entity)
         .groupBy(*spec.key)
         .agg(
             F.count("*").alias("copies"),

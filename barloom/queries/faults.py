@@ -101,11 +101,9 @@ def wide(spark: SparkSession, sf_dir: str) -> Published:
 
 
 def judged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as text bars of one series per user, with a day's first event only, so that keys are unique."""
-    raw = raw_text_bars(spark, sf_dir)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("user_id", F.to_date("ts").alias("day"))
-    first = events.agg(F.min("event_id").alias("event_id")).select("event_id", F.col("user_id").cast("string").alias("user"))
-    return raw.join(first, "event_id").withColumn("ticker", F.col("user")).drop("user")
+    """All events as text bars of one series per user; a user may have several in a day."""
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("user_id").cast("string").alias("user"))
+    return raw_text_bars(spark, sf_dir).join(users, "event_id").withColumn("ticker", F.col("user")).drop("user")
 
 
 def faulty_gold(layers: Layers) -> tuple[dict[str, DataFrame], DataFrame]:

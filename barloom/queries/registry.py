@@ -558,10 +558,11 @@ def silver_check_results(spark, sf_dir):
 
 
 def _faulty_silver(spark, sf_dir):
-    """Valid events as a panel that has lost the rows of one volume, next to a user who has none."""
+    """All events that have a date as a panel, the rejected ones too, as if they had been let in, and a user without any:
+    repeated keys, missing, negative and inconsistent values, and more rows than were landed."""
     judged = stored(reject_reasons(type_bars(judged_events(spark, sf_dir))))
-    valid, rejected = split_rows(judged)
-    bars = valid.select("ticker", "typed.*").where("volume % 10 != 7")
+    rejected = split_rows(judged)[1]
+    bars = judged.select("ticker", "typed.*").where("trade_date IS NOT NULL")
     silver = stored(volume_status_of(bars))
     universe = series_universe(silver).unionByName(series_universe(silver.limit(1).withColumn("ticker", F.lit("ghost"))))
     return judged, (silver, rejected, stored(entity_profile(silver)), universe)
