@@ -9,11 +9,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.operators.checksums import bucket_checksums, two_stage_diff
+from barloom.operators.diff import verdict
 from barloom.operators.episodes import drawdown_episodes
+from barloom.operators.history import as_of, fold_versions, restated_per_version, restatements
 from barloom.operators.labels import month_after, reconcile_bars, week_after
 from barloom.operators.performance import register_window_performance, store_blocks, window_performance
 from barloom.queries.layers import Layers, series_layers, supplier_layers
-from barloom.queries.registry import query, rounded
+from barloom.queries.registry import diff_cases, query, rounded
 from barloom.session import shared_folder, stored
 from barloom.settings import SOURCE_COLUMNS
 from barloom.sources.bars import supplier_panel
@@ -189,3 +192,57 @@ def summary_structure(spark, sf_dir):
     """Every path of the landed run summaries, with its types and how many documents have it so."""
     paths = document_paths(landed_supplier_documents(spark, sf_dir))
     return paths.groupBy("path", "kind").agg(F.count("*").alias("n_documents"))
+
+
+BAR_KEY = ["ticker", "trade_date"]
+
+
+def supplier_versions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Supplier bars as they were published five times: up to 1997, then all with the prices of 1995 restated, the same
+    again, without the volumes above 45 and with the bars of supplier 1 doubled, and as the second time."""
+    bars = stored(supplier_panel(spark, sf_dir).select(*BAR_KEY, "close", "adjclose", "volume"))
+    in_1995 = F.year("trade_date") == 1995
+    second = bars.withColumn("adjclose", F.when(in_1995, F.col("adjclose") + 0.25).otherwise(F.col("adjclose")))
+    thin = second.where("volume <= 45")
+    return [bars.where("trade_date < '1998-01-01'"), second, second, thin.unionByName(thin.where("ticker = '1'")), second]
+
+
+@query
+def snapshot_history(spark, sf_dir):
+    """Five versions folded into rows with the versions they held in."""
+    return fold_versions(supplier_versions(spark, sf_dir))
+
+
+@query
+def snapshot_as_of(spark, sf_dir):
+    """The fourth version, rebuilt from the history, doubled rows included."""
+    return as_of(stored(fold_versions(supplier_versions(spark, sf_dir))), 3)
+
+
+@query
+def restated_keys(spark, sf_dir):
+    """Keys on which the first and the fourth version do not agree, and in which columns."""
+    return restatements(fold_versions(supplier_versions(spark, sf_dir)), BAR_KEY, 0, 3)
+
+
+@query
+def restatements_per_version(spark, sf_dir):
+    return restated_per_version(stored(fold_versions(supplier_versions(spark, sf_dir))), BAR_KEY, 5)
+
+
+@query
+def two_stage_diff_cases(spark, sf_dir):
+    """The cases of ``snapshot_diff_cases``, from the checksums of both sides and the rows of the buckets that differ."""
+    panel, cases = diff_cases(spark, sf_dir)
+    before = stored(bucket_checksums(panel, BAR_KEY))
+    out = []
+    for label, changed in cases.items():
+        diff = two_stage_diff(panel, changed, before, stored(bucket_checksums(changed, BAR_KEY)), BAR_KEY)
+        widest = F.when(F.col("max_double_diff") > 1e300, -1.0).otherwise(F.round("max_double_diff", 6))
+        out.append(
+            diff.select(
+                F.lit(label).alias("case_name"), "rows_prev", "rows_latest", "dup_keys", "missing_rows", "mismatched_non_double",
+                widest.alias("max_diff"), verdict().alias("result"),
+            )
+        )
+    return reduce(DataFrame.unionByName, out)

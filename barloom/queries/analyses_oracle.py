@@ -93,6 +93,33 @@ SELECT ticker, path, CASE WHEN declared IS NULL THEN 'added' WHEN kind IS NULL T
 FROM owed FULL JOIN paths USING (ticker, path) WHERE declared IS DISTINCT FROM kind AND coalesce(kind, '') <> 'VOID'
 UNION ALL SELECT ticker, '', 'not JSON', NULL, NULL FROM documents_ WHERE document IS NULL"""
 
+# Every version's rows with their number of copies, and for each content the list of versions that hold it so.
+VERSIONS = """second AS (
+  SELECT ticker, trade_date, close, CASE WHEN year(trade_date) = 1995 THEN adjclose + 0.25 ELSE adjclose END AS adjclose, volume FROM bars),
+thin AS (SELECT * FROM second WHERE volume <= 45),
+stacked AS (
+  SELECT 0 AS version, ticker, trade_date, close, adjclose, volume FROM bars WHERE trade_date < DATE '1998-01-01'
+  UNION ALL SELECT v, s.* FROM second s, (VALUES (1), (2), (4)) t(v)
+  UNION ALL SELECT 3, * FROM thin UNION ALL SELECT 3, * FROM thin WHERE ticker = '1'),
+counted AS (SELECT version, ticker, trade_date, close, adjclose, volume, count(*) AS copies FROM stacked GROUP BY ALL),
+held AS (SELECT * EXCLUDE (version), list(version ORDER BY version) AS v FROM counted GROUP BY ALL)"""
+HISTORY = """SELECT * EXCLUDE (v, starts, s), CAST(s AS INTEGER) AS valid_from,
+  CAST(nullif(list_min(list_filter(range(s, 6), lambda x: NOT list_contains(v, x))), 5) AS INTEGER) AS valid_to
+FROM (SELECT *, unnest(starts) AS s FROM (SELECT *, list_filter(v, lambda x: NOT list_contains(v, x - 1)) AS starts FROM held))"""
+RESTATED = """SELECT ticker, trade_date, CASE WHEN a.n IS NULL THEN 'added' WHEN b.n IS NULL THEN 'removed' ELSE 'changed' END AS change,
+  CASE WHEN a.n IS NULL OR b.n IS NULL THEN '' ELSE concat_ws(',', CASE WHEN a.close IS DISTINCT FROM b.close THEN 'close' END,
+    CASE WHEN a.adjclose IS DISTINCT FROM b.adjclose THEN 'adjclose' END, CASE WHEN a.volume IS DISTINCT FROM b.volume THEN 'volume' END,
+    CASE WHEN a.n <> b.n THEN 'copies' END) END AS columns
+FROM (SELECT *, copies AS n FROM counted WHERE version = 0) a FULL JOIN (SELECT *, copies AS n FROM counted WHERE version = 3) b USING (ticker, trade_date)
+WHERE (a.close, a.adjclose, a.volume, a.n) IS DISTINCT FROM (b.close, b.adjclose, b.volume, b.n)"""
+PER_VERSION = """SELECT CAST(v AS INTEGER) AS version, count(*) FILTER (WHERE now IS NOT NULL AND was IS NULL) AS n_added,
+  count(*) FILTER (WHERE now IS NULL AND was IS NOT NULL) AS n_removed, count(*) FILTER (WHERE now <> was) AS n_changed
+FROM range(1, 5) r(v) LEFT JOIN (
+  SELECT w.v AS at, ticker, trade_date, max((close, adjclose, volume, copies)) FILTER (WHERE version = w.v) AS now,
+    max((close, adjclose, volume, copies)) FILTER (WHERE version = w.v - 1) AS was
+  FROM counted JOIN range(1, 5) w(v) ON version IN (w.v, w.v - 1) GROUP BY ALL) c ON c.at = v
+GROUP BY v"""
+
 
 def after(ctes: list[str], rest: str) -> str:
     """``rest`` has tables of its own before its SELECT."""
@@ -106,6 +133,11 @@ MONTH_BEFORE = "CAST(CAST(date_trunc('month', trade_date) AS DATE) - 1 AS DATE)"
 ORACLE.update(
     {
         "rescued_fields": RESCUED,
+        "snapshot_history": after(SUPPLIER_BARS, VERSIONS + " " + HISTORY),
+        "snapshot_as_of": after(SUPPLIER_BARS, VERSIONS + " SELECT ticker, trade_date, close, adjclose, volume FROM stacked WHERE version = 3"),
+        "restated_keys": after(SUPPLIER_BARS, VERSIONS + " " + RESTATED),
+        "restatements_per_version": after(SUPPLIER_BARS, VERSIONS + " " + PER_VERSION),
+        "two_stage_diff_cases": ORACLE["snapshot_diff_cases"],
         "summary_drift": after([*SUPPLIER_BARS, DOCUMENTS], DRIFT),
         "summary_structure": over([*SUPPLIER_BARS, DOCUMENTS], "SELECT path, kind, count(*) AS n_documents FROM paths GROUP BY path, kind"),
         "window_performance_ranges": after([*SERIES, ASKED], PERFORMANCE),

@@ -458,9 +458,8 @@ def monthly_return_reconciliation(spark, sf_dir):
 # ---------------------------------------------------------------- snapshots and faults
 
 
-@query
-def snapshot_diff_cases(spark, sf_dir):
-    """Supplier bars against themselves and against six changed copies."""
+def diff_cases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Supplier bars, and what they are compared with: themselves and six changed copies."""
     panel = stored(supplier_panel(spark, sf_dir)).withColumn("status", F.lit("normal"))
     first = panel.filter(F.col("ticker") == "1").agg(F.min("trade_date")).scalar()
     one_row = (F.col("ticker") == "1") & (F.col("trade_date") == first)
@@ -477,6 +476,13 @@ def snapshot_diff_cases(spark, sf_dir):
         "value lost": with_one("adjclose", F.lit(None).cast("double")),
         "row doubled": panel.unionByName(panel.filter(one_row)),
     }
+    return panel, cases
+
+
+@query
+def snapshot_diff_cases(spark, sf_dir):
+    """Supplier bars against themselves and against six changed copies."""
+    panel, cases = diff_cases(spark, sf_dir)
     out = None
     for label, changed in cases.items():
         row = snapshot_diff(panel, changed, ["ticker", "trade_date"]).select(
