@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from barloom.functions.exact import exact_sum
+
 
 def any_of(conditions: Iterable[Column]) -> Column:
     """Disjunction of the conditions; FALSE when there are none."""
@@ -39,5 +41,5 @@ def year_end(year: Column) -> Column:
 
 
 def compounded(simple_return: Column) -> Column:
-    """Aggregate: the product of (1 + r)."""
-    return F.exp(F.sum(F.log1p(simple_return)))
+    """Aggregate: the product of (1 + r), the same whatever the order of the rows."""
+    return F.exp(exact_sum(F.log1p(simple_return)))

@@ -8,6 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.exact import exact_deviation
 from barloom.operators.daily import as_date
 from barloom.spec import PanelSpec
 
@@ -22,7 +23,7 @@ def summary_metrics(daily: DataFrame, base: datetime.date | Column, spec: PanelS
     """One row per entity, in one grouped pass over the daily measures (with their working column).
 
     The smallest (drawdown, date, peak date) struct is the deepest drawdown, its earliest date if tied, and the day the
-    peak in force then was set.
+    peak in force then was set. The volatility comes from exact sums, so it does not depend on how the rows are dealt.
     """
     base = as_date(base)
     deepest = F.struct("drawdown", F.col(spec.date).alias("day"), F.col("running_peak_date").alias("peak"))
@@ -33,7 +34,7 @@ def summary_metrics(daily: DataFrame, base: datetime.date | Column, spec: PanelS
             F.min(deepest).alias("deepest"),
             F.max(latest).alias("latest"),
             F.max(F.when(F.col(spec.date) == base, F.col("adjclose"))).alias("base_adjclose"),
-            (F.stddev_samp("daily_return") * math.sqrt(spec.annualization)).alias("vol_full_ann"),
+            (exact_deviation(F.col("daily_return")) * math.sqrt(spec.annualization)).alias("vol_full_ann"),
         )
         .select(
             spec.entity,

@@ -3,23 +3,31 @@ the drift of run summaries."""
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.operators.alerts import level_alerts
 from barloom.operators.checksums import bucket_checksums, two_stage_diff
 from barloom.operators.diff import verdict
 from barloom.operators.episodes import drawdown_episodes
 from barloom.operators.history import as_of, fold_versions, restated_per_version, restatements
 from barloom.operators.labels import month_after, reconcile_bars, week_after
 from barloom.operators.performance import register_window_performance, store_blocks, window_performance
+from barloom.plans import serving
+from barloom.plans.compare import rerun_report, store_checksums
+from barloom.plans.layout import store_for_serving
+from barloom.queries.landed import published, recovered
 from barloom.queries.layers import Layers, series_layers, supplier_layers
 from barloom.queries.registry import diff_cases, query, rounded
-from barloom.session import shared_folder, stored
-from barloom.settings import SOURCE_COLUMNS
+from barloom.session import local_rows, shared_folder, stored
+from barloom.settings import LAYERS, SOURCE_COLUMNS
 from barloom.sources.bars import supplier_panel
+from barloom.sources.catalog import RESET_WORD, append_failures, drop_all, set_up
 from barloom.sources.drift import document_drift, document_paths, landed_documents
 from barloom.sources.landing import folder_of, read_lines
 
@@ -246,3 +254,71 @@ def two_stage_diff_cases(spark, sf_dir):
             )
         )
     return reduce(DataFrame.unionByName, out)
+
+
+@query
+def exact_rerun_report(spark, sf_dir):
+    """The report after the recovery without any tolerance, equal buckets told by their checksums alone."""
+    settings = recovered(spark, sf_dir).settings
+    store_checksums(spark, settings)
+    report = rerun_report(spark, settings, tolerance=0.0, checksums=True)
+    return report.drop("note").withColumn("table", F.regexp_replace("table", r"^spark_catalog\.([a-z]+)_[0-9a-f]+\.", "$1."))
+
+
+@query
+def check_level_alerts(spark, sf_dir):
+    """Days as runs and kinds of events as checks: how many events a day have a volume that is rejected, a third more (50
+    at least) of purchases from the 20th on; where the level changes."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("check_name"), F.to_date("ts").alias("checked_at"), "event_id")
+    counts = events.groupBy("check_name", "checked_at").agg(F.count_if(F.col("event_id") % 7 == 0).alias("n"))
+    shifted = (F.col("check_name") == "purchase") & (F.dayofmonth("checked_at") >= 20)
+    more = F.greatest(F.floor(F.col("n") / 3), F.lit(50))
+    history = counts.withColumn("failing_count", F.col("n") + F.when(shifted, more).otherwise(0))
+    return rounded(level_alerts(history), "level", "spread", "up", "down")
+
+
+@query
+def bucketed_daily_dataset(spark, sf_dir):
+    """Daily rows of all series with the entity's name, from tables that are bucketed for the join."""
+    layers, schema = series_layers(spark, sf_dir), f"serving_{uuid.uuid4().hex[:8]}"
+    folder = shared_folder(spark)
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{folder}'")
+    tables = store_for_serving(spark, {"fact_daily_metrics": layers.fact, "dim_ticker": layers.dim()}, schema, folder, 8)
+    named = serving.daily_dataset(tables["fact_daily_metrics"]).join(tables["dim_ticker"].select("ticker", "short_name"), "ticker")
+    return rounded(named, "normalized_index", "daily_return", "vol_60d_ann", "drawdown", "rel_volume_60d")
+
+
+@query
+def set_up_and_reset(spark, sf_dir):
+    """A workspace set up, filled with a failing item per supplier, set up again, dropped with a wrong and with the right
+    word, and set up once more: its history tables and their rows after each step."""
+    root, tag = shared_folder(spark), uuid.uuid4().hex[:8]
+    settings = dataclasses.replace(
+        published(spark, sf_dir).settings, warehouse=f"{root}/warehouse", schemas={layer: f"{layer}_{tag}" for layer in LAYERS}
+    )
+    item = {"check_name": "c", "layer": "l", "entity": "s_suppkey", "trade_date": "t", "value": "v"}
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    items = suppliers.select(*[(F.col(v).cast("string") if v == "s_suppkey" else F.lit(v)).alias(c) for c, v in item.items()])
+
+    def reset(word: str) -> None:
+        try:
+            drop_all(spark, settings, word)
+        except PermissionError:
+            pass
+
+    steps = {
+        "set up": lambda: set_up(spark, settings),
+        "filled": lambda: append_failures(spark, settings, items, "run"),
+        "set up again": lambda: set_up(spark, settings),
+        "wrong word": lambda: reset("yes"),
+        "right word": lambda: reset(RESET_WORD),
+        "set up at last": lambda: set_up(spark, settings),
+    }
+    counts = []
+    for place, (name, step) in enumerate(steps.items()):
+        step()
+        schema = settings.table("ops", "").rstrip(".")
+        tables = [t.name for t in spark.catalog.listTables(schema)]
+        rows = sum(spark.table(settings.table("ops", t)).count() for t in tables)
+        counts.append((place, name, len(tables), rows))
+    return local_rows(spark, counts, "place int, step string, n_tables bigint, n_rows bigint")

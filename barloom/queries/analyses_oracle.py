@@ -120,6 +120,29 @@ FROM range(1, 5) r(v) LEFT JOIN (
   FROM counted JOIN range(1, 5) w(v) ON version IN (w.v, w.v - 1) GROUP BY ALL) c ON c.at = v
 GROUP BY v"""
 
+# One run after the other.
+ALERTS = """counts AS (
+  SELECT event_type AS check_name, CAST(ts AS DATE) AS day, count(*) FILTER (WHERE event_id % 7 = 0) AS n FROM events GROUP BY ALL),
+history AS (
+  SELECT check_name, day, CAST(n + CASE WHEN check_name = 'purchase' AND dayofmonth(day) >= 20 THEN greatest(n // 3, 50) ELSE 0 END AS DOUBLE) AS x,
+    row_number() OVER (PARTITION BY check_name ORDER BY day) AS k FROM counts),
+runs(check_name, day, x, k, n, mean, squares, s_up, s_down, level, spread, up, down, alert) AS (
+  SELECT check_name, day, x, k, 1.0::DOUBLE, x, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::VARCHAR
+  FROM history WHERE k = 1
+  UNION ALL
+  SELECT check_name, day, x, k, CASE WHEN a IS NULL THEN n + 1 ELSE 1 END, CASE WHEN a IS NULL THEN later ELSE x END,
+    CASE WHEN a IS NULL THEN squares + (x - mean) * (x - later) ELSE 0 END, CASE WHEN a IS NULL THEN u ELSE 0 END, CASE WHEN a IS NULL THEN d ELSE 0 END,
+    CASE WHEN n >= 8 THEN mean END, CASE WHEN n >= 8 THEN sd END, u, d, a
+  FROM (SELECT *, CASE WHEN u > 6 THEN 'up' WHEN d > 6 THEN 'down' END AS a FROM (
+    SELECT *, CASE WHEN n >= 8 THEN greatest(s_up + (x - mean) / sd - 1, 0) ELSE 0 END AS u,
+      CASE WHEN n >= 8 THEN greatest(s_down - (x - mean) / sd - 1, 0) ELSE 0 END AS d, mean + (x - mean) / (n + 1) AS later FROM (
+      SELECT h.check_name, h.day, h.x, h.k, r.n, r.mean, r.squares, r.s_up, r.s_down, greatest(sqrt(r.squares / greatest(r.n - 1, 1)), 1) AS sd
+      FROM runs r JOIN history h ON h.check_name = r.check_name AND h.k = r.k + 1))))
+SELECT check_name, day AS checked_at, x AS failing_count, round(level, 6) AS level, round(spread, 6) AS spread, round(up, 6) AS up, round(down, 6) AS down, alert
+FROM runs"""
+STEPS = """SELECT * FROM (VALUES (0, 'set up', 4, 0), (1, 'filled', 4, 1), (2, 'set up again', 4, 1), (3, 'wrong word', 4, 1), (4, 'right word', 0, 0),
+  (5, 'set up at last', 4, 0)) t(place, step, n_tables, n_rows)"""
+
 
 def after(ctes: list[str], rest: str) -> str:
     """``rest`` has tables of its own before its SELECT."""
@@ -133,6 +156,10 @@ MONTH_BEFORE = "CAST(CAST(date_trunc('month', trade_date) AS DATE) - 1 AS DATE)"
 ORACLE.update(
     {
         "rescued_fields": RESCUED,
+        "exact_rerun_report": ORACLE["rerun_report"],
+        "check_level_alerts": "WITH RECURSIVE " + ALERTS,
+        "bucketed_daily_dataset": ORACLE["daily_dataset"].replace("SELECT ticker, trade_date, volume_status,", "SELECT ticker, lower(ticker) AS short_name, trade_date, volume_status,"),
+        "set_up_and_reset": STEPS.replace("SELECT *", "SELECT place, step, n_tables, n_rows * (SELECT count(*) FROM supplier) AS n_rows", 1),
         "snapshot_history": after(SUPPLIER_BARS, VERSIONS + " " + HISTORY),
         "snapshot_as_of": after(SUPPLIER_BARS, VERSIONS + " SELECT ticker, trade_date, close, adjclose, volume FROM stacked WHERE version = 3"),
         "restated_keys": after(SUPPLIER_BARS, VERSIONS + " " + RESTATED),
