@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.scratch import Scratch
+from barloom.llm.scratch import Scratch, without_rows
 from barloom.llm.words import LETTERS, U64, grams, mix, within, word_slices
 
 WINDOW = 10
@@ -194,9 +194,5 @@ def contaminated_words(documents: DataFrame, benchmark: DataFrame, window: int =
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``documents``, with their columns, in which no passage of the benchmark occurs. A found row is
-    known again by its id and its text's digest, so that rows that share an id, or have none, are judged one by one."""
-    found = contaminated_words(documents, benchmark, window).where("n_hit > 0")
-    found = found.select(F.col("doc_id").alias("found_id"), F.col("digest").alias("found_digest")).distinct()
-    same = documents["doc_id"].eqNullSafe(F.col("found_id")) & (F.xxhash64(documents["text"].cast("string")) == F.col("found_digest"))
-    return documents.join(found, same, "left_anti")
+    """The rows of ``documents``, with their columns whatever their names, in which no passage of the benchmark occurs."""
+    return without_rows(documents, contaminated_words(documents, benchmark, window).where("n_hit > 0"))

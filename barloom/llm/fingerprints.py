@@ -1,8 +1,7 @@
 """Document fingerprints: every shingle hash below a fixed fraction of the range.
 
 The size of such a sketch follows the size of the text, so sketches of very unequal documents can be held against
-each other, and the sketch of several texts is the union of theirs. A short text has too few hashes below the limit, or
-none; where one of two texts is short, they are held against each other by all hashes. Only built-in functions are used.
+each other, and the sketch of several texts is the union of theirs. Only built-in functions are used.
 """
 
 from __future__ import annotations
@@ -11,10 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
-#: One hash in so many is kept.
-SCALE = 8
-#: Pairs in which a text has fewer distinct shingles are compared by all hashes, others by their sketches.
-EXACT = 1024
+#: One hash in so many is kept. A text of k distinct shingles has none below the limit once in 2**k.
+SCALE = 2
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,9 +29,9 @@ def shingle_hashes(words: Column) -> Column:
 
 
 def sketch_of(hashes: Column, scale: int = SCALE) -> Column:
-    """The distinct hashes below the threshold, sorted; the smallest hash where a text has none below it, so that no
-    text with words has an empty sketch. Sketches still merge: by their union, less what is above the threshold if
-    anything is below."""
+    """The distinct hashes below the threshold, sorted. A text of few shingles that has none below it keeps its smallest
+    hash, so that texts with words have no empty sketch and are told apart; that hash is in no sketch of a longer text.
+    Sketches still merge: by their union, less what is above the threshold if anything is below."""
     limit = -(1 << 63) + (1 << 64) // scale
     low = F.filter(hashes, lambda h: h < F.lit(limit))
     return F.when(F.size(low) > 0, F.array_sort(F.array_distinct(low))).otherwise(
@@ -49,42 +46,24 @@ def merge_sketches(a: Column, b: Column, scale: int = SCALE) -> Column:
 
 def containment(a: Column, b: Column) -> Column:
     """The share of the smaller sketch that the larger one holds, 0 to 1. Two empty ones are alike, an empty and
-    another not. Arrays of all distinct hashes give the exact share; sketches of texts with few shingles are of no use
-    here, see ``likeness``."""
+    another not. Arrays of all distinct hashes give the exact share, sketches an estimate of it, whose error falls with
+    the number of hashes in the smaller one."""
     smaller = F.least(F.size(a), F.size(b))
     return F.when(smaller > 0, F.size(F.array_intersect(a, b)) / smaller).otherwise((F.size(a) == F.size(b)).cast("double"))
 
 
-def likeness(hashes: Column, sketch: Column, other_hashes: Column, other_sketch: Column) -> Column:
-    """The containment of two texts by their distinct hashes if one of them has fewer than ``EXACT``, else by their
-    sketches."""
-    short = F.least(F.size(hashes), F.size(other_hashes)) < EXACT
-    return F.when(short, containment(hashes, other_hashes)).otherwise(containment(sketch, other_sketch))
-
-
 def written(sketch: Column) -> Column:
     """A sketch as text: its hashes in hexadecimal, comma-joined."""
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), ",")
 
 
-def with_hashes(rows: DataFrame, text: Column, prefix: str = "", scale: int = SCALE) -> DataFrame:
-    """The frame with columns ``hashes`` (distinct) and ``sketch``, their names preceded by ``prefix``. Narrow."""
-    return (
-        rows.withColumn("_words", words_of(text))
-        .withColumn(f"{prefix}hashes", F.array_distinct(shingle_hashes(F.col("_words"))))
-        .withColumn(f"{prefix}sketch", sketch_of(F.col(f"{prefix}hashes"), scale))
-        .drop("_words")
-    )
+def fingerprints(documents: DataFrame, text: Column | str = "text", sketch: str = "sketch", scale: int = SCALE) -> DataFrame:
+    """The frame with a column ``sketch``. Row by row, nothing is shuffled.
 
-
-def fingerprints(documents: DataFrame, text: str = "text", scale: int = SCALE) -> DataFrame:
-    """The frame with a column ``sketch``. Narrow; null and empty texts have an empty sketch."""
-    return (
-        documents.withColumn("_words", words_of(F.col(text)))
-        .withColumn("_hashes", shingle_hashes(F.col("_words")))
-        .withColumn("sketch", sketch_of(F.col("_hashes"), scale))
-        .drop("_words", "_hashes")
-    )
+    Null and empty texts have an empty sketch, texts of any length are taken whole, repeated rows have equal sketches, an
+    empty table stays empty. A column that already has the name of ``sketch`` is replaced; all others are kept."""
+    text = F.col(text) if isinstance(text, str) else text
+    return documents.withColumn(sketch, sketch_of(shingle_hashes(words_of(text)), scale))
 
 
 def with_next(documents: DataFrame, columns: list[str], blocks: int) -> DataFrame:
@@ -140,3 +119,20 @@ def edited(text: Column, following: Column) -> Column:
     text, following = F.coalesce(text, F.lit("")), F.coalesce(following, F.lit(""))
     half = F.floor(F.length(text) / 2).cast("int")
     return F.concat(F.substr(text, F.lit(1), F.length(text) - half), F.substr(following, F.lit(1), half))
+
+
+def edited_fingerprints(documents: DataFrame, blocks: int, scale: int = SCALE) -> DataFrame:
+    """(doc_id, text, edited, sketch, edited_sketch, near_edited, near_next) of every row of ``documents``: its sketch,
+    that of its text with the last half replaced by the beginning of the next document's (see ``with_next`` and
+    ``edited``), and the containment of the sketch in the edited text's and in the next document's.
+
+    Both likenesses follow from the sketches alone. Texts move once, to their ranges of ids; hashes are taken there and
+    never move. Nulls are empty texts; other columns are ignored."""
+    paired = with_next(documents.select("doc_id", "text"), ["text"], blocks).withColumn("edited", edited(F.col("text"), F.col("next.text")))
+    sketched = fingerprints(fingerprints(paired, "text", scale=scale), "edited", "edited_sketch", scale)
+    sketched = fingerprints(sketched, F.col("next.text"), "next_sketch", scale)
+    return sketched.select(
+        "doc_id", "text", "edited", "sketch", "edited_sketch",
+        containment(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        containment(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )

@@ -98,23 +98,21 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    """A word or number that follows an IBAN looks like a part of it, so every beginning of a stretch that ends with a
-    word is tried: the one of the country's length first, then the longest. A stretch without any gives way to those
-    that begin within it. Each has 34 characters at most."""
+    """Of a stretch that begins like an IBAN, as many characters as its country's have, blanks aside, if a word ends
+    there and the checksum holds; other countries have none. A word or number that follows is no part of it. A stretch
+    without any gives way to those that begin within it. Each has 34 characters at most."""
     at = 0
     while m := _IBAN.search(text, at):
         begin, at = m.start(), m.start() + 4
-        ends, size = [], 0
-        for place in range(begin, m.end()):
-            size += text[place] != " "
-            follower = text[place + 1 : place + 2]
-            if size >= 15 and text[place] != " " and not (follower.isascii() and follower.isalnum()):
-                ends.append((size != _IBAN_LENGTHS.get(m[0][:2]), -size, place + 1))
-        for _, _, end in sorted(ends):
-            if mod97(text[begin:end].replace(" ", "")):
-                at = end
-                yield begin, end
-                break
+        length, size, end = _IBAN_LENGTHS.get(m[0][:2], 0), 0, begin
+        while end < m.end() and size < length:
+            size += text[end] != " "
+            end += 1
+        follower = text[end : end + 1]
+        ends_here = size == length > 0 and not (follower.isascii() and follower.isalnum())
+        if ends_here and mod97(text[begin:end].replace(" ", "")):
+            at = end
+            yield begin, end
 
 
 def proposed(text: str) -> Iterator[tuple[str, int, int]]:
@@ -173,8 +171,8 @@ _ARROW_SPAN = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", p
 
 def with_spans(documents: DataFrame, text: str = "text", spans: str = "pii_spans", redacted: str | None = None) -> DataFrame:
     """The frame with a column ``spans``, and one more, ``redacted``, if it is named: the text without its personal
-    data (null stays null). Row by row, nothing is shuffled. Columns of these names are replaced; all others are kept
-    as they are."""
+    data (null stays null). Row by row, nothing is shuffled. Texts of any length are searched whole, repeated rows each
+    for itself; an empty table stays empty. Columns of these names are replaced; all others are kept as they are."""
     ship_package(documents.sparkSession)
     documents = documents.drop(spans, *([redacted] if redacted and redacted != text else []))
     names = documents.columns

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm.decontaminate import contaminated_words
-from barloom.llm.fingerprints import edited, likeness, with_hashes, with_next, written
+from barloom.llm.fingerprints import edited_fingerprints, written
 from barloom.llm.lengths import length_histogram, limit_table
 from barloom.llm.neardup import near_duplicates
 from barloom.llm.packing import pack
@@ -69,21 +69,15 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Hashes are taken after the texts have moved, so that no hash moves.
-    paired = with_next(documents, ["text"], blocks).withColumn("edited", edited(F.col("text"), F.col("next.text")))
-    hashed = with_hashes(with_hashes(paired, F.col("text")), F.col("edited"), "edited_")
-    hashed = with_hashes(hashed, F.col("next.text"), "next_")
-    own = F.col("hashes"), F.col("sketch")
-    return hashed.select(
+    return edited_fingerprints(read(spark, sf_dir, "documents"), blocks).select(
         "doc_id",
         F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         written(F.col("sketch")).alias("fingerprint"),
         written(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(*own, F.col("edited_hashes"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(*own, F.col("next_hashes"), F.col("next_sketch")).alias("near_next"),
+        "near_edited",
+        "near_next",
     )
 
 

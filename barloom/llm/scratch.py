@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.session import shared_folder
 
@@ -36,6 +37,24 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with underscores after it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_rows(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``documents``, with their columns, that are not in ``found`` (doc_id, digest). A row is known again by
+    its id and its text's digest, so that rows that share an id, or have none, are judged one by one."""
+    found_id, found_digest, own = (fresh(n, documents.columns) for n in ("found_id", "found_digest", "own_digest"))
+    found = found.select(F.col("doc_id").alias(found_id), F.col("digest").alias(found_digest)).distinct()
+    digested = documents.withColumn(own, F.xxhash64(F.col("text").cast("string")))
+    same = F.col("doc_id").eqNullSafe(F.col(found_id)) & (F.col(own) == F.col(found_digest))
+    return digested.join(found, same, "left_anti").drop(own)
+
+
 class Scratch:
     """Tables below one fresh folder. A stored table cuts the lineage: a lost executor reads files again. ``drop``
     removes a table that nothing reads any more."""

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.folds import held_out, training_labels
-from barloom.llm.scratch import Scratch
+from barloom.llm.scratch import Scratch, without_rows
 from barloom.llm.words import LETTERS, U64, Words, hash_parts, mix, text_bytes, word_slices
 
 FOLDS, FOLD = 5, 0
@@ -257,9 +257,5 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, folds: int = FOLDS,
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``documents``, with their columns, that are not predicted to be toxic. A rejected row is known
-    again by its id and its text's digest, so that rows that share an id, or have none, are judged one by one."""
-    found = toxicity_scores(documents, labels).where("predicted = 1")
-    found = found.select(F.col("doc_id").alias("found_id"), F.col("digest").alias("found_digest")).distinct()
-    same = documents["doc_id"].eqNullSafe(F.col("found_id")) & (F.xxhash64(documents["text"].cast("string")) == F.col("found_digest"))
-    return documents.join(found, same, "left_anti")
+    """The rows of ``documents``, with their columns whatever their names, that are not predicted to be toxic."""
+    return without_rows(documents, toxicity_scores(documents, labels).where("predicted = 1"))

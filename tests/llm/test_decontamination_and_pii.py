@@ -130,3 +130,14 @@ def test_query_digest(spark):
         assert [got[f"n_{k}"] for k in BASE] == [sum(b[0] == k for b in base) for k in BASE]
         listed = [s.split(":") for s in got["spans"].split(",") if s]
         assert listed == sorted(listed, key=lambda s: (KINDS.index(s[0]), int(s[1])))
+
+
+def test_random_codes_are_no_ibans():
+    """Product keys in blocks: none of a country that is not listed, one in 97 at most of those of the right length."""
+    rng = random.Random(8)
+    for country, bound in (("XQ", 0), ("DE", 300)):
+        found = 0
+        for _ in range(20_000):
+            code = country + f"{rng.randint(0, 99):02}" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(4 * rng.randint(3, 7)))
+            found += any(s.kind == "iban" for s in find_spans(" ".join(code[i : i + 4] for i in range(0, len(code), 4))))
+        assert found <= bound

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from barloom.llm.fingerprints import containment, edited, fingerprints, merge_sketches, with_next  # noqa: E402
+from barloom.llm.fingerprints import SCALE, containment, edited, fingerprints, merge_sketches, with_next  # noqa: E402
 from barloom.llm.queries import op5_fingerprints  # noqa: E402
 from plain import SF, documents, nodes_of, shingles  # noqa: E402
 
@@ -36,7 +36,7 @@ def test_sketches(spark):
     texts = [base, half, " ".join(f"w{i}" for i in range(300)), "", None, "One two", "one  two", "other words"]
     s = {r["doc_id"]: r["sketch"] for r in fingerprints(documents(spark, texts)).collect()}
     assert s[3] == s[4] == [] and len(s[5]) == 1 and s[5] == s[6] != s[7]
-    assert abs(len(s[0]) / (4000 / 8) - 1) < 0.15 and s[0] == sorted(set(s[0]))
+    assert abs(len(s[0]) / (4000 / SCALE) - 1) < 0.1 and s[0] == sorted(set(s[0]))
     frame = spark.createDataFrame([(s[a], s[b], len(shingles(texts[a]) & shingles(texts[b])) / min(len(shingles(texts[a])), len(shingles(texts[b])))) for a, b in ((0, 1), (0, 2), (0, 0), (5, 6), (5, 7))], "a array<long>, b array<long>, want double")
     assert frame.where(F.abs(containment(F.col("a"), F.col("b")) - F.col("want")) > 0.12).count() == 0
     empty = spark.createDataFrame([([], [], 1.0), ([], [1], 0.0)], "a array<long>, b array<long>, want double")
@@ -58,7 +58,10 @@ def test_query(spark):
         new = texts[i][: len(texts[i]) - half] + texts[j][:half]
         r = rows[i]
         assert r["n_chars"] == len(texts[i]) and r["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest()
-        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        # The likenesses are those of the fingerprints as they are printed.
+        own, changed, following = ({h for h in f.split(",") if h} for f in (r["fingerprint"], r["edited_fingerprint"], rows[j]["fingerprint"]))
+        share = lambda a, b: len(a & b) / min(len(a), len(b)) if a and b else float(a == b)
+        assert r["near_edited"] == share(own, changed) and r["near_next"] == share(own, following)
         assert (r["fingerprint"] == r["edited_fingerprint"]) or shingles(texts[i]) != shingles(new)
 
 
@@ -78,5 +81,6 @@ def test_short_texts_in_long_ones(spark, tmp_path):
         new = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
         sets = [shingles(t) for t in (text, new, following)]
         for name, other in (("near_edited", sets[1]), ("near_next", sets[2])):
-            error = abs(rows[i][name] - share(sets[0], other))
-            assert error < (1e-9 if min(len(sets[0]), len(other)) < 1024 else 0.12), (i, name, rows[i][name])
+            # Of n hashes about n / SCALE are kept; four deviations, and nothing is promised below a handful of them.
+            n = min(len(sets[0]), len(other)) / SCALE
+            assert n < 8 or abs(rows[i][name] - share(sets[0], other)) < 2 / n**0.5, (i, name, rows[i][name])

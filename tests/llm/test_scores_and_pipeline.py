@@ -132,3 +132,15 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in out} == {r["doc_id"] for r in rows}
     clean = stage["pii"](spark, docs, SF)
     assert clean.schema == docs.schema and clean.where("text LIKE '%@%.%' OR n_chars != length(text)").count() == 0
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    names = "found_id found_digest own_digest pii_spans row digest score label votes hash"
+    texts = ["plain words that nobody minds here", "write to some.body@mail.example.org now", None, ""] * 3
+    docs = documents(spark, texts, extra=names)
+    stage = dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "near_duplicates", "decontamination", "pii"):
+        out = stage[name](spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == "x" for r in rows for n in names.split()), name
