@@ -9,7 +9,7 @@ from barloom.llm.decontaminate import clean_documents
 from barloom.llm.neardup import one_of_each
 from barloom.llm.packing import pack
 from barloom.llm.pii import with_spans
-from barloom.llm.scratch import Scratch
+from barloom.llm.scratch import Scratch, fresh
 from barloom.llm.tokens import token_counts
 from barloom.llm.toxicity import without_toxic
 
@@ -31,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind; n_chars follows the new text."""
-    clean = with_spans(docs, redacted="text")
+    clean = with_spans(docs, spans=fresh("pii_spans", docs.columns), redacted="text")
     n_chars = F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", n_chars).select(*docs.columns)
 
