@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.scratch import fresh
+
 SHINGLE = 5
 #: One hash in so many is kept. A text of k distinct shingles has none below the limit once in 2**k.
 SCALE = 2
@@ -63,7 +65,10 @@ def fingerprints(documents: DataFrame, text: Column | str = "text", sketch: str
     Null and empty texts have an empty sketch, texts of any length are taken whole, repeated rows have equal sketches, an
     empty table stays empty. A column that already has the name of ``sketch`` is replaced; all others are kept."""
     text = F.col(text) if isinstance(text, str) else text
-    return documents.withColumn(sketch, sketch_of(shingle_hashes(words_of(text)), scale))
+    # Columns of their own: words are looked up again for every shingle, and hashes several times.
+    words, hashes = (fresh(n, [*documents.columns, sketch]) for n in ("_words", "_hashes"))
+    hashed = documents.withColumn(words, words_of(text)).withColumn(hashes, shingle_hashes(F.col(words)))
+    return hashed.withColumn(sketch, sketch_of(F.col(hashes), scale)).drop(words, hashes)
 
 
 def with_next(documents: DataFrame, columns: list[str], blocks: int) -> DataFrame:
