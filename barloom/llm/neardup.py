@@ -17,11 +17,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.components import connected_components
-from barloom.llm.scratch import Scratch
+from barloom.llm.scratch import Scratch, fresh
 from barloom.llm.words import U64, UNSPACED, Words, grams, mix, numbers, within, word_slices
 
 SHINGLE = 5
@@ -32,6 +32,8 @@ BANDS, ROWS = 40, 4
 LEAST_ESTIMATE = 0.55
 #: Members of a star that one task verifies together, and classes on each side of a tile.
 STAR, TILE = 256, 512
+#: A key with more than this share of the rows is met by broadcast; there are fewer such keys than this number.
+HEAVY = 10_000
 
 _FACTORS = numbers(BANDS * ROWS, 101)[:, None] | U64(1)
 _SHIFTS = numbers(BANDS * ROWS, 202)[:, None]
@@ -72,9 +74,9 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return mix((least.reshape(BANDS, ROWS) * _BAND_FACTORS).sum(axis=1, dtype=U64) + _BAND_SALTS)
 
 
-def signatures(documents: DataFrame, row: Column) -> DataFrame:
-    """(doc_id, row, n_shingles, key, bands, signature) of every row; an empty set has null in the last three. The
-    signature keeps eight bits of each minimum."""
+def signatures(numbered: DataFrame) -> DataFrame:
+    """(doc_id, row, n_shingles, key, bands, signature) of every row of ``numbered`` (doc_id, text, row); an empty set
+    has null in the last three. The signature keeps eight bits of each minimum."""
 
     def batches(stream):
         for batch in stream:
@@ -94,8 +96,8 @@ def signatures(documents: DataFrame, row: Column) -> DataFrame:
                 names=["doc_id", "row", "n_shingles", "key", "bands", "signature"],
             )
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", F.col("text").cast("string"), row).mapInArrow(
+    kind = numbered.schema["doc_id"].dataType.simpleString()
+    return numbered.select("doc_id", "text", "row").mapInArrow(
         batches, f"doc_id {kind}, row bigint, n_shingles bigint, key binary, bands array<bigint>, signature binary"
     )
 
@@ -124,23 +126,20 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("center", "member", "s1", "s2").mapInArrow(batches, "center bigint, member bigint, estimate double")
 
 
-def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (center, member) that are similar by their full sets.
 
-    The texts of a center and its members meet in one partition, the center first; only its set is held while the
-    members stream by. A center with many members is met in several parts.
+    ``texts`` (class, text) has one row per class at least. The texts of a center and its members meet in one partition,
+    the center first; only its set is held while the members stream by. A center with many members is met in several
+    parts.
     """
     sized = pairs.groupBy("center").agg(F.ceil(F.count("*") / STAR).alias("parts"))
     parted = pairs.join(sized, "center").select("center", "member", F.expr("pmod(xxhash64(member), parts)").alias("part"))
-    wanted = (
-        sized.select("center", F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), F.lit(0).alias("role"), F.col("center").alias("class"))
-        .unionByName(parted.select("center", "part", F.lit(1).alias("role"), F.col("member").alias("class")))
-        .join(classes.select("class", F.col("doc_id").alias("wanted_id"), "key"), "class")
-    )
-    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    wanted = sized.select("center", F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), F.lit(0).alias("role"), F.col("center").alias("class"))
+    wanted = wanted.unionByName(parted.select("center", "part", F.lit(1).alias("role"), F.col("member").alias("class")))
     met = (
-        texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["wanted_id"]))
-        .select("center", "part", "role", "class", "key", "text")
+        texts.join(wanted, "class")
+        .select("center", "part", "role", "class", "text")
         .repartition("center", "part")
         .sortWithinPartitions("center", "part", "role")
     )
@@ -148,17 +147,16 @@ def _verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame) -> Dat
     def batches(stream):
         center, part, first, size = None, None, None, 0
         for batch in stream:
-            ids, parts, roles, members, keys = (batch.column(i).to_pylist() for i in range(5))
+            ids, parts, roles, members = (batch.column(i).to_pylist() for i in range(4))
             left, right, row = [], [], 0
-            for words in word_slices(batch.column(5), UNSPACED):
+            for words in word_slices(batch.column(4), UNSPACED):
                 for shingles in shingle_sets(words):
-                    if keys[row] == set_key(shingles):  # else another row that shares the id
-                        if roles[row] == 0:
-                            center, part, first, size = ids[row], parts[row], shingles, len(shingles)
-                        elif (center, part) == (ids[row], parts[row]):
-                            common = len(np.intersect1d(first, shingles, assume_unique=True))
-                            if 100 * common >= PERCENT * (size + len(shingles) - common):
-                                left.append(center), right.append(members[row])
+                    if roles[row] == 0:
+                        center, part, first, size = ids[row], parts[row], shingles, len(shingles)
+                    elif (center, part) == (ids[row], parts[row]):
+                        common = len(np.intersect1d(first, shingles, assume_unique=True))
+                        if 100 * common >= PERCENT * (size + len(shingles) - common):
+                            left.append(center), right.append(members[row])
                     row += 1
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["center", "member"])
 
@@ -244,18 +242,16 @@ def _tiled(open_buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(batches, "band bigint, tile1 bigint, tile2 bigint, class bigint, partners array<bigint>")
 
 
-def _verified_tiles(documents: DataFrame, classes: DataFrame, tiled: DataFrame) -> DataFrame:
+def _verified_tiles(texts: DataFrame, tiled: DataFrame) -> DataFrame:
     """Pairs (center, member) that are similar by their full sets and connect all partners of a tile that verified
     links connect.
 
     The texts of a tile's classes meet in one partition, once each however many partners they have, and only their
     sets are held, of one tile at a time. Partners that links found before already connect need no check.
     """
-    wanted = tiled.join(classes.select("class", F.col("doc_id").alias("wanted_id"), "key"), "class")
-    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     met = (
-        texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["wanted_id"]))
-        .select("band", "tile1", "tile2", "class", "key", "partners", "text")
+        texts.join(tiled, "class")
+        .select("band", "tile1", "tile2", "class", "partners", "text")
         .repartition("band", "tile1", "tile2")
         .sortWithinPartitions("band", "tile1", "tile2")
     )
@@ -280,14 +276,13 @@ def _verified_tiles(documents: DataFrame, classes: DataFrame, tiled: DataFrame)
         now, sets, partners = None, {}, {}
         for batch in stream:
             tile, found = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)), []
-            ids, keys, lists, row = batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5), 0
-            for words in word_slices(batch.column(6), UNSPACED):
+            ids, lists, row = batch.column(3).to_pylist(), batch.column(4), 0
+            for words in word_slices(batch.column(5), UNSPACED):
                 for shingles in shingle_sets(words):
                     if tile[row] != now:
                         found += links(sets, partners)
                         now, sets, partners = tile[row], {}, {}
-                    if keys[row] == set_key(shingles):  # else another row that shares the id
-                        sets[ids[row]], partners[ids[row]] = shingles, lists[row].as_py()
+                    sets[ids[row]], partners[ids[row]] = shingles, lists[row].as_py()
                     row += 1
             yield _pairs(found)
         yield _pairs(list(links(sets, partners)))
@@ -299,27 +294,47 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["center", "member"])
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for each ``key`` of them and their number ``n``.
+
+    Keys with more than one row in ``HEAVY`` are fewer than ``HEAVY``, however many rows there are: their entries are
+    broadcast and their rows stay where they are. The rows of all others meet their entries by a shuffle.
+    """
+    least = F.coalesce(table.agg(F.sum("n") / HEAVY).scalar(), F.lit(0))
+    heavy = F.broadcast(table.where(F.col("n") > least).drop("n"))
+    others = rows.join(F.broadcast(table.where(F.col("n") > least).select(key)), key, "left_anti")
+    return rows.join(heavy, key).unionByName(others.join(table.where(F.col("n") <= least).drop("n"), key))
+
+
 def near_duplicates(documents: DataFrame, row: str | None = None) -> DataFrame:
-    """One row per row of ``documents`` (doc_id, text): its number ``row`` (from the column ``row``, if one is named),
-    doc_id, n_shingles, component_id, keeper.
-
-    ``component_id`` is the smallest doc_id that verified links reach, the row's own included. ``keeper`` marks one
-    row of each component: the one with that doc_id, the first of them if the id is repeated. Null ids come last: a
-    row without an id takes its component's smallest id, null if there is none. Null texts and texts without words are
-    linked with nothing. Repeated rows are linked like any copies. Other columns are ignored, an empty table gives an
-    empty one.
+    """One row per row of ``documents`` (doc_id, text): its number ``row``, doc_id, n_shingles, component_id, keeper.
+
+    ``row`` may name a column of ``documents`` that numbers its rows, the same at each reading; else they are numbered
+    and stored first. ``component_id`` is the smallest doc_id that verified links reach, the row's own included.
+    ``keeper`` marks one row of each component: the one with that doc_id, the first of them if the id is repeated. Null
+    ids come last: a row without an id takes its component's smallest id, null if there is none. Null texts and texts
+    without words are linked with nothing. Texts of any length are read whole. Repeated rows are linked like any copies.
+    Other columns are ignored, an empty table gives an empty one.
     """
     scratch = Scratch(documents.sparkSession)
-    rows = scratch.store(signatures(documents, F.col(row) if row else F.monotonically_increasing_id()))
-    by_key = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("class"))
-    classes = scratch.store(rows.join(by_key.select(F.col("class").alias("row")), "row", "left_semi").withColumnRenamed("row", "class"))
+    text = F.col("text").cast("string").alias("text")
+    if row:
+        numbered = documents.select("doc_id", text, F.col(row).alias("row"))
+    else:
+        numbered = scratch.store(documents.select("doc_id", text, F.monotonically_increasing_id().alias("row")))
+    rows = scratch.store(signatures(numbered))
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    copies = rows.where("key IS NOT NULL").groupBy("key")
+    keyed = scratch.store(copies.agg(F.min("row").alias("class"), F.min(first).alias("head"), F.count("*").alias("n")))
+    classes = scratch.store(rows.join(keyed.select(F.col("class").alias("row")), "row", "left_semi").withColumnRenamed("row", "class"))
+    texts = numbered.select(F.col("row").alias("class"), "text")
 
     banded = classes.select("class", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("class").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     buckets = scratch.store(banded.join(shared, "band"))  # members of buckets with two classes at least
     stars = buckets.where("class != least").select(F.col("least").alias("center"), F.col("class").alias("member")).distinct()
     best = _alike(stars, classes).groupBy("member").agg(F.max_by("center", F.struct("estimate", -F.col("center"))).alias("center"))
-    links = scratch.store(_verified(documents, classes, scratch.store(best.select("center", "member"))))
+    links = scratch.store(_verified(texts, scratch.store(best.select("center", "member"))))
     found = connected_components(links, scratch)
 
     placed = buckets.join(found.withColumnRenamed("node", "class"), "class", "left").select(
@@ -328,31 +343,28 @@ def near_duplicates(documents: DataFrame, row: str | None = None) -> DataFrame:
     placed = scratch.store(placed)
     several = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b").select("band")
     tiled = scratch.store(_tiled(placed.join(several, "band", "left_semi"), classes))
-    more = _verified_tiles(documents, classes, tiled)
+    more = _verified_tiles(texts, tiled)
     found = connected_components(links.unionByName(more), scratch)
 
-    in_class = rows.join(by_key, "key", "left").select("row", "doc_id", "n_shingles", "class")
-    whole = scratch.store(
-        in_class.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-            "row", "doc_id", "n_shingles", F.coalesce("component", "class").alias("component")
-        )
-    )
-    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    heads = whole.where("component IS NOT NULL").groupBy("component").agg(F.min(first).alias("head"))
-    return whole.join(heads, "component", "left").select(
-        "row",
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
-        (F.col("component").isNull() | (F.col("head.row") == F.col("row"))).alias("keeper"),
+    # Each class takes its component's head, then each row that of its class; unlinked classes have their own.
+    linked = scratch.store(
+        keyed.join(found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "class"), "class")
+        .select("key", "component", F.col("head").alias("own"))
+    )
+    components = scratch.store(linked.groupBy("component").agg(F.min("own").alias("of_all"), F.count("*").alias("n")))
+    headed = _looked_up(linked.select("key", "component"), components, "component").select("key", "of_all")
+    table = scratch.store(keyed.join(headed, "key", "left").select("key", F.coalesce("of_all", "head").alias("head"), "n"))
+    known = rows.select("row", "doc_id", "n_shingles", "key")
+    placed = _looked_up(known.where("key IS NOT NULL"), table, "key").select(
+        "row", "doc_id", "n_shingles", F.col("head.doc_id").alias("component_id"), (F.col("head.row") == F.col("row")).alias("keeper")
     )
+    alone = known.where("key IS NULL").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("keeper"))
+    return placed.unionByName(alone)
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
     """The rows of ``documents``, with their columns, without all but one of each group of near-duplicates."""
-    number = "row"
-    while number in documents.columns:
-        number += "_"
+    number = fresh("row", documents.columns)
     numbered = Scratch(documents.sparkSession).store(documents.withColumn(number, F.monotonically_increasing_id()))
     keepers = near_duplicates(numbered, number).where("keeper").select(F.col("row").alias(number))
     return numbered.join(keepers, number, "left_semi").select(*documents.columns)

@@ -60,6 +60,33 @@ def test_small_stars_and_tiles_give_the_same(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found} == want
 
 
+def test_rows_meet_their_heads_by_broadcast_or_shuffle(spark, monkeypatch):
+    texts = [*corpus(), *["the same text many times over"] * 90]
+    want = near_groups(texts)
+    for heavy in (1, 4):  # no key is met by broadcast, some are
+        monkeypatch.setattr(neardup, "HEAVY", heavy)
+        found = near_duplicates(documents(spark, texts)).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == want
+        assert sum(r["keeper"] for r in found) == len(set(want.values()))
+
+
+def test_rows_without_ids_meet_only_their_own_text(spark, monkeypatch):
+    rng = random.Random(3)
+    bases = [words(rng, 200) for _ in range(100)]
+    texts = [" ".join(changed(rng, base, 1)) for base in bases for _ in range(3)]
+    met = []
+    verified = neardup._verified
+
+    def counted(texts, pairs):
+        met.append(texts.join(pairs.selectExpr("center class").distinct().unionByName(pairs.selectExpr("member class")), "class").count())
+        return verified(texts, pairs)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    found = near_duplicates(documents(spark, texts, [None] * 300)).collect()
+    assert sum(r["keeper"] for r in found) == 100 and all(r["component_id"] is None for r in found)
+    assert met[0] <= 600
+
+
 def test_repeated_and_missing_ids(spark):
     text = "this is a text with several words in it"
     docs = documents(spark, [text, text, text, None, "alone in the world", text + " x"], [7, 7, None, None, None, 9])
