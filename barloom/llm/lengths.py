@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.scratch import Scratch
+
 #: Lengths that are summed together before the running sums.
 BLOCK = 1024
 
 
 def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
-    """(length, n_docs), one row per length that occurs. Null lengths count as 0."""
-    return lengths.groupBy(F.coalesce(F.col(length), F.lit(0)).cast("bigint").alias("length")).agg(F.count("*").alias("n_docs"))
+    """(length, n_docs), one row per length that occurs, stored: the lengths are taken once, however often the histogram
+    is read. Null lengths count as 0. Repeated rows count as often as they occur, other columns are ignored, an empty
+    table gives no rows."""
+    histogram = lengths.groupBy(F.coalesce(F.col(length), F.lit(0)).cast("bigint").alias("length")).agg(F.count("*").alias("n_docs"))
+    return Scratch(lengths.sparkSession).store(histogram)
 
 
 def merge_histograms(*histograms: DataFrame) -> DataFrame:
@@ -63,18 +68,34 @@ def limit_table(histogram: DataFrame) -> DataFrame:
 
 
 def totals_at(limits: DataFrame, histogram: DataFrame) -> DataFrame:
-    """(limit, truncated_total, docs_cut) for any limits (column ``limit``), also those that no document has as its
-    length. Each takes the sums of the longest length up to it; below all lengths every document is cut."""
-    table = limit_table(histogram)
-    known = table.select("length", F.struct("docs_longer", "tokens_longer").alias("beyond"), F.lit(None).cast("bigint").alias("limit"))
-    asked = limits.select(F.col("limit").alias("length"), F.lit(None).cast(known.schema["beyond"].dataType).alias("beyond"), "limit")
-    upward = Window.orderBy("length", F.col("limit").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = known.unionByName(asked).withColumn("beyond", F.last("beyond", ignorenulls=True).over(upward))
-    whole = histogram.agg(F.sum("n_docs").alias("docs"), F.sum(F.col("length") * F.col("n_docs")).alias("tokens"))
-    docs, tokens = (F.coalesce(whole.select(c).scalar(), F.lit(0)) for c in ("docs", "tokens"))
-    cut = F.coalesce("beyond.docs_longer", docs)
-    kept = tokens - F.coalesce("beyond.tokens_longer", tokens) + F.col("limit") * cut
-    return placed.where("limit IS NOT NULL").select("limit", kept.alias("truncated_total"), cut.alias("docs_cut"))
+    """(limit, truncated_total, docs_cut) of every row of ``limits`` (column ``limit``), also for limits that no document
+    has as its length. Each takes the sums of the longest length up to it; below all lengths every document is cut. Null
+    limits have no row, repeated ones a row each, other columns are ignored; of an empty histogram all sums are 0.
+
+    Limits beyond the longest length, or below 0, are looked up as that length, or as -1. What is looked up is then
+    distinct, at most ``BLOCK`` values in each block of lengths, and only blocks are ordered in one place.
+    """
+    whole = histogram.agg(
+        F.coalesce(F.max("length"), F.lit(-1)).alias("longest"),
+        F.coalesce(F.sum("n_docs"), F.lit(0)).alias("docs"),
+        F.coalesce(F.sum(F.col("length") * F.col("n_docs")), F.lit(0)).alias("tokens"),
+    )
+    longest, docs, tokens = (whole.select(c).scalar() for c in ("longest", "docs", "tokens"))
+    at = F.greatest(F.least(F.col("limit"), longest), F.lit(-1)).cast("bigint")
+    asked = limits.where("limit IS NOT NULL").select("limit", at.alias("at"))
+    known = limit_table(histogram).select(F.col("length").alias("at"), F.struct("docs_longer", "tokens_longer").alias("beyond"))
+    empty = F.lit(None).cast(known.schema["beyond"].dataType).alias("beyond")
+    points = known.unionByName(asked.select("at", empty)).groupBy("at").agg(F.max("beyond").alias("beyond"))
+    points = points.withColumn("block", F.floor(F.col("at") / BLOCK))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = points.groupBy("block").agg(F.max_by("beyond", F.when(F.col("beyond").isNotNull(), F.col("at"))).alias("last"))
+    carried = last.select("block", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    upward = Window.partitionBy("block").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = points.withColumn("inside", F.last("beyond", ignorenulls=True).over(upward)).join(carried, "block")
+    sums = placed.select("at", F.coalesce("inside", "carried").alias("sums"))
+    cut = F.coalesce("sums.docs_longer", docs)
+    kept = tokens - F.coalesce("sums.tokens_longer", tokens) + F.col("limit") * cut
+    return asked.join(sums, "at").select("limit", kept.alias("truncated_total"), cut.alias("docs_cut"))
 
 
 def quantile_length(histogram: DataFrame, share: float) -> int | None:

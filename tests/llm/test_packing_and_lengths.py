@@ -77,7 +77,9 @@ def test_queries_count_tokens_exactly(spark):
         packed[r["doc_id"]] += r["token_end"] - r["token_begin"]
     assert packed == counts
     lengths = sorted(counts.values())
-    rows = op10_token_counts(spark, SF).collect()
+    counted = op10_token_counts(spark, SF)
+    assert "MapInArrow" not in counted._jdf.queryExecution().toString()  # texts are encoded once, before
+    rows = counted.collect()
     assert sorted(r["length"] for r in rows) == sorted(set(lengths))
     for r in rows:
         limit = r["length"]
@@ -87,6 +89,39 @@ def test_queries_count_tokens_exactly(spark):
         assert r["n_total"] == len(lengths) and abs(r["quantile"] - sum(n <= limit for n in lengths) / len(lengths)) < 1e-12
 
 
+def plain_best_fit(lengths, capacities, overhead):
+    """The method with plain lists: every open bin is looked at, and a new bin's size is tried against all that is left."""
+    capacities, left = sorted(capacities), sorted(lengths, reverse=True)
+    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    bins, put, clock = [], {}, 0  # a bin: space left, when it got it, content
+    for i in order:
+        n, clock = lengths[i], clock + 1
+        left.remove(n)
+        open_bins = [b for b in range(len(bins)) if bins[b][0] >= n]
+        if open_bins:
+            b = min(open_bins, key=lambda b: (bins[b][0], -bins[b][1]))
+        else:
+            def cost(size, n=n):
+                space = size - n
+                for m in left:
+                    space -= m if m <= space else 0
+                return (size + overhead) / (size - space), -size
+
+            b = len(bins)
+            bins.append([min((c for c in capacities if c >= n), key=cost), clock, 0])
+        put[i] = (b, bins[b][2])
+        bins[b] = [bins[b][0] - n, clock, bins[b][2] + n]
+    return [(*put[i], min(c for c in capacities if c >= bins[put[i][0]][2])) for i in range(len(lengths))]
+
+
+def test_packing_is_that_of_plain_lists():
+    rng = random.Random(6)
+    for sizes in ((50, 100, 200), (64,), (10, 35, 90)):
+        for n in (1, 40, 250):
+            lengths = [rng.choice([rng.randrange(1, max(sizes) + 1), 7, max(sizes) // 3]) for _ in range(n)]
+            assert best_fit(lengths, sizes, 16) == plain_best_fit(lengths, sizes, 16)
+
+
 def test_any_limit(spark):
     lengths = [0, 0, 3, 3, 5, 1023, 1024, 1025, 5000, None]
     histogram = length_histogram(table(spark, [(n, 1) for n in lengths], "n_tokens long, length int"))
@@ -97,6 +132,10 @@ def test_any_limit(spark):
     assert totals_at(limits, histogram).count() == 8
     low = length_histogram(table(spark, [(10,), (20,)], "n_tokens long"))
     assert [(r["truncated_total"], r["docs_cut"]) for r in totals_at(table(spark, [(4,)], "limit long"), low).collect()] == [(8, 2)]
+    odd = table(spark, [(None, 1), (-5, 1), (10**12, 1), (10**12, 2), (3000, 1)], "limit long, at int")
+    found = sorted(tuple(r) for r in totals_at(odd, histogram).collect())
+    assert found == [(-5, -5 * len(plain), len(plain)), (3000, sum(min(n, 3000) for n in plain), 1), *[(10**12, sum(plain), 0)] * 2]
+    assert [tuple(r) for r in totals_at(table(spark, [(4,)], "limit long"), histogram.limit(0)).collect()] == [(4, 0, 0)]
     assert quantile_length(histogram, 0.5) == 3 and quantile_length(histogram, 1.0) == 5000
     doubled = merge_histograms(histogram, histogram)
     assert {(r["length"], r["n_docs"]) for r in doubled.collect()} == {(n, 2 * plain.count(n)) for n in plain}
