@@ -183,8 +183,12 @@ FROM d JOIN least_id USING (r) LEFT JOIN sizes USING (r)
 
 _HOST = "translate(regexp_extract(coalesce({0}, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce({0}, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+_PLAIN = (
+    f"CASE WHEN regexp_matches({_PATH}, '/\\.\\.?(/|$)') THEN list_reduce(list_concat([''], string_split(regexp_replace({_PATH}, '/(\\.\\.?)$', '/\\1/'), '/')[2:]), "
+    f"lambda done, s: CASE WHEN s = '.' THEN done WHEN s = '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || s END) ELSE {_PATH} END"
+)
 _ADDRESS = (
-    f"CASE WHEN contains({{0}}, '://') THEN {_HOST} || rtrim({_PATH}, '/') || "
+    f"CASE WHEN contains({{0}}, '://') THEN {_HOST} || rtrim({_PLAIN}, '/') || "
     "coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract({0}, '^[^#]*?\\?([^#]*)', 1, 's'), '&'), "
     "lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|ref|sessionid)=')), '&'), ''), '') END"
 )
@@ -200,19 +204,29 @@ WITH RECURSIVE page AS (
     SELECT row_number() OVER () AS r, page_id, url, html, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path, {_ADDRESS.format("url")} AS address
     FROM pages),
 tags AS (
-    SELECT url, address, unnest(list_concat(
+    SELECT url, path, address, unnest(list_concat(
         list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?i)<link\b[^>]*>'), lambda t:
-            regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b')), lambda t: regexp_extract(t, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+            regexp_matches(t, '(?i)\brel\s*=\s*("([^"]*\s)?canonical(\s[^"]*)?"|''([^'']*\s)?canonical(\s[^'']*)?''|canonical[\s/>])')),
+            lambda t: regexp_extract(t, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
         list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?i)<meta\b[^>]*>'), lambda t:
             regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')), lambda t: regexp_extract(t, '(?i)\burl\s*=\s*''?([^"''\s>]+)', 1))
-    )) AS target FROM page WHERE address IS NOT NULL),
-targets AS (
+    )) AS written FROM page WHERE address IS NOT NULL),
+read AS (
+    SELECT url, path, address, replace(replace(replace(replace(replace(replace(replace(replace(written, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+        '&apos;', ''''), '&#39;', ''''), '&#38;', '&'), '&#x26;', '&'), '&amp;', '&') AS target FROM tags WHERE written <> ''),
+joined AS (
     SELECT address, CASE
         WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+        WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
         WHEN target LIKE '//%' THEN 'x:' || target
         WHEN target LIKE '/%' THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || target
-        ELSE rtrim(regexp_extract(url, '^(.*?://[^/?#]*(?:[^?#]*/)?)', 1, 's'), '/') || '/' || target END AS target
-    FROM tags WHERE target <> ''),
+        WHEN target LIKE '?%' THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || path || target
+        WHEN target LIKE '#%' THEN url
+        ELSE regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || coalesce(nullif(regexp_extract(path, '^(.*/)', 1, 's'), ''), '/') || target END AS j
+    FROM read),
+targets AS (
+    SELECT address, regexp_extract(j, '^(.*?://[^/?#]*)', 1, 's') || {_PLAIN.format("j")} || regexp_extract(j, '^.*?://[^?#]*(.*)$', 1, 's') AS target
+    FROM joined WHERE j IS NOT NULL),
 links AS (SELECT address AS a, {_ADDRESS.format("target")} AS b, target FROM targets),
 steps AS (SELECT a, b FROM links WHERE b IS NOT NULL UNION SELECT b, a FROM links WHERE b IS NOT NULL),
 reached AS (SELECT DISTINCT address AS a, address AS b FROM page WHERE address IS NOT NULL

@@ -17,6 +17,8 @@ from barloom.llm.components import connected_components
 from barloom.llm.scratch import Scratch
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Character references that addresses in HTML are written with; the ampersand's own come last. Fixed values.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"))
 #: Parts of a query string that do not change what an address shows.
 TRACKING = r"^(utm_[a-z]+|gclid|fbclid|ref|sessionid)="
 
@@ -47,6 +49,18 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def plain_path(path: Column) -> Column:
+    """A path without the segments ``.`` and ``..``; the latter take the one before away, if there is one."""
+    closed = F.regexp_replace(path, r"/(\.\.?)\z", "/$1/")
+    segments = F.filter(F.split(closed, "/"), lambda _, i: i > 0)
+    merged = F.aggregate(
+        segments,
+        F.lit(""),
+        lambda done, s: F.when(s == ".", done).when(s == "..", F.regexp_replace(done, r"/[^/]*\z", "")).otherwise(F.concat(done, F.lit("/"), s)),
+    )
+    return F.when(path.rlike(r"/\.\.?(/|\z)"), merged).otherwise(path)
+
+
 def rule_for(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> Column:
     """Struct (rule, verdict) of the longest rule that fits, null if none does; of equally long ones an allowing rule
     wins."""
@@ -58,43 +72,58 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> Colum
 
 
 def address(url: Column) -> Column:
-    """One name for spellings of an address: no scheme, fragment, tracking parameters or closing slash. Null without
-    ``://``."""
+    """One name for spellings of an address: no scheme, fragment, dot segments, tracking parameters or closing slash.
+    Null without ``://``."""
     query = F.regexp_extract(url, r"(?s)^[^#]*?\?([^#]*)", 1)
     kept = F.array_join(F.filter(F.split(query, "&"), lambda part: (part != "") & ~part.rlike(TRACKING)), "&")
     return F.when(
         F.instr(url, "://") > 0,
-        F.concat(host_of(url), F.rtrim(path_of(url), F.lit("/")), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")),
+        F.concat(host_of(url), F.rtrim(plain_path(path_of(url)), F.lit("/")), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")),
     )
 
 
+def _unescaped(text: Column) -> Column:
+    for reference, character in REFERENCES:
+        text = F.replace(text, F.lit(reference), F.lit(character))
+    return text
+
+
 def declared_targets(html: Column) -> Column:
-    """The addresses that a page gives as its canonical one or redirects to, as they are written."""
+    """The addresses that a page gives as its canonical one (a token of ``rel``) or redirects to, character references
+    replaced."""
     attribute = r"""(?i)\b{}\s*=\s*["']?([^"'\s>]++)"""
-    links = F.filter(
-        F.regexp_extract_all(html, F.lit(r"(?i)<link\b[^>]*+>"), 0), lambda tag: tag.rlike(r"""(?i)\brel\s*=\s*["']?canonical\b""")
-    )
+    token = r"""(?i)\brel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical[\s/>])"""
+    links = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<link\b[^>]*+>"), 0), lambda tag: tag.rlike(token))
     metas = F.filter(
         F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*+>"), 0), lambda tag: tag.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b""")
     )
     return F.filter(
         F.concat(
-            F.transform(links, lambda tag: F.regexp_extract(tag, attribute.format("href"), 1)),
-            F.transform(metas, lambda tag: F.regexp_extract(tag, r"""(?i)\burl\s*=\s*'?([^"'\s>]++)""", 1)),
+            F.transform(links, lambda tag: _unescaped(F.regexp_extract(tag, attribute.format("href"), 1))),
+            F.transform(metas, lambda tag: _unescaped(F.regexp_extract(tag, r"""(?i)\burl\s*=\s*'?([^"'\s>]++)""", 1))),
         ),
         lambda target: target != "",
     )
 
 
 def absolute(target: Column, url: Column) -> Column:
-    """A target beside the address that names it: whole, from the scheme on, from the host on, or from the folder on."""
-    origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
-    return (
+    """A target beside the address that names it: whole, from the scheme on, from the host on, another query of the same
+    path, another place of the same page, or from the folder on; without dot segments. Null for schemes without a host,
+    such as ``mailto:``."""
+    origin, path = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), path_of(url)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    whole = (
         F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .when(target.startswith("//"), F.concat(F.lit("x:"), target))
         .when(target.startswith("/"), F.concat(origin, target))
-        .otherwise(F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), target))
+        .when(target.startswith("?"), F.concat(origin, path, target))
+        .when(target.startswith("#"), url)
+        .otherwise(F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), target))
+    )
+    rest = F.regexp_extract(whole, r"(?s)^.*?://[^?#]*(.*)\z", 1)
+    return F.when(
+        whole.isNotNull(), F.concat(F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1), plain_path(path_of(whole)), rest)
     )
 
 
@@ -103,8 +132,8 @@ def judge_pages(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
     Null urls and urls without ``://`` have an empty host and path, no address and no aliases; they are allowed. Null
     html declares nothing. Repeated rows are judged alike. A target that is no page has no verdict of its own unless a
-    rule fits it; then it counts in its group like a page. Other columns are ignored. ``alias_of`` is the smallest
-    address of the group.
+    rule fits it; then it counts in its group like a page. Other columns are ignored, an empty table gives an empty one.
+    Pages of any length are searched whole. ``alias_of`` is the smallest address of the group.
     """
     scratch = Scratch(pages.sparkSession)
     url = F.col("url").cast("string")

@@ -25,8 +25,10 @@ from barloom.llm.scratch import Scratch, ship_package
 
 #: Payloads from this size on are stored once.
 LEAST_SHARED = 1000
-#: Records of one archive: what bounds a file that is later read whole.
+#: Records of one archive as it is written.
 ARCHIVE_RECORDS = 4096
+#: Bytes of a normalised file, but for a larger single record: what bounds a file that is later read whole.
+PART_BYTES = 64 << 20
 OUT_BYTES = 4 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = zlib.compressobj(9, zlib.DEFLATED, 31).flush()
@@ -80,6 +82,11 @@ def record_text(plan: DataFrame) -> DataFrame:
     )
 
 
+def _unquoted(name: Column) -> Column:
+    """A file's name from one with some characters as %XX; a plus sign stands for itself."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def write_archives(records: DataFrame, path: str, per_archive: int = ARCHIVE_RECORDS) -> None:
     """Records as files that are one gzip stream each."""
     records.write.option("lineSep", CRLF).option("compression", "gzip").option("maxRecordsPerFile", per_archive).text(path)
@@ -120,11 +127,12 @@ def member(record: bytes) -> bytes:
     return out if out[-1] == 0 else out + EMPTY_MEMBER
 
 
-def normalise(spark: SparkSession, source: str, target: str) -> None:
-    """Rewrite the archives below ``source`` below ``target``, each in a folder ``archive=<its name>``. A gzip file is
-    read by one task, from its start to its end, a line at a time; only one record is held."""
+def normalise(spark: SparkSession, source: str, target: str, part_bytes: int = PART_BYTES) -> None:
+    """Rewrite the archives below ``source`` below ``target``, each in a folder ``archive=<its name>`` and there in folders
+    ``part=<number>`` of one file of at most ``part_bytes`` (or one record). A gzip file is read by one task, from its
+    start to its end, a line at a time; only one record is held, however large the archive."""
     ship_package(spark)
-    lines = spark.read.option("lineSep", CRLF).text(source).select(F.col("_metadata.file_name").alias("archive"), F.col("value").cast("binary"))
+    lines = spark.read.option("lineSep", CRLF).text(source).select(_unquoted(F.col("_metadata.file_name")).alias("archive"), F.col("value").cast("binary"))
 
     def by_file(stream):
         for batch in stream:
@@ -133,19 +141,28 @@ def normalise(spark: SparkSession, source: str, target: str) -> None:
     def batches(stream):
         from itertools import groupby
 
-        names, members, size = [], [], 0
+        def batch_of(names, parts, members):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(parts, pa.int32()), pa.array(members, pa.binary())], names=["archive", "part", "member"]
+            )
+
+        names, parts, members, size = [], [], [], 0
         for name, rows in groupby(by_file(stream), key=lambda row: row[0]):
+            part, filled = 0, 0
             for record in whole_records(value.as_py() for _, value in rows):
-                data = member(record)[:-1]  # the sink adds the zero byte
-                names.append(name), members.append(data)
+                data = member(record)
+                if filled and filled + len(data) > part_bytes:
+                    part, filled = part + 1, 0
+                filled += len(data)
+                names.append(name), parts.append(part), members.append(data[:-1])  # the sink adds the zero byte
                 size += len(data)
                 if size >= OUT_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(members, pa.binary())], names=["archive", "member"])
-                    names, members, size = [], [], 0
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(members, pa.binary())], names=["archive", "member"])
+                    yield batch_of(names, parts, members)
+                    names, parts, members, size = [], [], [], 0
+        yield batch_of(names, parts, members)
 
-    rewritten = lines.mapInArrow(batches, "archive string, member binary")
-    rewritten.select("archive", F.col("member").cast("string").alias("value")).write.partitionBy("archive").option("lineSep", "\x00").text(target)
+    rewritten = lines.mapInArrow(batches, "archive string, part int, member binary")
+    rewritten.select("archive", "part", F.col("member").cast("string").alias("value")).write.partitionBy("archive", "part").option("lineSep", "\x00").text(target)
 
 
 def members_of(data: bytes) -> Iterator[tuple[int, int, bytes]]:
@@ -179,7 +196,7 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes, bytes]:
 
 
 _INDEX = [
-    ("archive", "string"), ("offset", "bigint"), ("length", "bigint"), ("page_id", "bigint"), ("uri", "string"),
+    ("archive", "string"), ("file", "string"), ("offset", "bigint"), ("length", "bigint"), ("page_id", "bigint"), ("uri", "string"),
     ("payload_bytes", "bigint"), ("payload_digest", "string"), ("record_type", "string"), ("refers_to", "bigint"),
 ]
 
@@ -190,15 +207,16 @@ def _page(name: str | None) -> int | None:
 
 
 def index(spark: SparkSession, archives: str) -> DataFrame:
-    """The records of normalised archives: archive, offset and length of each member, and what the record holds. Size
-    and digest of a response are taken from its payload, those of a revisit from what it says of the payload it leaves
-    out."""
+    """The records of normalised archives: archive, file (its path below ``archives``), offset and length of each member,
+    and what the record holds. Size and digest of a response are taken from its payload, those of a revisit from what it
+    says of the payload it leaves out. A file is read whole by one task; ``normalise`` bounds its size."""
     ship_package(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(archives)
-    files = files.select(F.regexp_extract("path", r"archive=([^/]+)/[^/]*$", 1), "content")
+    place = r"(archive=([^/]+)/part=[0-9]+/[^/]*)$"
+    files = files.select(_unquoted(F.regexp_extract("path", place, 2)), F.regexp_extract("path", place, 1), "content")
     arrow = pa.schema([(n, pa.string() if t == "string" else pa.int64()) for n, t in _INDEX])
 
-    def rows(name, data):
+    def rows(name, file, data):
         for offset, length, record in members_of(data):
             fields, http, payload = parse(record)
             kind = fields["warc-type"]
@@ -207,12 +225,12 @@ def index(spark: SparkSession, archives: str) -> DataFrame:
                 digest = fields["warc-payload-digest"].removeprefix("sha1:")
             else:
                 size, digest = len(payload), hashlib.sha1(payload).hexdigest()
-            yield name, offset, length, _page(fields.get("warc-record-id")), fields.get("warc-target-uri"), size, digest, kind, _page(fields.get("warc-refers-to"))
+            yield name, file, offset, length, _page(fields.get("warc-record-id")), fields.get("warc-target-uri"), size, digest, kind, _page(fields.get("warc-refers-to"))
 
     def batches(stream):
         for batch in stream:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = list(rows(name, data.as_py()))
+            for name, file, data in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2), strict=True):
+                found = list(rows(name, file, data.as_py()))
                 columns = zip(*found, strict=True) if found else [[]] * len(arrow)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
