@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 Many voters, each a lexicon or a pattern, fire or stay silent on a text. A generative label model, fitted on how often
-each combination of votes occurs in all documents, estimates how accurate the voters are and how far they repeat each
+each combination of votes occurs in all documents, estimates how accurate the voters are and how they depend on each
 other; its posterior labels train a linear classifier, which scores every text. Given labels enter twice, from
 training rows only: lexicons are induced from a bounded sample of them, and they anchor the label model's two classes.
 """
@@ -12,7 +12,6 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from barloom.llm.folds import held_out, training_labels
 from barloom.llm.scratch import Scratch, without_rows
 from barloom.llm.words import LETTERS, U64, Words, hash_parts, mix, text_bytes, word_slices
+from barloom.session import local_rows
 
 FOLDS, FOLD = 5, 0
 #: Labelled rows that lexicons are induced from, at most, and terms of all lexicons; if more pass, an error is raised.
@@ -32,13 +32,21 @@ SUPPORT, RATIO = 4, 50.0
 #: Views of a word, each with lexicons of its own: the whole word, and its first bytes.
 VIEWS = (0, 4, 5, 6)
 LEXICONS = ("word_a", "word_b", "start4", "start5", "start6")
-PATTERNS = ("several", "dense", "shouting", "symbols", "exclaiming")
+#: The last one speaks for class 0. All but the first two know nothing of labels.
+PATTERNS = ("several", "dense", "shouting", "symbols", "exclaiming", "stretched", "even")
 VOTERS = LEXICONS + PATTERNS
 
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#$%&*@^~", np.uint8))
 _BANG = np.arange(256) == ord("!")
+_LETTER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
+
+#: What given labels weigh in the label model, as a share of what all documents weigh.
+ANCHOR = 0.25
+#: Two voters may depend on each other if they share so much information (in nats) within the classes, and of n rows at
+#: least CHANCE / n: independent voters share more once in 20,000 times.
+LEAST_INFORMATION, CHANCE = 1e-3, 10
 
 
 def view_hashes(words: Words) -> list[np.ndarray]:
@@ -95,8 +103,8 @@ def induce_lexicons(rows: DataFrame, terms: int = TERMS) -> list[np.ndarray]:
 
 
 def evidence(words: Words, raw: np.ndarray, borders: np.ndarray, lexicons: list[np.ndarray]) -> np.ndarray:
-    """A row per text: hits of each lexicon, all words that some lexicon has, words, and shares of capitals, symbols,
-    exclamation marks."""
+    """A row per text: hits of each lexicon, all words that some lexicon has, words, shares of capitals, symbols,
+    exclamation marks, and of letters after three equal ones."""
     n = words.last - words.first
     count = lambda which: np.bincount(words.text[which], minlength=n).astype(float)
     hashes = view_hashes(words)
@@ -105,17 +113,25 @@ def evidence(words: Words, raw: np.ndarray, borders: np.ndarray, lexicons: list[
     any_hit = np.logical_or.reduce(hits)
     size = np.maximum(1, np.diff(borders))
 
-    def share(table):
-        return np.diff(np.concatenate([[0], np.cumsum(table[raw])])[borders - borders[0]]) / size
+    places = borders - borders[0]
+
+    def share(flags):
+        return np.diff(np.concatenate([[0], np.cumsum(flags)])[places]) / size
 
+    stretched = _LETTER[raw]
+    for back in (1, 2, 3):
+        stretched[back:] &= raw[back:] == raw[:-back]
+        early = places[:-1] + back - 1  # a text's first letters have none before them
+        stretched[early[early < len(raw)]] = False
     columns = [count(hits[0] & half), count(hits[0] & ~half), *[count(h) for h in hits[1:]], count(any_hit), words.per_text.astype(float)]
-    return np.stack([*columns, share(_UPPER), share(_SYMBOL), share(_BANG)], axis=1)
+    return np.stack([*columns, share(_UPPER[raw]), share(_SYMBOL[raw]), share(_BANG[raw]), share(stretched)], axis=1)
 
 
 def votes_of(e: np.ndarray) -> np.ndarray:
     """One bit per voter."""
     hits, words = e[:, 5], np.maximum(1, e[:, 6])
-    fired = [e[:, i] > 0 for i in range(5)] + [hits >= 2, hits / words >= 0.02, e[:, 7] > 0.5, e[:, 8] > 0.05, e[:, 9] > 0.05]
+    even = (e[:, 6] >= 30) & (e[:, 7] < 0.1) & (e[:, 8] < 0.005) & (e[:, 9] < 0.005)
+    fired = [e[:, i] > 0 for i in range(5)] + [hits >= 2, hits / words >= 0.02, e[:, 7] > 0.5, e[:, 8] > 0.05, e[:, 9] > 0.05, e[:, 10] > 0, even]
     return sum(f.astype(np.int64) << i for i, f in enumerate(fired))
 
 
@@ -151,54 +167,112 @@ INPUTS = 12
 
 @dataclass
 class LabelModel:
-    """Two classes; each voter fires with its own probability in each, and counts by a weight that falls with how far
-    it repeats others."""
+    """Two classes. In each, voters depend on each other along a tree: a voter fires with one probability if its parent
+    does and with another if not. A voter that only repeats its parent then adds nothing to the posterior."""
 
     prior: float
     fires: np.ndarray  # voters x classes
-    weight: np.ndarray
+    parent: np.ndarray  # per voter; -1: none
+    given: np.ndarray  # voters x vote of the parent x classes
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """Probability of class 1 for rows of 0/1 votes."""
-        p = np.clip(self.fires, 1e-6, 1 - 1e-6)
-        log = (votes * self.weight) @ np.log(p) + ((1 - votes) * self.weight) @ np.log(1 - p)
-        gap = np.clip(log[:, 1] - log[:, 0] + math.log(self.prior / (1 - self.prior)), -500, 500)
-        return 1 / (1 + np.exp(-gap))
-
-
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, anchored: np.ndarray, rounds: int = 4, steps: int = 40) -> LabelModel:
+        gap = np.full(len(votes), math.log(self.prior / (1 - self.prior)))
+        for i, above in enumerate(self.parent):
+            vote = votes[:, above].astype(int) if above >= 0 else np.zeros(len(votes), int)
+            p = np.clip(self.given[i][vote], 1e-6, 1 - 1e-6)
+            log = np.where(votes[:, i, None] > 0, np.log(p), np.log(1 - p))
+            gap += log[:, 1] - log[:, 0]
+        return 1 / (1 + np.exp(-np.clip(gap, -500, 500)))
+
+    def accuracies(self) -> np.ndarray:
+        """Per voter, how often it is right if firing means class 1."""
+        return self.prior * self.fires[:, 1] + (1 - self.prior) * (1 - self.fires[:, 0])
+
+
+def dependence_tree(votes: np.ndarray, mass: np.ndarray, least: float = LEAST_INFORMATION) -> np.ndarray:
+    """Each voter's parent (-1: none) in the forest of pairs that share most information within the classes. ``mass``
+    (rows x classes) says how often each row of votes occurs in each class; pairs below ``least`` are none."""
+    n, share = votes.shape[1], mass / mass.sum()
+    information = np.zeros((n, n))
+    for c in range(2):
+        whole = share[:, c].sum()
+        states = [1 - votes, votes]
+        alone = [s.T @ share[:, c] for s in states]
+        for a in range(2):
+            for b in range(2):
+                joint = (states[a] * share[:, c, None]).T @ states[b]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    part = joint * np.log(joint * whole / np.outer(alone[a], alone[b]))
+                information += np.where(joint > 0, part, 0)
+    group, near = list(range(n)), [[] for _ in range(n)]
+    pairs = sorted(((information[i, j], i, j) for i in range(n) for j in range(i)), reverse=True)
+    for value, i, j in pairs:
+        if value >= least and group[i] != group[j]:
+            near[i].append(j), near[j].append(i)
+            old, new = group[i], group[j]
+            group = [new if g == old else g for g in group]
+    parent, seen = np.full(n, -1), set()
+    for root in range(n):
+        todo = [root] if root not in seen else []
+        seen.add(root)
+        while todo:
+            i = todo.pop()
+            for j in near[i]:
+                if j not in seen:
+                    seen.add(j), todo.append(j)
+                    parent[j] = i
+    return parent
+
+
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, anchored: np.ndarray, rounds: int = 4, steps: int = 40, anchor: float = ANCHOR) -> LabelModel:
     """Expectation maximisation over combinations of votes (rows of 0/1) that occur ``counts`` times. ``anchored``
-    (rows x classes) are those with a known class; together they weigh as much as all others. After each round,
-    correlations that are left within the classes set the voters' weights."""
+    (rows x classes) are those with a known class; together they weigh ``anchor`` times as much as all others. The tree of
+    the voters' dependences is that of the known rows; its probabilities are estimated with all others. Without known
+    rows, voters are independent in the first round, and after each the tree is taken anew from the classes as they are
+    then."""
     n = votes.shape[1]
     known = anchored.sum()
-    scale = counts.sum() / known if known else 0.0
-    start = anchored + 0.01 if known else np.stack([counts * (votes.sum(1) == 0), counts * (votes.sum(1) > 0)], axis=1) + 0.01
-    model = LabelModel(0.5, np.empty((n, 2)), np.ones(n))
+    scale = anchor * counts.sum() / known if known else 0.0
+    mass = anchored + 0.01 if known else np.stack([counts * (votes.sum(1) == 0), counts * (votes.sum(1) > 0)], axis=1) + 0.01
+    model = LabelModel(0.5, np.empty((n, 2)), np.full(n, -1), np.empty((n, 2, 2)))
+    if known:
+        model.parent = dependence_tree(votes, anchored, max(LEAST_INFORMATION, CHANCE / known))
 
-    def maximise(mass):  # rows x classes
+    def maximise():
         total = mass.sum(axis=0) + 2
         model.prior = float(np.clip(total[1] / total.sum(), 1e-4, 1 - 1e-4))
         model.fires = (votes.T @ mass + 1) / total
+        for i, above in enumerate(model.parent):
+            for vote in range(2):
+                there = mass * (votes[:, above] == vote)[:, None] if above >= 0 else mass
+                model.given[i, vote] = (votes[:, i] @ there + 2 * model.fires[i]) / (there.sum(axis=0) + 2)
 
-    maximise(start)
-    for _ in range(rounds):
+    maximise()
+    for k in range(rounds):
         for _ in range(steps):
             p = model.posterior(votes)
             mass = np.stack([1 - p, p], axis=1) * counts[:, None] + anchored * scale
-            maximise(mass)
-        repeat = np.zeros((n, n))
-        for c in range(2):
-            m = mass[:, c] / mass[:, c].sum()
-            centred = votes - m @ votes
-            cov = (centred * m[:, None]).T @ centred
-            spread = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
-            repeat += 0.5 * np.clip(cov / np.outer(spread, spread), 0, 1)
-        np.fill_diagonal(repeat, 0)
-        model.weight = 1 / (1 + repeat.sum(axis=1))
+            maximise()
+        if not known and k + 1 < rounds:
+            model.parent = dependence_tree(votes, mass)
+            maximise()
     return model
 
 
+def model_of_votes(seen: DataFrame, known: DataFrame) -> tuple[LabelModel, DataFrame]:
+    """The label model of rows ``seen`` (doc_id, votes) with ``known`` labels (doc_id, label), and (votes, p): its
+    probability of class 1 for each combination of votes that occurs, 2**len(VOTERS) rows at most."""
+    counts = seen.groupBy("votes").count().toPandas().set_index("votes")["count"]
+    labelled = seen.select("doc_id", "votes").join(known, "doc_id").groupBy("votes", "label").count().toPandas()
+    labelled = labelled.pivot_table(index="votes", columns="label", values="count", fill_value=0)
+    labelled = labelled.reindex(counts.index, fill_value=0).reindex(columns=[0, 1], fill_value=0)
+    bits = ((counts.index.to_numpy()[:, None] >> np.arange(len(VOTERS))) & 1).astype(float)
+    model = fit_label_model(bits, counts.to_numpy(float), labelled.to_numpy(float))
+    rows = zip(counts.index.tolist(), model.posterior(bits).tolist(), strict=True)
+    return model, local_rows(seen.sparkSession, rows, "votes bigint, p double")
+
+
 @dataclass
 class ToxicityModel:
     lexicons: list[np.ndarray]
@@ -217,7 +291,7 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, folds: int = FOLDS,
 
     Null and empty texts are scored like texts without words. Repeated rows score alike; null ids are held out.
     Without any training label of one of the classes nothing can be learned: every score is 0. Other columns are
-    ignored; an empty table gives an empty one.
+    ignored; an empty table gives an empty one. Texts of any length are read whole.
     """
     scratch = Scratch(documents.sparkSession)
     train = training_labels(labels, "toxic", folds, fold, sample)
@@ -231,20 +305,10 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, folds: int = FOLDS,
     scratch.drop(rows)
     seen = scratch.store(_features(texts, lexicons).withColumn("row", F.monotonically_increasing_id()))
 
-    # How often each combination of votes occurs: 2**len(VOTERS) rows at most.
-    counts = seen.groupBy("votes").count().toPandas().set_index("votes")["count"]
-    known = seen.select("doc_id", "votes").join(train, "doc_id").groupBy("votes", "label").count().toPandas()
-    known = known.pivot_table(index="votes", columns="label", values="count", fill_value=0).reindex(counts.index, fill_value=0).reindex(columns=[0, 1], fill_value=0)
-    bits = (counts.index.to_numpy()[:, None] >> np.arange(len(VOTERS))) & 1
-    label_model = fit_label_model(bits.astype(float), counts.to_numpy(float), known.to_numpy(float))
-    posterior = pd.Series(label_model.posterior(bits.astype(float)), counts.index)
-
-    by_votes = np.zeros(1 << len(VOTERS))
-    by_votes[posterior.index.to_numpy()] = posterior.to_numpy()
-    p = F.element_at(F.array(*[F.lit(float(v)) for v in by_votes]), (F.col("votes") + 1).cast("int"))
+    label_model, posterior = model_of_votes(seen, train)
     soft = (
         seen.where(~out)
-        .select(F.col("x"), p.alias("p"))
+        .join(F.broadcast(posterior), "votes")
         .select("x", F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))).alias("y"))
         .where("y.weight > 1e-6")
         .select(array_to_vector("x").alias("features"), "y.label", "y.weight")

@@ -9,10 +9,10 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline  # noqa: E402
-from barloom.llm.folds import held_out  # noqa: E402
+from barloom.llm.folds import held_out, training_labels  # noqa: E402
 from barloom.llm.queries import op8_toxicity, op9_quality  # noqa: E402
-from barloom.llm.quality import calibrated, quality_scores  # noqa: E402
-from barloom.llm.toxicity import fit_label_model, induce_lexicons, toxicity_scores, without_toxic  # noqa: E402
+from barloom.llm.quality import STATISTICS, WIDTH, Fourier, calibrated, normal_equations, quality_scores  # noqa: E402
+from barloom.llm.toxicity import VOTERS, _features, dependence_tree, fit_label_model, induce_lexicons, model_of_votes, toxicity_scores, without_toxic  # noqa: E402
 from plain import SF, documents, hit_words, near_groups, table  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -50,9 +50,64 @@ def test_label_model_finds_good_and_repeated_voters():
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
     known = np.stack([[((votes[:500] == p).all(axis=1) & (y[:500] == c)).sum() for c in (0, 1)] for p in patterns]).astype(float)
     model = fit_label_model(patterns, counts.astype(float), known)
-    assert model.weight[0] < 0.8 and model.weight[2] > 0.9  # the copied voter counts less
+    assert {int(model.parent[0]), int(model.parent[1])} == {-1, 0} or model.parent[0] == 1  # the copied voter
+    assert model.parent[2] == model.parent[3] == -1
     assert np.mean((model.posterior(votes) >= 0.5) == y) > 0.88
     assert abs(model.fires[3, 0] - model.fires[3, 1]) < 0.1
+    # Plain: the copy adds nothing, so the posterior is that of two independent voters of the true rates.
+    odds = 0.25 * np.where(patterns[:, 0] > 0, 9, 1 / 9) * np.where(patterns[:, 2] > 0, 4, 1 / 4)
+    alike = patterns[:, 0] == patterns[:, 1]
+    assert np.abs(model.posterior(patterns) - odds / (1 + odds))[alike].max() < 0.08
+    assert np.abs(model.accuracies() - (votes == y[:, None]).mean(axis=0)).max() < 0.03
+
+
+def test_tree_joins_voters_that_depend_on_each_other():
+    rng = np.random.default_rng(5)
+    y = rng.random(40_000) < 0.3
+    a = rng.random(len(y)) < np.where(y, 0.7, 0.1)
+    b = np.where(rng.random(len(y)) < 0.8, a, rng.random(len(y)) < 0.5)
+    c = rng.random(len(y)) < np.where(y, 0.6, 0.05)
+    votes = np.stack([c, b, a], axis=1).astype(float)
+    mass = np.stack([~y, y], axis=1).astype(float)
+    assert dependence_tree(votes, mass).tolist() == [-1, -1, 1]
+
+
+def test_voters_are_estimated_as_accurate_as_they_are(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    train = training_labels(labels, "toxic", 5, 0, 20_000)
+    lexicons = induce_lexicons(docs.select("doc_id", "text").join(train, "doc_id"))
+    seen = _features(docs, lexicons).select("doc_id", "votes").cache()
+    model, posterior = model_of_votes(seen, train)
+    rows = seen.join(labels.select("doc_id", "toxic"), "doc_id").where("toxic IS NOT NULL").select("votes", "toxic").toPandas()
+    bits = (rows["votes"].to_numpy()[:, None] >> np.arange(len(VOTERS))) & 1
+    true = (bits == rows["toxic"].to_numpy()[:, None]).mean(axis=0)
+    print(dict(zip(VOTERS, zip(model.accuracies().round(3), true.round(3)), strict=True)), model.parent)
+    assert np.abs(model.accuracies() - true).max() < 0.06
+    assert posterior.count() == seen.select("votes").distinct().count()
+    seen.unpersist()
+
+
+def test_stretched_letters_stay_within_a_text(spark):
+    texts = ["noooo", "nooo", "o", "ooo", "o", "", "aaaa", "1111 ----", None]
+    bit = VOTERS.index("stretched")
+    found = {r["doc_id"]: r["votes"] >> bit & 1 for r in _features(documents(spark, texts), [np.empty(0, np.uint64)] * 4).collect()}
+    assert [found[i] for i in range(len(texts))] == [1, 0, 0, 0, 0, 0, 1, 0, 0]
+
+
+def test_normal_equations_are_those_of_all_rows(spark):
+    rng = np.random.default_rng(2)
+    s, y = rng.normal(size=(400, len(STATISTICS))), rng.integers(0, 2, 400)
+    fourier = Fourier(s.mean(axis=0), s.std(axis=0))
+    rows = spark.createDataFrame([(row.tolist(), int(v)) for row, v in zip(s, y, strict=True)], "s array<double>, label int").repartition(5)
+    gram, right = normal_equations(rows, fourier)
+    z = fourier(s)
+    assert np.allclose(gram, z.T @ z) and np.allclose(right, z.T @ y)
+    # Inner products of many features approximate the Gaussian kernel.
+    wide = Fourier(s.mean(axis=0), s.std(axis=0), features=20_000)
+    x = (s[:40] - s.mean(axis=0)) / s.std(axis=0)
+    kernel = np.exp(-((x[:, None] - x[None]) ** 2).sum(axis=2) / (2 * WIDTH**2))
+    inner = wide(s[:40])[:, :-1]
+    assert np.abs(inner @ inner.T - kernel).max() < 0.05
 
 
 @pytest.fixture(scope="module")
