@@ -341,10 +341,13 @@ def near_duplicates(documents: DataFrame, row: str | None = None) -> DataFrame:
         "band", "class", F.coalesce("component", "class").alias("component")
     )
     placed = scratch.store(placed)
+    scratch.drop(buckets)
     several = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b").select("band")
     tiled = scratch.store(_tiled(placed.join(several, "band", "left_semi"), classes))
     more = _verified_tiles(texts, tiled)
     found = connected_components(links.unionByName(more), scratch)
+    for done in (placed, tiled, classes):
+        scratch.drop(done)
 
     # Each class takes its component's head, then each row that of its class; unlinked classes have their own.
     linked = scratch.store(
