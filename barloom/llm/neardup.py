@@ -110,10 +110,16 @@ def _agreement(left: pa.Array, right: pa.Array) -> np.ndarray:
     return ((a == b).mean(axis=1) - 1 / 256) * 256 / 255
 
 
+def _met(rows: DataFrame, others: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """A join that moves texts, signatures or band keys. It sorts and merges at every size, so that what is measured on
+    a small table holds for a large one, where neither side could be broadcast."""
+    return rows.join(others.hint("merge"), key, how)
+
+
 def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """(center, member, estimate) of the pairs whose signatures agree well enough."""
     signs = classes.select("class", "signature")
-    both = pairs.join(signs.toDF("center", "s1"), "center").join(signs.toDF("member", "s2"), "member")
+    both = _met(_met(pairs, signs.toDF("center", "s1"), "center"), signs.toDF("member", "s2"), "member")
 
     def batches(stream):
         for batch in stream:
@@ -138,7 +144,7 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = sized.select("center", F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), F.lit(0).alias("role"), F.col("center").alias("class"))
     wanted = wanted.unionByName(parted.select("center", "part", F.lit(1).alias("role"), F.col("member").alias("class")))
     met = (
-        texts.join(wanted, "class")
+        _met(texts, wanted, "class")
         .select("center", "part", "role", "class", "text")
         .repartition("center", "part")
         .sortWithinPartitions("center", "part", "role")
@@ -181,13 +187,15 @@ def _tiled(open_buckets: DataFrame, classes: DataFrame) -> DataFrame:
     in_main = F.col("component") == F.col("main")
     place = F.xxhash64("class")
     own = F.when(in_main, F.col("rest_blocks") + F.pmod(place, F.col("main_blocks"))).otherwise(F.pmod(place, F.col("rest_blocks")))
-    dealt = (
+    placed = (
         open_buckets.join(sized, "band")
         .withColumn("block", own)
         .withColumn("others", F.when(in_main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks")))
         .withColumn("other", F.explode(F.expr("sequence(0L, others - 1)")))
         .select("band", F.least("block", "other").alias("tile1"), F.greatest("block", "other").alias("tile2"), "block", "component", "class")
-        .join(classes.select("class", "signature", "bands"), "class")
+    )
+    dealt = (
+        _met(placed, classes.select("class", "signature", "bands"), "class")
         .select("band", "tile1", "tile2", "block", "component", "class", "signature", "bands")
         .repartition("band", "tile1", "tile2")
         .sortWithinPartitions("band", "tile1", "tile2")
@@ -250,7 +258,7 @@ def _verified_tiles(texts: DataFrame, tiled: DataFrame) -> DataFrame:
     sets are held, of one tile at a time. Partners that links found before already connect need no check.
     """
     met = (
-        texts.join(tiled, "class")
+        _met(texts, tiled, "class")
         .select("band", "tile1", "tile2", "class", "partners", "text")
         .repartition("band", "tile1", "tile2")
         .sortWithinPartitions("band", "tile1", "tile2")
@@ -326,12 +334,12 @@ def near_duplicates(documents: DataFrame, row: str | None = None) -> DataFrame:
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     copies = rows.where("key IS NOT NULL").groupBy("key")
     keyed = scratch.store(copies.agg(F.min("row").alias("class"), F.min(first).alias("head"), F.count("*").alias("n")))
-    classes = scratch.store(rows.join(keyed.select(F.col("class").alias("row")), "row", "left_semi").withColumnRenamed("row", "class"))
+    classes = scratch.store(_met(rows, keyed.select(F.col("class").alias("row")), "row", "left_semi").withColumnRenamed("row", "class"))
     texts = numbered.select(F.col("row").alias("class"), "text")
 
     banded = classes.select("class", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("class").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = scratch.store(banded.join(shared, "band"))  # members of buckets with two classes at least
+    buckets = scratch.store(_met(banded, shared, "band"))  # members of buckets with two classes at least
     stars = buckets.where("class != least").select(F.col("least").alias("center"), F.col("class").alias("member")).distinct()
     best = _alike(stars, classes).groupBy("member").agg(F.max_by("center", F.struct("estimate", -F.col("center"))).alias("center"))
     links = scratch.store(_verified(texts, scratch.store(best.select("center", "member"))))
