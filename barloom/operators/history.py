@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Columns of a history beside those of the table. ``valid_to`` is the first version without the row, null if there is none.
@@ -15,22 +15,27 @@ def fold_versions(versions: list[DataFrame]) -> DataFrame:
     """The columns that all versions share, ``copies``, ``valid_from`` and ``valid_to``: one row per row content and
     stretch of versions that hold it in the same number of copies. Versions count from 0 in the order given.
 
-    Rows are stacked with their version and grouped by their whole content, which combines copies before the shuffle;
-    what is left of a content is at most one row per version, and a stretch ends where the next version lacks it or
-    holds another number. A key needs no name: a changed row is one content that ends and another that begins.
+    Rows are stacked with their version and grouped by their whole content once, with a count per version, which combines
+    copies before the only shuffle. The counts of a content tell its stretches: one begins where the number is another
+    than in the version before, and ends where the next other number stands. A key needs no name: a changed row is one
+    content that ends and another that begins.
     """
     shared = [c for c in versions[0].columns if all(c in v.columns for v in versions)]
     stacked = reduce(
         DataFrame.unionByName, [v.select(*shared).withColumn("_version", F.lit(i)) for i, v in enumerate(versions)]
     )
-    counted = stacked.groupBy(*shared, "_version").agg(F.count("*").alias("copies"))
-    content = Window.partitionBy(*shared).orderBy("_version")
-    same = (F.lag("_version").over(content) == F.col("_version") - 1) & (F.lag("copies").over(content) == F.col("copies"))
-    marked = counted.withColumn("_start", F.when(~F.coalesce(same, F.lit(False)), F.col("_version")))
-    so_far = content.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stretches = marked.withColumn("valid_from", F.max("_start").over(so_far)).groupBy(*shared, "copies", "valid_from")
-    end = F.max("_version") + 1
-    return stretches.agg(F.when(end < len(versions), end).alias("valid_to")).select(*shared, *HISTORY_COLUMNS)
+    held = [F.count_if(F.col("_version") == i).alias(f"_n{i}") for i in range(len(versions))]
+    counted = stacked.groupBy(*shared).agg(*held).select(*shared, F.array(*[f"_n{i}" for i in range(len(versions))]).alias("_n"))
+    n, places = F.col("_n"), F.array(*[F.lit(i) for i in range(len(versions))])
+
+    def begins(at: Column) -> Column:
+        return (F.get(n, at) > 0) & ~F.get(n, at).eqNullSafe(F.get(n, at - 1))
+
+    def stretch(at: Column) -> Column:
+        end = F.array_min(F.filter(places, lambda later: (later > at) & (F.get(n, later) != F.get(n, at))))
+        return F.struct(F.get(n, at).alias("copies"), at.alias("valid_from"), end.alias("valid_to"))
+
+    return counted.select(*shared, F.inline(F.transform(F.filter(places, begins), stretch)))
 
 
 def as_of(history: DataFrame, version: int) -> DataFrame:
@@ -66,10 +71,14 @@ def restatements(history: DataFrame, keys: list[str], before: int, after: int) -
 
 def restated_per_version(history: DataFrame, keys: list[str], n_versions: int) -> DataFrame:
     """(version, n_added, n_removed, n_changed): keys that each version restates of the one before it, from the borders of
-    the stretches alone; versions that restate nothing have a row of zeros."""
-    begins = history.where("valid_from > 0").select(*keys, F.col("valid_from").alias("version"), F.lit(1).alias("began"), F.lit(0).alias("ended"))
-    ends = history.where("valid_to IS NOT NULL").select(*keys, F.col("valid_to").alias("version"), F.lit(0).alias("began"), F.lit(1).alias("ended"))
-    by_key = begins.unionByName(ends).groupBy(*keys, "version").agg(F.max("began").alias("began"), F.max("ended").alias("ended"))
+    the stretches alone, taken in one pass; versions that restate nothing have a row of zeros."""
+    borders = F.array_compact(
+        F.array(
+            F.when(F.col("valid_from") > 0, F.struct(F.col("valid_from").alias("version"), F.lit(1).alias("began"), F.lit(0).alias("ended"))),
+            F.when(F.col("valid_to").isNotNull(), F.struct(F.col("valid_to").alias("version"), F.lit(0).alias("began"), F.lit(1).alias("ended"))),
+        )
+    )
+    by_key = history.select(*keys, F.inline(borders)).groupBy(*keys, "version").agg(F.max("began").alias("began"), F.max("ended").alias("ended"))
     counts = by_key.groupBy("version").agg(
         F.count_if(F.expr("began = 1 AND ended = 0")).alias("n_added"),
         F.count_if(F.expr("began = 0 AND ended = 1")).alias("n_removed"),
