@@ -224,7 +224,7 @@ def snapshot_history(spark, sf_dir):
 @query
 def snapshot_as_of(spark, sf_dir):
     """The fourth version, rebuilt from the history, doubled rows included."""
-    return as_of(stored(fold_versions(supplier_versions(spark, sf_dir))), 3)
+    return as_of(fold_versions(supplier_versions(spark, sf_dir)), 3)
 
 
 @query
@@ -235,7 +235,7 @@ def restated_keys(spark, sf_dir):
 
 @query
 def restatements_per_version(spark, sf_dir):
-    return restated_per_version(stored(fold_versions(supplier_versions(spark, sf_dir))), BAR_KEY, 5)
+    return restated_per_version(fold_versions(supplier_versions(spark, sf_dir)), BAR_KEY, 5)
 
 
 @query
