@@ -6,31 +6,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.diff import RUN_COLUMNS, snapshot_diff
+from barloom.operators.diff import BUCKETS, RUN_COLUMNS, hash_sums, key_bucket, snapshot_diff
+from barloom.session import local_rows
 
-BUCKETS = 1024
+SUMS_SCHEMA = "bucket INT, n_rows BIGINT, n_twice BIGINT, digest DECIMAL(38,0)"
 
 
-def key_bucket(keys: list[str], buckets: int = BUCKETS) -> Column:
-    marks = [part for k in keys for part in (F.col(k), F.col(k).isNull())]
-    return F.pmod(F.xxhash64(*marks), F.lit(buckets)).cast("int")
+def _digest() -> Column:
+    return (F.col("high").cast("decimal(38,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("low")).cast("decimal(38,0)").alias("digest")
 
 
 def bucket_checksums(
-    table: DataFrame, keys: list[str], exclude: tuple[str, ...] = RUN_COLUMNS, buckets: int = BUCKETS
+    table: DataFrame, keys: list[str], exclude: tuple[str, ...] = RUN_COLUMNS, buckets: int = BUCKETS, known: DataFrame | None = None
 ) -> DataFrame:
     """(bucket, n_rows, n_twice, digest): rows, keys held more than once, and a sum of row hashes, which does not depend on
     the order of the rows nor on how they are dealt. Columns are taken by name, nulls have a hash of their own.
 
     Keys are grouped once, copies combined before the shuffle; the result has a row per bucket, however large the
-    table. Written next to a snapshot, it is all that a comparison of equal snapshots reads."""
-    columns = sorted(c for c in table.columns if c not in exclude)
-    marks = [part for c in columns for part in (F.lit(c), F.col(c), F.col(c).isNull())]
-    row_hash = F.xxhash64(*marks).cast("decimal(38,0)")
-    by_key = table.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(row_hash).alias("digest"))
-    return by_key.groupBy(key_bucket(keys, buckets).alias("bucket")).agg(
-        F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_twice"), F.sum("digest").alias("digest")
-    )
+    table. Written next to a snapshot, it is all that a comparison of equal snapshots reads. With ``known``, the
+    checksums of a version before, the sums are taken where the rows are and only the keys of buckets that are not in
+    ``known`` with the same rows are grouped; in the others as many keys are held more than once as there."""
+    columns, bucket = [c for c in table.columns if c not in exclude], key_bucket(keys, buckets)
+    if known is None:
+        by_key = table.groupBy(*keys).agg(F.count("*").alias("n"), *hash_sums(columns))
+        return by_key.groupBy(bucket.alias("bucket")).agg(
+            F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_twice"), F.sum("high").alias("high"), F.sum("low").alias("low")
+        ).select("bucket", "n_rows", "n_twice", _digest())
+    sums = table.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n_rows"), *hash_sums(columns)).select("bucket", "n_rows", _digest())
+    # A row per bucket, a parameter.
+    told = {r["bucket"]: r for r in sums.join(known.select("bucket", "n_rows", "digest", "n_twice"), ["bucket", "n_rows", "digest"], "left").collect()}
+    fresh = sorted(b for b, r in told.items() if r["n_twice"] is None)
+    twice = {}
+    if fresh:
+        by_key = table.where(bucket.isin(fresh)).groupBy(*keys).agg(F.count("*").alias("n"))
+        twice = {r["bucket"]: r["n"] for r in by_key.groupBy(bucket.alias("bucket")).agg(F.count_if(F.col("n") > 1).alias("n")).collect()}
+    rows = [(b, r["n_rows"], twice.get(b, r["n_twice"]), r["digest"]) for b, r in sorted(told.items())]
+    return local_rows(table.sparkSession, rows, SUMS_SCHEMA)
 
 
 def differing_buckets(previous: DataFrame, latest: DataFrame) -> list[int]:
@@ -64,7 +75,7 @@ def two_stage_diff(
     same = latest_sums.where(~F.col("bucket").isin(differing)) if differing else latest_sums
     counted = same.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("same_rows"), F.coalesce(F.sum("n_twice"), F.lit(0)).alias("same_twice")).first()
     here = key_bucket(keys, buckets).isin(differing) if differing else F.lit(False)
-    rest = snapshot_diff(previous.where(here), latest.where(here), keys, exclude)
+    rest = snapshot_diff(previous.where(here), latest.where(here), keys, exclude, judged=True)
     types = dict(latest.dtypes)
     doubles = any(types[c] in ("double", "float") for c in compared if c not in keys)
     none = F.lit(0.0) if doubles and counted["same_rows"] else F.lit(None).cast("double")

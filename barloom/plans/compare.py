@@ -32,10 +32,13 @@ def store_checksums(spark: SparkSession, settings: Settings) -> None:
     """Write the checksums of the published versions that have none yet, each next to its files."""
     store = SnapshotStore(spark, settings)
     for (layer, name), keys in COMPARED.items():
-        for version in store.latest_two(layer, name) if keys else []:
+        known = None
+        for version in reversed(store.latest_two(layer, name)) if keys else []:
             path = version["path"] + CHECKSUMS
             if not _exists(spark, path):
-                bucket_checksums(store.read(layer, name, version=version["version"]), keys).coalesce(1).write.parquet(path)
+                table = store.read(layer, name, version=version["version"])
+                bucket_checksums(table, keys, known=known).coalesce(1).write.parquet(path)
+            known = spark.read.parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

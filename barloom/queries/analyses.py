@@ -245,7 +245,7 @@ def two_stage_diff_cases(spark, sf_dir):
     before = stored(bucket_checksums(panel, BAR_KEY))
     out = []
     for label, changed in cases.items():
-        diff = two_stage_diff(panel, changed, before, stored(bucket_checksums(changed, BAR_KEY)), BAR_KEY)
+        diff = two_stage_diff(panel, changed, before, bucket_checksums(changed, BAR_KEY, known=before), BAR_KEY)
         widest = F.when(F.col("max_double_diff") > 1e300, -1.0).otherwise(F.round("max_double_diff", 6))
         out.append(
             diff.select(

@@ -166,3 +166,39 @@ def test_copies_of_a_key_merge_before_they_move(spark):
     plan = profile._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Window") < plan.index("partial_count") and plan.count("partial_count") >= 1
     assert {r["copies"] for r in profile.collect()} == {40_000}
+
+
+def test_diff_moves_no_rows_of_equal_buckets(spark):
+    """Of the previous side only rows of buckets that differ are grouped; copies, infinite doubles and others count as before."""
+    table = spark.range(2000).selectExpr("id AS k", "CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS STRING) AS s")
+    changed = table.withColumn("x", F.when(F.col("k") == 5, 0.5).otherwise(F.col("x")))
+    for latest, same in ((table, True), (changed, False)):
+        diff = snapshot_diff(table, latest, ["k"])
+        rows = diff._jdf.queryExecution().optimizedPlan().toString()
+        assert "_same" in rows and " IN " in rows.replace("INSET", "IN")
+        row = diff.first()
+        assert (row["rows_prev"], row["rows_latest"], row["dup_keys"], row["missing_rows"]) == (2000, 2000, 0, 0)
+        assert row["max_double_diff"] == (0.0 if same else 4.5)
+    twice = table.unionByName(table.where("k < 3"))
+    row = snapshot_diff(twice, twice, ["k"]).first()
+    assert (row["rows_prev"], row["rows_latest"], row["dup_keys"], row["missing_rows"]) == (2003, 2003, 3, 0)
+    endless = table.withColumn("x", F.when(F.col("k") == 5, float("inf")).otherwise(F.col("x")))
+    assert str(snapshot_diff(endless, endless, ["k"]).first()["max_double_diff"]) == "nan"
+
+
+def test_checksums_after_known_ones(spark):
+    """The checksums of a later version are the same whether those of the one before are known or not, and group no keys of
+    equal buckets."""
+    table = spark.range(500).selectExpr("id % 400 AS k", "CAST(id AS DOUBLE) AS x")
+    before = bucket_checksums(table, ["k"], buckets=16)
+    later = table.unionByName(table.where("k = 7")).where("k <> 9")
+    for version in (table, later):
+        whole, after = (bucket_checksums(version, ["k"], buckets=16, known=known) for known in (None, before))
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, after.collect()))
+
+
+def test_history_moves_rows_once(spark):
+    table = spark.range(20).selectExpr("id AS k", "id % 3 AS x")
+    plan = fold_versions([table, table.where("k > 3"), table])._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line for line in plan.splitlines()) == 1
+    assert "Window" not in plan
