@@ -3,7 +3,7 @@ buckets differ, and only the rows of those are compared by key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from barloom.operators.diff import BUCKETS, RUN_COLUMNS, hash_sums, key_bucket, snapshot_diff
@@ -44,15 +44,22 @@ def bucket_checksums(
     return local_rows(table.sparkSession, rows, SUMS_SCHEMA)
 
 
-def differing_buckets(previous: DataFrame, latest: DataFrame) -> list[int]:
-    """Buckets whose checksums are not the same; there are at most as many as buckets, a parameter."""
+def _compared(previous: DataFrame, latest: DataFrame) -> list[Row]:
+    """(bucket, differs, n_rows, n_twice) per bucket, the counts those of the latest side; there are at most as many as
+    buckets, a parameter."""
     sides = previous.withColumn("side", F.lit(-1)).unionByName(latest.withColumn("side", F.lit(1)))
 
     def balance(column: str) -> Column:
         return F.sum(F.col("side") * F.col(column)) != 0
 
-    told = sides.groupBy("bucket").agg((balance("n_rows") | balance("n_twice") | balance("digest")).alias("differs"))
-    return sorted(r["bucket"] for r in told.where("differs").collect())
+    of_latest = {c: F.coalesce(F.sum(F.when(F.col("side") == 1, F.col(c))), F.lit(0)) for c in ("n_rows", "n_twice")}
+    differs = (balance("n_rows") | balance("n_twice") | balance("digest")).alias("differs")
+    return sides.groupBy("bucket").agg(differs, *[n.alias(c) for c, n in of_latest.items()]).collect()
+
+
+def differing_buckets(previous: DataFrame, latest: DataFrame) -> list[int]:
+    """Buckets whose checksums are not the same."""
+    return sorted(r["bucket"] for r in _compared(previous, latest) if r["differs"])
 
 
 def two_stage_diff(
@@ -71,18 +78,18 @@ def two_stage_diff(
     compared = [c for c in latest.columns if c not in exclude]
     if sorted(compared) != sorted(c for c in previous.columns if c not in exclude):
         return snapshot_diff(previous, latest, keys, exclude)
-    differing = differing_buckets(previous_sums, latest_sums)
-    same = latest_sums.where(~F.col("bucket").isin(differing)) if differing else latest_sums
-    counted = same.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("same_rows"), F.coalesce(F.sum("n_twice"), F.lit(0)).alias("same_twice")).first()
+    told = _compared(previous_sums, latest_sums)
+    differing = sorted(r["bucket"] for r in told if r["differs"])
+    same_rows, same_twice = (sum(r[c] for r in told if not r["differs"]) for c in ("n_rows", "n_twice"))
     here = key_bucket(keys, buckets).isin(differing) if differing else F.lit(False)
     rest = snapshot_diff(previous.where(here), latest.where(here), keys, exclude, judged=True)
     types = dict(latest.dtypes)
     doubles = any(types[c] in ("double", "float") for c in compared if c not in keys)
-    none = F.lit(0.0) if doubles and counted["same_rows"] else F.lit(None).cast("double")
+    none = F.lit(0.0) if doubles and same_rows else F.lit(None).cast("double")
     return rest.select(
-        (F.col("rows_prev") + counted["same_rows"]).alias("rows_prev"),
-        (F.col("rows_latest") + counted["same_rows"]).alias("rows_latest"),
-        (F.col("dup_keys") + counted["same_twice"]).alias("dup_keys"),
+        (F.col("rows_prev") + same_rows).alias("rows_prev"),
+        (F.col("rows_latest") + same_rows).alias("rows_latest"),
+        (F.col("dup_keys") + same_twice).alias("dup_keys"),
         "missing_rows",
         "mismatched_non_double",
         F.greatest("max_double_diff", none).alias("max_double_diff"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.checksums import bucket_checksums, two_stage_diff
+from barloom.operators.checksums import SUMS_SCHEMA, bucket_checksums, two_stage_diff
 from barloom.operators.diff import DOUBLE_TOLERANCE, METRICS_SCHEMA, snapshot_diff, verdict
 from barloom.session import local_rows
 from barloom.settings import Settings
@@ -31,14 +31,18 @@ COMPARED = {
 def store_checksums(spark: SparkSession, settings: Settings) -> None:
     """Write the checksums of the published versions that have none yet, each next to its files."""
     store = SnapshotStore(spark, settings)
-    for (layer, name), keys in COMPARED.items():
+    newest = store.latest_two_of_each()
+    for table, keys in COMPARED.items():
         known = None
-        for version in reversed(store.latest_two(layer, name)) if keys else []:
+        for version in reversed(newest.get(table, [])) if keys else []:
             path = version["path"] + CHECKSUMS
             if not _exists(spark, path):
-                table = store.read(layer, name, version=version["version"])
-                bucket_checksums(table, keys, known=known).coalesce(1).write.parquet(path)
-            known = spark.read.parquet(path)
+                bucket_checksums(store.open(version), keys, known=known).coalesce(1).write.parquet(path)
+            known = _checksums(spark, path)
+
+
+def _checksums(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SUMS_SCHEMA).parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -54,18 +58,19 @@ def rerun_report(
     ``checksums`` (see ``store_checksums``) only rows of buckets that differ are compared. A rerun over the same files
     passes with a tolerance of 0, too: no measure depends on the order of its rows."""
     store = SnapshotStore(spark, settings)
+    published = store.latest_two_of_each()
     rows = None
     for (layer, name), keys in COMPARED.items():
-        newest = store.latest_two(layer, name)
+        newest = published.get((layer, name), [])
         if len(newest) < 2:
             metrics = local_rows(spark, [(None,) * 6 + ("no previous version",)], METRICS_SCHEMA)
             outcome, versions = F.lit("SKIPPED"), (None, newest[0]["version"] if newest else None)
         else:
             versions = (newest[1]["version"], newest[0]["version"])
-            sides = [store.read(layer, name, version=v) for v in versions]
+            sides = [store.open(v) for v in (newest[1], newest[0])]
             sums = [v["path"] + CHECKSUMS for v in (newest[1], newest[0])]
             if checksums and keys and all(_exists(spark, path) for path in sums):
-                metrics = two_stage_diff(*sides, *[spark.read.parquet(path) for path in sums], keys)
+                metrics = two_stage_diff(*sides, *[_checksums(spark, path) for path in sums], keys)
             else:
                 metrics = snapshot_diff(*sides, keys)
             outcome = verdict(tolerance)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,6 +115,19 @@ class SnapshotStore:
         """The latest published versions, newest first; fewer than two if there are not that many."""
         return self.history(layer, name).orderBy(F.col("version").desc()).limit(2).collect()
 
+    def latest_two_of_each(self) -> dict[tuple[str, str], list]:
+        """``latest_two`` of every table that has been published, by (layer, name), from one reading of the manifest."""
+        newest_first = Window.partitionBy("layer", "name").orderBy(F.col("version").desc())
+        newest = self.versions().withColumn("place", F.row_number().over(newest_first)).where("place <= 2")
+        found: dict[tuple[str, str], list] = {}
+        for row in sorted(newest.collect(), key=lambda r: r["place"]):
+            found.setdefault((row["layer"], row["name"]), []).append(row)
+        return found
+
+    def open(self, version: Row) -> DataFrame:
+        """The published table of a row of ``versions``; the manifest is not read again."""
+        return self.spark.read.schema(T.DataType.fromDDL(version["ddl"])).parquet(version["path"])
+
     def read(self, layer: str, name: str, version: int | None = None, run_id: str | None = None) -> DataFrame:
         """A published table: the latest, or that of a version number or a run."""
         wanted = self.history(layer, name)
@@ -125,4 +138,4 @@ class SnapshotStore:
         found = wanted.orderBy(F.col("version").desc()).first()
         if found is None:
             raise LookupError(f"no published version of {layer}.{name} (version={version}, run_id={run_id})")
-        return self.spark.read.schema(T.DataType.fromDDL(found["ddl"])).parquet(found["path"])
+        return self.open(found)

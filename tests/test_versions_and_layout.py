@@ -16,8 +16,11 @@ from barloom.operators.diff import snapshot_diff, verdict
 from barloom.operators.flags import key_profile
 from barloom.operators.history import as_of, fold_versions, restated_per_version, restatements
 from barloom.operators.summary import summary_metrics
+from barloom.plans.compare import COMPARED, rerun_report, store_checksums
 from barloom.plans.layout import store_for_serving
 from barloom.session import stored
+from barloom.sources.catalog import set_up
+from barloom.sources.store import SnapshotStore
 
 TABLE = "k bigint, name string, x double"
 
@@ -202,3 +205,27 @@ def test_history_moves_rows_once(spark):
     plan = fold_versions([table, table.where("k > 3"), table])._jdf.queryExecution().executedPlan().toString()
     assert sum("Exchange hashpartitioning" in line for line in plan.splitlines()) == 1
     assert "Window" not in plan
+
+
+def test_checksums_and_report_read_the_manifest_once_each(spark, settings, monkeypatch):
+    """However many tables are compared; the versions are those that ``latest_two`` gives for one table."""
+    set_up(spark, settings)
+    store = SnapshotStore(spark, settings)
+    compared = {table: keys for table, keys in COMPARED.items() if table[0] == "gold"}
+    for run, n in (("a", 5), ("b", 4), ("c", 4)):
+        frames = {t: spark.range(n).select(*[F.col("id").cast("string").alias(k) for k in keys], F.lit(0.1).alias("x")) for t, keys in compared.items()}
+        store.publish(run, "task", [store.stage(*t, frame, run) for t, frame in frames.items()])
+    found = store.latest_two_of_each()
+    assert found.keys() == compared.keys()
+    for table, rows in found.items():
+        assert [(r["version"], r["path"]) for r in rows] == [(r["version"], r["path"]) for r in store.latest_two(*table)]
+        assert [r["version"] for r in rows] == [2, 1] and store.open(rows[1]).count() == 4
+    reads, versions = [], SnapshotStore.versions
+    monkeypatch.setattr(SnapshotStore, "versions", lambda self: reads.append(1) or versions(self))
+    store_checksums(spark, settings)
+    report = rerun_report(spark, settings, tolerance=0.0, checksums=True).collect()
+    assert len(reads) == 2
+    told = {r["table"].split(".", 1)[1]: (r["version_prev"], r["rows_latest"], r["max_double_diff"], r["result"]) for r in report}
+    for layer, name in COMPARED:
+        expected = (1, 4, 0.0, "PASS") if (layer, name) in compared else (None, None, None, "SKIPPED")
+        assert told[settings.table(layer, name).split(".", 1)[1]] == expected
