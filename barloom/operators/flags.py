@@ -22,14 +22,17 @@ def untraded_dates(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame
     )
 
 
-def volume_status(panel: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
-    """Add ``volume_status``: normal, or which kind of day without volume this is.
+def volume_status(panel: DataFrame, spec: PanelSpec = PanelSpec(), untraded: DataFrame | None = None) -> DataFrame:
+    """Add ``volume_status``: normal, or which kind of day without volume this is. ``untraded`` are the panel's
+    ``untraded_dates``, where they are stored already.
 
     A date can hold a large share of the panel, so the per-date fact is a grouped aggregate (combined before its
-    shuffle). Only the untraded dates come back, and the planner joins so short a list without moving the panel.
+    shuffle). Only the untraded dates come back: the calendar bounds them, however large the panel, so they are sent to
+    its rows. The planner does not know how few they are before the panel has been moved to meet them.
     """
+    untraded = untraded_dates(panel, spec) if untraded is None else untraded
     return (
-        panel.join(untraded_dates(panel, spec), spec.date, "left")
+        panel.join(F.broadcast(untraded), spec.date, "left")
         .withColumn(
             "volume_status",
             F.when(F.col("volume") > 0, NORMAL).when(F.col("_untraded"), ZERO_ALL).otherwise(ZERO_PARTIAL),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.daily import daily_metrics
-from barloom.operators.flags import base_date, volume_status
+from barloom.operators.flags import base_date, untraded_dates, volume_status
 from barloom.operators.lineage import dimension
 from barloom.operators.periods import monthly_metrics, yearly_metrics
 from barloom.operators.summary import summary_metrics
@@ -23,9 +23,14 @@ WIDE = PanelSpec(min_coverage=0.15)
 class Layers:
     """Silver bars, base date and measures of one panel."""
 
-    def __init__(self, bars: DataFrame, spec: PanelSpec = PanelSpec()):
+    def __init__(self, bars: DataFrame, spec: PanelSpec = PanelSpec(), bars_stored: bool = False):
+        """``bars_stored`` says that the bars are files already: only the untraded dates are written besides, and each
+        use of the silver bars reads the files and takes the dates to them."""
         self.spec = spec
-        self.silver = stored(volume_status(bars, spec))
+        if bars_stored:
+            self.silver = volume_status(bars, spec, stored(untraded_dates(bars, spec)))
+        else:
+            self.silver = stored(volume_status(bars, spec))
 
     @cached_property
     def base(self) -> Column:
@@ -79,7 +84,7 @@ def series_layers(spark: SparkSession, sf_dir: str, entity: Column | None = None
 
 
 def supplier_layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return Layers(stored(supplier_panel(spark, sf_dir)), WIDE)
+    return Layers(stored(supplier_panel(spark, sf_dir)), WIDE, bars_stored=True)
 
 
 def series_universe(silver: DataFrame) -> DataFrame:

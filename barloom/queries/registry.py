@@ -398,16 +398,17 @@ def null_vol_after_warmup(spark, sf_dir):
 
 @query
 def peak_and_trough_rows(spark, sf_dir):
+    # Not from the stored measures: each use takes the few it reads, already by entity, and no rolling ones.
     layers = supplier_layers(spark, sf_dir)
-    return reconcile.peak_and_trough_rows(layers.summary(layers.fact), layers.fact)
+    return reconcile.peak_and_trough_rows(layers.summary(layers.daily), layers.daily)
 
 
 @query
 def compounding_check(spark, sf_dir):
     layers = supplier_layers(spark, sf_dir)
-    products = layer_checks.year_products(layers.monthly(layers.fact))
+    products = layer_checks.year_products(layers.monthly(layers.daily))
     return rounded(
-        layers.yearly(layers.fact).join(products, ["ticker", "year"]).select(
+        layers.yearly(layers.daily).join(products, ["ticker", "year"]).select(
             "ticker", "year", (1 + F.col("yearly_return")).alias("yearly_growth"), "compound"
         ),
         "yearly_growth", "compound",

@@ -19,6 +19,7 @@ from barloom.operators.quality import Check, evaluate
 from barloom.operators.series import SeriesSplit
 from barloom.operators.summary import summary_metrics
 from barloom.operators.validate import duplicate_keys, reason_histogram, reject_reasons, split_rows, type_bars
+from barloom.session import local_rows
 from barloom.spec import PRICE_COLUMNS, REJECT_CODES, PanelSpec
 
 SPEC = PanelSpec(vol_window=3, rel_volume_window=3)
@@ -363,6 +364,19 @@ def test_unmatched_keys(spark):
     assert {tuple(r) for r in unmatched_keys(left, right, ["k"]).collect()} == {(1, "left"), (3, "right")}
 
 
+def test_flags_do_not_move_the_panel(spark):
+    """Only the untraded dates are grouped and sent, whatever the planner takes for short; given ones are not looked for."""
+    bars = spark.createDataFrame([("A", day("01-02"), 0), ("B", day("01-02"), 0)], "ticker STRING, trade_date DATE, volume BIGINT")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = volume_status(bars)
+        assert exchanges(flagged) == 1 and "SortMergeJoin" not in flagged._jdf.queryExecution().executedPlan().toString()
+        given = volume_status(bars, untraded=local_rows(spark, [(day("01-02"), True)], "trade_date DATE, _untraded BOOLEAN"))
+        assert exchanges(given) == 0 and given.collect() == flagged.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_replace_row_with_previous(spark):
     rows = [("A", day(f"01-0{i}"), float(i)) for i in range(1, 6)] + [("B", day("01-01"), 9.0)]
     frame = spark.createDataFrame(rows, "ticker STRING, trade_date DATE, close DOUBLE")

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from barloom.queries import layers as layers_of_panel  # noqa: E402
 from barloom.queries import registry  # noqa: E402
 from barloom.queries.layers import series_layers, supplier_layers  # noqa: E402
 from barloom.queries.oracle import ORACLE  # noqa: E402
+from barloom.session import stored  # noqa: E402
 from oracle_compare import compare, connect  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -60,3 +62,14 @@ def test_properties(spark):
     long = series_layers(spark, SF_DIR)
     assert long.silver.filter("(volume > 0) <> (volume_status = 'normal')").isEmpty()
     assert long.daily.filter("volume_status <> 'normal' AND (daily_return IS NOT NULL OR vol_60d_ann IS NOT NULL)").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["peak_and_trough_rows", "compounding_check"])
+def test_no_rolling_measure_is_stored_for_queries_without_one(spark, monkeypatch, name):
+    """Nor are the bars of the suppliers written twice."""
+    written = []
+    monkeypatch.setattr(layers_of_panel, "stored", lambda frame: written.append(frame.columns) or stored(frame))
+    monkeypatch.setattr(registry, "supplier_layers", supplier_layers)
+    assert not registry.QUERIES[name](spark, SF_DIR).isEmpty()
+    assert [columns for columns in written if {"vol_60d_ann", "rel_volume_60d"} & set(columns)] == []
+    assert sum("adjclose" in columns for columns in written) == 1
