@@ -27,7 +27,7 @@ from barloom.queries.registry import diff_cases, query, rounded
 from barloom.session import local_rows, shared_folder, stored
 from barloom.settings import LAYERS, SOURCE_COLUMNS
 from barloom.sources.bars import supplier_panel
-from barloom.sources.catalog import RESET_WORD, append_failures, drop_all, set_up
+from barloom.sources.catalog import RESET_WORD, append_failures, drop_all, set_up, tables_of
 from barloom.sources.drift import document_drift, document_paths, landed_documents
 from barloom.sources.landing import folder_of, read_lines
 
@@ -318,7 +318,7 @@ def set_up_and_reset(spark, sf_dir):
     for place, (name, step) in enumerate(steps.items()):
         step()
         schema = settings.table("ops", "").rstrip(".")
-        tables = [t.name for t in spark.catalog.listTables(schema)]
+        tables = [t.name for t in tables_of(spark, schema)]
         rows = sum(spark.table(settings.table("ops", t)).count() for t in tables)
         counts.append((place, name, len(tables), rows))
     return local_rows(spark, counts, "place int, step string, n_tables bigint, n_rows bigint")

@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.catalog import Table
 
 from barloom.operators.quality import FAILURE_COLUMNS, FAILURE_SCHEMA, RESULT_SCHEMA
 from barloom.session import local_rows
@@ -118,10 +119,15 @@ def apply_comments(
     return done
 
 
+def tables_of(spark: SparkSession, schema: str) -> list[Table]:
+    """The tables of a schema. The catalog lists the session's temporary views with those of any schema."""
+    return [t for t in spark.catalog.listTables(schema) if not t.isTemporary]
+
+
 def table_metadata(spark: SparkSession, settings: Settings, layer: str) -> DataFrame:
     """(table_name, comment) of a schema, ordered by name."""
     schema = f"{settings.catalog}.{settings.schemas[layer]}"
-    rows = [(t.name, t.description) for t in spark.catalog.listTables(schema)]
+    rows = [(t.name, t.description) for t in tables_of(spark, schema)]
     return local_rows(spark, rows, "table_name STRING, comment STRING").orderBy("table_name")
 
 
@@ -130,7 +136,7 @@ def column_metadata(spark: SparkSession, settings: Settings, layer: str) -> Data
     schema = f"{settings.catalog}.{settings.schemas[layer]}"
     rows = [
         (t.name, i, c.name, c.dataType, c.description)
-        for t in spark.catalog.listTables(schema)
+        for t in tables_of(spark, schema)
         for i, c in enumerate(spark.catalog.listColumns(f"{schema}.{t.name}"), start=1)
     ]
     ddl = "table_name STRING, ordinal_position INT, column_name STRING, data_type STRING, comment STRING"

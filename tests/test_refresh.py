@@ -5,7 +5,7 @@ import pytest
 
 from barloom.plans.compare import overall, rerun_report
 from barloom.plans.refresh import ChecksFailed, refresh, refresh_bronze, refresh_silver
-from barloom.sources.catalog import drop_all, set_up
+from barloom.sources.catalog import OPS_TABLES, column_metadata, drop_all, set_up, table_metadata
 from barloom.sources.landing import UnknownFolder, landing_report
 from barloom.sources.store import SnapshotStore
 from conftest import BARS, land
@@ -180,3 +180,13 @@ def test_scan_takes_the_files_a_glob_names(spark, tmp_path):
         for root in (str(tmp_path), f"file://{tmp_path}", f"{tmp_path}/"):
             found = {r["source_file"].split(f"{tmp_path}/")[1] for r in landed_files(spark, f"{root}/{glob}").collect()}
             assert found == want, (glob, found)
+
+
+def test_temporary_views_are_no_tables_of_a_schema(spark, settings):
+    set_up(spark, settings)
+    spark.range(1).createOrReplaceTempView("a_view_of_the_session")
+    try:
+        assert {r["table_name"] for r in table_metadata(spark, settings, "ops").collect()} == set(OPS_TABLES)
+        assert {r["table_name"] for r in column_metadata(spark, settings, "ops").collect()} == set(OPS_TABLES)
+    finally:
+        spark.catalog.dropTempView("a_view_of_the_session")
