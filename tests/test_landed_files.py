@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.queries.landed import land, write_folders
+from barloom.sources.landing import landed_files, scan
 
 
 def test_one_file_per_entity_and_kind(spark, tmp_path):
@@ -61,3 +62,26 @@ def test_a_landed_file_has_no_other_beside_it(spark, tmp_path):
     land(bars, str(tmp_path))
     for kind, folder in (("csv", "daily"), ("json", "summaries")):
         assert [p.suffix for p in Path(tmp_path, folder).glob("*/*")] == [f".{kind}"] * 5
+
+
+def test_folders_are_listed_by_a_few_tasks(spark, tmp_path):
+    """One task per folder is what the default setting would start."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for i in range(60):
+        (tmp_path / f"f{i}").mkdir()
+        (tmp_path / f"f{i}" / "x.csv").write_text("1\n")
+    before = spark.conf.get(name)
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for setting, most in (("10000", 4 * spark.sparkContext.defaultParallelism), ("3", 3)):
+            spark.conf.set(name, setting)
+            spark.sparkContext.setJobGroup(f"listing {setting}", "listing")
+            listed = scan(spark, f"{tmp_path}/*/*.csv", "text")
+            jobs = tracker.getJobIdsForGroup(f"listing {setting}")
+            tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds]
+            assert tasks and max(tasks) <= most
+            assert spark.conf.get(name) == setting and listed.count() == 60
+    finally:
+        spark.conf.set(name, before)
+        spark.sparkContext._jsc.clearJobGroup()
+    assert landed_files(spark, f"{tmp_path}/*/*.csv").count() == 60
